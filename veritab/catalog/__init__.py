@@ -6,7 +6,7 @@ import importlib
 
 from veritab.catalog.registry import ORACLES, QUERIES
 
-MODULES = ("projections",)
+MODULES = ("projections", "joins", "comparisons")
 
 
 def load():
