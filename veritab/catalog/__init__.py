@@ -6,7 +6,7 @@ import importlib
 
 from veritab.catalog.registry import ORACLES, QUERIES
 
-MODULES = ("projections", "joins", "comparisons")
+MODULES = ("scans", "projections", "joins", "comparisons", "aggregations", "windows")
 
 
 def load():

@@ -76,16 +76,16 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def quantile_bucket(df: DataFrame, name: str, buckets: int = 64) -> Column:
-    """Number of split points at or below the value: a bucket that grows with the column.
+def with_quantile_bucket(df: DataFrame, name: str, bucket: str, buckets: int = 64) -> DataFrame:
+    """Add the number of split points at or below a value: a bucket that grows with the column.
 
     The split points come from one pass over this column (a mergeable sketch); they set the balance
     of the work, not the result.
     """
     shares = [i / buckets for i in range(1, buckets)]
     points = df.select(F.percentile_approx(name, shares, 1000).alias("points")).scalar()
-    value = F.col(name)
-    return F.size(F.filter(points, lambda p: p <= value))
+    below = F.size(F.filter("__points", lambda p: p <= F.col(name)))
+    return df.withColumn("__points", points).withColumn(bucket, below).drop("__points")
 
 
 def spread_window(df: DataFrame, partition_by, order_by, bucket, columns: dict) -> DataFrame:

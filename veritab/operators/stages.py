@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from veritab.operators.canonical import column
 from veritab.operators.changes import one_row_per_key
-from veritab.operators.ranking import Order, Rank, asc, quantile_bucket, spread_window
+from veritab.operators.ranking import Order, Rank, asc, spread_window, with_quantile_bucket
 
 
 def aggregate(df: DataFrame, group, **aggregates: Column) -> DataFrame:
@@ -201,9 +201,11 @@ def surrogate_keys(df: DataFrame, order, name: str = "sk", start: int = 0, bucke
     numeric order column.
     """
     order = [o if isinstance(o, Order) else asc(o) for o in order]
-    bucket = bucket if bucket is not None else quantile_bucket(df, order[0].column, buckets)
+    if bucket is None:
+        df = with_quantile_bucket(df, order[0].column, "__bucket", buckets)
+        bucket = Order("__bucket", order[0].descending, order[0].nulls_first)
     numbered = spread_window(df, [], order, bucket, {name: Rank("row_number")})
-    return numbered.withColumn(name, F.col(name) + F.lit(start))
+    return numbered.withColumn(name, F.col(name) + F.lit(start)).drop("__bucket")
 
 
 def identity_column(df: DataFrame, name: str = "id") -> DataFrame:
