@@ -1,12 +1,11 @@
 """Window functions, sorting, set operations and query shapes."""
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from veritab.catalog.data import MONEY
 from veritab.catalog.registry import query
 from veritab.functions.relational import select_with_aliases, with_parameters
-from veritab.operators.ranking import Edge, Rank, Shift, asc, desc, spread_window
+from veritab.operators.ranking import Edge, Rank, Shift, asc, desc, spread_window, with_group_values
 
 _MONTH = F.year("o_orderdate") * 12 + F.month("o_orderdate")
 _BY_DATE = [asc("o_orderdate"), asc("o_orderkey")]
@@ -161,8 +160,8 @@ def lateral_alias(read):
         },
         where=F.col("twice") > 100000,
     )
-    totals = filtered.groupBy("o_custkey").agg(F.sum(F.col("more").cast(MONEY)).cast("double").alias("total"))
-    return filtered.join(totals, "o_custkey").select("o_orderkey", "twice", "more", "total")
+    total = F.sum(F.col("more").cast(MONEY)).cast("double")
+    return with_group_values(filtered, ["o_custkey"], {"total": total}).select("o_orderkey", "twice", "more", "total")
 
 
 @query(
@@ -171,16 +170,18 @@ def lateral_alias(read):
        FROM (SELECT *, year(o_orderdate) * 12 + month(o_orderdate) AS o_orderdate_month FROM orders)""",
 )
 def lateral_alias_window(read):
-    return select_with_aliases(
+    named = select_with_aliases(
         read("orders"),
         {
             "o_orderkey": F.col("o_orderkey"),
+            "o_custkey": F.col("o_custkey"),
+            "price": F.col("o_totalprice").cast(MONEY),
             "o_orderdate_month": F.year("o_orderdate").cast("long") * 12 + F.month("o_orderdate"),
-            "month_total": F.sum(F.col("o_totalprice").cast(MONEY))
-            .over(Window.partitionBy("o_custkey", "o_orderdate_month"))
-            .cast("double"),
         },
     )
+    total = F.sum("price").cast("double")
+    out = with_group_values(named, ["o_custkey", "o_orderdate_month"], {"month_total": total})
+    return out.select("o_orderkey", "o_orderdate_month", "month_total")
 
 
 @query("L1_order_by", "SELECT o_orderkey, o_totalprice FROM orders UNION ALL SELECT o_orderkey, -o_totalprice FROM orders ORDER BY 2 DESC, 1")

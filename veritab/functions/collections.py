@@ -58,4 +58,10 @@ def json_extract_path_text(c: Column, *path) -> Column:
 
 
 def is_valid_json(c: Column) -> Column:
-    return F.try_parse_json(c).isNotNull()
+    """Is the whole text one JSON value? NULL is none.
+
+    The parser stops after the first value, so the text is read as the only element of an array.
+    """
+    wrapped = F.concat(F.lit("["), c, F.lit("]"))
+    single = F.try_parse_json(wrapped).isNotNull() & (F.json_array_length(wrapped) == 1)
+    return F.coalesce(single, F.lit(False))

@@ -8,6 +8,7 @@ what a bucket has to know about the buckets before it. The result equals the pla
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -214,6 +215,18 @@ def spread_window(df: DataFrame, partition_by, order_by, bucket, columns: dict)
     return joined.select(*[F.col(_bt(c)) for c in df.columns], *[v.alias(k) for k, v in result.items()])
 
 
+def with_group_values(df: DataFrame, keys, columns: dict[str, Column]) -> DataFrame:
+    """Aggregates of a row's group beside the row: grouped first, then joined back where NULL equals NULL.
+
+    The grouped side has a key once, so adaptive execution can split the rows of a hot key.
+    """
+    keys = list(keys)
+    names = [f"{_TMP}k{i}" for i in range(len(keys))]
+    grouped = df.groupBy(*[_col(k).alias(n) for k, n in zip(keys, names)]).agg(*[v.alias(n) for n, v in columns.items()])
+    same = reduce(lambda a, b: a & b, [_col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
+    return df.join(grouped, same, "left").drop(*names)
+
+
 def _bt(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
