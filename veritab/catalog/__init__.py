@@ -6,7 +6,7 @@ import importlib
 
 from veritab.catalog.registry import ORACLES, QUERIES
 
-MODULES = ("scans", "projections", "joins", "comparisons", "aggregations", "windows", "scalars")
+MODULES = ("scans", "projections", "joins", "comparisons", "aggregations", "windows", "scalars", "stages")
 
 
 def load():
