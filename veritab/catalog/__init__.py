@@ -6,7 +6,9 @@ import importlib
 
 from veritab.catalog.registry import ORACLES, QUERIES
 
-MODULES = ("scans", "projections", "joins", "comparisons", "aggregations", "windows", "scalars", "stages")
+MODULES = (
+    "scans", "projections", "joins", "comparisons", "aggregations", "windows", "scalars", "stages", "assessment", "scripts", "runs",
+)
 
 
 def load():

@@ -259,7 +259,7 @@ def scd_type_1(read):
     "E23_scd_type_2",
     f"""{_BOTH_SQL}, c AS (
         SELECT c_custkey, c_acctbal, c_mktsegment, '2020-01-01' AS valid_from, CAST(NULL AS VARCHAR) AS valid_to, true AS is_current FROM s
-        UNION ALL SELECT c_custkey, c_acctbal - 1, c_mktsegment, '2019-01-01', '2020-01-01', false FROM s WHERE c_custkey % 10 = 0),
+        UNION ALL SELECT c_custkey, CAST(c_acctbal - 1 AS DECIMAL(18,2)), c_mktsegment, '2019-01-01', '2020-01-01', false FROM s WHERE c_custkey % 10 = 0),
       j AS (SELECT c.*, t.c_acctbal AS na, t.c_mktsegment AS nm, t.c_custkey IS NOT NULL AND (c.c_acctbal IS DISTINCT FROM t.c_acctbal OR c.c_mktsegment IS DISTINCT FROM t.c_mktsegment) AS moved
             FROM c LEFT JOIN t ON c.c_custkey = t.c_custkey AND c.is_current)
     SELECT c_custkey, c_acctbal, c_mktsegment, valid_from, CASE WHEN moved THEN '2024-06-01' ELSE valid_to END AS valid_to, is_current AND NOT moved AS is_current FROM j
@@ -360,7 +360,7 @@ def filtered(read):
     return D.update_where(D.delete_where(p, F.col("n") == 2), F.col("n") > 3, {"n": F.lit(0)})
 
 
-@query("D4_insert", "SELECT n_nationkey, n_name, n_regionkey FROM nation UNION ALL SELECT s_suppkey, s_name, NULL FROM supplier")
+@query("D4_insert", "SELECT n_nationkey, n_name, n_regionkey FROM nation UNION ALL SELECT CAST(s_suppkey AS INTEGER), s_name, NULL FROM supplier")
 def insert(read):
     rows = read("supplier").select(F.col("s_name").alias("n_name"), F.col("s_suppkey").alias("n_nationkey"))
     return D.insert_rows(read("nation"), rows)

@@ -16,8 +16,10 @@ from veritab.session import materialise
 _NAME = r"[`\"\[]?[A-Za-z_][\w$#]*[`\"\]]?(?:\s*\.\s*[`\"\[]?[A-Za-z_][\w$#]*[`\"\]]?)*"
 _OBJECT = r"(?i)\bcreate\s+(?:or\s+replace\s+)?(?:global\s+|temporary\s+|temp\s+|materialized\s+)*"
 _KINDS = "table|view|procedure|function|sequence|package"
-# Quoted text or comment; what is left of an alternation like this is code.
-_COMMENT = r"(?s)('(?:[^']|'')*')|--[^\n]*|/\*.*?\*/"
+# Quoted text or comment. A doubled quote reads as two texts side by side, which changes nothing here. Repeats are
+# possessive, so that the pattern engine walks through a text of any length without a deep stack.
+_COMMENT = r"('[^']*+')|--[^\n]*+|/\*(?s:.*?)\*/"
+_TEXT = r"'[^']*+'"
 
 
 def without_comments(sql: Column) -> Column:
@@ -26,7 +28,7 @@ def without_comments(sql: Column) -> Column:
 
 
 def _without_texts(sql: Column) -> Column:
-    return F.regexp_replace(sql, r"'(?:[^']|'')*'", "''")
+    return F.regexp_replace(sql, _TEXT, "''")
 
 
 def _plain_table(c: Column) -> Column:
@@ -37,7 +39,7 @@ def _plain_table(c: Column) -> Column:
 def split_statements(scripts: DataFrame) -> DataFrame:
     """(path, position, statement): cut at semicolons outside of quotes; the last piece may lack one."""
     code = without_comments(F.col("sql"))
-    pieces = F.regexp_extract_all(code, F.lit(r"(?s)((?:[^;']|'(?:[^']|'')*')+)"), F.lit(1))
+    pieces = F.regexp_extract_all(code, F.lit(f"((?:[^;']++|{_TEXT})++)"), F.lit(1))
     return (
         scripts.select("path", F.posexplode(pieces).alias("position", "statement"))
         .withColumn("statement", F.trim(F.regexp_replace("statement", r"\s+", " ")))
@@ -49,11 +51,12 @@ def split_objects(scripts: DataFrame) -> DataFrame:
     """(path, position, object_type, object_name, body): one row per created object."""
     code = without_comments(F.col("sql"))
     start = f"{_OBJECT}(?:{_KINDS})\\b"
-    pieces = F.split(code, f"(?={start})")
+    # A text in quotes is skipped; an object runs to the start of the next one.
+    piece = f"{_TEXT}|({start}(?:{_TEXT}|[^'cC]++|(?!{start})[cC])*+)"
+    pieces = F.filter(F.regexp_extract_all(code, F.lit(piece), F.lit(1)), lambda p: p != "")
     body = F.trim("body")
     return (
         scripts.select("path", F.posexplode(pieces).alias("position", "body"))
-        .filter(F.col("body").rlike(f"(?s)^{start}"))
         .select(
             "path",
             "position",
@@ -244,7 +247,7 @@ def script_class(limits: dict) -> Column:
 def sql_features(scripts: DataFrame, simple: str = r"(?i)^(set|use|print|go|declare)\b") -> DataFrame:
     """Counts per script: loops, statements (without simple ones), simple statements, pivots, XML calls."""
     code = _without_texts(without_comments(F.col("sql")))
-    pieces = F.filter(F.transform(F.split(code, ";"), F.trim), lambda s: F.length(F.regexp_replace(s, r"\s", "")) > 0)
+    pieces = F.filter(F.transform(F.split(code, ";"), lambda s: F.trim(s)), lambda s: F.length(F.regexp_replace(s, r"\s", "")) > 0)
     return scripts.select(
         "path",
         F.regexp_count(code, F.lit(r"(?i)(?<!\bend\s)\b(while|for\s+\w+\s+in|loop)\b")).alias("loops"),

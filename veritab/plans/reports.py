@@ -140,7 +140,7 @@ def aggregate_details(main: DataFrame, rules: DataFrame, details: DataFrame) ->
     """Both values of every stored group, with the group as a list of ``column:value``."""
     info, d = F.col("rule_info"), F.col("d")
     name = F.concat_ws("_", info["agg_type"], info["agg_column"])
-    columns = F.transform(F.split(info["group_by_columns"], ","), F.trim)
+    columns = F.transform(F.split(info["group_by_columns"], ","), lambda c: F.trim(c))
 
     def value(prefix, key):
         return F.try_element_at(d, F.concat(F.lit(prefix), key))
