@@ -60,7 +60,11 @@ def _fold(df: DataFrame, columns) -> DataFrame:
 def match_keys(source: DataFrame, target: DataFrame, keys, value: str = HASH_COLUMN) -> DataFrame:
     """One row per key of either side: rows per side and the number of matching pairs. NULL is a key like others."""
     keys = list(keys)
-    per_value = _fold(two_sided(source, target, keys + [value]), keys + [value])
+    if value == HASH_COLUMN and HASH_COLUMN not in keys:
+        source, target = (
+            d.select(*[column(k) for k in keys], _compact(value).alias(value)) for d in (source, target)
+        )
+    per_value = _fold(two_sided(source, target, [*dict.fromkeys(keys + [value])]), [*dict.fromkeys(keys + [value])])
     return per_value.groupBy(*[column(k) for k in keys]).agg(
         F.sum("src_rows").alias("src_rows"),
         F.sum("tgt_rows").alias("tgt_rows"),
@@ -112,25 +116,42 @@ def compare_rows(source: DataFrame, target: DataFrame, config: TableConfig, syst
     names = lower_names(source).columns
     left = comparable(source, config, "source", "row", names, system)
     right = comparable(target, config, "target", "row", names, system)
-    columns = [c for c in left.columns if c != HASH_COLUMN]
     if set(left.columns) != set(right.columns):
         raise ColumnSetError(f"hash columns differ: {left.columns} and {right.columns}")
+    return rows_of_hashes(left, right, one_sided_hashes(left, right))
+
+
+def one_sided_hashes(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Hashes that one side lacks, with the side. Only hashes are shuffled, as 32 bytes each."""
+    return (
+        _fold(two_sided(*[d.select(_compact(HASH_COLUMN).alias("h")) for d in (left, right)], ["h"]), ["h"])
+        .filter("src_rows = 0 or tgt_rows = 0")
+        .select(F.col("h").alias("__h"), (F.col("tgt_rows") == 0).alias("__from_source"))
+    )
+
+
+def rows_of_hashes(left: DataFrame, right: DataFrame, hashes: DataFrame) -> DataFrame:
+    """Full rows of one-sided hashes, equal rows folded. Write ``hashes`` first to let Spark see how few they are."""
+    columns = [c for c in left.columns if c != HASH_COLUMN]
     # The two sides may differ in type (a mapped column, another system), so rows are shown as text.
-    left, right = (d.select(HASH_COLUMN, *[column(c).cast("string").alias(c) for c in columns]) for d in (left, right))
-    distinct = _fold(two_sided(left, right, left.columns), left.columns)
-    one_sided = (
-        distinct.groupBy(HASH_COLUMN)
-        .agg(F.sum("src_rows").alias("s"), F.sum("tgt_rows").alias("t"))
-        .filter("s = 0 or t = 0")
-        .select(F.col(HASH_COLUMN).alias("__hash"), F.col("s").alias("__s"))
+    text = [column(c).cast("string").alias(c) for c in columns]
+    both = left.select(_compact(HASH_COLUMN).alias("h"), *text, F.lit(True).alias("from_source")).unionAll(
+        right.select(_compact(HASH_COLUMN).alias("h"), *text, F.lit(False).alias("from_source"))
     )
-    return distinct.join(one_sided, F.col(HASH_COLUMN).eqNullSafe(F.col("__hash"))).select(
-        *[column(c) for c in columns],
-        F.when(F.col("__s") == 0, MISSING_IN_SOURCE).otherwise(MISSING_IN_TARGET).alias("class"),
-        (F.col("src_rows") + F.col("tgt_rows")).cast(PAIRS).alias("rows"),
+    on = F.col("h").eqNullSafe(F.col("__h")) & (F.col("from_source") == F.col("__from_source"))
+    label = F.when(F.col("from_source"), MISSING_IN_TARGET).otherwise(MISSING_IN_SOURCE)
+    return (
+        both.join(hashes, on)
+        .groupBy(*[column(c) for c in columns], label.alias("class"))
+        .agg(F.count(F.lit(1)).cast(PAIRS).alias("rows"))
     )
 
 
+def _compact(name: str) -> Column:
+    """The hash as bytes: half the size of its text in a shuffle."""
+    return F.unhex(column(name))
+
+
 def duplicate_keys(source: DataFrame, target: DataFrame, keys) -> DataFrame:
     """Keys that a side holds more than once, with their rows per side."""
     folded = _fold(two_sided(source, target, list(keys)), list(keys))

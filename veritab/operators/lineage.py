@@ -116,8 +116,11 @@ def root_tables(edges: DataFrame) -> DataFrame:
 def tables_at_level(edges: DataFrame, level: int, cut_every: int = 4) -> DataFrame:
     """Nodes reached from a root by exactly ``level`` steps. A cycle ends with the level.
 
-    The plan grows with the level, so the set is written to the shared folder every few steps.
+    The edges are written to the shared folder, so scripts are read once; the set is written every few steps,
+    so that the plan stays short.
     """
+    if level > 1:
+        edges = materialise(edges, "edges")
     step = edges.select(F.col("parent").alias("node"), F.col("child").alias("next")).distinct()
     reached = root_tables(edges)
     for i in range(level):
@@ -250,7 +253,8 @@ def sql_features(scripts: DataFrame, simple: str = r"(?i)^(set|use|print|go|decl
     pieces = F.filter(F.transform(F.split(code, ";"), lambda s: F.trim(s)), lambda s: F.length(F.regexp_replace(s, r"\s", "")) > 0)
     return scripts.select(
         "path",
-        F.regexp_count(code, F.lit(r"(?i)(?<!\bend\s)\b(while|for\s+\w+\s+in|loop)\b")).alias("loops"),
+        # FOR ... LOOP and WHILE ... LOOP count once, by their LOOP; FOR inside PIVOT is none.
+        F.regexp_count(code, F.lit(r"(?i)(?<!\bend\s)\bloop\b|\bwhile\b(?![^;]*?\bloop\b)")).alias("loops"),
         F.size(F.filter(pieces, lambda s: ~s.rlike(simple))).alias("statements"),
         F.size(F.filter(pieces, lambda s: s.rlike(simple))).alias("simple_statements"),
         F.regexp_count(code, F.lit(r"(?i)\b(un)?pivot\s*\(")).alias("pivots"),

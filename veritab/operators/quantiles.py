@@ -21,7 +21,7 @@ class Percentile:
     kind: str = "cont"
 
 
-def exact_percentiles(df: DataFrame, group, value: str, wanted: dict, frequency: str | None = None, buckets: int = 64):
+def exact_percentiles(df: DataFrame, group, value: str, wanted: dict, frequency: str | None = None, buckets: int | None = None):
     """Group columns plus one column per entry of ``wanted`` (name -> :class:`Percentile`). NULL values are skipped.
 
     ``frequency`` names a column that says how often a row counts.

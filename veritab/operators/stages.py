@@ -194,7 +194,7 @@ def generate_rows(spark: SparkSession, n: int, **columns: Column) -> DataFrame:
     return spark.range(n).select(*[c.alias(name) for name, c in columns.items()])
 
 
-def surrogate_keys(df: DataFrame, order, name: str = "sk", start: int = 0, bucket=None, buckets: int = 64) -> DataFrame:
+def surrogate_keys(df: DataFrame, order, name: str = "sk", start: int = 0, bucket=None, buckets: int | None = None) -> DataFrame:
     """Keys ``start + 1``, ``start + 2``, ... without gaps, in the given order; no task sees all rows.
 
     ``bucket`` follows the order (see :func:`spread_window`); by default it is cut at quantiles of the first,

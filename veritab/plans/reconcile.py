@@ -17,18 +17,20 @@ from veritab.operators.aggregates import aggregate_rules, compare_rule, join_agg
 from veritab.operators.canonical import column, comparable, lower_names, side_filter
 from veritab.operators.compare import (
     class_counts,
-    compare_rows,
     fetch_by_keys,
     match_keys,
     mismatching_columns,
+    one_sided_hashes,
     plain_rows,
+    rows_of_hashes,
     side_by_side,
 )
 from veritab.operators.sampling import SHOWN_ROWS, sample_keys, shown_rows
 from veritab.operators.schemas import compare_schema, schema_is_valid, table_schema
 from veritab.operators.thresholds import threshold_compare, threshold_failures, within_table_threshold
 from veritab.plans import results
-from veritab.session import materialise
+from veritab.session import intermediate_files, materialise
+from veritab.sources.scans import record_count
 
 
 @dataclass
@@ -175,11 +177,15 @@ def _keyed(out: TableOutcome, source: DataFrame, target: DataFrame, config: Tabl
 
 
 def _by_row(out: TableOutcome, source: DataFrame, target: DataFrame, config: TableConfig, system: str) -> None:
-    rows = materialise(compare_rows(source, target, config, system), "rows")
+    names = source.columns
+    left = comparable(source, config, "source", "row", names, system)
+    right = comparable(target, config, "target", "row", names, system)
+    hashes = materialise(one_sided_hashes(left, right), "hashes")
+    rows = materialise(rows_of_hashes(left, right, hashes), "rows")
     found = {r["class"]: int(r["rows"]) for r in class_counts(rows).collect()}
     out.missing_in_src, out.missing_in_tgt = found.get("missing_in_src", 0), found.get("missing_in_tgt", 0)
-    out.source_count = side_filter(source, config.source_filter).count()
-    out.target_count = side_filter(target, config.target_filter).count()
+    sizes = record_count(source, target, config.source_filter, config.target_filter).first()
+    out.source_count, out.target_count = sizes["source_count"], sizes["target_count"]
     shown = [c for c in rows.columns if c not in ("class", "rows")]
     for kind, label in (("missing_in_source", "missing_in_src"), ("missing_in_target", "missing_in_tgt")):
         if found.get(label):
@@ -195,7 +201,7 @@ class Place:
     source_schema: str
     target_catalog: str
     target_schema: str
-    source_type: str = "databricks"
+    source_type: str = "spark"
 
     def of(self, config: TableConfig):
         return (
@@ -262,18 +268,20 @@ def reconcile_all(
 ) -> str:
     """Compare every table pair and store its rows; a table that fails is stored with its error, the others go on.
 
-    ``read`` gives the two DataFrames of a table, ``store`` takes a result-table name and its rows.
+    ``read`` gives the two DataFrames of a table, ``store`` takes a result-table name and writes its rows. The
+    intermediate files of a table are removed once its rows are stored.
     """
     report = check_report(report)
     recon_id = recon_id or str(uuid.uuid4())
     for config in configs:
         started = _now()
-        try:
-            outcome = reconcile_table(*read(config), config, report, system)
-        except (VeritabError, PySparkException) as e:
-            outcome = TableOutcome(config, report, exception=str(e).split("\n")[0])
-        for table, rows in outcome_rows(spark, outcome, recon_id, place, user, started, _now()).items():
-            store(table, rows)
+        with intermediate_files(spark):
+            try:
+                outcome = reconcile_table(*read(config), config, report, system)
+            except (VeritabError, PySparkException) as e:
+                outcome = TableOutcome(config, report, exception=str(e).split("\n")[0])
+            for table, rows in outcome_rows(spark, outcome, recon_id, place, user, started, _now()).items():
+                store(table, rows)
     return recon_id
 
 
@@ -291,30 +299,34 @@ def reconcile_aggregates(
     for config in configs:
         if not config.aggregates:
             raise ConfigError(f"no aggregates are configured for {config.source}")
-        started = _now()
-        sets = aggregate_rules(list(config.aggregates))
-        main = _main_row(spark, recon_id, place, config, "aggregate", "aggregates-reconcile", started, _now())
-        tid = main.first()["recon_table_id"]
-        store("main", main)
-        for rules in sets.values():
-            now = _now()
-            store("aggregate_rules", results.aggregate_rule_rows(spark, tid, rules, now))
-            try:
-                joined = materialise(join_aggregates(*read(config), config, rules), "aggregates")
-                counts = materialise(rule_counts(joined, rules), "rules")
-                found = {r["rule"]: r for r in counts.collect()}
-            except (VeritabError, PySparkException) as e:
-                message = str(e).split("\n")[0]
-                store("aggregate_metrics", results.failed_rule_rows(spark, tid, rules, message, user, now))
-                continue
-            store("aggregate_metrics", results.aggregate_metrics_rows(counts, tid, user, now))
-            for rule in rules:
-                details = aggregate_details(joined, rule, found[rule.text], tid, now)
-                if details is not None:
-                    store("aggregate_details", details)
+        with intermediate_files(spark):
+            _aggregate_table(spark, config, read, store, place, recon_id, user)
     return recon_id
 
 
+def _aggregate_table(spark, config: TableConfig, read: Read, store: Store, place: Place, recon_id: str, user: str) -> None:
+    sets = aggregate_rules(list(config.aggregates))
+    main = _main_row(spark, recon_id, place, config, "aggregate", "aggregates-reconcile", _now(), _now())
+    tid = main.first()["recon_table_id"]
+    store("main", main)
+    for rules in sets.values():
+        now = _now()
+        store("aggregate_rules", results.aggregate_rule_rows(spark, tid, rules, now))
+        try:
+            joined = materialise(join_aggregates(*read(config), config, rules), "aggregates")
+            counts = materialise(rule_counts(joined, rules), "rules")
+            found = {r["rule"]: r for r in counts.collect()}
+        except (VeritabError, PySparkException) as e:
+            message = str(e).split("\n")[0]
+            store("aggregate_metrics", results.failed_rule_rows(spark, tid, rules, message, user, now))
+            continue
+        store("aggregate_metrics", results.aggregate_metrics_rows(counts, tid, user, now))
+        for rule in rules:
+            details = aggregate_details(joined, rule, found[rule.text], tid, now)
+            if details is not None:
+                store("aggregate_details", details)
+
+
 def aggregate_details(joined: DataFrame, rule, found, recon_table_id: int, inserted) -> DataFrame | None:
     """Up to three rows for a rule: groups that differ, and groups that one side lacks."""
     compared = compare_rule(joined, rule)

@@ -40,7 +40,7 @@ TABLES = {
     "aggregate_details": AGGREGATE_DETAILS,
 }
 # How a source system is called in reports.
-SOURCE_LABELS = {"databricks": "Databricks", "snowflake": "Snowflake", "oracle": "Oracle"}
+SOURCE_LABELS = {"snowflake": "Snowflake", "oracle": "Oracle"}
 
 
 def layout(table: str) -> T.StructType:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,6 +29,18 @@ def local_session(cores: int | str = 8, name: str = "veritab", **settings) -> Sp
     return builder.getOrCreate()
 
 
+# Settings a cluster run should have; partition counts follow the data through adaptive execution.
+CLUSTER_SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by the cluster; a temporary one only in local mode, where nothing is set."""
     folder = spark.conf.get(CHECKPOINT_SETTING, None)
@@ -43,6 +56,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+# Open scopes of intermediate files, innermost last.
+_SCOPES: list[list[str]] = []
+
+
 def materialise(df: DataFrame, name: str = "step") -> DataFrame:
     """Write a result to the shared folder and read it back.
 
@@ -52,4 +69,19 @@ def materialise(df: DataFrame, name: str = "step") -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def intermediate_files(spark: SparkSession):
+    """Files that :func:`materialise` writes inside the block are removed at its end."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for name in _SCOPES.pop():
+            path = jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(conf).delete(path, True)
