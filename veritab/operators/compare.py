@@ -29,6 +29,7 @@ from veritab.operators.ranking import Order, Rank, asc, spread_window
 MATCH, MISMATCH = "match", "mismatch"
 MISSING_IN_SOURCE, MISSING_IN_TARGET = "missing_in_src", "missing_in_tgt"
 PAIRS = "decimal(38,0)"
+_SMALL = 1 << 20
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys, how: str = "full", prefixes=("src_", "tgt_")) -> DataFrame:
@@ -65,12 +66,23 @@ def match_keys(source: DataFrame, target: DataFrame, keys, value: str = HASH_COL
             d.select(*[column(k) for k in keys], _compact(value).alias(value)) for d in (source, target)
         )
     per_value = _fold(two_sided(source, target, [*dict.fromkeys(keys + [value])]), [*dict.fromkeys(keys + [value])])
-    return per_value.groupBy(*[column(k) for k in keys]).agg(
-        F.sum("src_rows").alias("src_rows"),
-        F.sum("tgt_rows").alias("tgt_rows"),
-        F.sum(F.col("src_rows").cast("decimal(19,0)") * F.col("tgt_rows").cast("decimal(19,0)"))
-        .cast(PAIRS)
-        .alias("match_pairs"),
+    src, tgt = F.col("src_rows"), F.col("tgt_rows")
+    # Products of small counts stay in a long, whose sum cannot overflow; only huge groups need a decimal.
+    small = (src < _SMALL) & (tgt < _SMALL)
+    wide = src.cast("decimal(19,0)") * tgt.cast("decimal(19,0)")
+    return (
+        per_value.groupBy(*[column(k) for k in keys])
+        .agg(
+            F.sum("src_rows").alias("src_rows"),
+            F.sum("tgt_rows").alias("tgt_rows"),
+            F.sum(F.when(small, src * tgt)).alias("__small"),
+            F.sum(F.when(~small, wide)).cast(PAIRS).alias("__wide"),
+        )
+        .withColumn(
+            "match_pairs",
+            (F.coalesce("__small", F.lit(0)).cast(PAIRS) + F.coalesce("__wide", F.lit(0))).cast(PAIRS),
+        )
+        .drop("__small", "__wide")
     )
 
 
@@ -80,11 +92,12 @@ def classify(source: DataFrame, target: DataFrame, keys, value: str = HASH_COLUM
     A side is missing when it has no row of the key; a NULL hash is a value, never a missing row.
     """
     counts = match_keys(source, target, keys, value)
-    src, tgt = F.col("src_rows").cast("decimal(19,0)"), F.col("tgt_rows").cast("decimal(19,0)")
+    src, tgt = F.col("src_rows"), F.col("tgt_rows")
     both = (src > 0) & (tgt > 0)
+    pairs = (src.cast("decimal(19,0)") * tgt.cast("decimal(19,0)")).cast(PAIRS)
     entries = {
         MATCH: F.when(both, F.col("match_pairs")),
-        MISMATCH: F.when(both, (src * tgt).cast(PAIRS) - F.col("match_pairs")),
+        MISMATCH: F.when(both, pairs - F.col("match_pairs")),
         MISSING_IN_SOURCE: F.when(src == 0, tgt),
         MISSING_IN_TARGET: F.when(tgt == 0, src),
     }

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from veritab.operators.canonical import column
-from veritab.operators.ranking import with_quantile_bucket
+from veritab.operators.ranking import bucket_of, split_points
 
 
 @dataclass(frozen=True)
@@ -32,12 +32,13 @@ def exact_percentiles(df: DataFrame, group, value: str, wanted: dict, frequency:
     counted = rows.groupBy(*[column(g) for g in group], column(value).alias("__v")).agg(weight.alias("__n"))
     counted = counted.filter("__n > 0")
     named = [f"g{i}" for i in range(len(group))]
-    slotted = with_quantile_bucket(counted, "__v", "__b", buckets).withColumn(
-        "__slot", F.struct(*[column(g).alias(n) for g, n in zip(group, named)], F.col("__b").alias("b"))
+    bucket = bucket_of(F.col("__v"), split_points(rows.select(column(value).alias("__v")), "__v", buckets))
+    slotted = counted.withColumn(
+        "__slot", F.struct(*[column(g).alias(n) for g, n in zip(group, named)], bucket.alias("b"))
     )
     local = Window.partitionBy("__slot").orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     base = slotted.withColumn("__upto", F.sum("__n").over(local))
-    slots = slotted.groupBy("__slot").agg(F.sum("__n").alias("__rows"))
+    slots = base.groupBy("__slot").agg(F.max("__upto").alias("__rows"))
     whole = Window.partitionBy(*[F.col("__slot")[n] for n in named])
     earlier = whole.orderBy(F.col("__slot")["b"]).rowsBetween(Window.unboundedPreceding, -1)
     slots = slots.withColumns(

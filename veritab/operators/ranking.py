@@ -78,27 +78,31 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def with_quantile_bucket(df: DataFrame, name: str, bucket: str, buckets: int | None = None) -> DataFrame:
-    """Add the number of split points at or below a value: a bucket that grows with the column.
+def split_points(df: DataFrame, name: str, buckets: int | None = None, share: float = 0.01) -> list:
+    """Values that cut a column into parts of similar size, from a sample of its rows.
 
-    The split points come from one pass over this column (a mergeable sketch); they set the balance of
-    the work, not the result. There are as many buckets as the session has shuffle partitions, up to 2000.
+    They set the balance of the work, never the result. They are read once, as one short row, so that every
+    use of them in a plan sees the same values. There are as many parts as the session has shuffle
+    partitions, up to 2000.
     """
     if buckets is None:
         buckets = max(8, min(2000, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     shares = [i / buckets for i in range(1, buckets)]
-    step = max(2, math.isqrt(buckets))
-    # Every step-th point first, then the points between two of those: two short scans instead of a long one.
-    points = F.percentile_approx(name, shares, 10 * buckets)
-    coarse = F.filter("fine", lambda p, i: (i + 1) % step == 0)
-    found = df.select(points.alias("fine")).select(F.struct("fine", coarse.alias("coarse")).alias("points")).scalar()
-    value = F.col(name)
-    placed = df.withColumn("__points", found).withColumn(
-        "__coarse", F.size(F.filter("__points.coarse", lambda p: p <= value))
-    )
-    rest = F.slice(F.col("__points.fine"), F.col("__coarse") * step + 1, F.lit(step))
-    fine = F.size(F.filter(rest, lambda p: p <= value))
-    return placed.withColumn(bucket, F.col("__coarse") * step + fine).drop("__points", "__coarse")
+    found = df.sample(share, 7).select(F.percentile_approx(name, shares, 10 * buckets)).first()[0]
+    return sorted(set(found or []))
+
+
+def bucket_of(value: Column, points: list) -> Column:
+    """Number of points at or below a value: a bucket that grows with the value."""
+    if not points:
+        return F.lit(0)
+    step = max(2, math.isqrt(len(points)))
+    # Every step-th point first, then the points after it: two short scans instead of a long one.
+    fine = F.array(*[F.lit(p) for p in points])
+    coarse = F.array(*[F.lit(p) for p in points[step - 1 :: step]])
+    first = F.size(F.filter(coarse, lambda p: p <= value))
+    rest = F.slice(fine, first * step + 1, F.lit(step))
+    return F.when(value.isNotNull(), first * step + F.size(F.filter(rest, lambda p: p <= value)))
 
 
 def spread_window(df: DataFrame, partition_by, order_by, bucket, columns: dict) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from veritab.operators.canonical import column
 from veritab.operators.changes import one_row_per_key
-from veritab.operators.ranking import Order, Rank, asc, spread_window, with_quantile_bucket
+from veritab.operators.ranking import Order, Rank, asc, bucket_of, split_points, spread_window
 
 
 def aggregate(df: DataFrame, group, **aggregates: Column) -> DataFrame:
@@ -197,15 +197,15 @@ def generate_rows(spark: SparkSession, n: int, **columns: Column) -> DataFrame:
 def surrogate_keys(df: DataFrame, order, name: str = "sk", start: int = 0, bucket=None, buckets: int | None = None) -> DataFrame:
     """Keys ``start + 1``, ``start + 2``, ... without gaps, in the given order; no task sees all rows.
 
-    ``bucket`` follows the order (see :func:`spread_window`); by default it is cut at quantiles of the first,
-    numeric order column.
+    ``bucket`` follows the order (see :func:`spread_window`); by default the first order column, a number or a
+    time, is cut at split points of a sample.
     """
     order = [o if isinstance(o, Order) else asc(o) for o in order]
     if bucket is None:
-        df = with_quantile_bucket(df, order[0].column, "__bucket", buckets)
-        bucket = Order("__bucket", order[0].descending, order[0].nulls_first)
+        name_of = order[0].column
+        bucket = Order(bucket_of(F.col(name_of), split_points(df, name_of, buckets)), order[0].descending, order[0].nulls_first)
     numbered = spread_window(df, [], order, bucket, {name: Rank("row_number")})
-    return numbered.withColumn(name, F.col(name) + F.lit(start)).drop("__bucket")
+    return numbered.withColumn(name, F.col(name) + F.lit(start))
 
 
 def identity_column(df: DataFrame, name: str = "id") -> DataFrame:
