@@ -221,20 +221,27 @@ def statement_slice(read):
 
 @query(
     "C13_metric_flattening",
-    """SELECT event_type AS name, strftime(ts, '%Y-%m-%d %H:%M:%S') AS timestamp, value AS average, user_id AS count, value * 2 AS maximum, value / 2 AS minimum, value * user_id AS total FROM events""",
+    """SELECT event_type AS name, strftime(ts, '%Y-%m-%d %H:%M:%S') AS timestamp, value AS average, user_id AS count, value * 2 AS maximum, value / 2 AS minimum, value * user_id AS total FROM events
+       UNION ALL SELECT event_type, strftime(ts + INTERVAL 1 MINUTE, '%Y-%m-%d %H:%M:%S'), value + 1, user_id, value * 2, value / 2, value * user_id FROM events""",
 )
 def metric_flattening(read):
-    """Nested series per user and day, flattened to one row per point again."""
-    point = F.struct(
-        F.col("ts").alias("timestamp"),
-        F.col("value").alias("average"),
-        F.col("user_id").alias("count"),
-        (F.col("value") * 2).alias("maximum"),
-        (F.col("value") / 2).alias("minimum"),
-        (F.col("value") * F.col("user_id")).alias("total"),
-    )
-    series = read("events").groupBy("event_type", "user_id", F.to_date("ts").alias("day")).agg(F.collect_list(point).alias("data"))
-    nested = series.select(F.col("event_type").alias("name"), F.array(F.struct("data")).alias("timeseries"))
+    """Two series with one point each per event, nested as a metrics service answers."""
+
+    def point(at, average):
+        return F.array(
+            F.struct(
+                at.alias("timestamp"),
+                average.alias("average"),
+                F.col("user_id").alias("count"),
+                (F.col("value") * 2).alias("maximum"),
+                (F.col("value") / 2).alias("minimum"),
+                (F.col("value") * F.col("user_id")).alias("total"),
+            )
+        ).alias("data")
+
+    later = F.col("ts") + F.make_dt_interval(mins=F.lit(1))
+    series = F.array(F.struct(point(F.col("ts"), F.col("value"))), F.struct(point(later, F.col("value") + 1)))
+    nested = read("events").select(F.col("event_type").alias("name"), series.alias("timeseries"))
     return A.flatten_metrics(nested).withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"))
 
 

@@ -32,18 +32,6 @@ PAIRS = "decimal(38,0)"
 _SMALL = 1 << 20
 
 
-def null_safe_join(left: DataFrame, right: DataFrame, keys, how: str = "full", prefixes=("src_", "tgt_")) -> DataFrame:
-    """Join on keys where NULL equals NULL; all columns of both sides, with a prefix and a marker per side.
-
-    Meant for sides that hold a key once (grouped results). Use :func:`pair_rows` for raw rows.
-    """
-    a, b = prefixes
-    left = left.select(*[column(c).alias(a + c) for c in left.columns], F.lit(True).alias(f"{a}present"))
-    right = right.select(*[column(c).alias(b + c) for c in right.columns], F.lit(True).alias(f"{b}present"))
-    condition = reduce(lambda x, y: x & y, [column(a + k).eqNullSafe(column(b + k)) for k in keys])
-    return left.join(right, condition, how)
-
-
 def two_sided(source: DataFrame, target: DataFrame, columns) -> DataFrame:
     """Both sides under each other, with one count column per side."""
     pick = [column(c) for c in columns]
@@ -231,7 +219,7 @@ def _pair_copies(left: DataFrame, right: DataFrame, keys) -> DataFrame:
         rest,
         key_columns + [F.col("from_source")],
         [asc("mark"), Order(F.to_json("v"))],
-        F.shiftright("mark", 56),
+        F.shiftright("mark", 50),
         {"copy": Rank("row_number")},
     ).groupBy(*key_columns, "copy").agg(
         F.max(F.when(F.col("from_source"), F.struct("v", "rows"))).alias("a"),
