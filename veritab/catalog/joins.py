@@ -43,7 +43,7 @@ def _hashed(read, report="data", key=("o_orderkey",), prepare=lambda d: d):
 def full_join_null_safe(read):
     """Key is NULL for many rows and one value for a third of them: the join folds both sides first."""
     left, right, config = _hashed(read, key=("o_custkey",), prepare=hot)
-    return X.match_keys(left, right, config.keys).drop("match_pairs")
+    return X.key_counts(left, right, config.keys)
 
 
 @query(
@@ -58,7 +58,7 @@ def full_join_null_safe(read):
 )
 def full_join_on_hash(read):
     left, right, _ = _hashed(read, "row")
-    return X.match_keys(left, right, [HASH_COLUMN]).drop("match_pairs")
+    return X.key_counts(left, right, [HASH_COLUMN])
 
 
 _GROUPED = TableConfig(

@@ -1,9 +1,9 @@
 """Comparing two tables by key or by row hash.
 
 A full outer join on the key can neither be split by adaptive execution nor survive a key that holds a
-large share of both tables, because it emits every pair. The comparison here is a union and two grouped
-sums instead: rows with the same key and hash fold together before the shuffle, and the number of pairs
-the join would have made is a product of two counts.
+large share of both tables, because it emits every pair. The comparison here is a union and a grouped sum
+instead: rows of a key fold together before the shuffle, and for keys with copies the number of pairs the
+join would have made is a product of two counts.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from veritab.operators.canonical import (
     side_filter,
 )
 from veritab.operators.ranking import Order, Rank, asc, spread_window
+from veritab.session import materialise
 
 MATCH, MISMATCH = "match", "mismatch"
 MISSING_IN_SOURCE, MISSING_IN_TARGET = "missing_in_src", "missing_in_tgt"
@@ -46,18 +47,85 @@ def _fold(df: DataFrame, columns) -> DataFrame:
     )
 
 
+def key_counts(source: DataFrame, target: DataFrame, keys, value: str | None = None) -> DataFrame:
+    """One row per key of either side with its rows per side; NULL is a key like others.
+
+    With ``value``, also the folded difference ``d0, d1`` of the values of both sides: two 64-bit hashes,
+    combined by exclusive or, so that a key with one row per side has zeros when its values are equal. All
+    state is a few numbers per key, so rows of a hot key fold before they are shuffled, and there is one shuffle.
+    """
+    keys = list(keys)
+    marks = [F.xxhash64(column(value)), F.xxhash64(column(value), F.lit(1))] if value else []
+    sides = [
+        d.select(
+            *[column(k) for k in keys],
+            F.lit(s).alias("src_rows"),
+            F.lit(t).alias("tgt_rows"),
+            *[m.alias(f"d{i}") for i, m in enumerate(marks)],
+        )
+        for d, s, t in ((source, 1, 0), (target, 0, 1))
+    ]
+    return (
+        sides[0]
+        .unionAll(sides[1])
+        .groupBy(*[column(k) for k in keys])
+        .agg(
+            F.sum("src_rows").alias("src_rows"),
+            F.sum("tgt_rows").alias("tgt_rows"),
+            *[F.bit_xor(f"d{i}").alias(f"d{i}") for i in range(len(marks))],
+        )
+    )
+
+
+_SHARED_COPIES = "src_rows > 0 and tgt_rows > 0 and (src_rows > 1 or tgt_rows > 1)"
+
+
+def _copies(counted: DataFrame) -> tuple[int, bool]:
+    """Number of keys that both sides hold and one holds several times, and whether most rows have such a key."""
+    n = F.col("src_rows") + F.col("tgt_rows")
+    found = counted.agg(
+        F.count_if(F.expr(_SHARED_COPIES)).alias("keys"),
+        F.sum(F.when(F.expr(_SHARED_COPIES), n)).alias("rows"),
+        F.sum(n).alias("all"),
+    ).first()
+    return found["keys"], bool(found["keys"]) and found["rows"] * 4 > found["all"]
+
+
 def match_keys(source: DataFrame, target: DataFrame, keys, value: str = HASH_COLUMN) -> DataFrame:
-    """One row per key of either side: rows per side and the number of matching pairs. NULL is a key like others."""
+    """One row per key of either side: rows per side and the number of matching pairs.
+
+    The counts per key are written to the shared folder. Where a key is held once per side they already say
+    whether its rows match; only for keys with copies are values counted one by one.
+    """
     keys = list(keys)
-    if value == HASH_COLUMN and HASH_COLUMN not in keys:
+    counted = materialise(key_counts(source, target, keys, value), "keys")
+    copies, most = _copies(counted)
+    names = [column(k) for k in keys]
+    equal = F.expr("src_rows = 1 and tgt_rows = 1 and d0 = 0 and d1 = 0")
+    single = counted.filter(f"not ({_SHARED_COPIES})").select(
+        *names, "src_rows", "tgt_rows", F.when(equal, 1).otherwise(0).cast(PAIRS).alias("match_pairs")
+    )
+    if not copies:
+        return single
+    wanted = counted.filter(_SHARED_COPIES).select(*[column(k).alias(f"__k{i}") for i, k in enumerate(keys)])
+    if not most:
+        same = _same(keys, wanted.columns)
+        source, target = (d.join(wanted, same, "left_semi") for d in (source, target))
+    return single.unionByName(_match_copies(source, target, keys, value).filter(_SHARED_COPIES))
+
+
+def _match_copies(source: DataFrame, target: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Matching pairs of keys with copies: products of the counts per value, added up per key."""
+    if value == HASH_COLUMN:
         source, target = (
             d.select(*[column(k) for k in keys], _compact(value).alias(value)) for d in (source, target)
         )
-    per_value = _fold(two_sided(source, target, [*dict.fromkeys(keys + [value])]), [*dict.fromkeys(keys + [value])])
+    per_value = _fold(two_sided(source, target, keys + [value]), keys + [value])
     src, tgt = F.col("src_rows"), F.col("tgt_rows")
     # Products of small counts stay in a long, whose sum cannot overflow; only huge groups need a decimal.
     small = (src < _SMALL) & (tgt < _SMALL)
     wide = src.cast("decimal(19,0)") * tgt.cast("decimal(19,0)")
+    pairs = F.coalesce("__small", F.lit(0)).cast(PAIRS) + F.coalesce("__wide", F.lit(0))
     return (
         per_value.groupBy(*[column(k) for k in keys])
         .agg(
@@ -66,11 +134,7 @@ def match_keys(source: DataFrame, target: DataFrame, keys, value: str = HASH_COL
             F.sum(F.when(small, src * tgt)).alias("__small"),
             F.sum(F.when(~small, wide)).cast(PAIRS).alias("__wide"),
         )
-        .withColumn(
-            "match_pairs",
-            (F.coalesce("__small", F.lit(0)).cast(PAIRS) + F.coalesce("__wide", F.lit(0))).cast(PAIRS),
-        )
-        .drop("__small", "__wide")
+        .select(*[column(k) for k in keys], "src_rows", "tgt_rows", pairs.cast(PAIRS).alias("match_pairs"))
     )
 
 
@@ -80,21 +144,22 @@ def classify(source: DataFrame, target: DataFrame, keys, value: str = HASH_COLUM
     A side is missing when it has no row of the key; a NULL hash is a value, never a missing row.
     """
     counts = match_keys(source, target, keys, value)
-    src, tgt = F.col("src_rows"), F.col("tgt_rows")
-    both = (src > 0) & (tgt > 0)
+    src, tgt, match = F.col("src_rows"), F.col("tgt_rows"), F.col("match_pairs")
     pairs = (src.cast("decimal(19,0)") * tgt.cast("decimal(19,0)")).cast(PAIRS)
-    entries = {
-        MATCH: F.when(both, F.col("match_pairs")),
-        MISMATCH: F.when(both, pairs - F.col("match_pairs")),
-        MISSING_IN_SOURCE: F.when(src == 0, tgt),
-        MISSING_IN_TARGET: F.when(tgt == 0, src),
-    }
-    found = F.array(
-        *[F.struct(F.lit(name).alias("class"), n.cast(PAIRS).alias("rows")) for name, n in entries.items()]
-    )
-    return counts.select(
-        *[column(k) for k in keys], F.inline(F.filter(found, lambda e: F.coalesce(e["rows"], F.lit(0)) > 0))
+
+    def entry(label, n):
+        return F.struct(label.alias("class"), n.cast(PAIRS).alias("rows"))
+
+    label = (
+        F.when(src == 0, MISSING_IN_SOURCE)
+        .when(tgt == 0, MISSING_IN_TARGET)
+        .when(match > 0, MATCH)
+        .otherwise(MISMATCH)
     )
+    single = entry(label, F.when((src > 0) & (tgt > 0), F.lit(1).cast("long")).otherwise(src + tgt))
+    both = F.array(entry(F.lit(MATCH), match), entry(F.lit(MISMATCH), pairs - match))
+    found = F.when(F.expr(_SHARED_COPIES), both).otherwise(F.array(single))
+    return counts.select(*[column(k) for k in keys], F.inline(found)).filter("rows > 0")
 
 
 def class_counts(classified: DataFrame) -> DataFrame:
@@ -155,8 +220,7 @@ def _compact(name: str) -> Column:
 
 def duplicate_keys(source: DataFrame, target: DataFrame, keys) -> DataFrame:
     """Keys that a side holds more than once, with their rows per side."""
-    folded = _fold(two_sided(source, target, list(keys)), list(keys))
-    return folded.filter("src_rows > 1 or tgt_rows > 1")
+    return key_counts(source, target, keys).filter("src_rows > 1 or tgt_rows > 1")
 
 
 def pair_rows(source: DataFrame, target: DataFrame, keys, unique_keys: bool = False) -> DataFrame:
@@ -180,21 +244,14 @@ def pair_rows(source: DataFrame, target: DataFrame, keys, unique_keys: bool = Fa
             *[column(k) for k in keys], F.col("v").alias("s"), "t", F.lit(1).cast("long").alias("rows")
         )
 
-    def per_key(df):
-        return df.groupBy(*[column(k) for k in keys]).agg(F.count(F.lit(1)).alias("n"), F.any_value("v").alias("v"))
-
-    one, other = per_key(left), per_key(right).toDF(*names, "m", "t")
-    joined = one.join(other, _same(keys, names))
-    single = joined.filter("n = 1 and m = 1").select(
-        *[column(k) for k in keys], F.col("v").alias("s"), "t", F.lit(1).cast("long").alias("rows")
-    )
-    shared = joined.filter("n > 1 or m > 1").select(*[column(k).alias(n) for k, n in zip(keys, names)])
+    counted = materialise(key_counts(source, target, keys), "keys")
+    if not _copies(counted)[0]:
+        return pair_rows(source, target, keys, unique_keys=True)
+    shared = counted.filter(_SHARED_COPIES).select(*[column(k).alias(n) for k, n in zip(keys, names)])
+    same = _same(keys, names)
+    single = pair_rows(source.join(shared, same, "left_anti"), target.join(shared, same, "left_anti"), keys, True)
     return single.unionByName(
-        _pair_copies(
-            left.join(shared, _same(keys, names), "left_semi"),
-            right.join(shared, _same(keys, names), "left_semi"),
-            keys,
-        )
+        _pair_copies(left.join(shared, same, "left_semi"), right.join(shared, same, "left_semi"), keys)
     )
 
 

@@ -129,19 +129,18 @@ def reconcile_table(
 
 def _keyed(out: TableOutcome, source: DataFrame, target: DataFrame, config: TableConfig, system: str) -> None:
     names = source.columns
-    matched = materialise(
-        match_keys(
-            comparable(source, config, "source", "data", names, system),
-            comparable(target, config, "target", "data", names, system),
-            config.keys,
-        ),
-        "matched",
+    matched = match_keys(
+        comparable(source, config, "source", "data", names, system),
+        comparable(target, config, "target", "data", names, system),
+        config.keys,
     )
     totals = key_totals(matched).first().asDict()
     for name, value in totals.items():
         setattr(out, name, int(value or 0))
     keys = [column(k) for k in config.keys]
     unique = out.duplicate_keys == 0
+    if not unique:
+        matched = materialise(matched, "matched")
     if out.mismatch:
         differing = matched.filter(_differs()).select(*keys)
         picked = materialise(
