@@ -20,24 +20,36 @@ TYPE_EQUIVALENTS = {
         "float": "double", "float4": "double", "float8": "double", "double": "double", "real": "double",
         "boolean": "boolean", "date": "date", "time": "timestamp", "datetime": "timestamp",
         "timestamp": "timestamp", "timestamp_ntz": "timestamp_ntz", "timestamp_ltz": "timestamp",
-        "timestamp_tz": "timestamp", "variant": "variant", "object": "string", "array": "array<string>",
+        "timestamp_tz": "timestamp", "variant": "variant", "object": "string", "array": "array",
         "geography": "string",
     },
     "oracle": {
         "varchar2": "string", "nvarchar2": "string", "char": "string", "nchar": "string", "clob": "string",
         "nclob": "string", "long": "string", "rowid": "string", "urowid": "string", "xmltype": "string",
-        "sdo_geometry": "string", "number": "decimal(38,0)", "float": "double", "binary_float": "float",
-        "binary_double": "double", "date": "date", "timestamp": "timestamp", "raw": "binary", "blob": "binary",
+        "anytype": "string", "anydata": "string", "anydataset": "string", "sdo_geometry": "string",
+        "number": "decimal(38,0)", "float": "double", "binary_float": "double", "binary_double": "double",
+        "date": "date", "timestamp": "timestamp", "raw": "binary", "blob": "binary",
     },
     "sqlserver": {
         "varchar": "string", "nvarchar": "string", "char": "string", "nchar": "string", "text": "string",
         "ntext": "string", "uniqueidentifier": "string", "xml": "string", "int": "int", "bigint": "bigint",
-        "smallint": "smallint", "tinyint": "smallint", "bit": "boolean", "float": "double", "real": "double",
-        "money": "decimal(19,4)", "smallmoney": "decimal(10,4)", "date": "date", "time": "string",
+        "smallint": "smallint", "tinyint": "smallint", "bit": "boolean", "float": "double", "real": "float",
+        "money": "decimal(15,4)", "smallmoney": "decimal(6,4)", "date": "date", "time": "timestamp",
         "datetime": "timestamp", "datetime2": "timestamp", "smalldatetime": "timestamp",
-        "datetimeoffset": "timestamp", "binary": "binary", "varbinary": "binary", "image": "binary",
+        "datetimeoffset": "timestamp", "timestamp": "binary", "binary": "binary", "varbinary": "binary",
+        "image": "binary", "double": "double", "boolean": "boolean",
+    },
+    "redshift": {
+        "smallint": "int", "int2": "int", "integer": "int", "int": "int", "int4": "int", "bigint": "bigint",
+        "int8": "bigint", "real": "float", "float4": "float", "float": "float", "float8": "float",
+        "doubleprecision": "float", "boolean": "boolean", "bool": "boolean", "char": "string",
+        "character": "string", "varchar": "string", "charactervarying": "string", "nchar": "string",
+        "nvarchar": "string", "text": "string", "date": "date", "timestamp": "timestamp",
+        "timestamptz": "timestamp", "timetz": "timestamp", "varbyte": "binary", "varbinary": "binary",
     },
 }
+# Types whose text also exists here but means something else: an unsigned byte, a row version.
+FALSE_FRIENDS = {"sqlserver": ("tinyint", "timestamp")}
 
 
 def table_schema(df: DataFrame) -> DataFrame:
@@ -137,9 +149,13 @@ def compare_schema(source: DataFrame, target: DataFrame, config: TableConfig, sy
         "target_column",
         F.coalesce("t_type", F.lit("Unknown")).alias("target_datatype"),
     )
-    same = _plain(F.col("source_datatype")) == _plain(F.col("target_datatype"))
+    have, want = _plain(F.col("source_datatype")), _plain(F.col("target_datatype"))
+    same = have == want
     if system:
-        same = same | (equivalent_type(F.col("source_datatype"), system) == _plain(F.col("target_datatype")))
+        became = equivalent_type(F.col("source_datatype"), system)
+        # The element type of an array is not known to the source.
+        arrays = (became == "array") & want.startswith("array<")
+        same = (same & ~have.isin(*FALSE_FRIENDS.get(system, ("",)))) | (became == want) | arrays
     return joined.withColumn("is_valid", F.coalesce(same, F.lit(False)))
 
 
