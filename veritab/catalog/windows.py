@@ -7,13 +7,18 @@ from veritab.catalog.registry import query
 from veritab.functions.relational import select_with_aliases, with_parameters
 from veritab.operators.ranking import Edge, Rank, Shift, asc, desc, spread_window, with_group_values
 
-_MONTH = F.year("o_orderdate") * 12 + F.month("o_orderdate")
+
+
+def _month():
+    return F.year("o_orderdate") * 12 + F.month("o_orderdate")
+
+
 _BY_DATE = [asc("o_orderdate"), asc("o_orderkey")]
 
 
 def _ranked(read, columns, partition=("o_custkey",), order=None, bucket=None, keep=("o_orderkey",), df=None):
     df = read("orders") if df is None else df
-    out = spread_window(df, partition, order or _BY_DATE, _MONTH if bucket is None else bucket, columns)
+    out = spread_window(df, partition, order or _BY_DATE, _month() if bucket is None else bucket, columns)
     return out.select(*keep, *columns)
 
 
@@ -26,8 +31,8 @@ _OVER = "OVER (PARTITION BY {p} ORDER BY o_orderdate, o_orderkey)"
 )
 def row_number(read):
     """Numbers in small groups, and in groups that hold a third of all rows."""
-    first = spread_window(read("orders"), ["o_custkey"], _BY_DATE, _MONTH, {"rn": Rank("row_number")})
-    return spread_window(first, ["o_orderstatus"], _BY_DATE, _MONTH, {"big": Rank("row_number")}).select("o_orderkey", "rn", "big")
+    first = spread_window(read("orders"), ["o_custkey"], _BY_DATE, _month(), {"rn": Rank("row_number")})
+    return spread_window(first, ["o_orderstatus"], _BY_DATE, _month(), {"big": Rank("row_number")}).select("o_orderkey", "rn", "big")
 
 
 @query(
@@ -50,8 +55,8 @@ def percent_rank(read):
 
 @query("W4_ntile", f"SELECT o_orderkey, NTILE(4) {_OVER.format(p='o_custkey')} AS small, NTILE(100) {_OVER.format(p='o_orderstatus')} AS big FROM orders")
 def ntile(read):
-    first = spread_window(read("orders"), ["o_custkey"], _BY_DATE, _MONTH, {"small": Rank("ntile", 4)})
-    return spread_window(first, ["o_orderstatus"], _BY_DATE, _MONTH, {"big": Rank("ntile", 100)}).select("o_orderkey", "small", "big")
+    first = spread_window(read("orders"), ["o_custkey"], _BY_DATE, _month(), {"small": Rank("ntile", 4)})
+    return spread_window(first, ["o_orderstatus"], _BY_DATE, _month(), {"big": Rank("ntile", 100)}).select("o_orderkey", "small", "big")
 
 
 _SPARSE = "CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice END"
