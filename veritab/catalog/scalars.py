@@ -468,8 +468,8 @@ def base64_url(read):
     url = F.col("url")
     return read("pages").select(
         "page_id",
-        F.base64(F.encode(url, "UTF-8")).alias("b"),
-        F.decode(F.unbase64(F.base64(F.encode(url, "UTF-8"))), "UTF-8").alias("back"),
+        S.base64_encode(url).alias("b"),
+        S.base64_decode(S.base64_encode(url)).alias("back"),
         F.parse_url(url, F.lit("HOST")).alias("host"),
         F.nullif(F.parse_url(url, F.lit("PATH")), F.lit("")).alias("path"),
     )

@@ -48,3 +48,12 @@ def regexp_substr(
 
 def quote_literal(text: Column) -> Column:
     return F.concat(F.lit("'"), F.replace(text, F.lit("'"), F.lit("''")), F.lit("'"))
+
+
+def base64_encode(text: Column) -> Column:
+    """Base64 of the UTF-8 text in one line; Spark may break it into lines."""
+    return F.regexp_replace(F.base64(F.encode(text, "UTF-8")), "[\\r\\n]", "")
+
+
+def base64_decode(text: Column) -> Column:
+    return F.decode(F.unbase64(text), "UTF-8")

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from veritab.config import MAX_SAMPLE, TableConfig
@@ -80,15 +80,23 @@ def key_counts(source: DataFrame, target: DataFrame, keys, value: str | None = N
 _SHARED_COPIES = "src_rows > 0 and tgt_rows > 0 and (src_rows > 1 or tgt_rows > 1)"
 
 
-def _copies(counted: DataFrame) -> tuple[int, bool]:
-    """Number of keys that both sides hold and one holds several times, and whether most rows have such a key."""
+def _stored_counts(counted: DataFrame) -> tuple[DataFrame, int, bool]:
+    """Counts per key in the shared folder; how many keys both sides hold and one holds several times; and whether
+    a large part of all rows has such a key. The numbers are observed while the counts are written.
+    """
     n = F.col("src_rows") + F.col("tgt_rows")
-    found = counted.agg(
-        F.count_if(F.expr(_SHARED_COPIES)).alias("keys"),
-        F.sum(F.when(F.expr(_SHARED_COPIES), n)).alias("rows"),
-        F.sum(n).alias("all"),
-    ).first()
-    return found["keys"], bool(found["keys"]) and found["rows"] * 4 > found["all"]
+    seen = Observation()
+    stored = materialise(
+        counted.observe(
+            seen,
+            F.count_if(F.expr(_SHARED_COPIES)).alias("keys"),
+            F.sum(F.when(F.expr(_SHARED_COPIES), n)).alias("rows"),
+            F.sum(n).alias("all"),
+        ),
+        "keys",
+    )
+    found = seen.get
+    return stored, found["keys"], bool(found["keys"]) and found["rows"] * 4 > found["all"]
 
 
 def match_keys(source: DataFrame, target: DataFrame, keys, value: str = HASH_COLUMN) -> DataFrame:
@@ -98,8 +106,7 @@ def match_keys(source: DataFrame, target: DataFrame, keys, value: str = HASH_COL
     whether its rows match; only for keys with copies are values counted one by one.
     """
     keys = list(keys)
-    counted = materialise(key_counts(source, target, keys, value), "keys")
-    copies, most = _copies(counted)
+    counted, copies, most = _stored_counts(key_counts(source, target, keys, value))
     names = [column(k) for k in keys]
     equal = F.expr("src_rows = 1 and tgt_rows = 1 and d0 = 0 and d1 = 0")
     single = counted.filter(f"not ({_SHARED_COPIES})").select(
@@ -244,8 +251,8 @@ def pair_rows(source: DataFrame, target: DataFrame, keys, unique_keys: bool = Fa
             *[column(k) for k in keys], F.col("v").alias("s"), "t", F.lit(1).cast("long").alias("rows")
         )
 
-    counted = materialise(key_counts(source, target, keys), "keys")
-    if not _copies(counted)[0]:
+    counted, copies, _ = _stored_counts(key_counts(source, target, keys))
+    if not copies:
         return pair_rows(source, target, keys, unique_keys=True)
     shared = counted.filter(_SHARED_COPIES).select(*[column(k).alias(n) for k, n in zip(keys, names)])
     same = _same(keys, names)
