@@ -11,9 +11,8 @@ from pyspark.sql import types as T
 
 from veritab.errors import TableWriteError
 from veritab.operators.canonical import column
-from veritab.session import materialise
 
-__all__ = ["append", "conform", "ingest_extract", "load_step", "materialise", "union_all", "write_file"]
+__all__ = ["append", "conform", "ingest_extract", "load_step", "union_all", "write_file"]
 
 
 def append(df: DataFrame, table: str) -> None:
