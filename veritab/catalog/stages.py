@@ -173,7 +173,8 @@ def peek(read):
 )
 def pivot_rows(read):
     month = F.year("o_orderdate") * 12 + F.month("o_orderdate")
-    return E.pivot_rows(read("orders"), ["o_custkey"], ["o_orderdate", "o_orderkey"], month, ["o_orderkey", "o_totalprice"], 2)
+    finer = [asc("o_orderdate"), F.floor(F.col("o_orderkey") / 4096)]
+    return E.pivot_rows(read("orders"), ["o_custkey"], ["o_orderdate", "o_orderkey"], month, ["o_orderkey", "o_totalprice"], 2, finer)
 
 
 @query(

@@ -16,10 +16,21 @@ def _month():
 _BY_DATE = [asc("o_orderdate"), asc("o_orderkey")]
 
 
-def _ranked(read, columns, partition=("o_custkey",), order=None, bucket=None, keep=("o_orderkey",), df=None):
+def _finer():
+    """Days and key ranges, for months of a group that hold too many rows for one task."""
+    return [asc("o_orderdate"), F.floor(F.col("o_orderkey") / 4096)]
+
+
+def _numbered(df, partition, columns):
+    return spread_window(df, partition, _BY_DATE, _month(), columns, _finer())
+
+
+def _ranked(read, columns, partition=("o_custkey",), order=None, df=None):
+    """Rows that tie have to stay in one bucket, so an order by date alone is cut at days only."""
     df = read("orders") if df is None else df
-    out = spread_window(df, partition, order or _BY_DATE, _month() if bucket is None else bucket, columns)
-    return out.select(*keep, *columns)
+    finer = _finer()[: len(order or _BY_DATE)]
+    out = spread_window(df, partition, order or _BY_DATE, _month(), columns, finer)
+    return out.select("o_orderkey", *columns)
 
 
 _OVER = "OVER (PARTITION BY {p} ORDER BY o_orderdate, o_orderkey)"
@@ -31,8 +42,8 @@ _OVER = "OVER (PARTITION BY {p} ORDER BY o_orderdate, o_orderkey)"
 )
 def row_number(read):
     """Numbers in small groups, and in groups that hold a third of all rows."""
-    first = spread_window(read("orders"), ["o_custkey"], _BY_DATE, _month(), {"rn": Rank("row_number")})
-    return spread_window(first, ["o_orderstatus"], _BY_DATE, _month(), {"big": Rank("row_number")}).select("o_orderkey", "rn", "big")
+    first = _numbered(read("orders"), ["o_custkey"], {"rn": Rank("row_number")})
+    return _numbered(first, ["o_orderstatus"], {"big": Rank("row_number")}).select("o_orderkey", "rn", "big")
 
 
 @query(
@@ -55,8 +66,8 @@ def percent_rank(read):
 
 @query("W4_ntile", f"SELECT o_orderkey, NTILE(4) {_OVER.format(p='o_custkey')} AS small, NTILE(100) {_OVER.format(p='o_orderstatus')} AS big FROM orders")
 def ntile(read):
-    first = spread_window(read("orders"), ["o_custkey"], _BY_DATE, _month(), {"small": Rank("ntile", 4)})
-    return spread_window(first, ["o_orderstatus"], _BY_DATE, _month(), {"big": Rank("ntile", 100)}).select("o_orderkey", "small", "big")
+    first = _numbered(read("orders"), ["o_custkey"], {"small": Rank("ntile", 4)})
+    return _numbered(first, ["o_orderstatus"], {"big": Rank("ntile", 100)}).select("o_orderkey", "small", "big")
 
 
 _SPARSE = "CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice END"

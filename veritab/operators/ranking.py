@@ -105,17 +105,37 @@ def bucket_of(value: Column, points: list) -> Column:
     return F.when(value.isNotNull(), first * step + F.size(F.filter(rest, lambda p: p <= value)))
 
 
-def spread_window(df: DataFrame, partition_by, order_by, bucket, columns: dict) -> DataFrame:
+def hot_slots(df: DataFrame, columns: list[Column], share: float = 0.01) -> list[int]:
+    """Hashes of column combinations that hold far more than a task's share of the rows, from a sample.
+
+    At most four per shuffle partition can; a rare one that the sample misses costs time, not correctness.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    picked = df.sample(share, 7).select(F.xxhash64(*columns).alias("h"))
+    least = max(20.0, picked.count() / (4 * parts))
+    return [r["h"] for r in picked.groupBy("h").count().filter(F.col("count") > least).collect()]
+
+
+def spread_window(df: DataFrame, partition_by, order_by, bucket, columns: dict, finer=()) -> DataFrame:
     """Add window columns without bringing a whole group into one task.
 
     ``order_by``  sort columns as :class:`Order`, see :func:`asc` and :func:`desc`
     ``bucket``    expression or :class:`Order`, or a list of them, that follows the sort order: rows of a
                   later bucket sort after all rows of an earlier one, and rows that tie share a bucket
     ``columns``   output name -> :class:`Rank`, :class:`Shift` or :class:`Edge`
+    ``finer``     further buckets, under the same rule, for those buckets of a group that a sample shows to be
+                  too large for one task; the others stay whole
     """
     partition_by = list(partition_by)
     buckets = list(bucket) if isinstance(bucket, (list, tuple)) else [bucket]
     buckets = [b if isinstance(b, Order) else asc(b) for b in buckets]
+    if finer:
+        place = [_col(p) for p in partition_by] + [_col(b.column) for b in buckets]
+        marks = hot_slots(df, place)
+        if marks:
+            hot = F.xxhash64(*place).isin(*marks)
+            levels = [f if isinstance(f, Order) else asc(f) for f in finer]
+            buckets += [Order(F.when(hot, _col(f.column)), f.descending, f.nulls_first) for f in levels]
     group, slot = f"{_TMP}group", f"{_TMP}slot"
     # One struct holds group and bucket: it is never NULL itself, so joins on it match NULL parts too.
     part_names = [f"p{i}" for i in range(len(partition_by))]

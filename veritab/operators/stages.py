@@ -163,9 +163,9 @@ def peek(df: DataFrame, order, n: int = 10) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def pivot_rows(df: DataFrame, keys, order, bucket, values, count: int) -> DataFrame:
+def pivot_rows(df: DataFrame, keys, order, bucket, values, count: int, finer=()) -> DataFrame:
     """The first ``count`` rows of each key side by side, as ``<value>_1``, ``<value>_2``, ..."""
-    numbered = spread_window(df, keys, [asc(o) for o in order], bucket, {"__rn": Rank("row_number")})
+    numbered = spread_window(df, keys, [asc(o) for o in order], bucket, {"__rn": Rank("row_number")}, finer)
     cells = [
         F.max(F.when(F.col("__rn") == i, column(v))).alias(f"{v}_{i}") for i in range(1, count + 1) for v in values
     ]
