@@ -112,8 +112,9 @@ def hot_slots(df: DataFrame, columns: list[Column], share: float = 0.01) -> list
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     picked = df.sample(share, 7).select(F.xxhash64(*columns).alias("h"))
-    least = max(20.0, picked.count() / (4 * parts))
-    return [r["h"] for r in picked.groupBy("h").count().filter(F.col("count") > least).collect()]
+    total = picked.agg(F.count(F.lit(1)).alias("n")).scalar()
+    large = (F.col("count") >= 20) & (F.col("count") * 4 * parts > total)
+    return [r["h"] for r in picked.groupBy("h").count().filter(large).collect()]
 
 
 def spread_window(df: DataFrame, partition_by, order_by, bucket, columns: dict, finer=()) -> DataFrame:
