@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from veritab.llm import exact_dedup, mixing, packing
+from veritab.llm import exact_dedup, mixing, packing, secrets, warc
 
 QUERIES, ORACLES = {}, {}
 
@@ -72,3 +72,45 @@ def op6(spark, folder):
 )
 def op10(spark, folder):
     return mixing.mix_documents(_table(spark, folder, "documents"))
+
+
+@query(
+    "op1_warc",
+    """SELECT page_id, strlen(h) AS payload_bytes,
+              array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                  1 + CAST(16 * CAST(bits[5 * i + 1] AS INTEGER) + 8 * CAST(bits[5 * i + 2] AS INTEGER) + 4 * CAST(bits[5 * i + 3] AS INTEGER)
+                           + 2 * CAST(bits[5 * i + 4] AS INTEGER) + CAST(bits[5 * i + 5] AS INTEGER) AS INTEGER), 1)), '') AS payload_digest,
+              CASE WHEN page_id = best THEN 'response' ELSE 'revisit' END AS record_type,
+              CASE WHEN page_id <> best THEN best END AS refers_to
+       FROM (SELECT page_id, h, array_to_string(list_transform(range(1, 41), lambda i: lpad(bin(CAST('0x' || substr(d, i, 1) AS BIGINT)), 4, '0')), '') AS bits, MAX(page_id) OVER (PARTITION BY h) AS best FROM
+             (SELECT page_id, COALESCE(html, '') AS h, sha1(COALESCE(html, '')) AS d FROM pages))""",
+)
+def op1(spark, folder):
+    return warc.archive_round_trip(_table(spark, folder, "pages"))
+
+
+@query(
+    "op7_secret_scan",
+    r"""WITH rules(number, kind, pattern, least) AS (VALUES
+            (0, 'assign', '((?i:password|passwd|secret|token|api_?key))["\']?\x20*[:=]\x20*["\']?([A-Za-z0-9+/_.=-]+)', 8),
+            (1, 'access', '(AKIA)([A-Z0-9]+)', 12), (2, 'hex', '()([0-9a-f]+)', 32)),
+        matched AS (
+            SELECT doc_id, number, kind, least, string_split_regex(t, pattern) AS gaps, regexp_extract_all(t, pattern, 0) AS whole,
+                   regexp_extract_all(t, pattern, 2) AS measured
+            FROM (SELECT doc_id, COALESCE(text, '') AS t FROM documents), rules),
+        each AS (
+            SELECT doc_id, number, kind, least, unnest(range(1, len(whole) + 1)) AS i, length(unnest(gaps[:len(whole)])) AS gap,
+                   length(unnest(whole)) AS n, length(unnest(measured)) AS m
+            FROM matched),
+        placed AS (SELECT *, SUM(gap + n) OVER (PARTITION BY doc_id, number ORDER BY i) AS e FROM each),
+        kept AS (SELECT doc_id, number, e - n AS s, kind || ':' || CAST(e - n AS BIGINT) || ':' || CAST(e AS BIGINT) AS span FROM placed WHERE m >= least),
+        listed AS (
+            SELECT doc_id, COUNT(*) FILTER (number = 0) AS n_assign, COUNT(*) FILTER (number = 1) AS n_access,
+                   COUNT(*) FILTER (number = 2) AS n_hex, string_agg(span, ',' ORDER BY s, number) AS spans
+            FROM kept GROUP BY doc_id)
+        SELECT d.doc_id, COALESCE(n_assign, 0) AS n_assign, COALESCE(n_access, 0) AS n_access, COALESCE(n_hex, 0) AS n_hex,
+               sha256(COALESCE(spans, '')) AS base_sha256, COALESCE(spans, '') AS spans
+        FROM documents d LEFT JOIN listed l USING (doc_id)""".replace("\\'", "''"),
+)
+def op7(spark, folder):
+    return secrets.secret_report(_table(spark, folder, "documents"))
