@@ -92,7 +92,8 @@ def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: st
     for part in found[1:]:
         identity = identity.unionByName(part)
     members = stored(documents.select(item, "owner", "text_sha256").join(identity, "owner"), "identity")
-    groups = members.groupBy("depth", "name").agg(F.max(F.struct(item, "owner")).alias("best"), F.count(F.lit(1)).alias("group_size"))
+    # Stored, so that the join deals out the members by itself and can split a large group.
+    groups = stored(members.groupBy("depth", "name").agg(F.max(F.struct(item, "owner")).alias("best"), F.count(F.lit(1)).alias("group_size")), "groups")
     return members.join(groups, ["depth", "name"]).select(
         F.col(item).alias(id_column),
         F.col(f"best.{item}").alias("keep_id"),

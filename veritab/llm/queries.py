@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from veritab.llm import exact_dedup, mixing, packing, secrets, warc
+from veritab.llm import embedding_join, exact_dedup, mixing, ngram_join, packing, secrets, warc
 
 QUERIES, ORACLES = {}, {}
 
@@ -114,3 +114,13 @@ def op1(spark, folder):
 )
 def op7(spark, folder):
     return secrets.secret_report(_table(spark, folder, "documents"))
+
+
+@query("op8_embedding_join")
+def op8(spark, folder):
+    return embedding_join.near_embeddings(_table(spark, folder, "embeddings"))
+
+
+@query("op9_ngram_join")
+def op9(spark, folder):
+    return ngram_join.near_duplicates(_table(spark, folder, "documents"))
