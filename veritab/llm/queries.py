@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from veritab.llm import embedding_join, exact_dedup, mixing, ngram_join, packing, secrets, warc
+from veritab.llm import embedding_join, exact_dedup, mixing, ngram_join, packing, repeats, secrets, warc
 
 QUERIES, ORACLES = {}, {}
 
@@ -124,3 +124,8 @@ def op8(spark, folder):
 @query("op9_ngram_join")
 def op9(spark, folder):
     return ngram_join.near_duplicates(_table(spark, folder, "documents"))
+
+
+@query("op5_repeat_removal")
+def op5(spark, folder):
+    return repeats.remove_repeats(_table(spark, folder, "documents")).drop("kept_text")
