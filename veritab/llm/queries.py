@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from veritab.llm import embedding_join, exact_dedup, mixing, ngram_join, packing, repeats, secrets, warc
+from veritab.llm import embedding_join, exact_dedup, language, mixing, ngram_join, packing, repeats, secrets, toxicity, warc
 
 QUERIES, ORACLES = {}, {}
 
@@ -129,3 +129,15 @@ def op9(spark, folder):
 @query("op5_repeat_removal")
 def op5(spark, folder):
     return repeats.remove_repeats(_table(spark, folder, "documents")).drop("kept_text")
+
+
+@query("op4_toxicity")
+def op4(spark, folder):
+    docs = _table(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.train(docs, _table(spark, folder, "labels")))
+
+
+@query("op2_language_id")
+def op2(spark, folder):
+    model = language.fit_text_model(_table(spark, folder, "documents"))
+    return language.identify_pages(_table(spark, folder, "pages"), model)
