@@ -336,10 +336,10 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     )
 
 
-def drop_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One document of each component stays: the one with the least id, the first of equal ids; null ids come last."""
     rows, row = numbered(docs)
     key = rows.select(F.struct(F.col(id_column).isNull().alias("none"), F.col(id_column).alias("id"), F.col(row).alias("row")).alias("key"), F.col(text_column).alias("text_value"))
-    groups = near_duplicates(key, "key", "text_value")
+    groups = near_duplicates(key, "key", "text_value", words, percent)
     dropped = groups.where(F.col("key.row") != F.col("component_id.row")).select(F.col("key.row").alias(row))
     return rows.join(stored(dropped, "dropped"), row, "left_anti").select(*docs.columns)
