@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import itertools
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,8 +19,8 @@ from veritab.llm.common import byte_column, stored
 SEQUENCE = 2048
 END = 1
 VOCABULARY = "word_bpe_49k.json"
-#: Words and ids that a task remembers before it starts anew; words longer than LONG are not remembered.
-REMEMBERED, LONG = 1_000_000, 200
+#: Words that a task remembers before it starts anew.
+REMEMBERED = 250_000
 
 
 class _Numbers(dict):
@@ -28,36 +31,62 @@ class _Numbers(dict):
         return n
 
 
+#: Fixed value: how the tokenizer cuts a word, as in its file.
+PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+#: Words of other characters, or with a bracket, go through the whole tokenizer.
+PLAIN = regex.compile(r"[\x21-\x3B\x3D\x3F-\x7E\u00C0-\u024F]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """Byte-level vocabularies write each byte as a letter: visible bytes of Latin-1 as they are, others from 256 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(x for x in range(256) if x not in seen)}
+
+
 class WordTokens:
     """Ids of texts by a tokenizer that drops white space, and so works on each word by itself.
 
-    The ids of words are remembered; a text's ids are those of its words put together.
+    A text's ids are those of its words put together, and a word's those of its pieces; both are remembered.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.letters = Tokenizer.from_file(path), _byte_letters()
         self.forget()
 
     def forget(self) -> None:
-        self.numbers, self.ids = _Numbers(), np.zeros(0, np.uint32)
+        self.numbers, self.pieces, self.ids = _Numbers(), {}, np.zeros(0, np.uint32)
         self.lengths = self.starts = np.zeros(0, np.int64)
 
+    def _piece(self, piece: str) -> list[int]:
+        if (ids := self.pieces.get(piece)) is None:
+            spelt = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+            ids = self.pieces[piece] = [t.id for t in self.tokenizer.model.tokenize(spelt)]
+        return ids
+
+    def _word(self, word: bytes) -> list[int]:
+        text = word.decode("utf-8", "replace")
+        if not PLAIN.fullmatch(text):
+            return self.tokenizer.encode(text, add_special_tokens=False).ids
+        text = unicodedata.normalize("NFC", text).lower()
+        if text.isalpha():
+            return self._piece(text)
+        return [i for p in PIECES.findall(text) for i in self._piece(p)]
+
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and how many each text has."""
-        if len(self.numbers) > REMEMBERED or len(self.ids) > 8 * REMEMBERED:
+        if max(len(self.numbers), len(self.pieces)) > REMEMBERED:
             self.forget()
         words = [t.split() for t in texts]
         per_text = np.fromiter(map(len, words), np.int64, len(words))
         old = len(self.numbers)
-        which = np.fromiter((self.numbers[w] for ws in words for w in ws), np.int64, int(per_text.sum()))
+        which = np.fromiter((n for ws in words for n in map(self.numbers.__getitem__, ws)), np.int64, int(per_text.sum()))
         if len(self.numbers) > old:
-            new = [w.decode("utf-8", "replace") for w in list(self.numbers)[old:]]
-            got = [e.ids for e in self.tokenizer.encode_batch(new, add_special_tokens=False)]
-            lengths = np.fromiter(map(len, got), np.int64, len(got))
+            new = [self._word(w) for w in itertools.islice(self.numbers, old, None)]
+            lengths = np.fromiter(map(len, new), np.int64, len(new))
             self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
-            self.ids = np.concatenate([self.ids, np.fromiter((i for ids in got for i in ids), np.uint32, int(lengths.sum()))])
+            self.ids = np.concatenate([self.ids, np.fromiter(itertools.chain.from_iterable(new), np.uint32, int(lengths.sum()))])
             self.lengths = np.concatenate([self.lengths, lengths])
         n = self.lengths[which]
         ends = np.cumsum(n)
@@ -87,7 +116,7 @@ def _tokens(text: str, path: str, end: int):
     return run
 
 
-def _slices(texts: list[bytes], most: int = 8 << 20) -> Iterator[tuple[int, int]]:
+def _slices(texts: list[bytes], most: int = 2 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of rows of a few MB each."""
     low = size = 0
     for i, t in enumerate(texts):
