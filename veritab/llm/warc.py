@@ -54,22 +54,25 @@ def _digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def _record(page, row: int, url: str | None, payload: bytes, digest: str, refers: tuple | None) -> bytes:
-    """One record as a gzip member of its own. Revisits carry the response's headers but no payload."""
+def _record(page: int | None, row: int, url: str | None, payload: bytes, digest: str, refers: tuple | None) -> bytes:
+    """One record as a gzip member of its own. Revisits carry the response's headers but no payload.
+
+    refers: the response's page, in a tuple as it may be null; None for responses.
+    """
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if refers else http + payload
+    name = lambda p: f"urn:x-page:{'null' if p is None else p}:{digest}"
     fields = [
         ("WARC-Type", "revisit" if refers else "response"),
-        ("WARC-Record-ID", f"<urn:x-page:{'null' if page is None else page}:{row}>"),
+        ("WARC-Record-ID", f"<{name(page)}:{row}>"),
         ("WARC-Target-URI", clean_url(url)),
         ("WARC-Date", DATE),
         ("WARC-Payload-Digest", f"sha1:{digest}"),
     ]
     if refers:
-        fields += [
-            ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
-            ("WARC-Refers-To", f"<urn:x-page:{'null' if refers[0] is None else refers[0]}:{refers[1]}>"),
-        ]
+        fields += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("WARC-Refers-To", f"<{name(refers[0])}:response>")]
+    else:
+        fields[1] = ("WARC-Record-ID", f"<{name(page)}:{'response' if row < 0 else row}>")
     fields += [("Content-Type", "application/http; msgtype=response"), ("Content-Length", str(len(block)))]
     head = "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields) + "\r\n"
     pack = zlib.compressobj(5, zlib.DEFLATED, 31)
@@ -78,10 +81,11 @@ def _record(page, row: int, url: str | None, payload: bytes, digest: str, refers
 
 def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = []
-        for page, row, url, payload, to_page, to_row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            payload = payload or b""
-            out.append(_record(page, row, url, payload, _digest(payload), None if to_row is None else (to_page, to_row)))
+        columns = [batch.column(c).to_pylist() for c in ("page_id", "url", "payload", "digest", "row", "revisit", "to_page")]
+        out = [
+            _record(page, row, url, payload, base64.b32encode(digest).decode(), (to_page,) if revisit else None)
+            for page, url, payload, digest, row, revisit, to_page in zip(*columns, strict=True)
+        ]
         yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["member"])
 
 
@@ -91,16 +95,25 @@ def write_archives(pages: DataFrame, folder: str, least: int = 0) -> None:
     Of pages with equal payloads of at least ``least`` bytes, the one with the largest page_id (null is the least) is
     a response, the others are revisits of it; of rows that agree in both, one is taken. Smaller payloads are all
     responses. A null html is an empty payload, a null url an empty address. Only digests are grouped and shuffled;
-    payloads go straight from the table to the archives, unless the list of revisits is too large to be sent to all
-    tasks. Rows are numbered in the scan, which the table's files fix.
+    payloads go straight from the table to the archives, unless the list of repeated digests is too large to be sent
+    to all tasks. Rows that agree in page_id and payload are told apart on a stored copy of them.
     """
-    rows = pages.select("page_id", F.monotonically_increasing_id().alias("row"), "url", F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("payload"))
-    digests = rows.where(F.length("payload") >= least).select("page_id", "row", F.unhex(F.sha1("payload")).alias("digest"))
-    best = digests.groupBy("digest").agg(F.max(F.struct("page_id", "row")).alias("best"))
-    revisits = stored(
-        digests.join(best, "digest").where("row != best.row").select("row", F.col("best.page_id").alias("to_page"), F.col("best.row").alias("to_row")), "revisits"
-    )
-    members = rows.join(revisits, "row", "left").select("page_id", "row", "url", "payload", "to_page", "to_row").mapInArrow(_records, "member binary")
+    payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
+    rows = pages.select("page_id", "url", payload.alias("payload")).withColumn("digest", F.unhex(F.sha1("payload")))
+    each = rows.where(F.length("payload") >= least).groupBy("digest", "page_id").agg(F.count(F.lit(1)).alias("n"))
+    groups = each.groupBy("digest").agg(F.max(F.struct("page_id", "n")).alias("best"), F.sum("n").alias("n")).where("n > 1")
+    groups = stored(groups.select(F.col("digest").alias("of_digest"), F.col("best.page_id").alias("to_page"), (F.col("best.n") > 1).alias("several")), "repeated")
+    # row: a number that tells records of a page apart; -1 for the one that revisits refer to.
+    joined = rows.join(groups, F.col("digest") == F.col("of_digest"), "left").withColumn("best", F.col("page_id").eqNullSafe(F.col("to_page")) & F.col("several").isNotNull())
+    number = F.monotonically_increasing_id()
+    columns = ["page_id", "url", "payload", "digest", "row", "revisit", "to_page"]
+    plain = joined.where(~(F.col("best") & F.coalesce("several", F.lit(False))))
+    plain = plain.withColumn("revisit", F.col("several").isNotNull() & ~F.col("best")).withColumn("row", F.when(F.col("best"), -1).otherwise(number))
+    ties = stored(joined.where("best and several").withColumn("row", number), "ties")
+    first = ties.groupBy("digest").agg(F.min("row").alias("first")).withColumnRenamed("digest", "of_digest")
+    ties = ties.drop("of_digest").join(first, F.col("digest") == F.col("of_digest")).withColumn("revisit", F.col("row") != F.col("first"))
+    ties = ties.withColumn("row", F.when(F.col("revisit"), F.col("row")).otherwise(-1))
+    members = plain.select(*columns).unionByName(ties.select(*columns)).mapInArrow(_records, "member binary")
     # The writer puts a string's bytes as they are.
     members.select(F.col("member").cast("string")).write.option("lineSep", PADDING).option("maxRecordsPerFile", ARCHIVE_RECORDS).text(folder)
 
@@ -129,7 +142,7 @@ def parse(record: bytes) -> dict:
     fields = dict(line.split(": ", 1) if ": " in line else (line.rstrip(":"), "") for line in head.decode().split("\r\n")[1:])
     block = rest[: int(fields["Content-Length"])]
     http, _, payload = block.partition(b"\r\n\r\n")
-    page = lambda urn: None if urn is None or (p := urn.split(":")[-2]) == "null" else int(p)
+    page = lambda urn: None if urn is None or (p := urn.split(":")[2]) == "null" else int(p)
     size = next(int(x.split(b":")[1]) for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:"))
     out = {
         "page_id": page(fields["WARC-Record-ID"]),
