@@ -30,29 +30,27 @@ def unit_name(unit: str) -> str:
 
 
 def date_add(unit: str, n, c: Column) -> Column:
-    """Add ``n`` units. Days and larger units keep a DATE a DATE; months end at the last day of the month."""
+    """Add ``n`` units. The type of the input stays: with days and larger units a DATE stays a DATE and a timestamp
+    keeps its time of day. Months end at the last day of the month. Timestamps have microseconds, so of nanoseconds
+    the whole microseconds are added, rounded down.
+    """
     unit = unit_name(unit)
     n = n if isinstance(n, Column) else F.lit(n)
-    if unit == "nanosecond":
-        raise ValueError("timestamps have microseconds; nanoseconds cannot be added")
     if unit in ("year", "quarter", "month"):
-        return F.add_months(c, (n * {"year": 12, "quarter": 3, "month": 1}[unit]).cast("int"))
+        return c + F.make_ym_interval(F.lit(0), (n * {"year": 12, "quarter": 3, "month": 1}[unit]).cast("int"))
     if unit in ("week", "day"):
-        return F.date_add(c, (n * (7 if unit == "week" else 1)).cast("int"))
+        # An interval of whole days leaves the type alone.
+        return c + F.make_dt_interval(days=(n * (7 if unit == "week" else 1)).cast("int")).cast("interval day")
     if unit in _SECONDS:
         return c + F.make_dt_interval(secs=n * _SECONDS[unit])
+    if unit == "nanosecond":
+        n, unit = F.floor(n / 1000), "microsecond"
     return c + F.make_dt_interval(secs=n / F.lit({"millisecond": 1000, "microsecond": 1000000}[unit]))
 
 
 def timestamp_add(unit: str, n, c: Column) -> Column:
-    """Add ``n`` units and keep the time of day."""
-    unit = unit_name(unit)
-    n = n if isinstance(n, Column) else F.lit(n)
-    if unit in ("year", "quarter", "month"):
-        return c + F.make_ym_interval(F.lit(0), (n * {"year": 12, "quarter": 3, "month": 1}[unit]).cast("int"))
-    if unit in ("week", "day"):
-        return c + F.make_dt_interval(days=(n * (7 if unit == "week" else 1)).cast("int"))
-    return date_add(unit, n, c)
+    """Add ``n`` units to a point in time; a DATE counts as its midnight."""
+    return date_add(unit, n, c.cast("timestamp"))
 
 
 def date_diff(unit: str, start: Column, end: Column, whole: bool = False) -> Column:

@@ -13,18 +13,22 @@ from pyspark.sql import functions as F
 
 from veritab.session import materialise
 
-_NAME = r"[`\"\[]?[A-Za-z_][\w$#]*[`\"\]]?(?:\s*\.\s*[`\"\[]?[A-Za-z_][\w$#]*[`\"\]]?)*"
+# One part of a name, quoted or not, and a name of parts. Possessive: a name is taken whole or not at all.
+_PART = r"(?:\"(?:[^\"]++|\"\")*+\"|`[^`]*+`|\[[^\[\]]*+\]|[A-Za-z_][\w$#]*+)"
+_NAME = rf"{_PART}(?:\s*+\.\s*+{_PART})*+"
 _OBJECT = r"(?i)\bcreate\s+(?:or\s+replace\s+)?(?:global\s+|temporary\s+|temp\s+|materialized\s+)*"
 _KINDS = "table|view|procedure|function|sequence|package"
 # Quoted text or comment. A doubled quote reads as two texts side by side, which changes nothing here. Repeats are
 # possessive, so that the pattern engine walks through a text of any length without a deep stack.
-_COMMENT = r"('[^']*+')|--[^\n]*+|/\*(?s:.*?)\*/"
 _TEXT = r"'[^']*+'"
+_QUOTED = rf"{_TEXT}|\"[^\"]*+\"|`[^`]*+`"
+_COMMENT = rf"({_QUOTED})|--[^\n]*+|/\*(?s:.*?)\*/"
 
 
 def without_comments(sql: Column) -> Column:
-    """Comments become a blank; texts in quotes stay."""
-    return F.regexp_replace(sql, _COMMENT, "$1 ")
+    """Comments become a blank; texts and names in quotes stay as they are."""
+    marked = F.regexp_replace(sql, _COMMENT, "$1\u0001")
+    return F.translate(F.regexp_replace(marked, f"({_QUOTED})\u0001", "$1"), "\u0001", " ")
 
 
 def _without_texts(sql: Column) -> Column:
@@ -33,13 +37,17 @@ def _without_texts(sql: Column) -> Column:
 
 def _plain_table(c: Column) -> Column:
     """Last part of a table name, without quotes, in lower case."""
-    return F.lower(F.regexp_replace(F.element_at(F.split(c, r"\."), -1), r"[`\"\[\]\s]", ""))
+    return F.lower(F.regexp_replace(F.element_at(F.regexp_extract_all(c, F.lit(f"({_PART})"), F.lit(1)), -1), r"^[`\"\[]|[`\"\]]$", ""))
+
+
+def _is_qualified(c: Column) -> Column:
+    return F.size(F.regexp_extract_all(c, F.lit(f"({_PART})"), F.lit(1))) > 1
 
 
 def split_statements(scripts: DataFrame) -> DataFrame:
-    """(path, position, statement): cut at semicolons outside of quotes; the last piece may lack one."""
+    """(path, position, statement): cut at semicolons outside of texts and quoted names; the last piece may lack one."""
     code = without_comments(F.col("sql"))
-    pieces = F.regexp_extract_all(code, F.lit(f"((?:[^;']++|{_TEXT})++)"), F.lit(1))
+    pieces = F.regexp_extract_all(code, F.lit(rf"((?:[^;'\"`]++|{_QUOTED})++)"), F.lit(1))
     return (
         scripts.select("path", F.posexplode(pieces).alias("position", "statement"))
         .withColumn("statement", F.trim(F.regexp_replace("statement", r"\s+", " ")))
@@ -79,24 +87,67 @@ def duplicate_objects(objects: DataFrame) -> DataFrame:
 def table_edges(scripts: DataFrame) -> DataFrame:
     """(parent, child): every table a statement reads, and the table it creates, fills or merges into.
 
-    The child is the script itself when nothing is written. Names of common table expressions are no tables.
+    The child is the script itself when nothing is written. Read are the names of FROM lists, joins and USING; names
+    that are called are functions. An unqualified name of a common table expression of the statement is no table.
     """
     code = _without_texts(F.col("statement"))
     writes = (
         r"(?i)\b(?:create\s+(?:or\s+replace\s+)?(?:global\s+|temporary\s+|temp\s+|materialized\s+)*(?:table|view)"
         r"\s+(?:if\s+not\s+exists\s+)?|insert\s+(?:into|overwrite)\s+(?:table\s+)?|merge\s+into\s+)(" + _NAME + ")"
     )
-    reads = r"(?i)\b(?:from|join|using)\s+(" + _NAME + r")(?!\s*\()"
-    ctes = r"(?i)(?:\bwith\s+(?:recursive\s+)?|,\s*)(" + _NAME + r")\s*(?:\([^()]*\)\s*)?as\s*\("
-    found = split_statements(scripts).select(
-        F.regexp_extract(code, writes, 1).alias("written"),
-        "path",
-        F.regexp_extract_all(code, F.lit(reads), F.lit(1)).alias("read"),
-        F.transform(F.regexp_extract_all(code, F.lit(ctes), F.lit(1)), _plain_table).alias("ctes"),
-    )
-    tables = F.array_except(F.transform("read", _plain_table), F.col("ctes"))
+    found = split_statements(scripts).select(F.regexp_extract(code, writes, 1).alias("written"), "path", _levels(code).alias("levels"))
+    ctes = F.flatten(F.transform("levels", lambda t: F.regexp_extract_all(t, F.lit(_CTE), F.lit(1))))
+    reads = F.flatten(F.transform("levels", _read_names))
+    found = found.select("path", "written", reads.alias("read"), F.transform(ctes, _plain_table).alias("ctes"))
+    tables = F.filter("read", lambda n: _is_qualified(n) | ~F.array_contains("ctes", _plain_table(n)))
     child = F.when(F.col("written") != "", _plain_table(F.col("written"))).otherwise(F.lower("path"))
-    return found.select(F.explode(tables).alias("parent"), child.alias("child")).distinct()
+    return found.select(F.explode(F.transform(tables, _plain_table)).alias("parent"), child.alias("child")).distinct()
+
+
+# A FROM clause runs to the next clause of its level.
+_FROM = (
+    r"(?is)\bfrom\s+(.*?)(?=\b(?:where|group\s+by|order\s+by|having|union|except|intersect|minus|limit|offset|fetch|window|qualify|connect\s+by"
+    r"|start\s+with|set|values|select|when|returning)\b|$)"
+)
+_CTE = rf"(?i)(?:\bwith\s+(?:recursive\s+)?|,\s*)({_NAME})\s*(?:\(\)\s*)?as\s*(?:(?:not\s+)?materialized\s*)?\(\)"
+# Functions whose arguments may hold the word FROM.
+_FROM_INSIDE = r"(?i)\b(?:extract|trim|substring|overlay|position)\s*\([^()]*+\)"
+
+
+def _levels(code: Column) -> Column:
+    """The statement without the contents of its brackets, and the contents of each, in turn without theirs.
+
+    The innermost brackets are taken out in each step, as many steps as brackets are nested.
+    """
+    marks = F.regexp_extract_all(code, F.lit(r"([()])"), F.lit(1))
+    walk = F.aggregate(
+        marks,
+        F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")),
+        lambda s, m: F.struct(
+            F.greatest(s["now"] + F.when(m == "(", 1).otherwise(-1), F.lit(0)).alias("now"),
+            F.greatest(s["most"], s["now"] + F.when(m == "(", 1).otherwise(-1)).alias("most"),
+        ),
+    )["most"]
+    plain = F.regexp_replace(code, r"(?i)\bis\s+(?:not\s+)?distinct\s+from\b", "=")
+    steps = F.when(walk > 0, F.sequence(F.lit(1), walk)).otherwise(F.array().cast("array<int>"))
+
+    def step(s, _):
+        text = F.regexp_replace(s["text"], _FROM_INSIDE, "\u0001")
+        inner = F.regexp_extract_all(text, F.lit(r"\(([^()]+)\)"), F.lit(1))
+        # Taken out brackets leave a mark that is no bracket, until all are out.
+        return F.struct(F.regexp_replace(text, r"\([^()]*+\)", "\u0002").alias("text"), F.concat(s["found"], inner).alias("found"))
+
+    end = F.aggregate(steps, F.struct(plain.alias("text"), F.array().cast("array<string>").alias("found")), step)
+    return F.transform(F.concat(F.array(end["text"]), end["found"]), lambda t: F.replace(F.replace(t, F.lit("\u0002"), F.lit(" () ")), F.lit("\u0001"), F.lit(" ")))
+
+
+def _read_names(level: Column) -> Column:
+    """Names that one level of a statement reads."""
+    clauses = F.regexp_extract_all(level, F.lit(_FROM), F.lit(1))
+    items = F.flatten(F.transform(clauses, lambda c: F.split(c, r"(?i),|\bjoin\b|\busing\b")))
+    first = F.transform(items, lambda i: F.regexp_extract(i, rf"(?i)^\s*(?:(?:lateral|only|table)\s+)?({_NAME})(?!\s*\()", 1))
+    other = F.regexp_extract_all(level, F.lit(rf"(?i)\b(?:join|using)\s+(?:lateral\s+)?({_NAME})(?!\s*\()"), F.lit(1))
+    return F.filter(F.concat(first, other), lambda n: (n != "") & ~F.lower(n).isin("lateral", "only", "table"))
 
 
 def parents(edges: DataFrame, table: str) -> DataFrame:
@@ -174,18 +225,18 @@ SAS_LIMITS = {
 # Which rules an ETL tool knows: per class the names below. "three" counts the breaks of the class before.
 JOB_RULES = {
     "datastage": (
-        "expressions sources joins lookups targets functions",
-        "expressions components functions unusual lookups",
-        "expressions lookups components",
+        ("expressions", "sources", "joins", "lookups", "targets", "functions"),
+        ("expressions", "components", "functions", "unusual", "lookups"),
+        ("expressions", "lookups", "components"),
     ),
-    "talend": ("expressions sources joins components targets functions", "expressions components functions unusual", "components"),
-    "ssis": ("expressions sources targets functions components", "expressions components functions", "expressions components"),
-    "alteryx": ("expressions functions components", "expressions components functions", "expressions components"),
-    "bods": ("expressions functions components", "expressions components functions", "expressions components"),
+    "talend": (("expressions", "sources", "joins", "components", "targets", "functions"), ("expressions", "components", "functions", "unusual"), ("components",)),
+    "ssis": (("expressions", "sources", "targets", "functions", "components"), ("expressions", "components", "functions"), ("expressions", "components")),
+    "alteryx": (("expressions", "functions", "components"), ("expressions", "components", "functions"), ("expressions", "components")),
+    "bods": (("expressions", "functions", "components"), ("expressions", "components", "functions"), ("expressions", "components")),
     "pentaho": (
-        "expressions sources joins lookups targets functions components",
-        "expressions components functions unusual lookups",
-        "expressions lookups components",
+        ("expressions", "sources", "joins", "lookups", "targets", "functions", "components"),
+        ("expressions", "components", "functions", "unusual", "lookups"),
+        ("expressions", "lookups", "components"),
     ),
 }
 
@@ -217,7 +268,7 @@ def job_complexity(inventory: DataFrame, tool: str = "tool") -> DataFrame:
     for level in range(3):
         per_tool = None
         for name, rules in JOB_RULES.items():
-            count = reduce(lambda a, b: a + b, [_job_rule(level, r).cast("int") for r in rules[level].split()])
+            count = reduce(lambda a, b: a + b, [_job_rule(level, r).cast("int") for r in rules[level]])
             per_tool = F.when(known == name, count) if per_tool is None else per_tool.when(known == name, count)
         broken.append(per_tool)
     medium, more, most = broken
