@@ -172,9 +172,7 @@ def peek(read):
          MAX(CASE WHEN rn = 2 THEN o_orderkey END) AS o_orderkey_2, MAX(CASE WHEN rn = 2 THEN o_totalprice END) AS o_totalprice_2 FROM n GROUP BY 1""",
 )
 def pivot_rows(read):
-    month = F.year("o_orderdate") * 12 + F.month("o_orderdate")
-    finer = [asc("o_orderdate"), F.floor(F.col("o_orderkey") / 4096)]
-    return E.pivot_rows(read("orders"), ["o_custkey"], ["o_orderdate", "o_orderkey"], month, ["o_orderkey", "o_totalprice"], 2, finer)
+    return E.pivot_rows(read("orders"), ["o_custkey"], ["o_orderdate", "o_orderkey"], ["o_orderkey", "o_totalprice"], 2)
 
 
 @query(
@@ -205,13 +203,12 @@ def distinct_keys(read):
 
 @query(
     "E18_row_generator",
-    """SELECT n AS id, n * 2 AS twice, 'row ' || n AS label FROM (SELECT UNNEST(range((SELECT COUNT(*) FROM supplier) * 10)) AS n)""",
+    """SELECT p_partkey, n, p_name || ' ' || n AS label FROM (SELECT p_partkey, p_name, UNNEST(range(1, p_size % 9 + 1)) AS n FROM part)""",
 )
 def row_generator(read):
-    """As many rows as the suppliers ask for."""
-    s = read("supplier")
-    n = F.col("id")
-    return E.generate_rows(s.sparkSession, s.count() * 10, id=n, twice=n * 2, label=F.concat(F.lit("row "), n.cast("string")))
+    """As many rows of each part as its size asks for; some ask for none."""
+    made = E.generate_rows(read("part").select("p_partkey", "p_name", "p_size"), F.col("p_size") % 9, "n")
+    return made.select("p_partkey", "n", F.concat("p_name", F.lit(" "), F.col("n").cast("string")).alias("label"))
 
 
 @query(

@@ -9,27 +9,16 @@ from veritab.operators.ranking import Edge, Rank, Shift, asc, desc, spread_windo
 
 
 
-def _month():
-    return F.year("o_orderdate") * 12 + F.month("o_orderdate")
-
-
 _BY_DATE = [asc("o_orderdate"), asc("o_orderkey")]
 
 
-def _finer():
-    """Days and key ranges, for months of a group that hold too many rows for one task."""
-    return [asc("o_orderdate"), F.floor(F.col("o_orderkey") / 4096)]
-
-
 def _numbered(df, partition, columns):
-    return spread_window(df, partition, _BY_DATE, _month(), columns, _finer())
+    return spread_window(df, partition, _BY_DATE, columns)
 
 
 def _ranked(read, columns, partition=("o_custkey",), order=None, df=None):
-    """Rows that tie have to stay in one bucket, so an order by date alone is cut at days only."""
     df = read("orders") if df is None else df
-    finer = _finer()[: len(order or _BY_DATE)]
-    out = spread_window(df, partition, order or _BY_DATE, _month(), columns, finer)
+    out = spread_window(df, partition, order or _BY_DATE, columns)
     return out.select("o_orderkey", *columns)
 
 
@@ -134,12 +123,11 @@ def full_frame(read):
        FROM (SELECT *, NULLIF(l_suppkey % 7, 0) AS k FROM lineitem)""",
 )
 def null_order(read):
-    """NULL is the largest value: last when ascending, first when descending. Few sort values, so two bucket levels."""
+    """NULL is the largest value: last when ascending, first when descending. Few values of the first sort column."""
     lines = read("lineitem").withColumn("k", F.nullif(F.col("l_suppkey") % 7, F.lit(0)))
     rest = [asc(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")]
-    finer = F.floor(F.col("l_orderkey") / 1000)
-    up = spread_window(lines, ["l_returnflag"], [asc("k"), *rest], [asc("k"), finer], {"up": Rank("row_number")})
-    both = spread_window(up, ["l_returnflag"], [desc("k"), *rest], [desc("k"), finer], {"down": Rank("row_number")})
+    up = spread_window(lines, ["l_returnflag"], [asc("k"), *rest], {"up": Rank("row_number")})
+    both = spread_window(up, ["l_returnflag"], [desc("k"), *rest], {"down": Rank("row_number")})
     return both.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "k", "up", "down")
 
 
@@ -152,9 +140,7 @@ def null_order(read):
 def number_in_exploded_groups(read):
     """The number follows the content; the groups of exploded details may be of any size."""
     e = read("events").select("event_type", "event_id", F.from_json("props", "map<string,string>").alias("m"))
-    numbered = spread_window(
-        e, ["event_type"], [asc("event_id")], F.floor(F.col("event_id") / 500), {"rn": Rank("row_number")}
-    )
+    numbered = spread_window(e, ["event_type"], [asc("event_id")], {"rn": Rank("row_number")})
     return numbered.select("event_type", "event_id", "rn", F.explode("m").alias("key", "value"))
 
 

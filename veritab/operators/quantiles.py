@@ -1,7 +1,7 @@
 """Exact percentiles and modes of groups of any size.
 
 The built-in exact percentile keeps every distinct value of a group in one task. Here values are counted
-first, and running counts are taken bucket by bucket along the value order.
+first, and running counts are taken range by range along the value order.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from veritab.operators.canonical import column
-from veritab.operators.ranking import bucket_of, split_points
+from veritab.operators.ranking import in_ranges
 
 
 @dataclass(frozen=True)
@@ -21,7 +21,7 @@ class Percentile:
     kind: str = "cont"
 
 
-def exact_percentiles(df: DataFrame, group, value: str, wanted: dict, frequency: str | None = None, buckets: int | None = None):
+def exact_percentiles(df: DataFrame, group, value: str, wanted: dict, frequency: str | None = None):
     """Group columns plus one column per entry of ``wanted`` (name -> :class:`Percentile`). NULL values are skipped.
 
     ``frequency`` names a column that says how often a row counts.
@@ -32,10 +32,9 @@ def exact_percentiles(df: DataFrame, group, value: str, wanted: dict, frequency:
     counted = rows.groupBy(*[column(g) for g in group], column(value).alias("__v")).agg(weight.alias("__n"))
     counted = counted.filter("__n > 0")
     named = [f"g{i}" for i in range(len(group))]
-    bucket = bucket_of(F.col("__v"), split_points(rows.select(column(value).alias("__v")), "__v", buckets))
-    slotted = counted.withColumn(
-        "__slot", F.struct(*[column(g).alias(n) for g, n in zip(group, named)], bucket.alias("b"))
-    )
+    # Only counts are put into ranges and stored, and the table is read once.
+    ranged = in_ranges(counted, [*[column(g) for g in group], F.col("__v")], "__range")
+    slotted = ranged.withColumn("__slot", F.struct(*[column(g).alias(n) for g, n in zip(group, named)], F.col("__range").alias("b")))
     local = Window.partitionBy("__slot").orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     base = slotted.withColumn("__upto", F.sum("__n").over(local))
     slots = base.groupBy("__slot").agg(F.max("__upto").alias("__rows"))

@@ -1,19 +1,20 @@
 """Numbering, ranks and neighbours inside groups of any size.
 
-A plain window puts a whole group into one task. Here every group is cut into buckets along the sort
-order; each bucket is sorted on its own, and a small table with one row per group and bucket carries
-what a bucket has to know about the buckets before it. The result equals the plain window.
+A plain window puts a whole group into one task. Here rows are cut into ranges along group and sort
+order; each range is sorted on its own, and a small table with one row per group and range carries
+what a range has to know about the ranges before it. The result equals the plain window.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from veritab.session import materialise
+
 _TMP = "__rank_"
 
 
@@ -78,76 +79,33 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def split_points(df: DataFrame, name: str, buckets: int | None = None, share: float = 0.01) -> list:
-    """Values that cut a column into parts of similar size, from a sample of its rows.
+def in_ranges(df: DataFrame, columns: list[Column], name: str) -> DataFrame:
+    """A stored copy of a table in ranges of the sort order, with the number of the range, which grows with the order.
 
-    They set the balance of the work, never the result. They are read once, as one short row, so that every
-    use of them in a plan sees the same values. There are as many parts as the session has shuffle
-    partitions, up to 2000.
-    """
-    if buckets is None:
-        buckets = max(8, min(2000, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    shares = [i / buckets for i in range(1, buckets)]
-    found = df.sample(share, 7).select(F.percentile_approx(name, shares, 10 * buckets)).first()[0]
-    return sorted(set(found or []))
-
-
-def bucket_of(value: Column, points: list) -> Column:
-    """Number of points at or below a value: a bucket that grows with the value."""
-    if not points:
-        return F.lit(0)
-    step = max(2, math.isqrt(len(points)))
-    # Every step-th point first, then the points after it: two short scans instead of a long one.
-    fine = F.array(*[F.lit(p) for p in points])
-    coarse = F.array(*[F.lit(p) for p in points[step - 1 :: step]])
-    first = F.size(F.filter(coarse, lambda p: p <= value))
-    rest = F.slice(fine, first * step + 1, F.lit(step))
-    return F.when(value.isNotNull(), first * step + F.size(F.filter(rest, lambda p: p <= value)))
-
-
-def hot_slots(df: DataFrame, columns: list[Column], share: float = 0.01) -> list[int]:
-    """Hashes of column combinations that hold far more than a task's share of the rows, from a sample.
-
-    At most four per shuffle partition can; a rare one that the sample misses costs time, not correctness.
+    There are at most as many ranges as the session has shuffle partitions, whatever the data; rows that agree in all
+    columns share one. The copy fixes the cuts, which come from a sample and may differ from run to run.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    picked = df.sample(share, 7).select(F.xxhash64(*columns).alias("h"))
-    total = picked.agg(F.count(F.lit(1)).alias("n")).scalar()
-    large = (F.col("count") >= 20) & (F.col("count") * 4 * parts > total)
-    return [r["h"] for r in picked.groupBy("h").count().filter(large).collect()]
+    return materialise(df.repartitionByRange(parts, *columns).withColumn(name, F.spark_partition_id()), "ranges")
 
 
-def spread_window(df: DataFrame, partition_by, order_by, bucket, columns: dict, finer=()) -> DataFrame:
+def spread_window(df: DataFrame, partition_by, order_by, columns: dict) -> DataFrame:
     """Add window columns without bringing a whole group into one task.
 
     ``order_by``  sort columns as :class:`Order`, see :func:`asc` and :func:`desc`
-    ``bucket``    expression or :class:`Order`, or a list of them, that follows the sort order: rows of a
-                  later bucket sort after all rows of an earlier one, and rows that tie share a bucket
     ``columns``   output name -> :class:`Rank`, :class:`Shift` or :class:`Edge`
-    ``finer``     further buckets, under the same rule, for those buckets of a group that a sample shows to be
-                  too large for one task; the others stay whole
+
+    Rows are put into ranges of (group, order), so a large group has many ranges and a range many small groups. The
+    rows of a group in a range are a slot. A group has at most as many slots as there are ranges, and all groups
+    together have at most as many slots as there are groups and ranges: these few rows are what meets per group.
+    Rows that tie in the whole order stay together.
     """
     partition_by = list(partition_by)
-    buckets = list(bucket) if isinstance(bucket, (list, tuple)) else [bucket]
-    buckets = [b if isinstance(b, Order) else asc(b) for b in buckets]
-    if finer:
-        place = [_col(p) for p in partition_by] + [_col(b.column) for b in buckets]
-        marks = hot_slots(df, place)
-        if marks:
-            hot = F.xxhash64(*place).isin(*marks)
-            levels = [f if isinstance(f, Order) else asc(f) for f in finer]
-            buckets += [Order(F.when(hot, _col(f.column)), f.descending, f.nulls_first) for f in levels]
-    group, slot = f"{_TMP}group", f"{_TMP}slot"
-    # One struct holds group and bucket: it is never NULL itself, so joins on it match NULL parts too.
+    slot, part = f"{_TMP}slot", f"{_TMP}range"
+    # One struct holds group and range: it is never NULL itself, so joins on it match NULL parts too.
     part_names = [f"p{i}" for i in range(len(partition_by))]
-    slot_names = [f"b{i}" for i in range(len(buckets))]
-    base = df.withColumn(
-        slot,
-        F.struct(
-            *[_col(p).alias(n) for n, p in zip(part_names, partition_by)],
-            *[_col(b.column).alias(n) for n, b in zip(slot_names, buckets)],
-        ),
-    )
+    ranged = in_ranges(df, [*[_col(p) for p in partition_by], *[o.sort() for o in order_by]], part)
+    base = ranged.withColumn(slot, F.struct(*[_col(p).alias(n) for n, p in zip(part_names, partition_by)], F.col(part).alias("b"))).drop(part)
     local = Window.partitionBy(slot).orderBy(*[o.sort() for o in order_by])
     backward = Window.partitionBy(slot).orderBy(*[o.reversed().sort() for o in order_by])
     inside = local.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -175,14 +133,14 @@ def spread_window(df: DataFrame, partition_by, order_by, bucket, columns: dict,
         work[f"{_TMP}{name}_local"] = _local_shift(s, value, local, backward)
     base = base.withColumns(work)
 
-    # One row per group and bucket.
+    # One row per group and range.
     aggregates = [F.count(F.lit(1)).alias("rows")]
     if "dense_rank" in kinds:
         aggregates.append(F.max(f"{_TMP}dense").alias("dense"))
     for name, s in shifts.items():
         near = (F.col(f"{_TMP}{name}_left") <= s.offset) & F.col(f"{_TMP}{name}_value").isNotNull()
         pair = F.struct(F.col(f"{_TMP}{name}_left").alias("i"), F.col(f"{_TMP}{name}_value").alias("v"))
-        # At most ``offset`` rows of the bucket, nearest to its end (its start for lead).
+        # At most ``offset`` rows of the slot, nearest to its end (its start for lead).
         aggregates.append(F.sort_array(F.collect_list(F.when(near, pair)), asc=False).alias(f"tail_{name}"))
     for name, s in edges.items():
         kept = F.col(s.column).isNotNull() if s.ignore_nulls else F.lit(True)
@@ -196,13 +154,10 @@ def spread_window(df: DataFrame, partition_by, order_by, bucket, columns: dict,
             aggregates.append(F.sort_array(F.collect_list(head)).alias(f"edge_{name}"))
     slots = base.groupBy(slot).agg(*aggregates)
 
-    # Carry over the buckets of a group: its size is the number of buckets, not of rows.
+    # Carry over the slots of a group: at most one per range, whatever its rows.
     group_cols = [F.col(slot)[n] for n in part_names]
-    slot_order = [
-        Order(F.col(slot)[n], b.descending, b.nulls_first).sort() for n, b in zip(slot_names, buckets)
-    ]
     whole = Window.partitionBy(*group_cols)
-    ordered = whole.orderBy(*slot_order)
+    ordered = whole.orderBy(F.col(slot)["b"])
     earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
     later = ordered.rowsBetween(1, Window.unboundedFollowing)
     full = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -218,14 +173,16 @@ def spread_window(df: DataFrame, partition_by, order_by, bucket, columns: dict,
             filled, frame = F.when(F.size(tail) > 0, tail), later if s.lead else earlier
             carry[f"{_TMP}{name}_tail"] = (F.first if s.lead else F.last)(filled, ignorenulls=True).over(frame)
         else:
-            # Every bucket has a row, so the nearest ``offset`` buckets are enough.
+            # Every slot has a row, so the nearest ``offset`` slots are enough.
             frame = ordered.rowsBetween(1, s.offset) if s.lead else ordered.rowsBetween(-s.offset, -1)
             tails = F.collect_list(tail).over(frame)
             carry[f"{_TMP}{name}_tail"] = F.flatten(F.reverse(tails) if s.lead else tails)
     for name, s in edges.items():
         if s.kind == "nth":
-            heads = F.flatten(F.collect_list(f"edge_{name}").over(full))
-            carry[f"{_TMP}{name}_edge"] = F.get(heads, F.lit(s.n - 1))
+            # Only one slot of a group holds its n-th row.
+            before = F.coalesce(F.sum("rows").over(earlier), F.lit(0))
+            slots = slots.withColumn(f"nth_{name}", F.get(f"edge_{name}", (s.n - 1 - before).cast("int")))
+            carry[f"{_TMP}{name}_edge"] = F.first(f"nth_{name}", ignorenulls=True).over(full)
         else:
             pick = F.first if s.kind == "first" else F.last
             carry[f"{_TMP}{name}_edge"] = pick(f"edge_{name}", ignorenulls=True).over(full)
@@ -239,7 +196,7 @@ def spread_window(df: DataFrame, partition_by, order_by, bucket, columns: dict,
         if isinstance(s, Rank):
             result[name] = _rank(s, rn, total)
         elif isinstance(s, Shift):
-            # Near the bucket's edge the local step finds nothing; then the neighbour buckets' rows have the value.
+            # Near the slot's edge the local step finds nothing; then the neighbour slots' rows have the value.
             itself = F.when(F.col(f"{_TMP}{name}_value").isNotNull(), 1).otherwise(0)
             missing = s.offset - (F.col(f"{_TMP}{name}_seen") - itself)
             tail = F.coalesce(F.col(f"{_TMP}{name}_tail"), F.array())

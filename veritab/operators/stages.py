@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from veritab.operators.canonical import column
 from veritab.operators.changes import one_row_per_key
-from veritab.operators.ranking import Order, Rank, asc, bucket_of, split_points, spread_window
+from veritab.operators.ranking import Order, Rank, asc, spread_window
 
 
 def aggregate(df: DataFrame, group, **aggregates: Column) -> DataFrame:
@@ -163,9 +163,9 @@ def peek(df: DataFrame, order, n: int = 10) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def pivot_rows(df: DataFrame, keys, order, bucket, values, count: int, finer=()) -> DataFrame:
+def pivot_rows(df: DataFrame, keys, order, values, count: int) -> DataFrame:
     """The first ``count`` rows of each key side by side, as ``<value>_1``, ``<value>_2``, ..."""
-    numbered = spread_window(df, keys, [asc(o) for o in order], bucket, {"__rn": Rank("row_number")}, finer)
+    numbered = spread_window(df, keys, [asc(o) for o in order], {"__rn": Rank("row_number")})
     cells = [
         F.max(F.when(F.col("__rn") == i, column(v))).alias(f"{v}_{i}") for i in range(1, count + 1) for v in values
     ]
@@ -189,22 +189,19 @@ def remove_duplicates(df: DataFrame, keys, order=None, keep: str = "first") -> D
     return picked.select(*[kept.get(c, column(c)) for c in df.columns])
 
 
-def generate_rows(spark: SparkSession, n: int, **columns: Column) -> DataFrame:
-    """``n`` rows with columns computed from their number ``id``."""
-    return spark.range(n).select(*[c.alias(name) for name, c in columns.items()])
+def generate_rows(df: DataFrame, count: Column, name: str = "n") -> DataFrame:
+    """Each row as often as ``count`` says, numbered from 1; no rows for NULL, zero or less."""
+    numbers = F.when(count > 0, F.sequence(F.lit(1).cast("long"), count.cast("long")))
+    return df.select("*", F.explode(numbers).alias(name))
 
 
-def surrogate_keys(df: DataFrame, order, name: str = "sk", start: int = 0, bucket=None, buckets: int | None = None) -> DataFrame:
+def surrogate_keys(df: DataFrame, order, name: str = "sk", start: int = 0) -> DataFrame:
     """Keys ``start + 1``, ``start + 2``, ... without gaps, in the given order; no task sees all rows.
 
-    ``bucket`` follows the order (see :func:`spread_window`); by default the first order column, a number or a
-    time, is cut at split points of a sample.
+    Ranges are cut along the whole order, so a frequent first sort value is split by the columns after it.
     """
     order = [o if isinstance(o, Order) else asc(o) for o in order]
-    if bucket is None:
-        name_of = order[0].column
-        bucket = Order(bucket_of(F.col(name_of), split_points(df, name_of, buckets)), order[0].descending, order[0].nulls_first)
-    numbered = spread_window(df, [], order, bucket, {name: Rank("row_number")})
+    numbered = spread_window(df, [], order, {name: Rank("row_number")})
     return numbered.withColumn(name, F.col(name) + F.lit(start))
 
 
