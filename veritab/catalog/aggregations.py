@@ -12,6 +12,8 @@ from veritab.operators.aggregates import grouped_values
 from veritab.operators.assessment import metric_buckets
 from veritab.operators.compare import MISMATCH, compare_data
 from veritab.operators.quantiles import Percentile, exact_percentiles, modes
+from veritab.plans.reconcile import stratum_rows
+from veritab.session import materialise
 
 _ALL = ("min", "max", "count", "sum", "avg", "mean", "mode", "stddev", "variance", "median")
 _ROUNDED = {"avg": 4, "mean": 4, "stddev": 4, "variance": 2}
@@ -135,9 +137,15 @@ def listagg(read):
     )
 
 
-@query("A9_arrayagg", "SELECT l_orderkey, CAST(LEN(array_agg(l_partkey)) AS INTEGER) AS size FROM lineitem GROUP BY 1")
+@query(
+    "A9_arrayagg",
+    """SELECT l_orderkey, n AS place, v AS part FROM (
+         SELECT l_orderkey, UNNEST(list_sort(array_agg(l_partkey))) AS v, UNNEST(range(COUNT(*))) AS n FROM lineitem GROUP BY 1)""",
+)
 def arrayagg(read):
-    return read("lineitem").groupBy("l_orderkey").agg(F.size(F.array_agg("l_partkey")).alias("size"))
+    """The array of each order; it has no order of its own, so its elements are compared sorted."""
+    arrays = read("lineitem").groupBy("l_orderkey").agg(F.array_agg("l_partkey").alias("parts"))
+    return arrays.select("l_orderkey", F.posexplode(F.sort_array("parts")).alias("place", "part")).withColumn("place", F.col("place").cast("long"))
 
 
 @query(
@@ -164,12 +172,22 @@ def arrayagg_mixed_order(read):
     return read("lineitem").groupBy("l_orderkey").agg(F.array_join(parts, ",").alias("parts"))
 
 
-@query("A12_approx_percentile")
+@query("A12_approx_percentile", "SELECT DISTINCT o_orderstatus, true AS mid, true AS quartiles, 3 AS n FROM orders")
 def approx_percentile(read):
-    o = read("orders")
-    return o.groupBy("o_orderstatus").agg(
-        A.approx_percentile(F.col("o_totalprice"), 0.5).alias("mid"),
-        F.array_join(A.approx_percentile(F.col("o_totalprice"), [0.25, 0.5, 0.75], 0.5), ",").alias("quartiles"),
+    """Approximate percentiles lie within the error that was asked for: the share of smaller values says so."""
+    o = read("orders").select("o_orderstatus", "o_totalprice")
+    found = o.groupBy("o_orderstatus").agg(
+        A.approx_percentile(F.col("o_totalprice"), 0.5).alias("m"), A.approx_percentile(F.col("o_totalprice"), [0.25, 0.5, 0.75], 0.05).alias("q")
+    )
+    joined = o.join(found, "o_orderstatus")
+
+    def near(value, share, error):
+        below, upto = F.avg((F.col("o_totalprice") < value).cast("int")), F.avg((F.col("o_totalprice") <= value).cast("int"))
+        return (below <= share + error) & (upto >= share - error)
+
+    quartiles = [near(F.col("q")[i], s, 0.05) for i, s in enumerate((0.25, 0.5, 0.75))]
+    return joined.groupBy("o_orderstatus").agg(
+        near(F.col("m"), 0.5, 0.001).alias("mid"), (quartiles[0] & quartiles[1] & quartiles[2]).alias("quartiles"), F.max(F.size("q")).alias("n")
     )
 
 
@@ -185,16 +203,25 @@ def weighted_percentile(read):
     )
 
 
-@query("A13_approx_top_k")
+@query("A13_approx_top_k", "SELECT DISTINCT o_orderstatus, CAST(3 AS BIGINT) AS items, true AS counted, true AS largest FROM orders")
 def approx_top_k(read):
-    return read("orders").groupBy("o_orderstatus").agg(
-        F.to_json(F.expr("approx_top_k(o_orderpriority, 3, 100)")).alias("top")
+    """With more counters than values the counts are exact, and no value left out is more frequent."""
+    o = read("orders").select("o_orderstatus", "o_orderpriority")
+    top = o.groupBy("o_orderstatus").agg(F.expr("approx_top_k(o_orderpriority, 3, 100)").alias("top"))
+    top = top.select("o_orderstatus", F.explode("top").alias("t")).select(F.col("o_orderstatus").alias("s"), F.col("t.item").alias("item"), F.col("t.count").alias("n"))
+    exact = o.groupBy("o_orderstatus", "o_orderpriority").agg(F.count("*").alias("exact"))
+    joined = exact.join(top, (F.col("o_orderstatus") == F.col("s")) & (F.col("o_orderpriority") == F.col("item")), "left")
+    least, left_out = F.min("n"), F.max(F.when(F.col("n").isNull(), F.col("exact")))
+    return joined.groupBy("o_orderstatus").agg(
+        F.count("n").alias("items"), F.every(F.coalesce(F.col("n") == F.col("exact"), F.lit(True))).alias("counted"), F.coalesce(left_out <= least, F.lit(True)).alias("largest")
     )
 
 
-@query("A14_approx_count_distinct")
+@query("A14_approx_count_distinct", "SELECT DISTINCT l_returnflag, true AS near FROM lineitem")
 def approx_count_distinct(read):
-    return read("lineitem").groupBy("l_returnflag").agg(F.approx_count_distinct("l_partkey", 0.02).alias("parts"))
+    """Within three times the standard error that was asked for."""
+    counts = read("lineitem").groupBy("l_returnflag").agg(F.approx_count_distinct("l_partkey", 0.02).alias("a"), F.count_distinct("l_partkey").alias("n"))
+    return counts.select("l_returnflag", (F.abs(F.col("a") - F.col("n")) <= 0.06 * F.col("n")).alias("near"))
 
 
 @query(
@@ -339,28 +366,70 @@ def _mismatch(read):
     return compare_data(s, t, config).filter(F.col("class") == MISMATCH).select("o_orderkey"), t
 
 
-@query("M1_random_sample")
+def _judged(whole, sample, again, key, low, high):
+    """One row: are all sampled rows in the table and none twice as often, is the size in bounds, does a rerun agree?"""
+    def counts(df, name):
+        return df.groupBy(*[F.col(k).alias(f"{name}_{k}") for k in key]).agg(F.count("*").alias(name))
+
+    joined = counts(whole, "of_all")
+    for name, df in (("first", sample), ("second", again)):
+        same = F.lit(True)
+        for k in key:
+            same = same & F.col(f"of_all_{k}").eqNullSafe(F.col(f"{name}_{k}"))
+        joined = joined.join(counts(df, name), same, "full")
+    n = F.coalesce(F.sum("first"), F.lit(0))
+    return joined.agg(
+        F.every(F.coalesce(F.col("first"), F.lit(0)) <= F.coalesce(F.col("of_all"), F.lit(0))).alias("subset"),
+        n.between(F.lit(low) if not callable(low) else low(F.sum("of_all")), F.lit(high) if not callable(high) else high(F.sum("of_all"))).alias("size_in_bounds"),
+        F.every(F.col("first").eqNullSafe(F.col("second"))).alias("rerun_agrees"),
+    )
+
+
+_JUDGED = "SELECT true AS subset, true AS size_in_bounds, true AS rerun_agrees"
+
+
+@query("M1_random_sample", f"{_JUDGED} FROM orders LIMIT 1")
 def random_sample(read):
+    """At most 100 differing keys; a fixed table and seed give the same ones."""
     wrong, _ = _mismatch(read)
-    return M.sample_random(wrong, 100, wrong.count())
+    wrong = materialise(wrong, "wrong")
+    n = wrong.count()
+    return _judged(wrong, M.sample_random(wrong, 100, n), M.sample_random(wrong, 100, n), ["o_orderkey"], 1, 100)
 
 
-@query("M2_stratified_sample")
+@query("M2_stratified_sample", f"{_JUDGED}, true AS all_strata FROM orders LIMIT 1")
 def stratified_sample(read):
+    """Every bucket is present, for a key that is NULL in some rows and has another name in the target."""
+    key = F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderkey"))
     wrong, target = _mismatch(read)
-    sampling = Sampling("stratified", 100, ("o_orderstatus", "o_orderpriority"), 4)
-    return M.sample_stratified(wrong, target, ["o_orderkey"], sampling)
+    wrong = wrong.select(key.alias("k"), F.col("o_orderkey").alias("second"))
+    mapped = target.select(key.alias("k_t"), F.col("o_orderkey").alias("second_t"), "o_orderstatus", "o_orderpriority")
+    config = TableConfig(
+        "o", "o", keys=("k", "second"), mapping={"k": "k_t", "second": "second_t"}, sampling=Sampling("stratified", 100, ("o_orderstatus", "o_orderpriority"), 4)
+    )
+    strata = stratum_rows(mapped, config)
+    one, two = (materialise(M.sample_stratified(wrong, strata, config.keys, config.sampling), "picked") for _ in range(2))
+    buckets = strata.withColumn("bucket", M.stratum(config.sampling.columns, 4))
+
+    def held(keys):
+        return buckets.join(keys.select(F.col("second").alias("s2")), F.col("second") == F.col("s2"), "left_semi").select("bucket").distinct()
+
+    missing = held(wrong).join(held(one), "bucket", "left_anti").agg((F.count("*") == 0).alias("all_strata"))
+    return _judged(wrong, one, two, ["k", "second"], 1, 100).join(missing)
 
 
-@query("M3_table_sample")
+@query("M3_table_sample", f"{_JUDGED} FROM orders LIMIT 1")
 def table_sample(read):
+    """A share of a joined result; the same seed over the same rows gives the same sample."""
     joined = read("orders").join(read("customer"), F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_name")
-    return M.sample_share(joined, 8, 99)
+    joined = materialise(joined, "joined")
+    return _judged(joined, M.sample_share(joined, 8, 99), M.sample_share(joined, 8, 99), ["o_orderkey", "c_name"], lambda n: n * 0.04, lambda n: n * 0.12)
 
 
-@query("M4_percentage_sample")
+@query("M4_percentage_sample", f"{_JUDGED} FROM lineitem LIMIT 1")
 def percentage_sample(read):
-    return M.sample_share(read("lineitem"), 10, 7).select("l_orderkey", "l_linenumber")
+    one, two = (M.sample_share(read("lineitem"), 10, 7) for _ in range(2))
+    return _judged(read("lineitem"), one, two, ["l_orderkey", "l_linenumber"], lambda n: n * 0.07, lambda n: n * 0.13)
 
 
 @query(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from veritab.catalog.data import MONEY, same_sql, sides_sql, source_side, target_side
 from veritab.catalog.joins import hot
 from veritab.catalog.registry import query
-from veritab.config import Aggregate, ColumnThreshold, TableConfig, TableThreshold
+from veritab.config import Aggregate, ColumnThreshold, TableConfig, TableThreshold, Transformation
 from veritab.operators import compare as X
 from veritab.operators.aggregates import aggregate_rules, aggregate_side, compare_rule, join_aggregates, rule_counts
 from veritab.operators.canonical import comparable
@@ -128,6 +128,40 @@ def data_report_hot_key(read):
     return X.class_counts(X.compare_data(hot(source_side(read, "orders")), hot(target_side(read, "orders")), config))
 
 
+@query(
+    "R3_null_expressions_and_borders",
+    """WITH s AS (SELECT c_custkey, CASE WHEN c_custkey % 3 <> 0 THEN c_mktsegment END AS a, c_name || 'x' AS b, 'y' AS c FROM customer),
+    t AS (SELECT c_custkey, CASE WHEN c_custkey % 3 <> 0 THEN c_mktsegment END AS a, c_name || CASE WHEN c_custkey % 5 = 0 THEN 'z' ELSE 'x' END AS b, 'y' AS c
+          FROM customer WHERE c_custkey % 7 <> 0
+          UNION ALL SELECT c_custkey, CASE WHEN c_custkey % 3 <> 0 THEN c_mktsegment END, c_name, 'xy' FROM customer WHERE c_custkey % 7 = 0)
+    SELECT CASE WHEN UPPER(s.a) IS NOT DISTINCT FROM UPPER(t.a) AND s.b = t.b AND s.c = t.c THEN 'match' ELSE 'mismatch' END AS class,
+           CAST(COUNT(*) AS DECIMAL(38,0)) AS rows
+    FROM s JOIN t USING (c_custkey) GROUP BY 1""",
+)
+def null_expressions_and_borders(read):
+    """A NULL from a user expression does not hide other differences, nor does text that moves to the next column."""
+    k = F.col("c_custkey")
+    base = read("customer").select(k, F.when(k % 3 != 0, F.col("c_mktsegment")).alias("a"), "c_name")
+    s = base.select(k, "a", F.concat("c_name", F.lit("x")).alias("b"), F.lit("y").alias("c"))
+    last = F.when(k % 7 == 0, "").when(k % 5 == 0, "z").otherwise("x")
+    t = base.select(k, "a", F.concat("c_name", last).alias("b"), F.when(k % 7 == 0, "xy").otherwise("y").alias("c"))
+    config = TableConfig("c", "c", keys=("c_custkey",), transformations=(Transformation("a", "upper(a)", "upper(a)"),))
+    return X.class_counts(X.compare_data(s, t, config))
+
+
+@query(
+    "R2_null_expressions",
+    """SELECT 'missing_in_src' AS class, CAST(COUNT(*) AS DECIMAL(38,0)) AS rows FROM customer WHERE c_custkey % 5 = 0
+       UNION ALL SELECT 'missing_in_tgt', COUNT(*) FROM customer WHERE c_custkey % 5 = 0""",
+)
+def row_report_null_expressions(read):
+    k = F.col("c_custkey")
+    s = read("customer").select(k, F.when(k % 2 != 0, F.col("c_mktsegment")).alias("a"), F.lit("x").alias("b"))
+    t = s.withColumn("b", F.when(k % 5 == 0, "y").otherwise("x"))
+    config = TableConfig("c", "c", keys=("c_custkey",), transformations=(Transformation("a", "upper(a)", "upper(a)"),))
+    return X.class_counts(X.compare_rows(s, t, config))
+
+
 @query(
     "R4_all_report",
     f"""WITH {sides_sql('customer')}, j AS (
@@ -214,8 +248,8 @@ def side_by_side(read):
 @query(
     "R7_mismatching_columns",
     f"""WITH c AS ({_CAPTURE})
-    SELECT 'c_acctbal' AS column_name, BOOL_OR(NOT COALESCE(c_acctbal_match, false)) AS differs FROM c
-    UNION ALL SELECT 'c_mktsegment', BOOL_OR(NOT COALESCE(c_mktsegment_match, false)) FROM c""",
+    SELECT 'c_acctbal' AS column_name, BOOL_OR(NOT COALESCE(c_acctbal_match, false)) AS differs, COUNT(*) FILTER (NOT COALESCE(c_acctbal_match, false)) AS rows FROM c
+    UNION ALL SELECT 'c_mktsegment', BOOL_OR(NOT COALESCE(c_mktsegment_match, false)), COUNT(*) FILTER (NOT COALESCE(c_mktsegment_match, false)) FROM c""",
 )
 def mismatching_columns(read):
     return X.mismatching_columns(_captured(read))
@@ -226,14 +260,13 @@ def mismatching_columns(read):
     f"""WITH {sides_sql('orders')}
     SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, CAST(o_totalprice AS VARCHAR) AS o_totalprice,
            COALESCE(TRIM(o_orderpriority), '_null_recon_') AS o_orderpriority, o_orderstatus
-    FROM tgt WHERE o_orderkey NOT IN (SELECT o_orderkey FROM src) ORDER BY 1 LIMIT 50""",
+    FROM tgt WHERE o_orderkey NOT IN (SELECT o_orderkey FROM src)""",
 )
 def missing_rows(read):
-    """Full rows, in canonical text, of the first 50 keys that the source lacks: the sample a report shows."""
+    """Full rows, in canonical text, of all keys that the source lacks."""
     s, t = source_side(read, "orders"), target_side(read, "orders")
     missing = X.compare_data(s, t, ORDERS).filter(F.col("class") == X.MISSING_IN_SOURCE).select("o_orderkey")
-    picked = missing.orderBy("o_orderkey").limit(50)
-    return X.fetch_by_keys(X.plain_rows(t, ORDERS, "target", s.columns), picked, ORDERS.keys)
+    return X.fetch_by_keys(X.plain_rows(t, ORDERS, "target", s.columns), missing, ORDERS.keys)
 
 
 _STATUS = """CASE WHEN COALESCE(s, 0) - COALESCE(t, 0) = 0 THEN 'Match' WHEN {m} BETWEEN {lo} AND {hi} THEN 'Warning' ELSE 'Failed' END"""

@@ -80,6 +80,12 @@ tgt AS (
   SELECT {key} + {SHIFT}, {others}, {money}, {text} FROM kept WHERE doubled)"""
 
 
+def hash_sql(*texts: str, function: str = "sha256") -> str:
+    """The row hash: each text with its length, NULL as a mark."""
+    parts = " || ".join(f"COALESCE(CAST(LENGTH({t}) AS VARCHAR) || ':' || {t}, 'n')" for t in texts)
+    return f"{function}({parts})"
+
+
 def same_sql(table: str, a: str = "s", b: str = "t") -> str:
     """Do the compared columns of two rows agree? Written on the columns, not on a hash."""
     _, text, money, rest = _SHAPES[table]

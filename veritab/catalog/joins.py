@@ -2,11 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from veritab.catalog.data import MONEY, same_sql, sides_sql, source_side, target_side
+from veritab.catalog.data import MONEY, hash_sql, same_sql, sides_sql, source_side, target_side
 from veritab.catalog.registry import query
 from veritab.config import Aggregate, ColumnThreshold, TableConfig
 from veritab.operators import compare as X
-from veritab.operators import sampling
 from veritab.operators.aggregates import aggregate_rules, join_aggregates
 from veritab.operators.canonical import HASH_COLUMN, comparable
 from veritab.operators.stages import lookup
@@ -49,12 +48,12 @@ def full_join_null_safe(read):
 @query(
     "J2_full_join_on_hash",
     f"""WITH {sides_sql('orders')},
-    h AS (SELECT sha256(CAST(o_custkey AS VARCHAR) || CAST(o_orderkey AS VARCHAR) || COALESCE(TRIM(o_orderpriority), '_null_recon_')
-            || o_orderstatus || CAST(o_totalprice AS VARCHAR)) AS hash_value_recon, 1 AS s, 0 AS t FROM src
-          UNION ALL
-          SELECT sha256(CAST(o_custkey AS VARCHAR) || CAST(o_orderkey AS VARCHAR) || COALESCE(TRIM(o_orderpriority), '_null_recon_')
-            || o_orderstatus || CAST(o_totalprice AS VARCHAR)), 0, 1 FROM tgt)
-    SELECT hash_value_recon, CAST(SUM(s) AS BIGINT) AS src_rows, CAST(SUM(t) AS BIGINT) AS tgt_rows FROM h GROUP BY 1""",
+    text AS (
+      SELECT CAST(o_custkey AS VARCHAR) AS a, CAST(o_orderkey AS VARCHAR) AS b, COALESCE(TRIM(o_orderpriority), '_null_recon_') AS c,
+             o_orderstatus AS d, CAST(o_totalprice AS VARCHAR) AS e, s, t
+      FROM (SELECT *, 1 AS s, 0 AS t FROM src UNION ALL BY NAME SELECT *, 0 AS s, 1 AS t FROM tgt))
+    SELECT {hash_sql(*"abcde")} AS hash_value_recon, CAST(SUM(s) AS BIGINT) AS src_rows, CAST(SUM(t) AS BIGINT) AS tgt_rows
+    FROM text GROUP BY 1""",
 )
 def full_join_on_hash(read):
     left, right, _ = _hashed(read, "row")
@@ -131,14 +130,14 @@ def threshold_join(read):
 @query(
     "J7_rows_of_sampled_keys",
     f"""WITH {sides_sql('orders')}, k AS (
-      SELECT s.o_orderkey FROM src s JOIN tgt t USING (o_orderkey) WHERE NOT ({same_sql('orders')}) ORDER BY 1 LIMIT 50)
+      SELECT s.o_orderkey FROM src s JOIN tgt t USING (o_orderkey) WHERE NOT ({same_sql('orders')}))
     SELECT t.* FROM tgt t JOIN k USING (o_orderkey)""",
 )
 def rows_of_sampled_keys(read):
+    """Rows of a key set of any size; here all differing keys, far more than a sample has."""
     left, right, config = _hashed(read)
     wrong = X.classify(left, right, config.keys).filter(F.col("class") == X.MISMATCH)
-    picked = sampling.shown_rows(wrong.select("o_orderkey"), ["o_orderkey"])
-    return X.fetch_by_keys(target_side(read, "orders"), picked, config.keys)
+    return X.fetch_by_keys(target_side(read, "orders"), wrong.select("o_orderkey"), config.keys)
 
 
 @query(

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from veritab.catalog.data import sides_sql, target_side
+from veritab.catalog.data import hash_sql, sides_sql, target_side
 from veritab.catalog.registry import query
 from veritab.config import Aggregate, ColumnThreshold, TableConfig, Transformation, plain_name
 from veritab.operators import canonical as C
@@ -28,7 +28,7 @@ def map_columns(read):
 
 @query(
     "P4_user_transformation",
-    """SELECT s_suppkey, sha256(UPPER(REPLACE(s_name, '#', '-')) || CAST(s_suppkey AS VARCHAR)) AS hash_value_recon
+    f"""SELECT s_suppkey, {hash_sql("UPPER(REPLACE(s_name, '#', '-'))", "CAST(s_suppkey AS VARCHAR)")} AS hash_value_recon
        FROM supplier""",
 )
 def user_transformation(read):
@@ -124,7 +124,7 @@ _HASHED = TableConfig(
 
 @query(
     "P11_hash_column_set",
-    """SELECT o_orderkey, sha256(CAST(o_custkey AS VARCHAR) || CAST(o_orderkey AS VARCHAR) || TRIM(o_orderpriority))
+    f"""SELECT o_orderkey, {hash_sql("CAST(o_custkey AS VARCHAR)", "CAST(o_orderkey AS VARCHAR)", "TRIM(o_orderpriority)")}
        AS hash_value_recon FROM orders""",
 )
 def hash_column_set(read):
@@ -133,7 +133,7 @@ def hash_column_set(read):
 
 @query(
     "P12_hash_column_order",
-    """SELECT o_orderkey, sha256(CAST(o_custkey AS VARCHAR) || CAST(o_orderkey AS VARCHAR) || TRIM(o_orderpriority))
+    f"""SELECT o_orderkey, {hash_sql("CAST(o_custkey AS VARCHAR)", "CAST(o_orderkey AS VARCHAR)", "TRIM(o_orderpriority)")}
        AS hash_value_recon FROM orders""",
 )
 def hash_column_order(read):
@@ -153,9 +153,9 @@ def hash_column_order(read):
 @query(
     "P13_row_hash",
     f"""WITH {sides_sql('orders')}, text AS (
-      SELECT o_orderkey, CAST(o_custkey AS VARCHAR) || CAST(o_orderkey AS VARCHAR) || COALESCE(TRIM(o_orderpriority), '_null_recon_')
-             || o_orderstatus || CAST(o_totalprice AS VARCHAR) AS t FROM tgt)
-    SELECT o_orderkey, sha256(t) AS sha, md5(t) AS md5 FROM text""",
+      SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS a, CAST(o_orderkey AS VARCHAR) AS b, COALESCE(TRIM(o_orderpriority), '_null_recon_') AS c,
+             o_orderstatus AS d, CAST(o_totalprice AS VARCHAR) AS e FROM tgt)
+    SELECT o_orderkey, {hash_sql(*"abcde")} AS sha, {hash_sql(*"abcde", function="md5")} AS md5 FROM text""",
 )
 def row_hash(read):
     t = target_side(read, "orders")
@@ -171,7 +171,7 @@ def row_hash(read):
 
 @query(
     "P14_key_projection",
-    """SELECT o_orderkey, o_custkey, sha256(CAST(o_orderkey AS VARCHAR) || o_orderstatus) AS hash_value_recon FROM orders""",
+    f"""SELECT o_orderkey, o_custkey, {hash_sql("CAST(o_orderkey AS VARCHAR)", "o_orderstatus")} AS hash_value_recon FROM orders""",
 )
 def key_projection(read):
     config = TableConfig("orders", "orders", keys=("o_orderkey",), select=("o_orderstatus",), partition_column="o_custkey")
@@ -180,7 +180,7 @@ def key_projection(read):
 
 @query(
     "P15_special_names",
-    """SELECT sha256(TRIM(c_name) || CAST(c_custkey AS VARCHAR)) AS hash_value_recon, c_custkey AS "cust `key`" FROM customer""",
+    f"""SELECT {hash_sql("TRIM(c_name)", "CAST(c_custkey AS VARCHAR)")} AS hash_value_recon, c_custkey AS "cust `key`" FROM customer""",
 )
 def special_names(read):
     odd = read("customer").select(F.col("c_custkey").alias("cust `key`"), F.col("c_name").alias("a name"))
@@ -190,7 +190,7 @@ def special_names(read):
 
 @query(
     "P16_normalised_config",
-    """SELECT c_custkey, sha256(CAST(c_custkey AS VARCHAR) || TRIM(c_mktsegment)) AS hash_value_recon FROM customer""",
+    f"""SELECT c_custkey, {hash_sql("CAST(c_custkey AS VARCHAR)", "TRIM(c_mktsegment)")} AS hash_value_recon FROM customer""",
 )
 def normalised_config(read):
     """Names in any case and quoting give one configuration."""
@@ -220,7 +220,7 @@ def row_checksum(read):
     """SELECT c_custkey, sha256(CAST(c_custkey AS VARCHAR) || '|' || TRIM(c_name)) AS hash_value_recon FROM customer""",
 )
 def separator_option(read):
-    """With a separator, 'ab'+'c' and 'a'+'bc' hash apart."""
+    """The layout of other systems: texts joined by a separator."""
     config = TableConfig("c", "c", keys=("c_custkey",), select=("c_name",), separator="|")
     return C.comparable(read("customer"), config, "source")
 

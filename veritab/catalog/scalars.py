@@ -1,5 +1,7 @@
 """Scalar functions over the given tables."""
 
+import time
+
 from pyspark.sql import functions as F
 
 from veritab.catalog.registry import query
@@ -288,9 +290,14 @@ def square(read):
     return read("part").select("p_partkey", N.square(F.col("p_size")).alias("s"))
 
 
-@query("F21_random")
+@query("F21_random", "SELECT p_partkey, true AS inside, true AS same_seed, COUNT(*) OVER () > 1 AS differs FROM part")
 def random(read):
-    return read("part").select("p_partkey", F.rand(42).alias("seeded"), F.rand().alias("free"))
+    """From 0 up to but without 1; a seed fixes the values; rows differ."""
+    drawn = read("part").select("p_partkey", F.rand(42).alias("a"), F.rand(42).alias("b"), F.rand().alias("c"))
+    several = F.count_distinct("c") > 1
+    return drawn.join(drawn.agg(several.alias("differs"))).select(
+        "p_partkey", (F.col("a").between(0, 0.9999999999999999) & F.col("c").between(0, 0.9999999999999999)).alias("inside"), (F.col("a") == F.col("b")).alias("same_seed"), "differs"
+    )
 
 
 @query(
@@ -326,10 +333,17 @@ def hashes(read):
     return read("customer").select("c_custkey", F.md5("c_name").alias("m"), N.sha2(F.col("c_name")).alias("s"))
 
 
-@query("F24_hash_and_uuid")
+@query(
+    "F24_hash_and_uuid",
+    """SELECT c_custkey, true AS same_hash, true AS free_uuid,
+         CAST(s[1:8] || '-' || s[9:12] || '-5' || s[14:16] || '-' || lower(to_hex((CAST('0x' || s[17:18] AS BIGINT) & 63) | 128)) || s[19:20] || '-' || s[21:32] AS VARCHAR) AS named
+       FROM (SELECT c_custkey, sha1(from_hex('6ba7b8109dad11d180b400c04fd430c8') || encode(c_name)) AS s FROM customer)""",
+)
 def hash_and_uuid(read):
+    """Equal texts have equal hashes, free ids have the form of version 4, named ids follow from the name."""
+    form = r"^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$"
     return read("customer").select(
-        "c_custkey", F.hash("c_name").alias("h"), F.expr("uuid()").alias("u"),
+        "c_custkey", (F.hash("c_name") == F.hash(F.concat("c_name", F.lit("")))).alias("same_hash"), F.expr("uuid()").rlike(form).alias("free_uuid"),
         N.uuid_from_name("6ba7b810-9dad-11d1-80b4-00c04fd430c8", F.col("c_name")).alias("named"),
     )
 
@@ -526,7 +540,9 @@ def timestamp_add(read):
     "F37_date_add",
     """SELECT o_orderkey, strftime(o_orderdate + INTERVAL 2 DAY, '%Y-%m-%d') AS a, strftime(o_orderdate + INTERVAL 14 DAY, '%Y-%m-%d') AS b, strftime(o_orderdate + INTERVAL 1 MONTH, '%Y-%m-%d') AS c,
          strftime(o_orderdate + INTERVAL 6 MONTH, '%Y-%m-%d') AS d, strftime(o_orderdate + INTERVAL 24 MONTH, '%Y-%m-%d') AS e, strftime(o_orderdate + INTERVAL 7 HOUR, '%Y-%m-%d %H:%M:%S') AS f,
-         strftime(o_orderdate + INTERVAL 45 SECOND, '%Y-%m-%d %H:%M:%S') AS g, strftime(o_orderdate + INTERVAL 1500 MILLISECOND, '%Y-%m-%d %H:%M:%S') AS h FROM orders""",
+         strftime(o_orderdate + INTERVAL 45 SECOND, '%Y-%m-%d %H:%M:%S') AS g, strftime(o_orderdate + INTERVAL 1500 MILLISECOND, '%Y-%m-%d %H:%M:%S') AS h,
+         strftime(o_orderdate + INTERVAL 13 HOUR + INTERVAL 3 DAY, '%Y-%m-%d %H:%M:%S') AS i, strftime(o_orderdate + INTERVAL 13 HOUR + INTERVAL 1 MONTH, '%Y-%m-%d %H:%M:%S') AS j,
+         epoch_us(o_orderdate + INTERVAL 7 MICROSECOND) AS k FROM orders""",
 )
 def date_add(read):
     day, ts = F.col("o_orderdate").cast("date"), F.col("o_orderdate")
@@ -539,6 +555,9 @@ def date_add(read):
         "f": _text(D.date_add("hour", 7, ts)),
         "g": _text(D.date_add("second", 45, ts)),
         "h": _text(D.date_add("millisecond", 1500, ts)),
+        "i": _text(D.date_add("day", 3, D.date_add("hour", 13, ts))),
+        "j": _text(D.date_add("month", 1, D.date_add("hour", 13, ts))),
+        "k": F.unix_micros(D.date_add("nanosecond", 7999, ts.cast("timestamp"))),
     }
     return read("orders").select("o_orderkey", *[c.alias(n) for n, c in cells.items()])
 
@@ -655,13 +674,15 @@ def convert_timezone(read):
     )
 
 
-@query("F47_current_time")
+@query("F47_current_time", "SELECT n_nationkey, true AS now, true AS today, true AS time FROM nation")
 def current_time(read):
+    """The clock of the query: after the data were written, and date and time of one moment."""
+    ts = F.current_timestamp()
     return read("nation").select(
         "n_nationkey",
-        _text(F.current_timestamp()).alias("ts"),
-        F.current_date().cast("string").alias("d"),
-        F.date_format(F.current_timestamp(), "HH:mm:ss").alias("t"),
+        (F.abs(F.unix_timestamp(ts) - F.lit(int(time.time()))) < 3600).alias("now"),
+        (F.current_date() == F.to_date(ts)).alias("today"),
+        F.date_format(ts, "HH:mm:ss").rlike("^[0-2][0-9]:[0-5][0-9]:[0-5][0-9]$").alias("time"),
     )
 
 

@@ -27,22 +27,6 @@ def table_scan(read):
     return scans.read_table(shouting.sparkSession, name).select("c_custkey", "c_name", "c_mktsegment")
 
 
-@query(
-    "S2_range_split",
-    """SELECT CAST(FLOOR((o_orderkey - lo) / CEIL((hi - lo + 1) / 10.0)) AS INTEGER) AS part, COUNT(*) AS rows
-       FROM orders, (SELECT MIN(o_orderkey) AS lo, MAX(o_orderkey) AS hi FROM orders) GROUP BY 1""",
-)
-def range_split(read):
-    """The ten ranges of a split remote read, applied to the given table: every row is in exactly one."""
-    o = read("orders")
-    low, high = o.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
-    options = jdbc.JdbcOptions("o_orderkey", str(low), str(high), 10).as_options()
-    parts = int(options["numPartitions"])
-    step = -(-(int(options["upperBound"]) - int(options["lowerBound"]) + 1) // parts)
-    part = F.floor((F.col(options["partitionColumn"]) - int(options["lowerBound"])) / step).cast("int")
-    return o.groupBy(part.alias("part")).agg(F.count("*").alias("rows"))
-
-
 @query(
     "S3_remote_names",
     """SELECT p_partkey, 'tpch.t' || p_partkey AS oracle, 'db.tpch.t' || p_partkey AS snowflake, 'tpch.[t' || p_partkey || ']' AS sqlserver FROM part""",
@@ -101,7 +85,7 @@ def appended(read):
 @query(
     "S9_result_tables",
     """SELECT t AS table_name, n AS columns, CASE WHEN t = 'aggregate_rules' THEN 0 ELSE (SELECT COUNT(*) FROM orders) END AS rows
-       FROM (VALUES ('main', 9), ('metrics', 4), ('details', 5), ('aggregate_rules', 4), ('aggregate_metrics', 5), ('aggregate_details', 5)) v(t, n)""",
+       FROM (VALUES ('main', 9), ('metrics', 4), ('details', 5), ('aggregate_rules', 4), ('aggregate_metrics', 5), ('aggregate_details', 5), ('differences', 4), ('aggregate_differences', 5)) v(t, n)""",
 )
 def result_tables(read):
     """One row per order in the layout of every result table; rules have no table id."""

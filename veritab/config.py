@@ -104,8 +104,10 @@ class Sampling:
         if self.method == "stratified" and (not self.columns or not self.buckets):
             raise ConfigError("stratified sampling needs columns and buckets")
         object.__setattr__(self, "columns", _names(self.columns))
-        object.__setattr__(self, "count", max(MIN_SAMPLE, min(MAX_SAMPLE, int(self.count or MIN_SAMPLE))))
-        object.__setattr__(self, "buckets", max(MIN_BUCKETS, min(MAX_BUCKETS, int(self.buckets))))
+        for name, low, high in (("count", MIN_SAMPLE, MAX_SAMPLE), ("buckets", MIN_BUCKETS, MAX_BUCKETS)):
+            if not low <= int(getattr(self, name)) <= high:
+                raise ConfigError(f"sampling {name} must be from {low} to {high}, not {getattr(self, name)}")
+            object.__setattr__(self, name, int(getattr(self, name)))
 
 
 @dataclass(frozen=True)
@@ -142,7 +144,7 @@ class TableConfig:
     aggregates: tuple[Aggregate, ...] = ()
     sampling: Sampling = field(default_factory=Sampling)
     partition_column: str | None = None
-    separator: str = ""
+    separator: str | None = None
     hash_algorithm: str = "sha256"
 
     def __post_init__(self):

@@ -96,14 +96,17 @@ def canonical_column(df: DataFrame, config: TableConfig, side: str, name: str, s
     return canonical(column(physical), df.schema[physical].dataType, system).alias(name)
 
 
-def digest(columns: list[Column], algorithm: str = "sha256", separator: str = "") -> Column:
-    """Hash over concatenated text. Without a separator 'ab'+'c' and 'a'+'bc' hash alike."""
-    if separator:
-        parts = [columns[0]]
-        for c in columns[1:]:
-            parts += [F.lit(separator), c]
-        columns = parts
-    text = F.concat(*columns)
+def digest(columns: list[Column], algorithm: str = "sha256", separator: str | None = None) -> Column:
+    """Hash of texts; never NULL.
+
+    Each text comes with its length, and a NULL as a mark of its own, so two rows hash alike only if all their texts
+    agree. With a separator (it may be empty) the texts are joined as other systems lay them out, and a NULL reads
+    like ``NULL_MARK``; then borders may move, 'ab' + 'c' and 'a' + 'bc' hash alike without a separator.
+    """
+    if separator is None:
+        text = F.concat(*[F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), c), F.lit("n")) for c in columns])
+    else:
+        text = F.array_join(F.array(*columns), separator, NULL_MARK)
     return F.md5(text) if algorithm == "md5" else F.sha2(text, 256)
 
 

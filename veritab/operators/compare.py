@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veritab.config import MAX_SAMPLE, TableConfig
+from veritab.config import TableConfig
 from veritab.errors import ColumnSetError, ConfigError
 from veritab.operators.canonical import (
     HASH_COLUMN,
@@ -47,87 +47,27 @@ def _fold(df: DataFrame, columns) -> DataFrame:
     )
 
 
-def key_counts(source: DataFrame, target: DataFrame, keys, value: str | None = None) -> DataFrame:
+def key_counts(source: DataFrame, target: DataFrame, keys) -> DataFrame:
     """One row per key of either side with its rows per side; NULL is a key like others.
 
-    With ``value``, also the folded difference ``d0, d1`` of the values of both sides: two 64-bit hashes,
-    combined by exclusive or, so that a key with one row per side has zeros when its values are equal. All
-    state is a few numbers per key, so rows of a hot key fold before they are shuffled, and there is one shuffle.
+    All state is two numbers per key, so rows of a hot key fold before they are shuffled.
     """
-    keys = list(keys)
-    marks = [F.xxhash64(column(value)), F.xxhash64(column(value), F.lit(1))] if value else []
-    sides = [
-        d.select(
-            *[column(k) for k in keys],
-            F.lit(s).alias("src_rows"),
-            F.lit(t).alias("tgt_rows"),
-            *[m.alias(f"d{i}") for i, m in enumerate(marks)],
-        )
-        for d, s, t in ((source, 1, 0), (target, 0, 1))
-    ]
-    return (
-        sides[0]
-        .unionAll(sides[1])
-        .groupBy(*[column(k) for k in keys])
-        .agg(
-            F.sum("src_rows").alias("src_rows"),
-            F.sum("tgt_rows").alias("tgt_rows"),
-            *[F.bit_xor(f"d{i}").alias(f"d{i}") for i in range(len(marks))],
-        )
-    )
+    return _fold(two_sided(source, target, keys), keys)
 
 
 _SHARED_COPIES = "src_rows > 0 and tgt_rows > 0 and (src_rows > 1 or tgt_rows > 1)"
 
 
-def _stored_counts(counted: DataFrame) -> tuple[DataFrame, int, bool]:
-    """Counts per key in the shared folder; how many keys both sides hold and one holds several times; and whether
-    a large part of all rows has such a key. The numbers are observed while the counts are written.
-    """
-    n = F.col("src_rows") + F.col("tgt_rows")
-    seen = Observation()
-    stored = materialise(
-        counted.observe(
-            seen,
-            F.count_if(F.expr(_SHARED_COPIES)).alias("keys"),
-            F.sum(F.when(F.expr(_SHARED_COPIES), n)).alias("rows"),
-            F.sum(n).alias("all"),
-        ),
-        "keys",
-    )
-    found = seen.get
-    return stored, found["keys"], bool(found["keys"]) and found["rows"] * 4 > found["all"]
-
-
 def match_keys(source: DataFrame, target: DataFrame, keys, value: str = HASH_COLUMN) -> DataFrame:
     """One row per key of either side: rows per side and the number of matching pairs.
 
-    The counts per key are written to the shared folder. Where a key is held once per side they already say
-    whether its rows match; only for keys with copies are values counted one by one.
+    Rows are counted by key and value, then the counts are added up by key: the pairs of equal rows are products of
+    counts. Both tables are read once, and rows of a hot key or value fold before they are shuffled.
     """
     keys = list(keys)
-    counted, copies, most = _stored_counts(key_counts(source, target, keys, value))
-    names = [column(k) for k in keys]
-    equal = F.expr("src_rows = 1 and tgt_rows = 1 and d0 = 0 and d1 = 0")
-    single = counted.filter(f"not ({_SHARED_COPIES})").select(
-        *names, "src_rows", "tgt_rows", F.when(equal, 1).otherwise(0).cast(PAIRS).alias("match_pairs")
-    )
-    if not copies:
-        return single
-    wanted = counted.filter(_SHARED_COPIES).select(*[column(k).alias(f"__k{i}") for i, k in enumerate(keys)])
-    if not most:
-        same = _same(keys, wanted.columns)
-        source, target = (d.join(wanted, same, "left_semi") for d in (source, target))
-    return single.unionByName(_match_copies(source, target, keys, value).filter(_SHARED_COPIES))
-
-
-def _match_copies(source: DataFrame, target: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Matching pairs of keys with copies: products of the counts per value, added up per key."""
-    if value == HASH_COLUMN:
-        source, target = (
-            d.select(*[column(k) for k in keys], _compact(value).alias(value)) for d in (source, target)
-        )
-    per_value = _fold(two_sided(source, target, keys + [value]), keys + [value])
+    marked = _compact(value) if value == HASH_COLUMN else column(value)
+    sides = [d.select(*[column(k) for k in keys], marked.alias(value)) for d in (source, target)]
+    per_value = _fold(two_sided(*sides, keys + [value]), keys + [value])
     src, tgt = F.col("src_rows"), F.col("tgt_rows")
     # Products of small counts stay in a long, whose sum cannot overflow; only huge groups need a decimal.
     small = (src < _SMALL) & (tgt < _SMALL)
@@ -251,23 +191,26 @@ def pair_rows(source: DataFrame, target: DataFrame, keys, unique_keys: bool = Fa
             *[column(k) for k in keys], F.col("v").alias("s"), "t", F.lit(1).cast("long").alias("rows")
         )
 
-    counted, copies, _ = _stored_counts(key_counts(source, target, keys))
-    if not copies:
-        return pair_rows(source, target, keys, unique_keys=True)
-    shared = counted.filter(_SHARED_COPIES).select(*[column(k).alias(n) for k, n in zip(keys, names)])
-    same = _same(keys, names)
-    single = pair_rows(source.join(shared, same, "left_anti"), target.join(shared, same, "left_anti"), keys, True)
-    return single.unionByName(
-        _pair_copies(left.join(shared, same, "left_semi"), right.join(shared, same, "left_semi"), keys)
+    # Equal rows are folded and stored once; keys with and without copies both start from that.
+    folded = materialise(_fold(two_sided(left, right, keys + ["v"]), keys + ["v"]), "pairs")
+    per_key = folded.groupBy(*[column(k) for k in keys]).agg(
+        F.sum("src_rows").alias("src_rows"),
+        F.sum("tgt_rows").alias("tgt_rows"),
+        F.first(F.when(F.col("src_rows") > 0, F.col("v")), ignorenulls=True).alias("s"),
+        F.first(F.when(F.col("tgt_rows") > 0, F.col("v")), ignorenulls=True).alias("t"),
     )
+    single = per_key.filter("src_rows = 1 and tgt_rows = 1").select(*[column(k) for k in keys], "s", "t", F.lit(1).cast("long").alias("rows"))
+    shared = materialise(per_key.filter(_SHARED_COPIES).select(*[column(k).alias(n) for k, n in zip(keys, names)]), "copied-keys")
+    if shared.isEmpty():
+        return single
+    return single.unionByName(_pair_copies(folded.join(shared, _same(keys, names), "left_semi"), keys))
 
 
 def _same(keys, names) -> Column:
     return reduce(lambda a, b: a & b, [column(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
 
 
-def _pair_copies(left: DataFrame, right: DataFrame, keys) -> DataFrame:
-    distinct = _fold(two_sided(left, right, keys + ["v"]), keys + ["v"])
+def _pair_copies(distinct: DataFrame, keys) -> DataFrame:
     key_columns = [column(k) for k in keys]
     equal = distinct.filter("src_rows > 0 and tgt_rows > 0").select(
         *key_columns, F.col("v").alias("s"), F.col("v").alias("t"), F.least("src_rows", "tgt_rows").alias("rows")
@@ -283,7 +226,6 @@ def _pair_copies(left: DataFrame, right: DataFrame, keys) -> DataFrame:
         rest,
         key_columns + [F.col("from_source")],
         [asc("mark"), Order(F.to_json("v"))],
-        F.shiftright("mark", 50),
         {"copy": Rank("row_number")},
     ).groupBy(*key_columns, "copy").agg(
         F.max(F.when(F.col("from_source"), F.struct("v", "rows"))).alias("a"),
@@ -318,21 +260,18 @@ def side_by_side(source: DataFrame, target: DataFrame, keys, unique_keys: bool =
 
 
 def mismatching_columns(captured: DataFrame) -> DataFrame:
-    """One row per compared column: does any captured row differ in it? A NULL comparison counts as different."""
+    """One row per compared column: does any captured row differ in it, and how many do? A NULL comparison counts as different."""
     names = [c[: -len("_match")] for c in captured.columns if c.endswith("_match")]
-    flags = captured.agg(
-        *[F.bool_or(~F.coalesce(column(f"{n}_match"), F.lit(False))).alias(n) for n in names]
-    )
-    return flags.select(
-        F.inline(F.array(*[F.struct(F.lit(n).alias("column_name"), column(n).alias("differs")) for n in names]))
-    )
+    counts = captured.agg(*[F.count_if(~F.coalesce(column(f"{n}_match"), F.lit(False))).alias(n) for n in names])
+    each = [F.struct(F.lit(n).alias("column_name"), (column(n) > 0).alias("differs"), column(n).alias("rows")) for n in names]
+    return counts.select(F.inline(F.array(*each)))
 
 
 def fetch_by_keys(df: DataFrame, key_rows: DataFrame, keys) -> DataFrame:
-    """Full rows of a bounded set of keys. The key set is cut to the largest sample size, so it may be broadcast."""
+    """Full rows of a set of keys of any size. Spark broadcasts the keys where they are few enough; store them to let it know."""
     names = [f"__k{i}" for i in range(len(keys))]
-    wanted = key_rows.select(*[column(k).alias(n) for k, n in zip(keys, names)]).distinct().limit(MAX_SAMPLE)
-    return df.join(F.broadcast(wanted), _same(keys, names), "left_semi")
+    wanted = key_rows.select(*[column(k).alias(n) for k, n in zip(keys, names)]).distinct()
+    return df.join(wanted, _same(keys, names), "left_semi")
 
 
 def plain_rows(df: DataFrame, config: TableConfig, side: str, source_columns=None) -> DataFrame:

@@ -2,22 +2,29 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veritab.config import MAX_SAMPLE, MIN_SAMPLE, Sampling
+from veritab.errors import ConfigError
 from veritab.operators.canonical import column
 
 SHOWN_ROWS = 50
 
 
-def clamp(n: int | None) -> int:
-    return max(MIN_SAMPLE, min(MAX_SAMPLE, int(n or MIN_SAMPLE)))
+def checked(n: int | None) -> int:
+    """The size of a sample; a size outside the range is an error, none at all is the least."""
+    n = MIN_SAMPLE if n is None else int(n)
+    if not MIN_SAMPLE <= n <= MAX_SAMPLE:
+        raise ConfigError(f"a sample has from {MIN_SAMPLE} to {MAX_SAMPLE} rows, not {n}")
+    return n
 
 
 def sample_random(df: DataFrame, n: int | None, total: int, seed: int = 100) -> DataFrame:
     """About ``n`` of ``total`` rows, never more than ``n`` (50 to 400); may give fewer."""
-    n = clamp(n)
+    n = checked(n)
     fraction = min(1.0, n / total) if total else 1.0
     return df.sample(fraction=fraction, seed=seed).limit(n)
 
@@ -30,8 +37,9 @@ def stratum(columns, buckets: int):
 def sample_stratified(keys_df: DataFrame, target: DataFrame, keys, sampling: Sampling) -> DataFrame:
     """Key rows, the same share of every bucket of the stratified columns, at most ``sampling.count`` rows.
 
-    The bucket sizes (at most 50 rows) are the only data that reach the driver. Target rows of a key fold
-    to their distinct bucket columns before the join.
+    Keys are matched as they are compared, so NULL equals NULL. ``target`` has the source's names. Every bucket that
+    holds keys gives one at least. The bucket sizes (at most 50 rows) are the only data that reach the driver. Target
+    rows of a key fold to their distinct bucket columns before the join.
     """
     keys = list(keys)
     extra = [c for c in sampling.columns if c not in keys]
@@ -39,13 +47,21 @@ def sample_stratified(keys_df: DataFrame, target: DataFrame, keys, sampling: Sam
     names = [f"__k{i}" for i in range(len(keys))]
     known = known.toDF(*names, *extra)
     wanted = keys_df.select(*[column(k) for k in keys]).distinct()
-    condition = [column(k) == F.col(n) for k, n in zip(keys, names)]
+    condition = reduce(lambda a, b: a & b, [column(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
     joined = wanted.join(known, condition, "inner").withColumn("bucket", stratum(sampling.columns, sampling.buckets))
+    # A key whose target rows lie in several buckets counts in the first.
+    joined = joined.groupBy(*[column(k) for k in keys]).agg(F.min("bucket").alias("bucket"))
     sizes = {r["bucket"]: r["count"] for r in joined.groupBy("bucket").count().collect()}
-    total = sum(sizes.values())
-    fractions = {b: min(1.0, sampling.count / total) for b in sizes}
-    picked = joined.sampleBy("bucket", fractions=fractions, seed=sampling.seed)
-    return picked.select(*[column(k) for k in keys]).limit(sampling.count)
+    if not sizes:
+        return wanted.limit(0)
+    left, wanted_of = sampling.count, {}
+    for i, (b, n) in enumerate(sorted(sizes.items(), key=lambda x: (x[1], x[0]))):
+        wanted_of[b] = min(n, max(1, left // (len(sizes) - i)))
+        left -= wanted_of[b]
+    # The rows of least hash of each bucket: the same ones for the same seed, whatever the partitions.
+    mark = F.xxhash64(F.lit(sampling.seed), *[column(k) for k in keys])
+    picked = [joined.filter(F.col("bucket") == b).orderBy(mark, *[column(k) for k in keys]).limit(n) for b, n in wanted_of.items()]
+    return reduce(DataFrame.unionByName, picked).select(*[column(k) for k in keys])
 
 
 def sample_keys(mismatch: DataFrame, total: int, keys, sampling: Sampling, target: DataFrame | None = None) -> DataFrame:

@@ -5,16 +5,18 @@ from __future__ import annotations
 import datetime
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial, reduce
 
-from pyspark.errors import PySparkException
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veritab.config import MAX_SAMPLE, TableConfig, check_report
-from veritab.errors import ConfigError, ReconcileFailed, VeritabError
+from veritab.errors import ConfigError, ReconcileFailed
 from veritab.operators.aggregates import aggregate_rules, compare_rule, join_aggregates, rule_counts
-from veritab.operators.canonical import column, comparable, lower_names, side_filter
+from veritab.operators.canonical import column, comparable, lower_names, side_column, side_filter
 from veritab.operators.compare import (
     class_counts,
     fetch_by_keys,
@@ -35,7 +37,7 @@ from veritab.sources.scans import record_count
 
 @dataclass
 class TableOutcome:
-    """Numbers of one table pair and the bounded rows that explain them."""
+    """Numbers of one table pair, its whole difference sets, and the bounded rows that show them."""
 
     config: TableConfig
     report: str
@@ -48,10 +50,11 @@ class TableOutcome:
     threshold_mismatch: int = 0
     duplicate_keys: int = 0
     mismatched_keys: int = 0
-    mismatch_columns: list[str] = field(default_factory=list)
+    mismatch_columns: dict[str, int] = field(default_factory=dict)  # with the rows that differ in each
     schema_valid: bool = True
     exception: str | None = None
     samples: dict[str, DataFrame] = field(default_factory=dict)
+    differences: dict[str, DataFrame] = field(default_factory=dict)
 
     @property
     def numbers(self) -> dict:
@@ -66,7 +69,7 @@ class TableOutcome:
             "missing_in_tgt": self.missing_in_tgt,
             "mismatch": self.mismatch,
             "threshold_mismatch": self.threshold_mismatch,
-            "mismatch_columns": self.mismatch_columns,
+            "mismatch_columns": list(self.mismatch_columns),
             "schema_valid": self.schema_valid,
             "within_threshold": within,
             "exception": self.exception,
@@ -107,7 +110,7 @@ def reconcile_table(
     """Compare one table pair.
 
     The keyed report reads both tables once for the counts; the matched keys go to the shared folder because
-    several samples start from them. Only counts and samples of at most 400 keys leave the cluster's tables.
+    several difference sets start from them. Differences are whole tables in that folder, samples are views of them.
     """
     report = check_report(report)
     if report == "aggregate":
@@ -134,47 +137,54 @@ def _keyed(out: TableOutcome, source: DataFrame, target: DataFrame, config: Tabl
         comparable(target, config, "target", "data", names, system),
         config.keys,
     )
+    matched = materialise(matched, "matched")
     totals = key_totals(matched).first().asDict()
     for name, value in totals.items():
         setattr(out, name, int(value or 0))
     keys = [column(k) for k in config.keys]
     unique = out.duplicate_keys == 0
-    if not unique:
-        matched = materialise(matched, "matched")
     if out.mismatch:
-        differing = matched.filter(_differs()).select(*keys)
-        picked = materialise(
-            sample_keys(differing, out.mismatched_keys, config.keys, config.sampling, side_filter(target, config.target_filter)),
-            "sample",
-        )
+        differing = materialise(matched.filter(_differs()).select(*keys), "differing")
         captured = materialise(
             side_by_side(
-                fetch_by_keys(plain_rows(source, config, "source", names), picked, config.keys),
-                fetch_by_keys(plain_rows(target, config, "target", names), picked, config.keys),
+                fetch_by_keys(plain_rows(source, config, "source", names), differing, config.keys),
+                fetch_by_keys(plain_rows(target, config, "target", names), differing, config.keys),
                 config.keys,
                 unique,
             ),
             "captured",
         )
-        out.mismatch_columns = [
-            r["column_name"] for r in mismatching_columns(captured).filter("differs").collect()
-        ]
-        out.samples["mismatch"] = shown_rows(captured, config.keys, MAX_SAMPLE)
+        out.mismatch_columns = {
+            r["column_name"]: r["rows"] for r in mismatching_columns(captured).filter("differs").collect()
+        }
+        out.differences["mismatch"] = captured
+        strata = stratum_rows(target, config) if config.sampling.method == "stratified" else None
+        picked = materialise(sample_keys(differing, out.mismatched_keys, config.keys, config.sampling, strata), "sample")
+        out.samples["mismatch"] = shown_rows(fetch_by_keys(captured, picked, config.keys), config.keys, MAX_SAMPLE)
     for kind, side, table, empty in (
         ("missing_in_source", "target", target, "src_rows"),
         ("missing_in_target", "source", source, "tgt_rows"),
     ):
         if out.missing_in_src if kind == "missing_in_source" else out.missing_in_tgt:
-            wanted = materialise(shown_rows(matched.filter(f"{empty} = 0").select(*keys), config.keys), "missing")
-            rows = fetch_by_keys(plain_rows(table, config, side, names), wanted, config.keys)
+            wanted = materialise(matched.filter(f"{empty} = 0").select(*keys), "missing")
+            rows = materialise(fetch_by_keys(plain_rows(table, config, side, names), wanted, config.keys), "missing-rows")
+            out.differences[kind] = rows
             out.samples[kind] = shown_rows(rows, config.keys)
     if config.thresholds:
         failing = materialise(threshold_failures(threshold_compare(source, target, config, unique)), "threshold")
         out.threshold_mismatch = int(failing.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0])
         if out.threshold_mismatch:
+            out.differences["threshold_mismatch"] = failing.drop("rows")
             out.samples["threshold_mismatch"] = shown_rows(failing.drop("rows"), config.keys)
 
 
+def stratum_rows(target: DataFrame, config: TableConfig) -> DataFrame:
+    """Target rows under their source names, with the keys as they are compared: what stratified samples are drawn by."""
+    filtered = side_filter(target, config.target_filter)
+    extra = [c for c in config.sampling.columns if c not in config.keys]
+    return filtered.select(*[side_column(filtered, config, "target", c) for c in (*config.keys, *extra)])
+
+
 def _by_row(out: TableOutcome, source: DataFrame, target: DataFrame, config: TableConfig, system: str) -> None:
     names = source.columns
     left = comparable(source, config, "source", "row", names, system)
@@ -189,6 +199,7 @@ def _by_row(out: TableOutcome, source: DataFrame, target: DataFrame, config: Tab
     for kind, label in (("missing_in_source", "missing_in_src"), ("missing_in_target", "missing_in_tgt")):
         if found.get(label):
             picked = rows.filter(F.col("class") == label).select(*[column(c) for c in shown])
+            out.differences[kind] = picked
             out.samples[kind] = shown_rows(picked, shown, SHOWN_ROWS)
 
 
@@ -247,6 +258,9 @@ def outcome_rows(
         rows["details"] = details[0]
         for d in details[1:]:
             rows["details"] = rows["details"].unionByName(d)
+    whole = [results.difference_rows(df, tid, k, ended) for k, df in outcome.differences.items()]
+    if whole:
+        rows["differences"] = reduce(DataFrame.unionByName, whole)
     return rows
 
 
@@ -264,26 +278,45 @@ def reconcile_all(
     recon_id: str | None = None,
     user: str = "unknown",
     system: str = "default",
+    at_once: int = 4,
 ) -> str:
     """Compare every table pair and store its rows; a table that fails is stored with its error, the others go on.
 
-    ``read`` gives the two DataFrames of a table, ``store`` takes a result-table name and writes its rows. The
-    intermediate files of a table are removed once its rows are stored.
+    ``read`` gives the two DataFrames of a table, ``store`` takes a result-table name and writes its rows; both are
+    called from several threads, ``at_once`` table pairs at a time. Whatever fails for a pair, also while its rows are
+    stored, is recorded in its run and metrics rows, which come last. The intermediate files of a table are removed
+    once its rows are stored.
     """
     report = check_report(report)
     recon_id = recon_id or str(uuid.uuid4())
-    for config in configs:
+
+    def pair(config: TableConfig) -> None:
         started = _now()
         with intermediate_files(spark):
             try:
                 outcome = reconcile_table(*read(config), config, report, system)
-            except (VeritabError, PySparkException) as e:
-                outcome = TableOutcome(config, report, exception=str(e).split("\n")[0])
-            for table, rows in outcome_rows(spark, outcome, recon_id, place, user, started, _now()).items():
-                store(table, rows)
+                rows = outcome_rows(spark, outcome, recon_id, place, user, started, _now())
+                for table in ("differences", "details"):
+                    if table in rows:
+                        store(table, rows[table])
+            except Exception as e:
+                outcome = TableOutcome(config, report, exception=str(e) or type(e).__name__)
+            rows = outcome_rows(spark, outcome, recon_id, place, user, started, _now())
+            for table in ("metrics", "main"):
+                store(table, rows[table])
+
+    _each_at_once(spark, pair, configs, at_once)
     return recon_id
 
 
+def _each_at_once(spark: SparkSession, work: Callable[[TableConfig], None], configs: list[TableConfig], at_once: int) -> None:
+    """Run table pairs in a few threads of the driver, which only wait for Spark; the first error is raised when all are done."""
+    with ThreadPoolExecutor(max_workers=max(1, at_once)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(partial(work, config))) for config in configs]
+    for r in running:
+        r.result()
+
+
 def reconcile_aggregates(
     spark: SparkSession,
     configs: list[TableConfig],
@@ -292,22 +325,30 @@ def reconcile_aggregates(
     place: Place,
     recon_id: str | None = None,
     user: str = "unknown",
+    at_once: int = 4,
 ) -> str:
     """Compare the configured aggregates of every table pair; one aggregation per side and set of group columns."""
     recon_id = recon_id or str(uuid.uuid4())
     for config in configs:
         if not config.aggregates:
             raise ConfigError(f"no aggregates are configured for {config.source}")
+
+    def pair(config: TableConfig) -> None:
         with intermediate_files(spark):
             _aggregate_table(spark, config, read, store, place, recon_id, user)
+
+    _each_at_once(spark, pair, configs, at_once)
     return recon_id
 
 
 def _aggregate_table(spark, config: TableConfig, read: Read, store: Store, place: Place, recon_id: str, user: str) -> None:
     sets = aggregate_rules(list(config.aggregates))
-    main = _main_row(spark, recon_id, place, config, "aggregate", "aggregates-reconcile", _now(), _now())
-    tid = main.first()["recon_table_id"]
-    store("main", main)
+    started = _now()
+
+    def main():
+        return _main_row(spark, recon_id, place, config, "aggregate", "aggregates-reconcile", started, _now())
+
+    tid = main().first()["recon_table_id"]
     for rules in sets.values():
         now = _now()
         store("aggregate_rules", results.aggregate_rule_rows(spark, tid, rules, now))
@@ -315,21 +356,23 @@ def _aggregate_table(spark, config: TableConfig, read: Read, store: Store, place
             joined = materialise(join_aggregates(*read(config), config, rules), "aggregates")
             counts = materialise(rule_counts(joined, rules), "rules")
             found = {r["rule"]: r for r in counts.collect()}
-        except (VeritabError, PySparkException) as e:
-            message = str(e).split("\n")[0]
+            for rule in rules:
+                details, differences = aggregate_details(joined, rule, found[rule.text], tid, now)
+                if details is not None:
+                    store("aggregate_differences", differences)
+                    store("aggregate_details", details)
+        except Exception as e:
+            message = str(e) or type(e).__name__
             store("aggregate_metrics", results.failed_rule_rows(spark, tid, rules, message, user, now))
             continue
         store("aggregate_metrics", results.aggregate_metrics_rows(counts, tid, user, now))
-        for rule in rules:
-            details = aggregate_details(joined, rule, found[rule.text], tid, now)
-            if details is not None:
-                store("aggregate_details", details)
+    store("main", main())
 
 
-def aggregate_details(joined: DataFrame, rule, found, recon_table_id: int, inserted) -> DataFrame | None:
-    """Up to three rows for a rule: groups that differ, and groups that one side lacks."""
+def aggregate_details(joined: DataFrame, rule, found, recon_table_id: int, inserted) -> tuple[DataFrame | None, DataFrame | None]:
+    """Groups of a rule that differ, or that one side lacks: up to three rows that show the first of them, and all of them."""
     compared = compare_rule(joined, rule)
-    parts = []
+    parts, whole = [], []
     kinds = (
         ("mismatch", "mismatch", lambda c: True),
         ("missing_in_src", "missing_in_source", lambda c: c.startswith("target_")),
@@ -340,15 +383,17 @@ def aggregate_details(joined: DataFrame, rule, found, recon_table_id: int, inser
             continue
         shown = [c for c in compared.columns if c != "class" and wanted(c)]
         order = [c for c in shown if "_group_by_" in c] or shown[:1]
-        rows = shown_rows(compared.filter(F.col("class") == label).select(*[column(c) for c in shown]), order)
-        parts.append(results.details_row(rows, recon_table_id, kind, False, inserted))
+        rows = compared.filter(F.col("class") == label).select(*[column(c) for c in shown])
+        parts.append(results.details_row(shown_rows(rows, order), recon_table_id, kind, False, inserted))
+        whole.append(results.difference_rows(rows, recon_table_id, kind, inserted))
     if not parts:
-        return None
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        return None, None
     rid = results.rule_id(F.col("recon_table_id"), F.lit(rule.text))
-    return out.select("recon_table_id", rid.alias("rule_id"), "recon_type", "data", "inserted_ts")
+    details, differences = (
+        reduce(DataFrame.unionByName, p).select("recon_table_id", rid.alias("rule_id"), "recon_type", "data", "inserted_ts")
+        for p in (parts, whole)
+    )
+    return details, differences
 
 
 def final_status(main: DataFrame, metrics: DataFrame, recon_id: str | None = None) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Layouts of the six result tables and the rows written to them."""
+"""Layouts of the eight result tables and the rows written to them."""
 
 from __future__ import annotations
 
@@ -31,13 +31,18 @@ AGGREGATE_METRICS = (
 AGGREGATE_DETAILS = (
     "recon_table_id bigint, rule_id bigint, recon_type string, data array<map<string,string>>, inserted_ts timestamp"
 )
+# Whole difference sets, one row per differing row; details show the first of them.
+DIFFERENCES = "recon_table_id bigint, recon_type string, data map<string,string>, inserted_ts timestamp"
+AGGREGATE_DIFFERENCES = "recon_table_id bigint, rule_id bigint, recon_type string, data map<string,string>, inserted_ts timestamp"
 TABLES = {
     "main": MAIN,
     "metrics": METRICS,
     "details": DETAILS,
+    "differences": DIFFERENCES,
     "aggregate_rules": AGGREGATE_RULES,
     "aggregate_metrics": AGGREGATE_METRICS,
     "aggregate_details": AGGREGATE_DETAILS,
+    "aggregate_differences": AGGREGATE_DIFFERENCES,
 }
 # How a source system is called in reports.
 SOURCE_LABELS = {"snowflake": "Snowflake", "oracle": "Oracle"}
@@ -135,6 +140,16 @@ def details_row(df: DataFrame, recon_table_id: int, recon_type: str, status: boo
     )
 
 
+def difference_rows(df: DataFrame, recon_table_id: int, recon_type: str, inserted) -> DataFrame:
+    """All rows of one kind of difference, one result row each."""
+    return as_maps(df).select(
+        F.lit(recon_table_id).cast("long").alias("recon_table_id"),
+        F.lit(recon_type).alias("recon_type"),
+        "data",
+        F.lit(inserted).cast("timestamp").alias("inserted_ts"),
+    )
+
+
 def aggregate_rule_rows(spark: SparkSession, recon_table_id: int, rules, inserted) -> DataFrame:
     rows = [(r.text, "AGGREGATE", r.info, inserted) for r in rules]
     df = spark.createDataFrame(rows, "rule string, rule_type string, rule_info map<string,string>, inserted_ts timestamp")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import contextlib
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,22 +44,20 @@ CLUSTER_SETTINGS = {
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; a temporary one only in local mode, where nothing is set."""
+    """The shared folder that the session names; there is no other, as a folder of the driver is not seen by executors."""
     folder = spark.conf.get(CHECKPOINT_SETTING, None)
     if folder:
         return folder
     folder = spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="veritab-checkpoint-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder that every executor can reach")
 
 
-# Open scopes of intermediate files, innermost last.
-_SCOPES: list[list[str]] = []
+# The open scope of intermediate files; each thread and run has its own.
+_SCOPE: ContextVar[list[str] | None] = ContextVar("veritab_scope", default=None)
+# Files outside any scope, which go when the program ends.
+_KEPT: dict[str, list[str]] = {}
 
 
 def materialise(df: DataFrame, name: str = "step") -> DataFrame:
@@ -69,19 +69,43 @@ def materialise(df: DataFrame, name: str = "step") -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    if _SCOPES:
-        _SCOPES[-1].append(path)
+    scope = _SCOPE.get()
+    if scope is not None:
+        scope.append(path)
+    else:
+        _keep(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _remove(spark: SparkSession, paths: list[str]) -> None:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for name in paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(conf).delete(path, True)
+
+
+def _keep(spark: SparkSession, path: str) -> None:
+    """Results may still be read after the caller returns, so their files stay until the program ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _KEPT:
+        _KEPT[app] = []
+        atexit.register(_end, spark, app)
+    _KEPT[app].append(path)
+
+
+def _end(spark: SparkSession, app: str) -> None:
+    with contextlib.suppress(Exception):  # the session may be gone
+        if spark.sparkContext.applicationId == app:
+            _remove(spark, _KEPT.pop(app, []))
+
+
 @contextmanager
 def intermediate_files(spark: SparkSession):
     """Files that :func:`materialise` writes inside the block are removed at its end."""
-    _SCOPES.append([])
+    paths: list[str] = []
+    token = _SCOPE.set(paths)
     try:
         yield
     finally:
-        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-        for name in _SCOPES.pop():
-            path = jvm.org.apache.hadoop.fs.Path(name)
-            path.getFileSystem(conf).delete(path, True)
+        _SCOPE.reset(token)
+        _remove(spark, paths)

@@ -67,7 +67,7 @@ def ingest_extract(spark: SparkSession, folder: str, tables: list[str], target_f
             spark.read.parquet(f"{folder}/{name}.parquet").write.mode("overwrite").parquet(f"{target_folder}/{name}")
             outcomes.append((name, True, None))
         except PySparkException as e:
-            outcomes.append((name, False, str(e)[:500]))
+            outcomes.append((name, False, str(e)))
     return spark.createDataFrame(outcomes, "table_name string, loaded boolean, message string")
 
 
