@@ -4,7 +4,6 @@ A run compares several table pairs and stores its rows in the session's shared f
 read what was stored, as a report does.
 """
 
-import uuid
 from functools import reduce
 
 from pyspark.sql import functions as F
@@ -23,7 +22,7 @@ from veritab.plans.reconcile import (
     run_summary,
     verify,
 )
-from veritab.session import checkpoint_dir
+from veritab.session import shared_path
 
 _PLACE = Place(None, "legacy", "lake", "gold", "snowflake")
 _CONFIGS = [
@@ -60,7 +59,7 @@ def stored(read, kind: str = "all") -> dict:
     spark = probe.sparkSession
     mark = (spark.sparkContext.applicationId, probe.inputFiles()[0], kind)
     if mark not in _STORED:
-        folder = f"{checkpoint_dir(spark).rstrip('/')}/run-{uuid.uuid4().hex}"
+        folder = shared_path(spark, "run")
         written = set()
 
         def store(table, rows):

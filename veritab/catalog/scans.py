@@ -10,13 +10,13 @@ from veritab.catalog.registry import query
 from veritab.operators.canonical import lower_names
 from veritab.operators.schemas import table_schema
 from veritab.plans.results import METRICS, TABLES, layout
-from veritab.session import checkpoint_dir, materialise
+from veritab.session import materialise, shared_path
 from veritab.sources import jdbc, scans, sinks
 from veritab.streaming import incremental
 
 
 def _folder(df, name):
-    return f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return shared_path(df.sparkSession, name)
 
 
 @query("S1_table_scan", "SELECT c_custkey, c_name, c_mktsegment FROM customer")

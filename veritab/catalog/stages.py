@@ -10,7 +10,7 @@ from veritab.catalog.registry import query
 from veritab.operators import changes as D
 from veritab.operators import stages as E
 from veritab.operators.ranking import asc, desc
-from veritab.session import checkpoint_dir
+from veritab.session import shared_path
 from veritab.streaming.incremental import rows_after
 
 _CHANGED = "(s.c_acctbal IS DISTINCT FROM t.c_acctbal OR s.c_mktsegment IS DISTINCT FROM t.c_mktsegment)"
@@ -386,7 +386,7 @@ def create_as_select(read):
         F.count_distinct("o_orderkey").alias("orders"),
     )
     spark = out.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/ctas-{uuid.uuid4().hex}"
+    path = shared_path(spark, "ctas")
     name = f"veritab_ctas_{uuid.uuid4().hex}"
     out.write.option("path", path).saveAsTable(name)
     rows = spark.read.parquet(path)

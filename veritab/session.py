@@ -60,6 +60,17 @@ _SCOPE: ContextVar[list[str] | None] = ContextVar("veritab_scope", default=None)
 _KEPT: dict[str, list[str]] = {}
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder. Its files go at the end of the open scope, or when the program ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    scope = _SCOPE.get()
+    if scope is not None:
+        scope.append(path)
+    else:
+        _keep(spark, path)
+    return path
+
+
 def materialise(df: DataFrame, name: str = "step") -> DataFrame:
     """Write a result to the shared folder and read it back.
 
@@ -67,13 +78,8 @@ def materialise(df: DataFrame, name: str = "step") -> DataFrame:
     the executors that did it.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = shared_path(spark, name)
     df.write.parquet(path)
-    scope = _SCOPE.get()
-    if scope is not None:
-        scope.append(path)
-    else:
-        _keep(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
