@@ -14,8 +14,9 @@ from veritab.llm.common import byte_column, free_name, numbered, stored
 
 #: The bounded sample that text likelihoods are fitted on; hash space of character trigrams.
 TRAIN_ROWS, GRAM_BITS = 20_000, 15
-#: Trigrams of a text overlap: each counts as a third. Weight of the level above in a host's prior; of the uniform in a table.
-TEMPER, HOST_WEIGHT, TABLE_WEIGHT = 1 / 3, 8.0, 1.0
+#: Trigrams of a text overlap: each counts as a third. Share of odd trigrams (names, numbers, code) in any language's text.
+#: Weight of the level above in a host's prior; of the uniform in a table.
+TEMPER, ODD, HOST_WEIGHT, TABLE_WEIGHT = 1 / 3, 0.25, 8.0, 1.0
 #: Text that is no known language, and where a posterior is enough.
 UNKNOWN, CONFIDENT = "und", 0.5
 
@@ -44,7 +45,7 @@ def _counts(text: str, label: str):
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             for lang, t in zip(batch.column(batch.schema.get_field_index(label)).to_pylist(), byte_column(batch, text), strict=True):
-                sums[lang] = sums.get(lang, 0) + np.bincount(_buckets(t), minlength=1 << GRAM_BITS)
+                sums[lang] = sums.get(lang, 0) + np.bincount(_buckets(b" " + t + b" "), minlength=1 << GRAM_BITS)
         for lang, s in sums.items():
             at = np.flatnonzero(s)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array(s[at], pa.int64())], names=["lang", "bucket", "n"])
@@ -55,19 +56,21 @@ def _counts(text: str, label: str):
 def fit_text_model(docs: DataFrame, text_column: str = "text", label_column: str = "lang", most: int = TRAIN_ROWS) -> TextModel:
     """Trigram likelihoods of each declared language from about ``most`` rows, chosen by a hash of the text.
 
-    The unknown language spreads evenly over all buckets. What reaches the driver is a table of fixed size per language.
+    A language's text may hold some odd trigrams, which cost it little against the unknown language; that one spreads
+    evenly over all buckets. What reaches the driver is a table of fixed size per language.
     """
     narrow = docs.where(F.col(label_column).isNotNull()).select(F.col(text_column).cast("string").alias("text_value"), F.lower(F.col(label_column)).alias("lang"))
     total = docs.count()
     part = narrow.where(F.pmod(F.xxhash64("text_value"), F.lit(1 << 30)) < int(min(1.0, most / max(total, 1)) * (1 << 30)))
     rows = part.mapInArrow(_counts("text_value", "lang"), "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect()
     languages = sorted({r["lang"] for r in rows} - {UNKNOWN})
-    counts = np.full((len(languages) + 1, 1 << GRAM_BITS), 0.5)
+    counts = np.zeros((len(languages) + 1, 1 << GRAM_BITS))
     for r in rows:
         if r["lang"] != UNKNOWN:
             counts[languages.index(r["lang"]), r["bucket"]] += r["n"]
     counts[-1] = 1
-    return TextModel([*languages, UNKNOWN], np.log(counts / counts.sum(axis=1, keepdims=True)).T.astype(np.float32).copy())
+    shares = (1 - ODD) * counts / np.maximum(counts.sum(axis=1, keepdims=True), 1) + ODD / (1 << GRAM_BITS)
+    return TextModel([*languages, UNKNOWN], np.log(shares / shares.sum(axis=1, keepdims=True)).T.astype(np.float32).copy())
 
 
 def _likelihoods(text: str, model):
@@ -78,8 +81,8 @@ def _likelihoods(text: str, model):
         for batch in batches:
             logs, shares, letters = [], [], []
             for t in byte_column(batch, text):
-                own = np.zeros(table.shape[1])
-                low = 0
+                own, low = np.zeros(table.shape[1]), 0
+                t = b" " + t + b" "  # so that a short word has trigrams too
                 while low < len(t):  # in pieces, as a text may be very long; two bytes are shared
                     at = _buckets(t[max(low - 2, 0) : low + (1 << 20)])
                     own += table[at].sum(axis=0, dtype=np.float64)

@@ -6,7 +6,6 @@ import base64
 import bisect
 import hashlib
 import re
-import uuid
 import zlib
 from collections.abc import Iterator
 from urllib.parse import urlsplit
@@ -16,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veritab.llm.common import stored
-from veritab.session import checkpoint_dir
+from veritab.session import shared_path
 
 #: Records of an archive, entries of a block of the index, and entries that the directory may have in all.
 ARCHIVE_RECORDS, BLOCK_ENTRIES, DIRECTORY_ENTRIES = 10_000, 3000, 65_536
@@ -280,7 +279,7 @@ def archive_round_trip(pages: DataFrame) -> DataFrame:
     none. Other columns are ignored.
     """
     spark = pages.sparkSession
-    folder = f"{checkpoint_dir(spark).rstrip('/')}/llm-warc-{uuid.uuid4().hex}"
+    folder = shared_path(spark, "llm-warc")
     narrow = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     write_archives(narrow, folder)
     index = build_index(spark, folder)
