@@ -8,6 +8,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import partial, reduce
+from threading import Lock
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -282,13 +283,14 @@ def reconcile_all(
 ) -> str:
     """Compare every table pair and store its rows; a table that fails is stored with its error, the others go on.
 
-    ``read`` gives the two DataFrames of a table, ``store`` takes a result-table name and writes its rows; both are
-    called from several threads, ``at_once`` table pairs at a time. Whatever fails for a pair, also while its rows are
-    stored, is recorded in its run and metrics rows, which come last. The intermediate files of a table are removed
-    once its rows are stored.
+    ``read`` gives the two DataFrames of a table, ``store`` takes a result-table name and writes its rows. ``at_once``
+    table pairs are compared at a time; ``store`` is called for one at a time, as appends of files must not meet.
+    Whatever fails for a pair, also while its rows are stored, is recorded in its run and metrics rows, which come
+    last. The intermediate files of a table are removed once its rows are stored.
     """
     report = check_report(report)
     recon_id = recon_id or str(uuid.uuid4())
+    store = _one_at_a_time(store)
 
     def pair(config: TableConfig) -> None:
         started = _now()
@@ -309,6 +311,16 @@ def reconcile_all(
     return recon_id
 
 
+def _one_at_a_time(store: Store) -> Store:
+    lock = Lock()
+
+    def locked(table: str, rows: DataFrame) -> None:
+        with lock:
+            store(table, rows)
+
+    return locked
+
+
 def _each_at_once(spark: SparkSession, work: Callable[[TableConfig], None], configs: list[TableConfig], at_once: int) -> None:
     """Run table pairs in a few threads of the driver, which only wait for Spark; the first error is raised when all are done."""
     with ThreadPoolExecutor(max_workers=max(1, at_once)) as pool:
@@ -332,6 +344,7 @@ def reconcile_aggregates(
     for config in configs:
         if not config.aggregates:
             raise ConfigError(f"no aggregates are configured for {config.source}")
+    store = _one_at_a_time(store)
 
     def pair(config: TableConfig) -> None:
         with intermediate_files(spark):
