@@ -17,10 +17,13 @@ from veritab.llm.components import components
 WORDS, PERCENT = 4, 85
 #: Documents from which a shingle counts as frequent, and how many frequent shingles are told to all tasks at most.
 FREQUENT, MOST_FREQUENT = 64, 200_000
-#: Bits of a document's signature; entries of a leaf of the tree.
+#: Turns in which classes are compared with hubs before the trees give the rest.
+TURNS = 3
+#: Bits of a signature in a tree; entries of a leaf of the tree. Pairs are screened by signatures of two bits per shingle.
 SIGNATURE_BITS, LEAF = 256, 16
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-REMEMBERED = 2_000_000
+#: Words whose hashes a task remembers before it starts anew, and texts that are worked on at once.
+REMEMBERED, LOT = 200_000, 1000
 
 
 class _Hashes(dict):
@@ -48,12 +51,18 @@ def shingle_sets(texts: list[bytes], known: dict, words: int = WORDS) -> Iterato
         yield np.unique(mixed(s))
 
 
-def _local_counts(text: str, words: int, least: int = 3):
-    """Shingles that several different sets of a batch share."""
+def _lots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for low in range(0, batch.num_rows, LOT):
+            yield batch.slice(low, LOT)
+
+
+def _local_counts(text: str, words: int, least: int = 2):
+    """Shingles that several different sets of a lot share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, seen = _Hashes(), set()
-        for batch in batches:
+        for batch in _lots(batches):
             new = []
             for s in shingle_sets(byte_column(batch, text), known, words):
                 if (digest := xxhash.xxh3_64_intdigest(s.tobytes())) not in seen:
@@ -87,13 +96,30 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
     return n + (-percent * n) // 100 + 1  # n - ceil(percent * n / 100) + 1
 
 
-def signature(s: np.ndarray) -> np.ndarray:
-    """Bitmap of a set: bit number hash modulo SIGNATURE_BITS."""
-    bits = np.zeros(SIGNATURE_BITS, bool)
-    bits[(s >> np.uint64(32)) % np.uint64(SIGNATURE_BITS)] = True
+def signature(s: np.ndarray, size: int = SIGNATURE_BITS) -> np.ndarray:
+    """Bitmap of a set; the first bits of a hash say which bit it sets. size: a power of two, at least 64."""
+    bits = np.zeros(size, bool)
+    bits[s >> np.uint64(65 - size.bit_length())] = True
     return np.packbits(bits)
 
 
+def wide_signature(s: np.ndarray) -> np.ndarray:
+    return signature(s, max(64, 1 << (2 * len(s)).bit_length()))
+
+
+def most_common(n_a: int, a: bytes, n_b: int, b: bytes) -> int:
+    """The largest overlap that two signatures allow: a common bit may stand for one common shingle, and for as many more
+    as a set has shingles beyond its bits. The longer signature is folded to the length of the shorter.
+    """
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    if len(x) < len(y):
+        n_a, x, n_b, y = n_b, y, n_a, x
+    if len(x) > len(y):
+        x = np.packbits(np.unpackbits(x).reshape(8 * len(y), -1).any(axis=1))
+    count = lambda v: int(np.bitwise_count(v.view(np.uint64)).sum())
+    return count(x & y) + min(n_a - count(x), n_b - count(y))
+
+
 def _set_key(s: np.ndarray) -> tuple[int, int]:
     d = xxhash.xxh3_128_digest(s.astype("<u8").tobytes())
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
@@ -102,16 +128,16 @@ def _set_key(s: np.ndarray) -> tuple[int, int]:
 def _described(text: str, words: int, percent: int, frequent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, hot = _Hashes(), frequent.value
-        for batch in batches:
-            n, keys, signatures, prefixes = [], [], [], []
+        for batch in _lots(batches):
+            n, keys, signatures, wide, prefixes = [], [], [], [], []
             for s in shingle_sets(byte_column(batch, text), known, words):
-                n.append(len(s)), keys.append(_set_key(s)), signatures.append(signature(s).tobytes())
+                n.append(len(s)), keys.append(_set_key(s)), signatures.append(signature(s).tobytes()), wide.append(wide_signature(s).tobytes())
                 prefixes.append(in_order(s, hot)[: prefix_length(len(s), percent)].view(np.int64) if len(s) else np.zeros(0, np.int64))
             offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
             flat = np.concatenate([np.zeros(0, np.int64), *prefixes])
             yield pa.RecordBatch.from_arrays(
-                [*batch.drop_columns([text]).columns, pa.array(n, pa.int64()), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), pa.array(signatures, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-                names=[*(c for c in batch.schema.names if c != text), "n", "k1", "k2", "signature", "prefix"],
+                [*batch.drop_columns([text]).columns, pa.array(n, pa.int64()), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), pa.array(signatures, pa.binary()), pa.array(wide, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
+                names=[*(c for c in batch.schema.names if c != text), "n", "k1", "k2", "signature", "wide", "prefix"],
             )
 
     return run
@@ -139,38 +165,21 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
         yield held
 
 
-def _shared(percent: int):
-    """Entries of shingles that several sets have in their prefixes, each with a hub: an earlier set that may be similar."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_token, last_hub = None, None  # of the run before, which may go on
-        waiting = None  # an entry that has no company yet
-        for batch in batches:
-            token, n, cls, pos = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("token", "n", "cls", "pos")]
-            if not len(token):
-                continue
-            if waiting is not None:
-                token, n, cls, pos = [np.concatenate([[w], x]) for w, x in zip(waiting, (token, n, cls, pos), strict=True)]
-            same = token[1:] == token[:-1]
-            company = np.concatenate([[token[0] == last_token], same]) | np.concatenate([same, [False]])
-            waiting = None if company[-1] else (token[-1], n[-1], cls[-1], pos[-1])
-            hubs, rows = [], np.flatnonzero(company)
-            for t, size, c, p in zip(*(x[rows].tolist() for x in (token, n, cls, pos)), strict=True):
-                if t != last_token:
-                    last_token, last_hub = t, None
-                hub = None
-                if last_hub is not None:
-                    most = 1 + min(size - p, last_hub[0] - last_hub[1]) - 1
-                    if last_hub[0] * 100 >= percent * size and most >= needed_overlap(size, last_hub[0], percent):
-                        hub = last_hub[2]
-                if hub is None:
-                    last_hub = (size, p, c)
-                hubs.append(hub)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(token[rows]), pa.array(cls[rows]), pa.array(n[rows]), pa.array(pos[rows]), pa.array(hubs, pa.int64())], names=["token", "cls", "n", "pos", "hub"]
-            )
-
-    return run
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Entries of shingles that several sets have in their prefixes; entries come sorted by shingle."""
+    last_token, waiting = None, None  # of the batch before: its last shingle, and its last entry if that has no company yet
+    for batch in batches:
+        token, place, cls = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("token", "place", "cls")]
+        if not len(token):
+            continue
+        if waiting is not None:
+            token, place, cls = [np.concatenate([[w], x]) for w, x in zip(waiting, (token, place, cls), strict=True)]
+        same = token[1:] == token[:-1]
+        company = np.concatenate([[waiting is None and token[0] == last_token], same]) | np.concatenate([same, [False]])
+        waiting, last_token = (None if company[-1] else (token[-1], place[-1], cls[-1])), token[-1]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(token[company]), pa.array(cls[company]), pa.array(place[company] >> 31), pa.array(place[company] & ((1 << 31) - 1))], names=["token", "cls", "n", "pos"]
+        )
 
 
 class _Tree:
@@ -249,7 +258,7 @@ def _sets(text: str, words: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Hashes()
-        for batch in batches:
+        for batch in _lots(batches):
             wanted = zip(batch.column("k1").to_pylist(), batch.column("k2").to_pylist(), batch.column("cls").to_pylist(), strict=True)
             out = [(c, s.tobytes()) for s, (k1, k2, c) in zip(shingle_sets(byte_column(batch, text), known, words), wanted, strict=True) if _set_key(s) == (k1, k2)]
             yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.binary())], names=["cls", "elements"])
@@ -257,9 +266,24 @@ def _sets(text: str, words: int):
     return run
 
 
-def _similar(percent: int):
+def _screen(percent: int):
+    """Pairs that may be similar by their wide signatures."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            out = [
+                (a, b)
+                for a, b, n_a, n_b, x, y in zip(*[batch.column(c).to_pylist() for c in ("a", "b", "n_a", "n_b", "wide_a", "wide_b")], strict=True)
+                if 100 * min(n_a, n_b) >= percent * max(n_a, n_b) and most_common(n_a, x, n_b, y) >= needed_overlap(n_a, n_b, percent)
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64())], names=["a", "b"])
+
+    return run
+
+
+def _similar(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _lots(batches):
             out = []
             for a, b, x, y in zip(*[batch.column(c).to_pylist() for c in ("a", "b", "of_a", "of_b")], strict=True):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
@@ -271,14 +295,41 @@ def _similar(percent: int):
     return run
 
 
-def _verified(edges: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs that are similar, by their whole sets."""
-    ends = edges.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    wanted = stored(classes.select("cls", "k1", "k2", "least").join(ends, "cls"), "wanted")
-    texts = docs.join(wanted, docs["id_value"].eqNullSafe(wanted["least"])).select("text_value", "cls", "k1", "k2")
-    sets = stored(texts.mapInArrow(_sets("text_value", words), "cls long, elements binary"), "sets")
-    both = edges.join(sets.select(F.col("cls").alias("a"), F.col("elements").alias("of_a")), "a").join(sets.select(F.col("cls").alias("b"), F.col("elements").alias("of_b")), "b")
-    return stored(both.mapInArrow(_similar(percent), "a long, b long"), "similar")
+def _hubs(entries: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of a class with two others that are not connected to it and have a size like its own.
+
+    Of each shingle's entries one is the hub, by a hash that differs from turn to turn. A class is paired with the hub
+    that it meets most often, and with one more; so families are connected in as many pairs as they have members.
+    """
+    mark = F.xxhash64(F.lit(turn), "token", "cls")
+    hubs = entries.groupBy("token").agg(F.min(F.struct(mark.alias("mark"), "cls", "n", "part")).alias("hub"))
+    alike = (F.col("part") != F.col("hub.part")) & (100 * F.least("n", "hub.n") >= percent * F.greatest("n", "hub.n"))
+    met = entries.join(hubs, "token").where(alike).groupBy("cls", F.col("hub.cls").alias("hub")).agg(F.count(F.lit(1)).alias("times"))
+    best, other = F.max(F.struct("times", "hub"))["hub"], F.max(F.struct(F.xxhash64(F.lit(turn), "cls", "hub"), "hub"))["hub"]
+    picked = met.groupBy("cls").agg(F.array(best, other).alias("hubs")).select("cls", F.explode("hubs").alias("hub"))
+    return picked.select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).distinct()
+
+
+class _Verifier:
+    """Tells which pairs of classes are similar: by signatures first, then by whole sets, made anew from the texts once."""
+
+    def __init__(self, classes: DataFrame, docs: DataFrame, words: int, percent: int):
+        self.classes, self.docs, self.words, self.percent, self.sets = classes, docs, words, percent, None
+
+    def similar(self, pairs: DataFrame) -> DataFrame:
+        marks = self.classes.select("cls", "n", "wide")
+        side = lambda s: marks.select(F.col("cls").alias(s), F.col("n").alias(f"n_{s}"), F.col("wide").alias(f"wide_{s}"))
+        pairs = stored(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_screen(self.percent), "a long, b long"), "screened")
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+        if self.sets is not None:
+            wanted = wanted.join(self.sets.select("cls"), "cls", "left_anti")
+        wanted = stored(self.classes.select("cls", "k1", "k2", "least").join(wanted, "cls"), "wanted")
+        texts = self.docs.join(wanted, self.docs["id_value"].eqNullSafe(wanted["least"])).select("text_value", "cls", "k1", "k2")
+        # Rows that agree in id and set give a set twice, and then a pair twice, which does no harm.
+        new = stored(texts.mapInArrow(_sets("text_value", self.words), "cls long, elements binary"), "sets")
+        self.sets = new if self.sets is None else self.sets.unionByName(new)
+        left, right = (self.sets.select(F.col("cls").alias(s), F.col("elements").alias(f"of_{s}")) for s in "ab")
+        return stored(pairs.join(left, "a").join(right, "b").mapInArrow(_similar(self.percent), "a long, b long"), "similar")
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -290,9 +341,9 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     ones last); similar sets share a listed one. The classes of a shingle, sorted by size, form a signature tree: a
     node has the united bitmap of its sets, the range of their sizes, and the most shingles that may follow the shared
     one. Two nodes are compared only if the largest overlap that this allows is enough for their sizes, down to pairs
-    of sets. This is done in two rounds. First, each class is compared with one earlier class of its size (a hub) for
-    each shingle, which connects families of copies in as many comparisons as they have members; then trees give the
-    pairs that are not connected yet. All pairs are verified on whole sets, which are made anew from the texts.
+    of sets. Before that, in a few turns, each class is compared with two others that share shingles with it (hubs),
+    which connects families of copies in as many comparisons as they have members; the trees then give all pairs that
+    are not connected yet. Pairs are screened by longer signatures and verified on whole sets.
 
     Shingles and sets are 64- and 128-bit hashes; words are compared by hash. A null text has no words; documents
     without words link with nothing. A shorter text is one shingle. Null ids are larger than all others. Repeated rows
@@ -303,30 +354,44 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     kind = narrow.schema["id_value"].dataType.simpleString()
     frequent = spark.sparkContext.broadcast(frequent_shingles(narrow, "text_value", words))
     described = stored(
-        narrow.mapInArrow(_described("text_value", words, percent, frequent), f"id_value {kind}, n long, k1 long, k2 long, signature binary, prefix array<long>"), "described"
+        narrow.mapInArrow(_described("text_value", words, percent, frequent), f"id_value {kind}, n long, k1 long, k2 long, signature binary, wide binary, prefix array<long>").withColumn(
+            "cls", F.monotonically_increasing_id()
+        ),
+        "described",
     )
-    classes = described.where("n > 0").groupBy("k1", "k2").agg(
-        F.min("id_value").alias("least"), F.first("n").alias("n"), F.first("signature").alias("signature"), F.first("prefix").alias("prefix")
-    )
-    classes = stored(classes.withColumn("cls", F.monotonically_increasing_id()), "classes")
-
-    entries = classes.select(F.posexplode("prefix").alias("pos", "token"), "n", "cls").select("token", "n", "cls", F.col("pos").cast("long").alias("pos"))
+    # Of rows with equal sets the first stands for all.
+    groups = described.where("n > 0").groupBy("k1", "k2").agg(F.min("id_value").alias("least"), F.min("cls").alias("cls"), F.count(F.lit(1)).alias("copies"))
+    groups = stored(groups, "groups")
+    copied = groups.where("copies > 1").select("k1", "k2", F.col("cls").alias("of_group"))
+    others = described.select("k1", "k2", "cls").join(copied, ["k1", "k2"]).where("cls != of_group").select("cls")
+    first_rows = described.where("n > 0").join(stored(others, "copies"), "cls", "left_anti")
+    classes = stored(first_rows.select("cls", "k1", "k2", "n", "signature", "wide").join(groups.select("cls", "least"), "cls"), "classes")
+
+    # Size and position share a long, so entries sort by size within a shingle.
+    entries = first_rows.select(F.posexplode("prefix").alias("pos", "token"), "n", "cls")
+    entries = entries.select("token", (F.shiftleft("n", 31) + F.col("pos")).alias("place"), "cls")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = ["token", "n", "cls"]
     shared = stored(
-        entries.repartition(parts, "token").sortWithinPartitions(*order).mapInArrow(_shared(percent), "token long, cls long, n long, pos long, hub long"), "shared"
+        entries.repartition(parts, "token").sortWithinPartitions("token", "place", "cls").mapInArrow(_shared, "token long, cls long, n long, pos long"), "shared"
     )
-    hubs = stored(shared.where("hub is not null").select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).where("a < b").distinct(), "hubs")
-    first = _verified(hubs, classes, narrow, words, percent)
-    connected = stored(components(first), "connected")
-
-    known = classes.select("cls", "signature").join(connected, F.col("cls") == F.col("node"), "left").select("cls", "signature", F.coalesce("component", "cls").alias("part"))
-    placed = shared.select("token", "cls", "n", "pos").join(known, "cls").select("token", "cls", "n", "pos", "part", "signature")
-    rest = placed.repartition(parts, "token").sortWithinPartitions(*order).mapInArrow(_candidates(percent), "a long, b long").distinct()
-    rest = stored(rest.join(hubs, ["a", "b"], "left_anti"), "candidates")
-    links = first.unionByName(_verified(rest, classes, narrow, words, percent))
-
-    of_class = classes.select("k1", "k2", "cls", "least").join(stored(components(links), "components"), F.col("cls") == F.col("node"), "left")
+    verifier = _Verifier(classes, narrow, words, percent)
+    links, connected = None, None
+    for turn in range(TURNS + 1):
+        placed = shared
+        if connected is None:
+            placed = placed.withColumn("part", F.col("cls"))
+        else:
+            placed = placed.join(connected, F.col("cls") == F.col("node"), "left").select("token", "cls", "n", "pos", F.coalesce("component", "cls").alias("part"))
+        if turn < TURNS:
+            pairs = _hubs(placed, turn, percent)
+        else:
+            placed = placed.join(classes.select("cls", "signature"), "cls")
+            ordered = placed.repartition(parts, "token").sortWithinPartitions("token", "n", "cls").select("token", "cls", "n", "pos", "part", "signature")
+            pairs = ordered.mapInArrow(_candidates(percent), "a long, b long").distinct()
+        found = verifier.similar(pairs)
+        links = found if links is None else links.unionByName(found)
+        connected = stored(components(links), "connected")
+    of_class = groups.select("k1", "k2", "cls", "least").join(connected, F.col("cls") == F.col("node"), "left")
     of_class = stored(of_class.select("k1", "k2", "least", F.coalesce("component", "cls").alias("component")), "of-class")
     lowest = of_class.groupBy("component").agg(F.min("least").alias("lowest"))
     named = stored(of_class.join(lowest, "component").select("k1", "k2", "lowest"), "named")
