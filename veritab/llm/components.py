@@ -33,14 +33,26 @@ class Forest:
             self.up[max(a, b)] = min(a, b)
 
 
+#: Edges that a task contracts at once.
+EDGES = 250_000
+
+
 def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges of a batch as stars around least members: no more edges than nodes."""
+    """Edges of a task as stars around least members, EDGES at a time: no more edges than nodes."""
+
+    def stars(forest):
+        nodes = list(forest.up)
+        return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([forest.find(x) for x in nodes], pa.int64())], names=["hi", "lo"])
+
+    forest, n = Forest(), 0
     for batch in batches:
-        forest = Forest()
         for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             forest.join(a, b)
-        nodes = list(forest.up)
-        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([forest.find(x) for x in nodes], pa.int64())], names=["hi", "lo"])
+        n += batch.num_rows
+        if n > EDGES:
+            yield stars(forest)
+            forest, n = Forest(), 0
+    yield stars(forest)
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -53,12 +65,14 @@ def components(edges: DataFrame) -> DataFrame:
     Each round links the larger neighbours of a node to its least neighbour, then the smaller ones, until the edges
     are stars around least nodes. Least neighbours are aggregated and joined, so the centre of a very large star is
     one row of one side of a join, and its edges can be split over tasks. Rounds are stored, and their number grows
-    with the logarithm of the nodes.
+    with the logarithm of the nodes. Before the first, lots of ``EDGES`` edges are contracted; where there is one lot
+    only, that is the result.
     """
     a, b = edges.columns
-    pairs = edges.where(F.col(a) != F.col(b)).select(F.col(a).alias("a"), F.col(b).alias("b"))
-    now = stored(pairs.mapInArrow(_contract, "hi long, lo long").distinct(), "edges")
-    state = _state(now)
+    pairs = stored(edges.where(F.col(a) != F.col(b)).select(F.col(a).alias("a"), F.col(b).alias("b")), "pairs")
+    lots = -(-pairs.count() // EDGES) or 1
+    now = stored(pairs.repartition(lots).mapInArrow(_contract, "hi long, lo long").where("hi != lo").distinct(), "edges")
+    state = _state(now) if lots > 1 else (0,)
     while state[0]:
         both = now.unionByName(now.select(F.col("lo").alias("hi"), F.col("hi").alias("lo")))
         least = both.groupBy("hi").agg(F.min("lo").alias("m")).select("hi", F.least("hi", "m").alias("m"))
