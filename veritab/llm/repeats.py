@@ -14,12 +14,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritab.llm.common import byte_column, mixed, stored
+from veritab.llm.common import mixed, stored
 
 #: Least length of a repeated string, length of the grams that anchors are chosen by, bytes that are worked on at once.
-LENGTH, GRAM, CHUNK = 200, 40, 1 << 21
+LENGTH, GRAM, CHUNK = 200, 40, 1 << 18
 #: Bytes by which suffixes are sorted in columns before tries go on; contexts that are compared at once.
-SHALLOW, CONTEXTS = 64, 20_000
+SHALLOW, CONTEXTS = 64, 10_000
 _BASE = 0x9E3779B97F4A7C15
 _POSITION = np.uint64((1 << 24) - 1)
 
@@ -67,10 +67,11 @@ def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int
     return at, hashes[at]
 
 
-def _pieces(texts: list[bytes], length: int, chunk: int) -> Iterator[list[tuple[int, int, bytes]]]:
+def _pieces(texts: pa.Array, length: int, chunk: int) -> Iterator[list[tuple[int, int, bytes]]]:
     """Texts in lots of about ``chunk`` bytes: number, offset and bytes. Long texts come in pieces that overlap by length - 1."""
     lot, size = [], 0
-    for i, text in enumerate(texts):
+    for i, value in enumerate(texts):
+        text = value.as_py()
         for at in range(0, max(len(text) - length + 1, 1), chunk):
             piece = text[at : at + chunk + length - 1]
             lot.append((i, at, piece))
@@ -86,7 +87,7 @@ def _anchors(text: str, length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column("k1").to_numpy()
-            for lot in _pieces(byte_column(batch, text), length, CHUNK):
+            for lot in _pieces(batch.column(text), length, CHUNK):
                 sizes = np.fromiter((len(p) for _, _, p in lot), np.int64, len(lot))
                 ends = np.cumsum(sizes)
                 at, hashes = anchors(np.frombuffer(b"".join(p for _, _, p in lot), np.uint8), ends - sizes, ends, length, gram)
@@ -106,10 +107,14 @@ def _contexts(length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         following = TaskContext.get().partitionId() << 40
         known: dict[tuple[bytes, bytes], list[int]] = {}
+        def out(rows):
+            columns = list(zip(*rows, strict=True)) if rows else [()] * 8
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _CONTEXT, strict=True)], schema=_CONTEXT)
+
+        rows = []
         for batch in batches:
-            rows = []
-            for k1, k2, text, places in zip(*[batch.column(c).to_pylist() for c in ("k1", "k2", "text_value", "places")], strict=True):
-                refs = []
+            for k1, k2, text, places in zip(*[batch.column(c) for c in ("k1", "k2", "text_value", "places")], strict=True):
+                k1, k2, text, places, refs = k1.as_py(), k2.as_py(), text.as_py(), places.as_py(), []
                 for p in places:
                     left, right = text[max(p - reach, 0) : p], text[p : p + length]
                     seen = known.setdefault((left, right), [following, 0])
@@ -119,8 +124,10 @@ def _contexts(length: int, gram: int):
                         rows.append((xxhash.xxh3_64_intdigest(right[:gram]) - (1 << 63), left, right, seen[0], None, None, None, None))
                     refs.append(seen[0])
                 rows.append((k1, None, None, None, k1, k2, refs, places))
-            columns = list(zip(*rows, strict=True)) if rows else [()] * 8
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _CONTEXT, strict=True)], schema=_CONTEXT)
+                if len(rows) > CONTEXTS:
+                    yield out(rows)
+                    rows = []
+        yield out(rows)
 
     return run
 
@@ -294,8 +301,8 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Bytes that stay when ranges are taken out, and the number and total of maximal removed runs."""
     for batch in batches:
         out = []
-        for k1, k2, text, ranges in zip(*[batch.column(c).to_pylist() for c in ("k1", "k2", "text_value", "ranges")], strict=True):
-            runs: list[list[int]] = []
+        for k1, k2, text, ranges in zip(*[batch.column(c) for c in ("k1", "k2", "text_value", "ranges")], strict=True):
+            k1, k2, text, ranges, runs = k1.as_py(), k2.as_py(), text.as_py(), ranges.as_py(), []
             for lo, hi in sorted((r["lo"], r["hi"]) for r in ranges):
                 if runs and lo <= runs[-1][1]:
                     runs[-1][1] = max(runs[-1][1], hi)
