@@ -67,8 +67,15 @@ class WordTokens:
 
     def _word(self, word: bytes) -> list[int]:
         text = word.decode("utf-8", "replace")
+        if word.isascii():
+            text = text.lower()
+            if text.isalpha():
+                return self._piece(text)
+            stem = text.rstrip(".,;:!?")
+            if stem.isalpha():
+                return self._piece(stem) + self._piece(text[len(stem) :])
         if not PLAIN.fullmatch(text):
-            return self.tokenizer.encode(text, add_special_tokens=False).ids
+            return self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
         text = unicodedata.normalize("NFC", text).lower()
         if text.isalpha():
             return self._piece(text)
@@ -81,7 +88,7 @@ class WordTokens:
         words = [t.split() for t in texts]
         per_text = np.fromiter(map(len, words), np.int64, len(words))
         old = len(self.numbers)
-        which = np.fromiter((n for ws in words for n in map(self.numbers.__getitem__, ws)), np.int64, int(per_text.sum()))
+        which = np.fromiter(map(self.numbers.__getitem__, itertools.chain.from_iterable(words)), np.int64, int(per_text.sum()))
         if len(self.numbers) > old:
             new = [self._word(w) for w in itertools.islice(self.numbers, old, None)]
             lengths = np.fromiter(map(len, new), np.int64, len(new))
