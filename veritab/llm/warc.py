@@ -206,7 +206,9 @@ def build_index(spark, folder: str) -> DataFrame:
 
 
 def directory(index: DataFrame) -> list[tuple[str, int]]:
-    """First key and number of each block, sorted: one entry per block, at most twice ``DIRECTORY_ENTRIES`` beyond one per range."""
+    """First key and number of each block, sorted. All blocks are full but the last of each range, so there are at most
+    ``DIRECTORY_ENTRIES`` entries and one per range, whatever the archives hold.
+    """
     return sorted((r["first_key"], r["block"]) for r in index.select("first_key", "block").collect())
 
 
