@@ -333,7 +333,8 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     text = F.encode(F.coalesce(F.col(text_column).cast("string"), F.lit("")), "UTF-8")
     keyed = docs.select(F.col(id_column).alias("id_value"), text.alias("text_value"))
     keyed = keyed.select("id_value", "text_value", F.xxhash64("id_value", "text_value").alias("k1"), F.xxhash64(F.lit(1), "text_value").alias("k2"))
-    found = stored(keyed.select("k1", "text_value").mapInArrow(_anchors("text_value", length, gram), "h long, k1 long, pos long"), "anchors")
+    # Anchors follow from the texts, so they are made twice rather than stored.
+    found = keyed.select("k1", "text_value").mapInArrow(_anchors("text_value", length, gram), "h long, k1 long, pos long")
     again = found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
     places = found.join(again, "h").select("k1", "pos").distinct().groupBy("k1").agg(F.sort_array(F.collect_list("pos")).alias("places"))
     texts = stored(keyed.select("k1", "k2", "text_value").join(places, "k1"), "texts")
@@ -350,7 +351,6 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     spans = spans.distinct().groupBy("k1", "k2").agg(F.collect_list("range").alias("ranges"))
     cut = texts.select("k1", "k2", "text_value").dropDuplicates(["k1", "k2"]).join(spans, ["k1", "k2"])
     cut = cut.select("k1", "k2", "text_value", "ranges").mapInArrow(_kept, "of_k1 long, of_k2 long, n_removed long, n_spans long, kept_sha256 string, kept_text binary")
-    cut = stored(cut, "kept")
     rows = keyed.select("id_value", "k1", "k2", F.length("text_value").cast("long").alias("n_bytes"), F.sha2("text_value", 256).alias("whole"))
     out = rows.join(cut, (rows["k1"] == cut["of_k1"]) & (rows["k2"] == cut["of_k2"]), "left")
     return out.select(
