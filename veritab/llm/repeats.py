@@ -335,8 +335,9 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     keyed = keyed.select("id_value", "text_value", F.xxhash64("id_value", "text_value").alias("k1"), F.xxhash64(F.lit(1), "text_value").alias("k2"))
     # Anchors follow from the texts, so they are made twice rather than stored.
     found = keyed.select("k1", "text_value").mapInArrow(_anchors("text_value", length, gram), "h long, k1 long, pos long")
-    again = found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
-    places = found.join(again, "h").select("k1", "pos").distinct().groupBy("k1").agg(F.sort_array(F.collect_list("pos")).alias("places"))
+    # Stored, so that the join deals out the anchors by itself and can split those of a very common gram.
+    again = stored(found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "grams")
+    places = found.join(again, "h").groupBy("k1").agg(F.sort_array(F.collect_set("pos")).alias("places"))
     texts = stored(keyed.select("k1", "k2", "text_value").join(places, "k1"), "texts")
 
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
