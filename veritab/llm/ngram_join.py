@@ -18,8 +18,8 @@ WORDS, PERCENT = 4, 85
 #: Documents from which a shingle counts as frequent, and how many frequent shingles are told to all tasks at most.
 FREQUENT, MOST_FREQUENT = 64, 200_000
 #: Turns in which classes are compared with hubs before the trees give the rest.
-TURNS = 3
-#: Bits of a signature in a tree; entries of a leaf of the tree. Pairs are screened by signatures of two bits per shingle.
+TURNS = 4
+#: Bits of a signature in a tree; entries of a leaf of the tree. Pairs are screened by signatures of four bits per shingle.
 SIGNATURE_BITS, LEAF = 256, 16
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 #: Words whose hashes a task remembers before it starts anew, and texts that are worked on at once.
@@ -104,7 +104,7 @@ def signature(s: np.ndarray, size: int = SIGNATURE_BITS) -> np.ndarray:
 
 
 def wide_signature(s: np.ndarray) -> np.ndarray:
-    return signature(s, max(64, 1 << (2 * len(s)).bit_length()))
+    return signature(s, max(64, 1 << (4 * len(s)).bit_length()))
 
 
 def most_common(n_a: int, a: bytes, n_b: int, b: bytes) -> int:
