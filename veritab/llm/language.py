@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from veritab.llm.common import byte_column, free_name, numbered, stored
 
-#: The bounded sample that text likelihoods are fitted on; hash space of character trigrams.
+#: Distinct texts of each language that likelihoods are fitted on, about so many at most; hash space of character trigrams.
 TRAIN_ROWS, GRAM_BITS = 20_000, 15
 #: Trigrams of a text overlap: each counts as a third. Share of odd trigrams (names, numbers, code) in any language's text.
 #: Weight of the level above in a host's prior; of the uniform in a table.
@@ -53,21 +53,36 @@ def _counts(text: str, label: str):
     return run
 
 
+def training_texts(docs: DataFrame, text_column: str, label_column: str, most: int) -> tuple[list[str], DataFrame]:
+    """Languages that texts with letters are declared to be in, and about ``most`` distinct texts of each (lang, text_value).
+
+    Distinct texts are counted for each language over the whole table, by hash, so texts are not shuffled for it. A
+    language with more than ``most`` has its share chosen by hash, at least one; of the others all texts are taken.
+    Rows without a declared language, or declared unknown, are left out.
+    """
+    lang = F.lower(F.col(label_column).cast("string"))
+    narrow = docs.select(F.col(text_column).cast("string").alias("text_value"), lang.alias("lang")).where(F.col("lang") != UNKNOWN)
+    narrow = narrow.where(F.col("text_value").rlike(r"[A-Za-z]|[^\x00-\x7F]"))  # others have no trigram that counts
+    place = F.pmod(F.xxhash64("text_value"), F.lit(1 << 30))
+    each = narrow.select("lang", F.xxhash64("text_value").alias("hash"), place.alias("place")).distinct()
+    counts = each.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("least")).collect()
+    ends = [x for r in counts for x in (F.lit(r["lang"]), F.lit(max(int(min(1.0, most / r["n"]) * (1 << 30)), r["least"] + 1)))]
+    chosen = narrow.where(place < F.create_map(*ends)[F.col("lang")]) if ends else narrow.limit(0)
+    return sorted(r["lang"] for r in counts), chosen.distinct()
+
+
 def fit_text_model(docs: DataFrame, text_column: str = "text", label_column: str = "lang", most: int = TRAIN_ROWS) -> TextModel:
-    """Trigram likelihoods of each declared language from about ``most`` rows, chosen by a hash of the text.
+    """Trigram likelihoods of each declared language from about ``most`` distinct texts of it, chosen by a hash of the
+    text; of a language with fewer from all of them.
 
     A language's text may hold some odd trigrams, which cost it little against the unknown language; that one spreads
     evenly over all buckets. What reaches the driver is a table of fixed size per language.
     """
-    narrow = docs.where(F.col(label_column).isNotNull()).select(F.col(text_column).cast("string").alias("text_value"), F.lower(F.col(label_column)).alias("lang"))
-    total = docs.count()
-    part = narrow.where(F.pmod(F.xxhash64("text_value"), F.lit(1 << 30)) < int(min(1.0, most / max(total, 1)) * (1 << 30)))
+    languages, part = training_texts(docs, text_column, label_column, most)
     rows = part.mapInArrow(_counts("text_value", "lang"), "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect()
-    languages = sorted({r["lang"] for r in rows} - {UNKNOWN})
     counts = np.zeros((len(languages) + 1, 1 << GRAM_BITS))
     for r in rows:
-        if r["lang"] != UNKNOWN:
-            counts[languages.index(r["lang"]), r["bucket"]] += r["n"]
+        counts[languages.index(r["lang"]), r["bucket"]] += r["n"]
     counts[-1] = 1
     shares = (1 - ODD) * counts / np.maximum(counts.sum(axis=1, keepdims=True), 1) + ODD / (1 << GRAM_BITS)
     return TextModel([*languages, UNKNOWN], np.log(shares / shares.sum(axis=1, keepdims=True)).T.astype(np.float32).copy())
