@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 
 from veritab.llm.common import byte_column
 
-#: The bounded sample that the model is fitted on: rows of each label; terms that it looks at, and standard errors that
-#: they differ by at least.
-TRAIN_ROWS, TERMS, LEAST_ERRORS = 8000, 4096, 4.0
+#: The bounded sample that the model is fitted on: rows of each label; documents of it that a term is in at least.
+TRAIN_ROWS, LEAST_DOCS = 8000, 3
+#: Standard errors that a term's share differs by between the labels from which on it decays no faster than others, and
+#: how many times as fast the weight, and at most the factors, of a term decay that does not differ.
+LEAST_ERRORS, SHRINK_WEIGHT, SHRINK_FACTORS = 4.0, 3e4, 1e4
 #: Hash space of terms, letters of a beginning, factors of a term, and where a score counts as toxic.
 TERM_BITS, BEGINNING, FACTORS, THRESHOLD = 20, 4, 6, 0.7
 REMEMBERED = 1_000_000
@@ -53,13 +55,17 @@ class FactorizationMachine:
     """score = sigmoid(bias + sum of weights + sum over pairs of terms of the product of their factors)."""
 
     bias: float = 0.0
-    place: dict[int, int] = field(default_factory=dict)  # of a term among those that the model looks at
+    place: np.ndarray = field(default_factory=lambda: np.full(1 << TERM_BITS, -1, np.int32))  # of a term in the model, or -1
     weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
     factors: np.ndarray = field(default_factory=lambda: np.zeros((0, FACTORS)))
 
+    def places(self, terms: np.ndarray) -> np.ndarray:
+        at = self.place[terms]
+        return at[at >= 0]
+
     def margin(self, terms: np.ndarray) -> float:
-        at = [p for t in terms.tolist() if (p := self.place.get(t)) is not None]
-        if not at:
+        at = self.places(terms)
+        if not len(at):
             return self.bias
         v = self.factors[at]
         return float(self.bias + self.weights[at].sum() + 0.5 * ((v.sum(axis=0) ** 2).sum() - (v * v).sum()))
@@ -68,17 +74,22 @@ class FactorizationMachine:
         return float(1 / (1 + np.exp(-np.clip(self.margin(terms), -30, 30))))
 
 
-def chosen_terms(docs: list[np.ndarray], labels: np.ndarray, most: int = TERMS) -> np.ndarray:
-    """Terms of three documents at least whose share differs most between the labels, in standard errors."""
+def known_terms(docs: list[np.ndarray]) -> np.ndarray:
+    """Terms of ``LEAST_DOCS`` documents at least. How they differ between the labels does not matter: a term may count
+    only beside another one, and then be as frequent under either label; decay shrinks those that tell nothing."""
+    return np.flatnonzero(np.bincount(np.concatenate([np.zeros(0, np.int32), *docs]), minlength=1 << TERM_BITS) >= LEAST_DOCS)
+
+
+def shrinkage(docs: list[np.ndarray], labels: np.ndarray, terms: np.ndarray) -> np.ndarray:
+    """How many times as fast each term decays: the less its share differs between the labels, in standard errors, the
+    faster, so that terms which tell nothing stay small. None is left out."""
     flat = np.concatenate([np.zeros(0, np.int32), *docs])
     of = np.repeat(labels, [len(d) for d in docs])
-    hit, miss = (np.bincount(flat[of == y], minlength=1 << TERM_BITS) for y in (1, 0))
+    hit, miss = (np.bincount(flat[of == y], minlength=1 << TERM_BITS)[terms] for y in (1, 0))
     n_hit, n_miss = max(1, int(labels.sum())), max(1, int((1 - labels).sum()))
     share = (hit + miss) / (n_hit + n_miss)
     z = np.abs(hit / n_hit - miss / n_miss) / np.sqrt(share * (1 - share) * (1 / n_hit + 1 / n_miss) + 1e-9)
-    z[hit + miss < 3] = 0
-    best = np.argsort(-z, kind="stable")[:most]
-    return best[z[best] >= LEAST_ERRORS]
+    return SHRINK_WEIGHT ** (1 - np.minimum(z / LEAST_ERRORS, 1) ** 3)
 
 
 def fit(docs: list[np.ndarray], labels: np.ndarray, rate: float, rounds: int = 30, lot: int = 128, step: float = 0.2, decay: float = 1e-4, seed: int = 7) -> FactorizationMachine:
@@ -93,9 +104,11 @@ def fit(docs: list[np.ndarray], labels: np.ndarray, rate: float, rounds: int = 3
     model.bias = float(np.log((rate + 1e-3) / (1 - rate + 1e-3)))
     if labels.min() == labels.max():
         return model
-    terms = chosen_terms(docs, labels)
-    model.place = {int(t): i for i, t in enumerate(terms)}
-    rows = [np.array([p for t in d.tolist() if (p := model.place.get(t)) is not None], np.int64) for d in docs]
+    terms = known_terms(docs)
+    model.place[terms] = np.arange(len(terms))
+    rows = [model.places(d) for d in docs]
+    shrink = shrinkage(docs, labels, terms)
+    decay_w, decay_v = decay * shrink, decay * np.clip(shrink, 10, SHRINK_FACTORS)[:, None]
     random = np.random.default_rng(seed)
     w, v = np.zeros(len(terms)), random.normal(0, 0.02, (len(terms), FACTORS))
     sum_w, sum_v = np.full(len(terms), 1e-2), np.full((len(terms), FACTORS), 1e-2)
@@ -119,10 +132,9 @@ def fit(docs: list[np.ndarray], labels: np.ndarray, rate: float, rounds: int = 3
             g = each[of]
             sum_b += each.sum() ** 2
             model.bias -= step * 0.1 * each.sum() / np.sqrt(sum_b + 1)
-            grad_w = np.bincount(at, g, len(terms)) + decay * w
-            grad_v = np.zeros_like(v)
-            np.add.at(grad_v, at, g[:, None] * (s[of] - va))
-            grad_v += 10 * decay * v
+            grad_w = np.bincount(at, g, len(terms)) + decay_w * w
+            grad_v = np.stack([np.bincount(at, x, len(terms)) for x in (g[:, None] * (s[of] - va)).T], axis=1)
+            grad_v += decay_v * v
             sum_w += grad_w * grad_w
             sum_v += grad_v * grad_v
             w -= step * grad_w / np.sqrt(sum_w)
