@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from veritab.llm import embedding_join, exact_dedup, language, mixing, ngram_join, packing, repeats, secrets, toxicity, warc
+from veritab.llm import centroids, embedding_join, exact_dedup, language, learned_partitions, merkle, mixing, ngram_join, packing, repeats, secrets, toxicity, warc
 
 QUERIES, ORACLES = {}, {}
 
@@ -141,3 +141,92 @@ def op4(spark, folder):
 def op2(spark, folder):
     model = language.fit_text_model(_table(spark, folder, "documents"))
     return language.identify_pages(_table(spark, folder, "pages"), model)
+
+
+def _clustering_sql(rounds: int = centroids.ROUNDS) -> str:
+    """Integer clustering, one set of common table expressions for each round."""
+    cut = "CASE WHEN {s} % {n} < 0 THEN {s} // {n} - 1 ELSE {s} // {n} END"  # // cuts towards zero
+    parts = [
+        """v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+                FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64)""",
+        "c0 AS (SELECT ROW_NUMBER() OVER (ORDER BY h, x) - 1 AS k, x FROM (SELECT x, sha256('1:' || vec_id) AS h FROM v ORDER BY h, x LIMIT 16))",
+    ]
+    for r in range(rounds + 1):
+        parts.append(
+            f"""a{r} AS (SELECT vec_id, v.x, arg_min(k, (d, k)) AS k, MIN(d) AS d
+                FROM (SELECT vec_id, v.x, k, list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d FROM v, c{r} c) v
+                GROUP BY vec_id, v.x)"""
+        )
+        if r < rounds:
+            parts.append(
+                f"""m{r} AS (SELECT k, list({cut.format(s="s", n="n")} ORDER BY i) AS x
+                    FROM (SELECT k, i, SUM(y)::BIGINT AS s, COUNT(*) AS n FROM (SELECT k, unnest(x) AS y, unnest(range(64)) AS i FROM a{r}) GROUP BY k, i) GROUP BY k)"""
+            )
+            parts.append(f"c{r + 1} AS (SELECT c.k, COALESCE(m.x, c.x) AS x FROM c{r} c LEFT JOIN m{r} m USING (k))")
+    return f"""WITH {", ".join(parts)}
+        SELECT vec_id, CAST(k AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(SUM(d) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia,
+               CAST(SUM(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256
+        FROM a{rounds} JOIN c{rounds} c USING (k)"""
+
+
+@query("op11_learned_partitions")
+def op11(spark, folder):
+    vectors = _table(spark, folder, "embeddings")
+    return learned_partitions.nearest(vectors, learned_partitions.train(vectors))
+
+
+@query("op12_simplex_clustering", _clustering_sql())
+def op12(spark, folder):
+    return centroids.cluster(_table(spark, folder, "embeddings"))
+
+
+@query(
+    "op13_merkle_manifest",
+    r"""WITH RECURSIVE coded AS (
+            SELECT doc_id, source, text, ROW_NUMBER() OVER () AS row,
+                   list_reduce(list_concat([4294967295], range(8 * strlen(CAST(doc_id AS VARCHAR)))), lambda c, i:
+                       (CASE WHEN (CASE WHEN i % 8 = 0 THEN xor(c, CAST(ascii(substr(CAST(doc_id AS VARCHAR), CAST(i // 8 + 1 AS INTEGER), 1)) AS BIGINT)) ELSE c END) & 1 = 1
+                        THEN xor((CASE WHEN i % 8 = 0 THEN xor(c, CAST(ascii(substr(CAST(doc_id AS VARCHAR), CAST(i // 8 + 1 AS INTEGER), 1)) AS BIGINT)) ELSE c END) >> 1, 3988292384)
+                        ELSE (CASE WHEN i % 8 = 0 THEN xor(c, CAST(ascii(substr(CAST(doc_id AS VARCHAR), CAST(i // 8 + 1 AS INTEGER), 1)) AS BIGINT)) ELSE c END) >> 1 END)) AS crc_inverse,
+                   [CAST(doc_id AS VARCHAR), source, lang, CAST(n_chars AS VARCHAR)] AS others
+            FROM documents),
+        prepared AS (
+            SELECT *, array_to_string(list_transform(others, lambda x: CASE WHEN x IS NULL THEN '-' ELSE strlen(x) || ':' || x END), '') AS head,
+                   CASE WHEN COALESCE(crc_inverse & 1 = 1, FALSE) THEN replace(text, chr(10), '') ELSE text END AS other_text
+            FROM coded),
+        hashed AS (
+            SELECT doc_id, source, row, sha256(head || COALESCE(strlen(text) || ':' || text, '-')) AS leaf,
+                   sha256(head || COALESCE(strlen(other_text) || ':' || other_text, '-')) AS changed
+            FROM prepared),
+        leaves AS (
+            SELECT *, ROW_NUMBER() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, changed) - 1 AS idx, COUNT(*) OVER (PARTITION BY source) AS n,
+                   DENSE_RANK() OVER (ORDER BY source NULLS FIRST) AS tree
+            FROM hashed),
+        nodes(lvl, tree, idx, n, h) AS (
+            SELECT 0, tree, idx, n, leaf FROM leaves
+            UNION ALL
+            SELECT lvl + 1, tree, idx // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY idx)) FROM nodes WHERE n > 1 GROUP BY lvl, tree, idx // 3, n),
+        upper(lvl, tree, idx, n, h) AS (
+            SELECT 0, 0, tree - 1, COUNT(*) OVER (), h FROM nodes WHERE n = 1
+            UNION ALL
+            SELECT lvl + 1, tree, idx // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY idx)) FROM upper WHERE n > 1 GROUP BY lvl, tree, idx // 3, n),
+        runs AS (
+            SELECT tree, lvl, idx // 3 AS run, list(h ORDER BY idx) AS hs FROM nodes WHERE n > 1 GROUP BY tree, lvl, idx // 3
+            UNION ALL SELECT tree, lvl, idx // 3, list(h ORDER BY idx) FROM upper WHERE n > 1 GROUP BY tree, lvl, idx // 3),
+        folded(row, own_tree, tree, lvl, idx, h, proof, going) AS (
+            SELECT row, tree, tree, 0, idx, changed, '', TRUE FROM leaves
+            UNION ALL
+            SELECT row, own_tree, CASE WHEN r.run IS NULL THEN 0 ELSE f.tree END, CASE WHEN r.run IS NULL THEN 0 ELSE f.lvl + 1 END,
+                   CASE WHEN r.run IS NULL THEN own_tree - 1 ELSE f.idx // 3 END,
+                   CASE WHEN r.run IS NULL THEN h ELSE sha256(array_to_string(hs[1:f.idx % 3], '') || h || array_to_string(hs[f.idx % 3 + 2:], '')) END,
+                   proof || CASE WHEN r.run IS NULL THEN '' ELSE array_to_string(hs[1:f.idx % 3], '') || array_to_string(hs[f.idx % 3 + 2:], '') END,
+                   NOT (r.run IS NULL AND f.tree = 0)
+            FROM folded f LEFT JOIN runs r ON r.tree = f.tree AND r.lvl = f.lvl AND r.run = f.idx // 3
+            WHERE going)
+        SELECT l.doc_id, l.leaf, s.h AS subroot, t.h AS root, sha256(f.proof) AS proof_sha256, f.h AS folded_root, f.h = t.h AS verified
+        FROM leaves l JOIN folded f USING (row) JOIN nodes s ON s.tree = l.tree AND s.n = 1 JOIN upper t ON t.n = 1
+        WHERE NOT f.going""",
+)
+def op13(spark, folder):
+    rows = merkle.merkle_manifest(_table(spark, folder, "documents"), tampered=merkle.line_breaks_removed())
+    return rows.drop("path")
