@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from veritab.llm.common import running_rank, stored
 
 #: Children of a node; levels that are built in one window, whose partitions hold at most ARITY ** LEVELS nodes.
-ARITY, LEVELS = 3, 5
+ARITY, LEVELS = 3, 6
 #: Columns that a leaf covers, in this order.
 COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
 
@@ -102,16 +102,19 @@ def merkle_manifest(
     and three nodes in a row become one until one is left; the nodes that are left are leaves of the same kind of
     tree over all groups, null first, others by bytes.
 
-    Each level takes siblings from lag and lead over chunks of 243 rows, so a group may have any part of all rows.
+    Each level takes siblings from lag and lead over chunks of 729 rows, so a group may have any part of all rows.
     Texts are hashed in the scan; only digests are shuffled. A row of a group that stands alone has an empty path in it.
     Rows that repeat are leaves of their own. An empty table gives an empty result. Other columns are ignored.
     """
-    changed = {c: (tampered or {}).get(c, F.col(c)) for c in columns}
+    changed = {c: x for c, x in (tampered or {}).items() if c in columns}
+    own = digest(*[encoded(F.col(c)) for c in columns])
+    same = F.lit(True)
+    for c, x in changed.items():
+        same &= F.col(c).eqNullSafe(x)
+    other = F.when(same, own).otherwise(digest(*[encoded(changed.get(c, F.col(c))) for c in columns]))
     key = F.coalesce(F.concat(F.lit("="), F.col(group_column).cast("string")), F.lit(""))
-    base = rows.select(
-        F.col(order_column).alias("order_value"), key.alias("tree"),
-        F.unhex(digest(*[encoded(F.col(c)) for c in columns])).alias("own"), F.unhex(digest(*[encoded(x) for x in changed.values()])).alias("other"),
-    )
+    # Stored, as cutting ranges reads its input twice.
+    base = stored(rows.select(F.col(order_column).alias("order_value"), key.alias("tree"), F.unhex(own).alias("own"), F.unhex(other).alias("other")), "digests")
     ranked = running_rank(base, ["tree"], ["order_value", "own", "other"], "at")
     hexed = lambda c: F.lower(F.hex(c))
     leaves = ranked.select("tree", "order_value", (F.col("at") - 1).cast("long").alias("at"), hexed("own").alias("hash"), hexed("other").alias("changed"))
@@ -142,4 +145,4 @@ def merkle_manifest(
 def line_breaks_removed(text_column: str = "text", id_column: str = "doc_id") -> dict[str, Column]:
     """The text without line feeds where 2 divides the CRC-32 of the id in decimal digits; rows without an id stay."""
     even = F.crc32(F.col(id_column).cast("string").cast("binary")) % 2 == 0
-    return {text_column: F.when(even, F.translate(text_column, "\n", "")).otherwise(F.col(text_column))}
+    return {text_column: F.when(even, F.replace(F.col(text_column), F.lit("\n"), F.lit(""))).otherwise(F.col(text_column))}
