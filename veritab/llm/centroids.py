@@ -67,10 +67,10 @@ class Simplex:
     heights on opposite sides an upper one.
     """
 
-    def __init__(self, candidates: list[list[int]], limit: int):
+    def __init__(self, candidates: list[list[int]], limit: int, dim: int):
         """Pivots are those candidates that are small and far enough from the space of the ones before."""
         easy = [c for c in candidates if max(map(abs, c), default=0) <= limit]
-        self.pivots = np.array(easy[:1], np.int64).reshape(len(easy[:1]), -1)
+        self.pivots = np.array(easy[:1], np.int64).reshape(-1, dim)
         for c in easy[1:]:
             edges = np.array([*self.pivots[1:], c], np.float64) - self.pivots[0]
             spread = np.abs(np.diag(np.linalg.qr(edges.T)[1])) if len(edges) <= edges.shape[1] else np.zeros(1)
@@ -236,7 +236,7 @@ def cluster(
     starts = [_numbers(r["small"], r["wide"]) for r in first]
 
     limit = small_limit(dim)
-    simplex = Simplex(starts, limit)
+    simplex = Simplex(starts, limit, dim)
     rows = stored(whole.mapInArrow(_with_apexes(simplex), f"id_value {kind}, small binary, wide string, apex binary"), "apexes")
     centres = Centres(starts, simplex, limit)
     for _ in range(rounds if starts else 0):

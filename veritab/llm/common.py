@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import itertools
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from veritab.session import materialise
+from veritab.session import intermediate_files, materialise, shared_path
 
 #: Words are runs of other characters than blank, tab, line feed, vertical tab, form feed and carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -20,6 +21,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return materialise(df, f"llm-{name}")
 
 
+def step(spark: SparkSession, build: Callable[[], DataFrame], name: str) -> DataFrame:
+    """What ``build`` returns, stored; whatever else it stored is removed."""
+    path = shared_path(spark, f"llm-{name}")
+    with intermediate_files(spark):
+        out = build()
+        out.write.parquet(path)
+    return spark.read.schema(out.schema).parquet(path)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """A column name that the table does not have, whatever the case."""
     taken = {c.lower() for c in df.columns}

@@ -49,7 +49,7 @@ def _bisect(a: np.ndarray, b: np.ndarray, n: int, rng: np.random.Generator) -> n
     pull = lambda x: np.bincount(a, x[b], n) + np.bincount(b, x[a], n)
     degree = np.maximum(pull(np.ones(n)), 1e-9)
     mode = rng.standard_normal(n)
-    for _ in range(60):
+    for _ in range(150):
         mode = pull(mode) / degree + mode
         mode -= (mode * degree).sum() / degree.sum()
         mode /= np.abs(mode).max() + 1e-300

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veritab.llm.common import running_rank, stored
@@ -15,9 +15,14 @@ ARITY, LEVELS = 3, 6
 COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
 
 
-def digest(*parts: Column) -> Column:
-    """Lowercase hex SHA-256 of concatenated texts."""
-    return F.sha2(F.concat(*parts).cast("binary"), 256)
+def digest(text: Column) -> Column:
+    """SHA-256 as 32 bytes."""
+    return F.unhex(F.sha2(text.cast("binary"), 256))
+
+
+def hexed(digests: Column) -> Column:
+    """Lowercase hex text of digests, which may be several in a row."""
+    return F.lower(F.hex(digests))
 
 
 def encoded(value: Column) -> Column:
@@ -27,7 +32,7 @@ def encoded(value: Column) -> Column:
 
 
 def _levels(nodes: DataFrame, group: list[str]) -> DataFrame:
-    """Nodes (group, at, hash, counted from 0 without gaps) with ``path`` and ``top``: LEVELS levels up.
+    """Nodes (group, at, hash, counted from 0 without gaps) with ``chunk``, ``path`` and ``top``: LEVELS levels up.
 
     ``path`` lists, for each level that exists, the siblings left and right of the node that is above the row;
     ``top`` is the node LEVELS levels above, on the first row of each chunk only.
@@ -37,57 +42,52 @@ def _levels(nodes: DataFrame, group: list[str]) -> DataFrame:
     a run is masked by the node's slot in its run and the run's length; slot 0 then hashes the run to its parent.
     A group that is one chunk stops at the level where one node is left.
     """
-    chunk = nodes.withColumns({"chunk": F.floor(F.col("at") / ARITY**LEVELS).cast("long"), "place": F.pmod("at", F.lit(ARITY**LEVELS)).cast("int")})
-    keys = [*group, "chunk"]
-    order = Window.partitionBy(*keys).orderBy("place")
-    out = chunk.withColumn("rows_of_chunk", F.count(F.lit(1)).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    out = out.withColumn("node", F.col("hash"))
-    paths = []
+    size = ARITY**LEVELS
+    keys = ", ".join([*group, "chunk"])
+    order = f"OVER (PARTITION BY {keys} ORDER BY place)"
+    out = nodes.selectExpr("*", f"at div {size} AS chunk", f"at % {size} AS place", "hash AS node")
+    out = out.selectExpr("*", f"count(1) OVER (PARTITION BY {keys} ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS rows_of_chunk")
+    lives = [f"(chunk > 0 OR rows_of_chunk > {ARITY**k})" for k in range(LEVELS)]
     for k in range(LEVELS):
         step = ARITY**k
-        lives = (F.col("chunk") > 0) | (F.col("rows_of_chunk") > step)
-        holds = F.col("place") % step == 0
-        number = F.floor(F.col("place") / step)
-        slot = number % ARITY
-        run = F.least(F.lit(ARITY), F.ceil(F.col("rows_of_chunk") / step) - (number - slot))
-        before = [F.when(slot >= n, F.lag("node", n * step).over(order)) for n in range(ARITY - 1, 0, -1)]
-        after = [F.when(slot + n < run, F.lead("node", n * step).over(order)) for n in range(1, ARITY)]
-        left, right = F.concat_ws("", *before), F.concat_ws("", *after)
-        out = out.withColumn(f"run{k}", F.when(lives & holds, F.struct(left.alias("left"), right.alias("right"))))
-        parent = F.when(slot == 0, digest("node", F.col(f"run{k}.right")))
-        out = out.withColumn("node", F.when(holds, F.when(lives, parent).otherwise(F.col("node"))))
-        # The row of a node is the last before its rows.
-        paths.append(F.when(lives, F.last(f"run{k}", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))))
-    out = out.withColumn("path", F.array_compact(F.array(*paths)))
-    return out.withColumn("top", F.when(F.col("place") == 0, F.col("node"))).drop("node", "rows_of_chunk", "place", *[f"run{k}" for k in range(LEVELS)])
+        slot = f"(place div {step}) % {ARITY}"
+        run = f"least({ARITY}, ceil(rows_of_chunk / {step}) - (place div {step}) + {slot})"
+        before = [f"CASE WHEN {slot} >= {n} THEN lag(node, {n * step}) {order} ELSE X'' END" for n in range(ARITY - 1, 0, -1)]
+        after = [f"CASE WHEN {slot} + {n} < {run} THEN lead(node, {n * step}) {order} ELSE X'' END" for n in range(1, ARITY)]
+        siblings = f"named_struct('left', concat({', '.join(before)}), 'right', concat({', '.join(after)}))"
+        out = out.selectExpr("*", f"CASE WHEN {lives[k]} AND place % {step} = 0 THEN {siblings} END AS run{k}")
+        parent = f"CASE WHEN {slot} = 0 THEN unhex(sha2(CAST(lower(hex(concat(node, run{k}.right))) AS BINARY), 256)) END"
+        out = out.selectExpr(*[c for c in out.columns if c != "node"], f"CASE WHEN place % {step} = 0 THEN CASE WHEN {lives[k]} THEN {parent} ELSE node END END AS node")
+    # The row of a node is the last one before its rows.
+    paths = [f"CASE WHEN {x} THEN last(run{k}, true) OVER (PARTITION BY {keys} ORDER BY place ROWS UNBOUNDED PRECEDING) END" for k, x in enumerate(lives)]
+    return out.selectExpr(*nodes.columns, "chunk", f"array_compact(array({', '.join(paths)})) AS path", "CASE WHEN place = 0 THEN node END AS top")
 
 
 def _tree(leaves: DataFrame, group: list[str]) -> tuple[DataFrame, list[DataFrame]]:
-    """The single node of each group, and the node tables (group, at, hash), LEVELS levels from one to the next."""
-    tables = [leaves.select(*group, "at", "hash")]
+    """The single node of each group, and stored tables of nodes with their paths, LEVELS levels from one to the next."""
+    tables, now = [], leaves
     while True:
-        now = stored(_levels(tables[-1], group).where(F.col("top").isNotNull()).select(*group, F.col("chunk").alias("at"), F.col("top").alias("hash")), "nodes")
+        tables.append(stored(_levels(now, group), "nodes"))
+        now = tables[-1].where(F.col("top").isNotNull()).select(*group, F.col("chunk").alias("at"), F.col("top").alias("hash"))
         if not now.where("at > 0").take(1):
             return now.select(*group, "hash"), tables
-        tables.append(now)
 
 
-def _paths(tables: list[DataFrame], group: list[str], above: DataFrame) -> DataFrame:
-    """Paths of all levels for the nodes of the second table and of later ones, from the top down.
+def _chunk_paths(tables: list[DataFrame], group: list[str], above: DataFrame) -> DataFrame:
+    """Paths above the chunks of the first table, from the top down.
 
-    above: (group, path) of each group's own top. Returns (group, at, path): the path above each chunk of leaves.
+    above: (group, path, ...) of each group's own top; its other columns are handed down. Returns them with ``chunk``.
     """
-    out = above.withColumn("at", F.lit(0).cast("long"))
+    out = above.withColumn("chunk", F.lit(0).cast("long"))
     for table in reversed(tables[1:]):
-        rows = _levels(table, group).select(*group, "at", F.col("path").alias("low"), "chunk")
-        upper = out.select(*group, F.col("at").alias("chunk"), "path")
-        out = stored(rows.join(upper, [*group, "chunk"]).select(*group, "at", F.concat("low", "path").alias("path")), "paths")
+        rows = table.select(*group, "chunk", "at", F.col("path").alias("low")).join(out, [*group, "chunk"])
+        out = stored(rows.select(*above.drop("path").columns, F.concat("low", "path").alias("path"), F.col("at").alias("chunk")), "paths")
     return out
 
 
 def fold(leaf: Column, path: Column) -> Column:
     """The root that a leaf and its siblings give."""
-    return F.aggregate(path, leaf, lambda h, s: digest(s["left"], h, s["right"]))
+    return F.aggregate(path, leaf, lambda h, s: digest(hexed(F.concat(s["left"], h, s["right"]))))
 
 
 def merkle_manifest(
@@ -95,8 +95,8 @@ def merkle_manifest(
 ) -> DataFrame:
     """Leaf, subroot, root and proof of every row, and the root that the row with the columns of ``tampered`` leads to.
 
-    Columns: the order column, leaf, subroot, root, path (siblings left and right, level by level), proof_sha256,
-    folded_root, verified.
+    Columns: the order column, leaf, subroot, root, path (siblings left and right, level by level, as bytes),
+    proof_sha256, folded_root, verified.
 
     A leaf is the digest of a row's columns. Leaves of a group ascend by the order column (nulls first, then by leaf),
     and three nodes in a row become one until one is left; the nodes that are left are leaves of the same kind of
@@ -107,37 +107,37 @@ def merkle_manifest(
     Rows that repeat are leaves of their own. An empty table gives an empty result. Other columns are ignored.
     """
     changed = {c: x for c, x in (tampered or {}).items() if c in columns}
-    own = digest(*[encoded(F.col(c)) for c in columns])
+    leaf_of = lambda new: digest(F.concat(*[encoded(new.get(c, F.col(c))) for c in columns]))
     same = F.lit(True)
     for c, x in changed.items():
         same &= F.col(c).eqNullSafe(x)
-    other = F.when(same, own).otherwise(digest(*[encoded(changed.get(c, F.col(c))) for c in columns]))
     key = F.coalesce(F.concat(F.lit("="), F.col(group_column).cast("string")), F.lit(""))
     # Stored, as cutting ranges reads its input twice.
-    base = stored(rows.select(F.col(order_column).alias("order_value"), key.alias("tree"), F.unhex(own).alias("own"), F.unhex(other).alias("other")), "digests")
-    ranked = running_rank(base, ["tree"], ["order_value", "own", "other"], "at")
-    hexed = lambda c: F.lower(F.hex(c))
-    leaves = ranked.select("tree", "order_value", (F.col("at") - 1).cast("long").alias("at"), hexed("own").alias("hash"), hexed("other").alias("changed"))
-    leaves = stored(leaves, "leaves")
+    base = rows.select(F.col(order_column).alias("order_value"), key.alias("tree"), leaf_of({}).alias("hash"), F.when(~same, leaf_of(changed)).alias("changed"))
+    ranked = running_rank(stored(base, "digests"), ["tree"], ["order_value", "hash", "changed"], "at")
+    leaves = ranked.withColumn("at", F.col("at") - 1)
 
     subroots, tables = _tree(leaves, ["tree"])
-    tops = running_rank(subroots, [], ["tree"], "at").select("tree", "hash", (F.col("at") - 1).cast("long").alias("at"), F.lit(0).alias("all"))
-    tops = stored(tops, "subroots")
-    root, upper = _tree(tops, ["all"])
-    empty = F.array().cast("array<struct<left:string,right:string>>")
-    over = _paths(upper, ["all"], root.select("all", empty.alias("path")))
-    above = _levels(tops, ["all"]).select("at", F.col("path").alias("low"), "chunk", "all").join(over.select("all", F.col("at").alias("chunk"), "path"), ["all", "chunk"])
-    above = stored(above.select("at", F.concat("low", "path").alias("path")).join(tops, "at").select("tree", "path", F.col("hash").alias("subroot")), "groups")
-
-    # A path above a chunk carries its group's subroot, so leaves meet one table, on the key of their windows.
-    chunks = _paths(tables, ["tree"], above.select("tree", "path"))
-    chunks = chunks.join(above.select("tree", "subroot"), "tree").select("tree", F.col("at").alias("chunk"), F.col("path").alias("high"), "subroot")
-    proofs = _levels(leaves, ["tree"]).join(chunks, ["tree", "chunk"]).withColumn("path", F.concat("path", "high"))
+    tops = running_rank(stored(subroots, "subroots"), [], ["tree"], "at").select(F.lit(0).alias("forest"), "tree", "hash", (F.col("at") - 1).alias("at"))
+    root, upper = _tree(tops, ["forest"])
     whole = root.first()  # one row; none for an empty table
-    out = proofs.withColumn("root", F.lit(whole["hash"] if whole else None).cast("string"))
-    siblings = F.array_join(F.transform("path", lambda s: F.concat(s["left"], s["right"])), "")
-    out = out.select(
-        F.col("order_value").alias(order_column), F.col("hash").alias("leaf"), "subroot", "root", "path", digest(siblings).alias("proof_sha256"), fold(F.col("changed"), F.col("path")).alias("folded_root")
+    empty = F.array().cast("array<struct<left:binary,right:binary>>")
+    over = _chunk_paths(upper, ["forest"], root.select("forest", empty.alias("path")))
+    groups = upper[0].select("forest", "chunk", "tree", F.col("hash").alias("subroot"), F.col("path").alias("low")).join(over, ["forest", "chunk"])
+    groups = stored(groups.select("tree", "subroot", F.concat("low", "path").alias("path")), "groups")
+    chunks = _chunk_paths(tables, ["tree"], groups).withColumnRenamed("path", "high")
+
+    proofs = tables[0].select("tree", "chunk", "order_value", F.col("hash").alias("leaf"), F.coalesce("changed", "hash").alias("changed"), "path")
+    proofs = proofs.join(chunks, ["tree", "chunk"]).withColumn("path", F.concat("path", "high"))
+    siblings = F.aggregate("path", F.lit(b""), lambda before, s: F.concat(before, s["left"], s["right"]))
+    out = proofs.select(
+        F.col("order_value").alias(order_column),
+        hexed("leaf").alias("leaf"),
+        hexed("subroot").alias("subroot"),
+        F.lit(whole["hash"].hex() if whole else None).cast("string").alias("root"),
+        "path",
+        F.sha2(hexed(siblings).cast("binary"), 256).alias("proof_sha256"),
+        hexed(fold(F.col("changed"), F.col("path"))).alias("folded_root"),
     )
     return out.withColumn("verified", F.col("folded_root") == F.col("root"))
 

@@ -6,24 +6,28 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritab.llm.common import byte_column, mixed, numbered, stored
-from veritab.llm.components import components
+from veritab.llm.common import byte_column, mixed, numbered, step, stored
+from veritab.llm.components import components, labels_of
 
 #: Words of a shingle; least similarity in hundredths.
 WORDS, PERCENT = 4, 85
 #: Documents from which a shingle counts as frequent, and how many frequent shingles are told to all tasks at most.
 FREQUENT, MOST_FREQUENT = 64, 200_000
-#: Turns in which classes are compared with hubs before the trees give the rest.
-TURNS = 4
-#: Bits of a signature in a tree; entries of a leaf of the tree. Pairs are screened by signatures of four bits per shingle.
-SIGNATURE_BITS, LEAF = 256, 16
+#: Turns in which sets are compared with the blocks of hubs before the trees name the rest.
+TURNS = 2
+#: Bits of a signature in a tree; entries of a leaf of the tree; entries of a shingle that meet in one tree.
+SIGNATURE_BITS, LEAF, PIECE = 256, 16, 8192
+#: Sets of a block, and how many shingles they have at most (or one set); sets that a task compares with a block.
+BLOCK, BLOCK_SHINGLES, ASKING = 128, 1 << 17, 4096
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-#: Words whose hashes a task remembers before it starts anew, and texts that are worked on at once.
-REMEMBERED, LOT = 200_000, 1000
+#: Words whose hashes a task remembers before it starts anew; texts, and bytes of them, that are worked on at once.
+REMEMBERED, LOT, LOT_BYTES = 100_000, 500, 2 << 20
 
 
 class _Hashes(dict):
@@ -51,24 +55,26 @@ def shingle_sets(texts: list[bytes], known: dict, words: int = WORDS) -> Iterato
         yield np.unique(mixed(s))
 
 
-def _lots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _lots(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
+    """Rows whose texts are few and short enough to be worked on at once; a longer text is alone."""
     for batch in batches:
-        for low in range(0, batch.num_rows, LOT):
-            yield batch.slice(low, LOT)
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        low = 0
+        while low < batch.num_rows:
+            start = ends[low - 1] if low else 0
+            high = min(max(low + 1, int(np.searchsorted(ends, start + LOT_BYTES, "right"))), low + LOT)
+            yield batch.slice(low, high - low)
+            low = high
 
 
 def _local_counts(text: str, words: int, least: int = 2):
     """Shingles that several different sets of a lot share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, seen = _Hashes(), set()
-        for batch in _lots(batches):
-            new = []
-            for s in shingle_sets(byte_column(batch, text), known, words):
-                if (digest := xxhash.xxh3_64_intdigest(s.tobytes())) not in seen:
-                    seen.add(digest)
-                    new.append(s)
-            values, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *new]), return_counts=True)
+        known = _Hashes()
+        for batch in _lots(batches, text):
+            new = {xxhash.xxh3_128_digest(s.tobytes()): s for s in shingle_sets(byte_column(batch, text), known, words)}
+            values, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *new.values()]), return_counts=True)
             some = counts >= least
             yield pa.RecordBatch.from_arrays([pa.array(values[some].view(np.int64)), pa.array(counts[some].astype(np.int64))], names=["token", "n"])
 
@@ -82,13 +88,13 @@ def frequent_shingles(docs: DataFrame, text: str, words: int = WORDS) -> np.ndar
     return np.sort(np.array([r["token"] for r in rows], np.int64).view(np.uint64))
 
 
-def in_order(s: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """A set in the order that all sets share: rare shingles first, then frequent ones, each by hash."""
+def in_order(s: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, int]:
+    """A set in the order that all sets share: rare shingles first, then frequent ones, each by hash; and the number of rare ones."""
     if not len(frequent):
-        return s
+        return s, len(s)
     at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
     hot = frequent[at] == s
-    return np.concatenate([s[~hot], s[hot]])
+    return np.concatenate([s[~hot], s[hot]]), len(s) - int(hot.sum())
 
 
 def prefix_length(n: int, percent: int = PERCENT) -> int:
@@ -103,23 +109,6 @@ def signature(s: np.ndarray, size: int = SIGNATURE_BITS) -> np.ndarray:
     return np.packbits(bits)
 
 
-def wide_signature(s: np.ndarray) -> np.ndarray:
-    return signature(s, max(64, 1 << (4 * len(s)).bit_length()))
-
-
-def most_common(n_a: int, a: bytes, n_b: int, b: bytes) -> int:
-    """The largest overlap that two signatures allow: a common bit may stand for one common shingle, and for as many more
-    as a set has shingles beyond its bits. The longer signature is folded to the length of the shorter.
-    """
-    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
-    if len(x) < len(y):
-        n_a, x, n_b, y = n_b, y, n_a, x
-    if len(x) > len(y):
-        x = np.packbits(np.unpackbits(x).reshape(8 * len(y), -1).any(axis=1))
-    count = lambda v: int(np.bitwise_count(v.view(np.uint64)).sum())
-    return count(x & y) + min(n_a - count(x), n_b - count(y))
-
-
 def _set_key(s: np.ndarray) -> tuple[int, int]:
     d = xxhash.xxh3_128_digest(s.astype("<u8").tobytes())
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
@@ -128,16 +117,16 @@ def _set_key(s: np.ndarray) -> tuple[int, int]:
 def _described(text: str, words: int, percent: int, frequent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, hot = _Hashes(), frequent.value
-        for batch in _lots(batches):
-            n, keys, signatures, wide, prefixes = [], [], [], [], []
+        for batch in _lots(batches, text):
+            n, rare, keys, signatures, prefixes = [], [], [], [], [np.zeros(0, np.int64)]
             for s in shingle_sets(byte_column(batch, text), known, words):
-                n.append(len(s)), keys.append(_set_key(s)), signatures.append(signature(s).tobytes()), wide.append(wide_signature(s).tobytes())
-                prefixes.append(in_order(s, hot)[: prefix_length(len(s), percent)].view(np.int64) if len(s) else np.zeros(0, np.int64))
-            offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
-            flat = np.concatenate([np.zeros(0, np.int64), *prefixes])
+                ordered, cold = in_order(s, hot)
+                n.append(len(s)), rare.append(cold), keys.append(_set_key(s)), signatures.append(signature(s).tobytes())
+                prefixes.append(ordered[: prefix_length(len(s), percent) if len(s) else 0].view(np.int64))
+            offsets = np.cumsum([len(p) for p in prefixes]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [*batch.drop_columns([text]).columns, pa.array(n, pa.int64()), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), pa.array(signatures, pa.binary()), pa.array(wide, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-                names=[*(c for c in batch.schema.names if c != text), "n", "k1", "k2", "signature", "wide", "prefix"],
+                [*batch.drop_columns([text]).columns, pa.array(n, pa.int64()), pa.array(rare, pa.int64()), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), pa.array(signatures, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(prefixes)))],
+                names=[*(c for c in batch.schema.names if c != text), "n", "rare", "k1", "k2", "signature", "prefix"],
             )
 
     return run
@@ -230,25 +219,32 @@ class _Tree:
                 yield from self.pairs(x, y, percent)
 
 
-def _candidates(percent: int):
-    """Pairs of sets that share a shingle of their prefixes, are not connected yet, and pass the tree's bounds."""
+def _asked(percent: int):
+    """(block, cls): sets that may be similar to one of a block, by the trees of the shingles that they share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for token, cls, n, pos, part, raw in _groups(batches):
-            starts = np.concatenate([[0], np.flatnonzero(token[1:] != token[:-1]) + 1, [len(token)]])
-            mixed_parts = np.minimum.reduceat(part, starts[:-1]) != np.maximum.reduceat(part, starts[:-1])
-            some = np.repeat(mixed_parts, np.diff(starts))
-            if not some.any():
-                continue
-            token, cls, n, pos, part = (x[some].astype(np.int64) for x in (token, cls, n, pos, part))
-            bits = np.frombuffer(b"".join(raw[some]), np.uint64).reshape(len(token), -1)
+        held: list[np.ndarray] = []
+
+        def flush():
+            block, cls = np.unique(np.concatenate(held, axis=1), axis=1)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(block), pa.array(cls)], names=["block", "cls"])
+
+        for token, cls, n, pos, part, block, raw in _groups(batches):
+            bits = np.frombuffer(b"".join(raw), np.uint64).reshape(len(token), -1)
             spare = n - np.bitwise_count(bits).sum(axis=1).astype(np.int64)
             starts = np.concatenate([[0], np.flatnonzero(token[1:] != token[:-1]) + 1, [len(token)]])
             for lo, hi in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
                 tree = _Tree(n[lo:hi], (n - pos)[lo:hi], spare[lo:hi], part[lo:hi], bits[lo:hi])
                 for i, j in tree.pairs((0, hi - lo), (0, hi - lo), percent):
-                    x, y = cls[lo:hi][i], cls[lo:hi][j]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+                    i, j = i + lo, j + lo
+                    first = block[i] < block[j]
+                    apart = block[i] != block[j]  # others have met in their block
+                    held.append(np.stack([np.where(first, block[i], block[j])[apart], np.where(first, cls[j], cls[i])[apart]]))
+                if sum(h.shape[1] for h in held) > 100_000:
+                    yield flush()
+        if held:
+            yield flush()
 
     return run
 
@@ -258,78 +254,186 @@ def _sets(text: str, words: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Hashes()
-        for batch in _lots(batches):
-            wanted = zip(batch.column("k1").to_pylist(), batch.column("k2").to_pylist(), batch.column("cls").to_pylist(), strict=True)
-            out = [(c, s.tobytes()) for s, (k1, k2, c) in zip(shingle_sets(byte_column(batch, text), known, words), wanted, strict=True) if _set_key(s) == (k1, k2)]
-            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.binary())], names=["cls", "elements"])
+        for batch in _lots(batches, text):
+            wanted = zip(*[batch.column(c).to_pylist() for c in ("k1", "k2", "cls", "block")], strict=True)
+            out = [(c, b, s.astype("<u8").tobytes()) for s, (k1, k2, c, b) in zip(shingle_sets(byte_column(batch, text), known, words), wanted, strict=True) if _set_key(s) == (k1, k2)]
+            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.binary())], names=["cls", "block", "elements"])
 
     return run
 
 
-def _screen(percent: int):
-    """Pairs that may be similar by their wide signatures."""
+class _Block:
+    """Sets that others are compared with, all at once, over the shingles that they hold."""
+
+    def __init__(self, cls: list[int], raws: list[bytes]):
+        self.cls = np.array(cls, np.int64)
+        self.sizes = np.array([len(r) // 8 for r in raws], np.int64)
+        flat = np.frombuffer(b"".join(raws), "<u8")
+        order = np.argsort(flat, kind="stable")
+        self.tokens, self.owner = flat[order], np.repeat(np.arange(len(raws)), self.sizes)[order]
+
+    def similar(self, raws: list[bytes], percent: int) -> np.ndarray:
+        """Which of the other sets (rows) are similar to which of its own."""
+        out = np.zeros((len(raws), len(self.cls)), bool)
+        for k, raw in enumerate(raws):
+            s = np.frombuffer(raw, "<u8")
+            low, high = np.searchsorted(self.tokens, s, "left"), np.searchsorted(self.tokens, s, "right")
+            runs = high - low
+            total = int(runs.sum())
+            if total:
+                at = np.repeat(low - (np.cumsum(runs) - runs), runs) + np.arange(total)
+                common = np.bincount(self.owner[at], minlength=len(self.cls))
+                out[k] = 100 * common >= percent * (len(s) + self.sizes - common)
+        return out
+
+
+def _stars(mask: np.ndarray, asking: np.ndarray, own: np.ndarray) -> pa.RecordBatch | None:
+    """At most one row per set that has a link: its least partner among those that links reach here."""
+    rows, columns = mask.any(axis=1), mask.any(axis=0)
+    if not rows.any():
+        return None
+    a, b = labels_of(mask[rows][:, columns], asking[rows], own[columns])
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate([asking[rows], own[columns]])), pa.array(np.concatenate([a, b]))], names=["cls", "root"])
+
+
+def _within(percent: int):
+    """Links inside blocks; rows come sorted by block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, cls, raws = None, [], []
+
+        def joined():
+            block = _Block(cls, raws)
+            mask = block.similar(raws, percent)
+            np.fill_diagonal(mask, False)
+            return _stars(mask, block.cls, block.cls)
+
         for batch in batches:
-            out = [
-                (a, b)
-                for a, b, n_a, n_b, x, y in zip(*[batch.column(c).to_pylist() for c in ("a", "b", "n_a", "n_b", "wide_a", "wide_b")], strict=True)
-                if 100 * min(n_a, n_b) >= percent * max(n_a, n_b) and most_common(n_a, x, n_b, y) >= needed_overlap(n_a, n_b, percent)
-            ]
-            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64())], names=["a", "b"])
+            for b, c, raw in zip(*[batch.column(x).to_pylist() for x in ("block", "cls", "elements")], strict=True):
+                if b != now and len(cls) > 1 and (out := joined()):
+                    yield out
+                if b != now:
+                    now, cls, raws = b, [], []
+                cls.append(c), raws.append(raw)
+        if len(cls) > 1 and (out := joined()):
+            yield out
 
     return run
 
 
-def _similar(percent: int):
+def _against(percent: int):
+    """Links of sets with a block; rows come sorted by block, its own sets first."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _lots(batches):
-            out = []
-            for a, b, x, y in zip(*[batch.column(c).to_pylist() for c in ("a", "b", "of_a", "of_b")], strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                common = len(x) + len(y) - len(np.union1d(x, y))
-                if 100 * common >= percent * (len(x) + len(y) - common):
-                    out.append((a, b))
-            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64())], names=["a", "b"])
+        now, own, block, asking, size = None, ([], []), None, ([], []), 0
 
-    return run
+        def answered():
+            nonlocal block, asking, size
+            block = block or _Block(*own)
+            out = _stars(block.similar(asking[1], percent), np.array(asking[0], np.int64), block.cls) if own[0] else None
+            asking, size = ([], []), 0
+            return out
 
+        for batch in batches:
+            for *key, asks, c, raw in zip(*[batch.column(x).to_pylist() for x in ("block", "portion", "asks", "cls", "elements")], strict=True):
+                if asking[0] and (key != now or len(asking[0]) == LOT or size > LOT_BYTES) and (out := answered()):
+                    yield out
+                if key != now:
+                    now, own, block = key, ([], []), None
+                held = asking if asks else own
+                held[0].append(c), held[1].append(raw)
+                size += len(raw) * asks
+        if asking[0] and (out := answered()):
+            yield out
+
+    return run
 
-def _hubs(entries: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of a class with two others that are not connected to it and have a size like its own.
 
-    Of each shingle's entries one is the hub, by a hash that differs from turn to turn. A class is paired with the hub
-    that it meets most often, and with one more; so families are connected in as many pairs as they have members.
-    """
-    mark = F.xxhash64(F.lit(turn), "token", "cls")
-    hubs = entries.groupBy("token").agg(F.min(F.struct(mark.alias("mark"), "cls", "n", "part")).alias("hub"))
-    alike = (F.col("part") != F.col("hub.part")) & (100 * F.least("n", "hub.n") >= percent * F.greatest("n", "hub.n"))
-    met = entries.join(hubs, "token").where(alike).groupBy("cls", F.col("hub.cls").alias("hub")).agg(F.count(F.lit(1)).alias("times"))
-    best, other = F.max(F.struct("times", "hub"))["hub"], F.max(F.struct(F.xxhash64(F.lit(turn), "cls", "hub"), "hub"))["hub"]
-    picked = met.groupBy("cls").agg(F.array(best, other).alias("hubs")).select("cls", F.explode("hubs").alias("hub"))
-    return picked.select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).distinct()
-
-
-class _Verifier:
-    """Tells which pairs of classes are similar: by signatures first, then by whole sets, made anew from the texts once."""
-
-    def __init__(self, classes: DataFrame, docs: DataFrame, words: int, percent: int):
-        self.classes, self.docs, self.words, self.percent, self.sets = classes, docs, words, percent, None
-
-    def similar(self, pairs: DataFrame) -> DataFrame:
-        marks = self.classes.select("cls", "n", "wide")
-        side = lambda s: marks.select(F.col("cls").alias(s), F.col("n").alias(f"n_{s}"), F.col("wide").alias(f"wide_{s}"))
-        pairs = stored(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_screen(self.percent), "a long, b long"), "screened")
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-        if self.sets is not None:
-            wanted = wanted.join(self.sets.select("cls"), "cls", "left_anti")
-        wanted = stored(self.classes.select("cls", "k1", "k2", "least").join(wanted, "cls"), "wanted")
-        texts = self.docs.join(wanted, self.docs["id_value"].eqNullSafe(wanted["least"])).select("text_value", "cls", "k1", "k2")
-        # Rows that agree in id and set give a set twice, and then a pair twice, which does no harm.
-        new = stored(texts.mapInArrow(_sets("text_value", self.words), "cls long, elements binary"), "sets")
-        self.sets = new if self.sets is None else self.sets.unionByName(new)
-        left, right = (self.sets.select(F.col("cls").alias(s), F.col("elements").alias(f"of_{s}")) for s in "ab")
-        return stored(pairs.join(left, "a").join(right, "b").mapInArrow(_similar(self.percent), "a long, b long"), "similar")
+def _numbered_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A block for each set, cut by sets and by shingles; rows come sorted by what near copies share."""
+    number, sets, shingles = TaskContext.get().partitionId() << 32, 0, 0
+    for batch in batches:
+        blocks = []
+        for n in batch.column("n").to_pylist():
+            if sets and (sets == BLOCK or shingles + n > BLOCK_SHINGLES):
+                number, sets, shingles = number + 1, 0, 0
+            sets, shingles = sets + 1, shingles + n
+            blocks.append(number)
+        yield pa.RecordBatch.from_arrays([batch.column("cls"), pa.array(blocks, pa.int64())], names=["cls", "block"])
+
+
+class _Join:
+    """The state of a join: entries of shared shingles, sets in blocks, and what is connected so far."""
+
+    def __init__(self, classes: DataFrame, shared: DataFrame, placed: DataFrame, sets: DataFrame, percent: int):
+        self.classes, self.shared, self.placed, self.sets, self.percent = classes, shared, placed, sets, percent
+        self.spark = classes.sparkSession
+        self.parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.connected = None
+
+    def _step(self, run) -> None:
+        self.connected = step(self.spark, run, "connected")
+
+    def _connect(self, links: DataFrame) -> DataFrame:
+        if self.connected is not None:
+            links = links.unionByName(self.connected.select(F.col("node").alias("cls"), F.col("component").alias("root")))
+        return components(links)
+
+    def within_blocks(self) -> None:
+        blocks = self.sets.repartition(self.parts, "block").sortWithinPartitions("block")
+        self._step(lambda: self._connect(stored(blocks.mapInArrow(_within(self.percent), "cls long, root long"), "links")))
+
+    def _open_entries(self) -> DataFrame:
+        """Entries of the shingles whose sets are not connected yet, with the part that each set is in."""
+        part = self.connected.select(F.col("node").alias("cls"), F.col("component").alias("part"))
+        entries = stored(self.shared.join(part, "cls", "left").withColumn("part", F.coalesce("part", "cls")), "entries")
+        open_ = entries.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo < hi").select("token", "size")
+        return stored(entries.join(open_, "token"), "open")
+
+    def _answer(self, asked: DataFrame) -> DataFrame:
+        """Links between the sets and the blocks of ``asked`` (block, cls). A block goes to several tasks if many ask it."""
+        asked = stored(asked.distinct(), "asked")
+        counts = stored(asked.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / ASKING).alias("portions")), "portions")
+        own = self.placed.join(counts, "block").select("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("portions") - 1)).alias("portion"), F.lit(False).alias("asks"), "cls")
+        asks = asked.join(counts, "block").select("block", F.pmod(F.xxhash64("cls"), "portions").alias("portion"), F.lit(True).alias("asks"), "cls")
+        sent = own.unionByName(asks).join(self.sets.select("cls", "elements"), "cls")
+        sent = sent.repartition(self.parts, "block", "portion").sortWithinPartitions("block", "portion", "asks")
+        return stored(sent.select("block", "portion", "asks", "cls", "elements").mapInArrow(_against(self.percent), "cls long, root long"), "links")
+
+    def hubs(self, turn: int) -> None:
+        """Of each shingle's entries one is the hub, by a hash that differs from turn to turn.
+
+        A set asks the block of the hub that it meets most often, and of one more; so families are connected in as many
+        questions as they have members.
+        """
+
+        def run():
+            entries = self._open_entries()
+            mark = F.xxhash64(F.lit(turn), "token", "cls")
+            hubs = entries.groupBy("token").agg(F.min(F.struct(mark.alias("mark"), "cls", "n", "part")).alias("hub"))
+            alike = (F.col("part") != F.col("hub.part")) & (100 * F.least("n", "hub.n") >= self.percent * F.greatest("n", "hub.n"))
+            met = entries.join(hubs, "token").where(alike).groupBy("cls", F.col("hub.cls").alias("hub")).agg(F.count(F.lit(1)).alias("times"))
+            best, other = F.max(F.struct("times", "hub"))["hub"], F.max(F.struct(F.xxhash64(F.lit(turn), "cls", "hub"), "hub"))["hub"]
+            picked = met.groupBy("cls").agg(F.array(best, other).alias("hubs")).select("cls", F.explode("hubs").alias("hub"))
+            return self._connect(self._answer(picked.join(self.placed.select(F.col("cls").alias("hub"), "block"), "hub").select("block", "cls")))
+
+        self._step(run)
+
+    def trees(self) -> None:
+        """The trees name the sets that may be similar to one of a block. Entries of a shingle with very many are dealt
+        into pieces, and each pair of pieces has its tree."""
+
+        def run():
+            marks = self.classes.select("cls", "signature").join(self.placed, "cls")
+            pieces = F.ceil(F.col("size") / PIECE)
+            other = F.explode(F.sequence(F.lit(0).cast("long"), pieces - 1)).alias("other")
+            dealt = self._open_entries().select("token", "cls", "n", "pos", "part", F.pmod(F.xxhash64("cls"), pieces).alias("piece"), other)
+            tree = F.xxhash64("token", F.least("piece", "other"), F.greatest("piece", "other"))
+            ordered = dealt.withColumn("tree", tree).join(marks, "cls").repartition(self.parts, "tree").sortWithinPartitions("tree", "n", "cls")
+            ordered = ordered.select("tree", "cls", "n", "pos", "part", "block", "signature")
+            return self._connect(self._answer(ordered.mapInArrow(_asked(self.percent), "block long, cls long")))
+
+        self._step(run)
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -341,56 +445,58 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     ones last); similar sets share a listed one. The classes of a shingle, sorted by size, form a signature tree: a
     node has the united bitmap of its sets, the range of their sizes, and the most shingles that may follow the shared
     one. Two nodes are compared only if the largest overlap that this allows is enough for their sizes, down to pairs
-    of sets. Before that, in a few turns, each class is compared with two others that share shingles with it (hubs),
-    which connects families of copies in as many comparisons as they have members; the trees then give all pairs that
-    are not connected yet. Pairs are screened by longer signatures and verified on whole sets.
+    of sets. Whole sets are kept in blocks of sets that share a listed shingle. What the trees name are sets that may
+    be similar to one of a block; these are sent to the block and compared with all of it, and each set gives one row
+    at most, so pairs of documents are never rows. Before the trees, sets are compared inside their blocks, and in a few
+    turns with the blocks of sets that they share shingles with (hubs), which connects families of copies; the
+    trees look only at shingles whose sets are not all connected then.
 
     Shingles and sets are 64- and 128-bit hashes; words are compared by hash. A null text has no words; documents
     without words link with nothing. A shorter text is one shingle. Null ids are larger than all others. Repeated rows
     are copies. Other columns are ignored. An empty table gives an empty result.
     """
+    return step(docs.sparkSession, lambda: _components(docs, id_column, text_column, words, percent), "near")
+
+
+def _components(docs: DataFrame, id_column: str, text_column: str, words: int, percent: int) -> DataFrame:
     spark = docs.sparkSession
     narrow = docs.select(F.col(id_column).alias("id_value"), F.col(text_column).cast("string").alias("text_value"))
     kind = narrow.schema["id_value"].dataType.simpleString()
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     frequent = spark.sparkContext.broadcast(frequent_shingles(narrow, "text_value", words))
-    described = stored(
-        narrow.mapInArrow(_described("text_value", words, percent, frequent), f"id_value {kind}, n long, k1 long, k2 long, signature binary, wide binary, prefix array<long>").withColumn(
-            "cls", F.monotonically_increasing_id()
-        ),
-        "described",
-    )
+    described = narrow.mapInArrow(_described("text_value", words, percent, frequent), f"id_value {kind}, n long, rare long, k1 long, k2 long, signature binary, prefix array<long>")
+    described = stored(described.withColumn("cls", F.monotonically_increasing_id()), "described")
+    frequent.unpersist()
     # Of rows with equal sets the first stands for all.
     groups = described.where("n > 0").groupBy("k1", "k2").agg(F.min("id_value").alias("least"), F.min("cls").alias("cls"), F.count(F.lit(1)).alias("copies"))
     groups = stored(groups, "groups")
     copied = groups.where("copies > 1").select("k1", "k2", F.col("cls").alias("of_group"))
     others = described.select("k1", "k2", "cls").join(copied, ["k1", "k2"]).where("cls != of_group").select("cls")
-    first_rows = described.where("n > 0").join(stored(others, "copies"), "cls", "left_anti")
-    classes = stored(first_rows.select("cls", "k1", "k2", "n", "signature", "wide").join(groups.select("cls", "least"), "cls"), "classes")
-
-    # Size and position share a long, so entries sort by size within a shingle.
-    entries = first_rows.select(F.posexplode("prefix").alias("pos", "token"), "n", "cls")
-    entries = entries.select("token", (F.shiftleft("n", 31) + F.col("pos")).alias("place"), "cls")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shared = stored(
-        entries.repartition(parts, "token").sortWithinPartitions("token", "place", "cls").mapInArrow(_shared, "token long, cls long, n long, pos long"), "shared"
-    )
-    verifier = _Verifier(classes, narrow, words, percent)
-    links, connected = None, None
-    for turn in range(TURNS + 1):
-        placed = shared
-        if connected is None:
-            placed = placed.withColumn("part", F.col("cls"))
-        else:
-            placed = placed.join(connected, F.col("cls") == F.col("node"), "left").select("token", "cls", "n", "pos", F.coalesce("component", "cls").alias("part"))
-        if turn < TURNS:
-            pairs = _hubs(placed, turn, percent)
-        else:
-            placed = placed.join(classes.select("cls", "signature"), "cls")
-            ordered = placed.repartition(parts, "token").sortWithinPartitions("token", "n", "cls").select("token", "cls", "n", "pos", "part", "signature")
-            pairs = ordered.mapInArrow(_candidates(percent), "a long, b long").distinct()
-        found = verifier.similar(pairs)
-        links = found if links is None else links.unionByName(found)
-        connected = stored(components(links), "connected")
+    classes = described.where("n > 0").join(stored(others, "copies"), "cls", "left_anti")
+
+    # Size and position share a long, so entries sort by size within a shingle. Frequent shingles have company anyway.
+    entries = classes.select(F.posexplode("prefix").alias("pos", "token"), "n", "rare", "cls")
+    entries = entries.select("token", (F.shiftleft("n", 31) + F.col("pos")).alias("place"), "cls", "n", F.col("pos").cast("long").alias("pos"), "rare")
+    rare = entries.where("pos < rare").select("token", "place", "cls").repartition(parts, "token").sortWithinPartitions("token", "place", "cls")
+    shared = rare.mapInArrow(_shared, "token long, cls long, n long, pos long").unionByName(entries.where("pos >= rare").select("token", "cls", "n", "pos"))
+    shared = stored(shared, "shared")
+
+    # Near copies tend to have the same least shared shingle by hash, and then they are neighbours.
+    alike = stored(shared.groupBy("cls").agg(F.min(F.xxhash64("token")).alias("mark"), F.first("n").alias("n")), "alike")
+    order = alike.repartitionByRange(parts, "mark", "cls").sortWithinPartitions("mark", "cls")
+    placed = stored(order.mapInArrow(_numbered_blocks, "cls long, block long"), "placed")
+    wanted = stored(groups.join(placed, "cls").select("cls", "block", "k1", "k2", "least"), "wanted")
+    texts = narrow.join(wanted, narrow["id_value"].eqNullSafe(wanted["least"])).select("text_value", "cls", "block", "k1", "k2")
+    # Rows that agree in id and set give a set twice, which does no harm.
+    sets = stored(texts.mapInArrow(_sets("text_value", words), "cls long, block long, elements binary"), "sets")
+
+    join = _Join(classes, shared, placed, sets, percent)
+    join.within_blocks()
+    for turn in range(TURNS):
+        join.hubs(turn)
+    join.trees()
+
+    connected = join.connected
     of_class = groups.select("k1", "k2", "cls", "least").join(connected, F.col("cls") == F.col("node"), "left")
     of_class = stored(of_class.select("k1", "k2", "least", F.coalesce("component", "cls").alias("component")), "of-class")
     lowest = of_class.groupBy("component").agg(F.min("least").alias("lowest"))
