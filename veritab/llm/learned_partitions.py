@@ -55,21 +55,24 @@ def _bisect(a: np.ndarray, b: np.ndarray, n: int, rng: np.random.Generator) -> n
         mode /= np.abs(mode).max() + 1e-300
     side = np.zeros(n, bool)
     side[np.argsort(mode, kind="stable")[n // 2 :]] = True
-    best, cut = side, int((side[a] != side[b]).sum())
-    for _ in range(20):
+    cut = int((side[a] != side[b]).sum())
+    for _ in range(40):
         to_one = pull(side.astype(float))
         gain = np.where(side, degree - 2 * to_one, 2 * to_one - degree)  # edges that are cut no more if a row changes sides
         ones, zeros = (np.flatnonzero(s)[np.argsort(-gain[s], kind="stable")] for s in (side, ~side))
         m = min(len(ones), len(zeros))
-        swaps = int((gain[ones[:m]] + gain[zeros[:m]] > 0).sum())
-        side = side.copy()
-        some = (swaps + 1) // 2  # all at once would undo each other
-        side[ones[:some]], side[zeros[:some]] = False, True
-        now = int((side[a] != side[b]).sum())
-        if not swaps or now >= cut:
+        some = int((gain[ones[:m]] + gain[zeros[:m]] > 0).sum())
+        while some:  # neighbours that change sides together gain less; then fewer do
+            other = side.copy()
+            other[ones[:some]], other[zeros[:some]] = False, True
+            now = int((other[a] != other[b]).sum())
+            if now < cut:
+                break
+            some //= 2
+        if not some:
             break
-        best, cut = side, now
-    return best
+        side, cut = other, now
+    return side
 
 
 def balanced_partition(graph: np.ndarray, parts: int, rng: np.random.Generator) -> np.ndarray:
