@@ -19,9 +19,10 @@ from veritab.llm.components import components, labels_of
 WORDS, PERCENT = 4, 85
 #: Documents from which a shingle counts as frequent, and how many frequent shingles are told to all tasks at most.
 FREQUENT, MOST_FREQUENT = 64, 200_000
-#: Turns in which sets are compared with the blocks of hubs before the trees name the rest.
+#: Turns in which sets are compared with hubs before the trees name the rest.
 TURNS = 2
-#: Bits of a signature in a tree; entries of a leaf of the tree; entries of a shingle that meet in one tree.
+#: Bits of a signature in a tree (pairs are screened by signatures of four bits per shingle); entries of a leaf of the
+#: tree; entries of a shingle that meet in one tree.
 SIGNATURE_BITS, LEAF, PIECE = 256, 16, 8192
 #: Sets of a block, and how many shingles they have at most (or one set); sets that a task compares with a block.
 BLOCK, BLOCK_SHINGLES, ASKING = 128, 1 << 17, 4096
@@ -109,6 +110,23 @@ def signature(s: np.ndarray, size: int = SIGNATURE_BITS) -> np.ndarray:
     return np.packbits(bits)
 
 
+def wide_signature(s: np.ndarray) -> np.ndarray:
+    return signature(s, max(64, 1 << (4 * len(s)).bit_length()))
+
+
+def most_common(n_a: int, a: bytes, n_b: int, b: bytes) -> int:
+    """The largest overlap that two signatures allow: a common bit may stand for one common shingle, and for as many more
+    as a set has shingles beyond its bits. The longer signature is folded to the length of the shorter.
+    """
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    if len(x) < len(y):
+        n_a, x, n_b, y = n_b, y, n_a, x
+    if len(x) > len(y):
+        x = np.packbits(np.unpackbits(x).reshape(8 * len(y), -1).any(axis=1))
+    count = lambda v: int(np.bitwise_count(v.view(np.uint64)).sum())
+    return count(x & y) + min(n_a - count(x), n_b - count(y))
+
+
 def _set_key(s: np.ndarray) -> tuple[int, int]:
     d = xxhash.xxh3_128_digest(s.astype("<u8").tobytes())
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
@@ -118,15 +136,15 @@ def _described(text: str, words: int, percent: int, frequent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, hot = _Hashes(), frequent.value
         for batch in _lots(batches, text):
-            n, rare, keys, signatures, prefixes = [], [], [], [], [np.zeros(0, np.int64)]
+            n, rare, keys, signatures, wide, prefixes = [], [], [], [], [], [np.zeros(0, np.int64)]
             for s in shingle_sets(byte_column(batch, text), known, words):
                 ordered, cold = in_order(s, hot)
-                n.append(len(s)), rare.append(cold), keys.append(_set_key(s)), signatures.append(signature(s).tobytes())
+                n.append(len(s)), rare.append(cold), keys.append(_set_key(s)), signatures.append(signature(s).tobytes()), wide.append(wide_signature(s).tobytes())
                 prefixes.append(ordered[: prefix_length(len(s), percent) if len(s) else 0].view(np.int64))
             offsets = np.cumsum([len(p) for p in prefixes]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [*batch.drop_columns([text]).columns, pa.array(n, pa.int64()), pa.array(rare, pa.int64()), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), pa.array(signatures, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(prefixes)))],
-                names=[*(c for c in batch.schema.names if c != text), "n", "rare", "k1", "k2", "signature", "prefix"],
+                [*batch.drop_columns([text]).columns, pa.array(n, pa.int64()), pa.array(rare, pa.int64()), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), pa.array(signatures, pa.binary()), pa.array(wide, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(prefixes)))],
+                names=[*(c for c in batch.schema.names if c != text), "n", "rare", "k1", "k2", "signature", "wide", "prefix"],
             )
 
     return run
@@ -171,6 +189,17 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _similar_leaves(n, rest, spare, part, bits, i: np.ndarray, j: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of entries in different parts that may be similar."""
+    some = part[i] != part[j]
+    i, j = i[some], j[some]
+    small, large = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
+    need = needed_overlap(small, large, percent)
+    common = np.bitwise_count(bits[i] & bits[j]).sum(axis=1).astype(np.int64) + np.minimum(spare[i], spare[j])
+    some = (small * 100 >= percent * large) & (np.minimum(rest[i], rest[j]) >= need) & (common >= need)
+    return i[some], j[some]
+
+
 class _Tree:
     """A signature tree over the entries of a shingle: nodes hold united bitmaps, ranges of sizes, and what may still be shared."""
 
@@ -198,14 +227,9 @@ class _Tree:
             return
         if a[1] - a[0] <= LEAF and b[1] - b[0] <= LEAF:
             i, j = (x.ravel() for x in np.meshgrid(np.arange(*a), np.arange(*b), indexing="ij"))
-            some = (i < j) & (self.part[i] != self.part[j])
-            i, j = i[some], j[some]
-            small, large = np.minimum(self.n[i], self.n[j]), np.maximum(self.n[i], self.n[j])
-            need = needed_overlap(small, large, percent)
-            common = np.bitwise_count(self.bits[i] & self.bits[j]).sum(axis=1).astype(np.int64) + np.minimum(self.spare[i], self.spare[j])
-            some = (small * 100 >= percent * large) & (np.minimum(self.rest[i], self.rest[j]) >= need) & (common >= need)
-            if some.any():
-                yield i[some], j[some]
+            i, j = _similar_leaves(self.n, self.rest, self.spare, self.part, self.bits, i[i < j], j[i < j], percent)
+            if len(i):
+                yield i, j
             return
         halves = lambda x: [x] if x[1] - x[0] <= LEAF else [(x[0], (x[0] + x[1]) // 2), ((x[0] + x[1]) // 2, x[1])]
         if a == b:
@@ -219,28 +243,70 @@ class _Tree:
                 yield from self.pairs(x, y, percent)
 
 
+def _screen(percent: int):
+    """Pairs that may be similar by their wide signatures."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [
+                (a, b)
+                for a, b, n_a, n_b, x, y in zip(*[batch.column(c).to_pylist() for c in ("a", "b", "n_a", "n_b", "wide_a", "wide_b")], strict=True)
+                if 100 * min(n_a, n_b) >= percent * max(n_a, n_b) and most_common(n_a, x, n_b, y) >= needed_overlap(n_a, n_b, percent)
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64())], names=["a", "b"])
+
+    return run
+
+
+def _bound(n: np.ndarray, raws: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of entries may be similar by their wide signatures."""
+    size = np.fromiter(map(len, raws), np.int64, len(raws))
+    out = np.zeros(len(i), bool)
+    for a, b in {(int(x), int(y)) for x, y in zip(size[i], size[j], strict=True)}:
+        at = np.flatnonzero((size[i] == a) & (size[j] == b))
+        x, y = (np.frombuffer(b"".join(raws[k[at]]), np.uint8).reshape(len(at), -1) for k in (i, j))
+        short = min(a, b)
+        # The longer signature is folded to the length of the shorter.
+        x, y = (v if v.shape[1] == short else np.packbits(np.unpackbits(v, axis=1).reshape(len(at), 8 * short, -1).any(axis=2), axis=1) for v in (x, y))
+        count = lambda v: np.bitwise_count(np.ascontiguousarray(v).view(np.uint64)).sum(axis=1).astype(np.int64)
+        common = count(x & y) + np.minimum(n[i[at]] - count(x), n[j[at]] - count(y))
+        out[at] = common >= needed_overlap(n[i[at]], n[j[at]], percent)
+    return out
+
+
 def _asked(percent: int):
-    """(block, cls): sets that may be similar to one of a block, by the trees of the shingles that they share."""
+    """(block, cls, asks): sets that may be similar by the trees of the shingles that they share.
+
+    Of a pair, one set belongs to its block, and the other one asks there if its own block is another.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
 
         def flush():
-            block, cls = np.unique(np.concatenate(held, axis=1), axis=1)
+            block, cls, asks = np.unique(np.concatenate(held, axis=1), axis=1)
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(block), pa.array(cls)], names=["block", "cls"])
+            return pa.RecordBatch.from_arrays([pa.array(block), pa.array(cls), pa.array(asks.astype(bool))], names=["block", "cls", "asks"])
 
-        for token, cls, n, pos, part, block, raw in _groups(batches):
+        for token, cls, n, pos, part, block, raw, wide in _groups(batches):
             bits = np.frombuffer(b"".join(raw), np.uint64).reshape(len(token), -1)
             spare = n - np.bitwise_count(bits).sum(axis=1).astype(np.int64)
             starts = np.concatenate([[0], np.flatnonzero(token[1:] != token[:-1]) + 1, [len(token)]])
+            found = []
+            two = starts[:-1][np.diff(starts) == 2]  # trees of two leaves, all at once
+            if len(two):
+                found.append(_similar_leaves(n, n - pos, spare, part, bits, two, two + 1, percent))
             for lo, hi in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
-                tree = _Tree(n[lo:hi], (n - pos)[lo:hi], spare[lo:hi], part[lo:hi], bits[lo:hi])
-                for i, j in tree.pairs((0, hi - lo), (0, hi - lo), percent):
-                    i, j = i + lo, j + lo
-                    first = block[i] < block[j]
-                    apart = block[i] != block[j]  # others have met in their block
-                    held.append(np.stack([np.where(first, block[i], block[j])[apart], np.where(first, cls[j], cls[i])[apart]]))
+                if hi - lo > 2:
+                    tree = _Tree(n[lo:hi], (n - pos)[lo:hi], spare[lo:hi], part[lo:hi], bits[lo:hi])
+                    found += [(i + lo, j + lo) for i, j in tree.pairs((0, hi - lo), (0, hi - lo), percent)]
+            for low in range(0, len(found), 64):
+                i, j = (np.concatenate(x) for x in zip(*found[low : low + 64], strict=True))
+                some = _bound(n, wide, i, j, percent)
+                i, j = i[some], j[some]
+                i, j = np.where(block[i] <= block[j], i, j), np.where(block[i] <= block[j], j, i)
+                held.append(np.stack([block[i], cls[i], np.zeros(len(i), np.int64)]))
+                held.append(np.stack([block[i], cls[j], (block[i] != block[j]).astype(np.int64)]))
                 if sum(h.shape[1] for h in held) > 100_000:
                     yield flush()
         if held:
@@ -255,9 +321,9 @@ def _sets(text: str, words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Hashes()
         for batch in _lots(batches, text):
-            wanted = zip(*[batch.column(c).to_pylist() for c in ("k1", "k2", "cls", "block")], strict=True)
-            out = [(c, b, s.astype("<u8").tobytes()) for s, (k1, k2, c, b) in zip(shingle_sets(byte_column(batch, text), known, words), wanted, strict=True) if _set_key(s) == (k1, k2)]
-            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.binary())], names=["cls", "block", "elements"])
+            wanted = zip(*[batch.column(c).to_pylist() for c in ("k1", "k2", "cls")], strict=True)
+            out = [(c, s.astype("<u8").tobytes()) for s, (k1, k2, c) in zip(shingle_sets(byte_column(batch, text), known, words), wanted, strict=True) if _set_key(s) == (k1, k2)]
+            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.binary())], names=["cls", "elements"])
 
     return run
 
@@ -296,55 +362,40 @@ def _stars(mask: np.ndarray, asking: np.ndarray, own: np.ndarray) -> pa.RecordBa
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate([asking[rows], own[columns]])), pa.array(np.concatenate([a, b]))], names=["cls", "root"])
 
 
-def _within(percent: int):
-    """Links inside blocks; rows come sorted by block."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, cls, raws = None, [], []
-
-        def joined():
-            block = _Block(cls, raws)
-            mask = block.similar(raws, percent)
-            np.fill_diagonal(mask, False)
-            return _stars(mask, block.cls, block.cls)
-
-        for batch in batches:
-            for b, c, raw in zip(*[batch.column(x).to_pylist() for x in ("block", "cls", "elements")], strict=True):
-                if b != now and len(cls) > 1 and (out := joined()):
-                    yield out
-                if b != now:
-                    now, cls, raws = b, [], []
-                cls.append(c), raws.append(raw)
-        if len(cls) > 1 and (out := joined()):
-            yield out
-
-    return run
-
-
-def _against(percent: int):
-    """Links of sets with a block; rows come sorted by block, its own sets first."""
+def _answers(percent: int):
+    """Links inside blocks, and of the sets that ask there; rows come sorted by block, its own sets first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, own, block, asking, size = None, ([], []), None, ([], []), 0
 
-        def answered():
-            nonlocal block, asking, size
-            block = block or _Block(*own)
-            out = _stars(block.similar(asking[1], percent), np.array(asking[0], np.int64), block.cls) if own[0] else None
+        def built() -> Iterator[pa.RecordBatch]:
+            """Own sets are compared with each other once, in the block's first portion."""
+            nonlocal block
+            if block is None and own[0]:
+                block = _Block(*own)
+                if len(own[0]) > 1 and now[1] == 0:
+                    mask = block.similar(own[1], percent)
+                    np.fill_diagonal(mask, False)
+                    if (out := _stars(mask, block.cls, block.cls)) is not None:
+                        yield out
+
+        def answered() -> Iterator[pa.RecordBatch]:
+            nonlocal asking, size
+            yield from built()
+            if asking[0] and own[0] and (out := _stars(block.similar(asking[1], percent), np.array(asking[0], np.int64), block.cls)) is not None:
+                yield out
             asking, size = ([], []), 0
-            return out
 
         for batch in batches:
             for *key, asks, c, raw in zip(*[batch.column(x).to_pylist() for x in ("block", "portion", "asks", "cls", "elements")], strict=True):
-                if asking[0] and (key != now or len(asking[0]) == LOT or size > LOT_BYTES) and (out := answered()):
-                    yield out
+                if key != now or len(asking[0]) == LOT or size > LOT_BYTES:
+                    yield from answered()
                 if key != now:
                     now, own, block = key, ([], []), None
                 held = asking if asks else own
                 held[0].append(c), held[1].append(raw)
                 size += len(raw) * asks
-        if asking[0] and (out := answered()):
-            yield out
+        yield from answered()
 
     return run
 
@@ -363,77 +414,94 @@ def _numbered_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 class _Join:
-    """The state of a join: entries of shared shingles, sets in blocks, and what is connected so far."""
+    """The state of a join: entries of shared shingles, whole sets that were asked for, and what is connected so far."""
 
-    def __init__(self, classes: DataFrame, shared: DataFrame, placed: DataFrame, sets: DataFrame, percent: int):
-        self.classes, self.shared, self.placed, self.sets, self.percent = classes, shared, placed, sets, percent
+    def __init__(self, docs: DataFrame, groups: DataFrame, classes: DataFrame, shared: DataFrame, words: int, percent: int):
+        self.docs, self.groups, self.classes, self.shared, self.words, self.percent = docs, groups, classes, shared, words, percent
         self.spark = classes.sparkSession
         self.parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        self.connected = None
-
-    def _step(self, run) -> None:
-        self.connected = step(self.spark, run, "connected")
-
-    def _connect(self, links: DataFrame) -> DataFrame:
-        if self.connected is not None:
-            links = links.unionByName(self.connected.select(F.col("node").alias("cls"), F.col("component").alias("root")))
-        return components(links)
-
-    def within_blocks(self) -> None:
-        blocks = self.sets.repartition(self.parts, "block").sortWithinPartitions("block")
-        self._step(lambda: self._connect(stored(blocks.mapInArrow(_within(self.percent), "cls long, root long"), "links")))
+        self.sets = self.connected = None
 
     def _open_entries(self) -> DataFrame:
-        """Entries of the shingles whose sets are not connected yet, with the part that each set is in."""
+        """Entries of the shingles whose sets are not all connected yet, with the part that each set is in."""
+        if self.connected is None:
+            return self.shared.withColumn("part", F.col("cls"))
         part = self.connected.select(F.col("node").alias("cls"), F.col("component").alias("part"))
         entries = stored(self.shared.join(part, "cls", "left").withColumn("part", F.coalesce("part", "cls")), "entries")
-        open_ = entries.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo < hi").select("token", "size")
-        return stored(entries.join(open_, "token"), "open")
-
-    def _answer(self, asked: DataFrame) -> DataFrame:
-        """Links between the sets and the blocks of ``asked`` (block, cls). A block goes to several tasks if many ask it."""
-        asked = stored(asked.distinct(), "asked")
-        counts = stored(asked.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / ASKING).alias("portions")), "portions")
-        own = self.placed.join(counts, "block").select("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("portions") - 1)).alias("portion"), F.lit(False).alias("asks"), "cls")
-        asks = asked.join(counts, "block").select("block", F.pmod(F.xxhash64("cls"), "portions").alias("portion"), F.lit(True).alias("asks"), "cls")
-        sent = own.unionByName(asks).join(self.sets.select("cls", "elements"), "cls")
-        sent = sent.repartition(self.parts, "block", "portion").sortWithinPartitions("block", "portion", "asks")
-        return stored(sent.select("block", "portion", "asks", "cls", "elements").mapInArrow(_against(self.percent), "cls long, root long"), "links")
+        open_ = entries.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("token")
+        return entries.join(open_, "token")
+
+    def _fetch(self, requests: DataFrame) -> None:
+        """Whole sets of the classes asked for, made anew from the texts, each once. Joins are alike at all sizes."""
+        wanted = requests.select("cls").distinct()
+        if self.sets is not None:
+            wanted = wanted.join(self.sets.select("cls"), "cls", "left_anti")
+        wanted = self.groups.join(wanted, "cls").select("cls", "k1", "k2", "least").hint("merge")
+        texts = self.docs.join(wanted, self.docs["id_value"].eqNullSafe(wanted["least"])).select("text_value", "cls", "k1", "k2")
+        # Rows that agree in id and set give a set twice, which does no harm.
+        new = stored(texts.mapInArrow(_sets("text_value", self.words), "cls long, elements binary"), "sets")
+        self.sets = new if self.sets is None else self.sets.unionByName(new)
+
+    def _links(self, requests: DataFrame) -> DataFrame:
+        """Links among the own sets of each block, and of those with the sets that ask. Many questions are dealt to several tasks."""
+        counts = requests.groupBy("block").agg(F.ceil(F.sum(F.col("asks").cast("long")) / ASKING).alias("portions"))
+        sent = requests.join(counts, "block").withColumn("portions", F.greatest("portions", F.lit(1)))
+        every = F.sequence(F.lit(0).cast("long"), F.col("portions") - 1)
+        sent = sent.select("block", "asks", "cls", F.explode(F.when(F.col("asks"), F.array(F.pmod(F.xxhash64("cls"), "portions"))).otherwise(every)).alias("portion"))
+        sent = sent.join(self.sets.hint("merge"), "cls").repartition(self.parts, "block", "portion").sortWithinPartitions("block", "portion", "asks")
+        return stored(sent.select("block", "portion", "asks", "cls", "elements").mapInArrow(_answers(self.percent), "cls long, root long"), "links")
+
+    def _ask(self, requests: DataFrame) -> None:
+        def run():
+            links = self._links(requests)
+            if self.connected is not None:
+                links = links.unionByName(self.connected.select(F.col("node").alias("cls"), F.col("component").alias("root")))
+            return components(links)
+
+        self._fetch(requests)
+        self.connected = step(self.spark, run, "connected")
 
     def hubs(self, turn: int) -> None:
-        """Of each shingle's entries one is the hub, by a hash that differs from turn to turn.
+        """A set is compared with the hub that it meets most often: of each shingle's sets one is the hub, that of least hash.
 
-        A set asks the block of the hub that it meets most often, and of one more; so families are connected in as many
-        questions as they have members.
+        So a family mostly has one hub, and is connected in as many comparisons as it has members.
         """
 
         def run():
             entries = self._open_entries()
-            mark = F.xxhash64(F.lit(turn), "token", "cls")
-            hubs = entries.groupBy("token").agg(F.min(F.struct(mark.alias("mark"), "cls", "n", "part")).alias("hub"))
+            hubs = entries.groupBy("token").agg(F.min(F.struct(F.xxhash64(F.lit(turn), "cls").alias("mark"), "cls", "n", "part")).alias("hub"))
             alike = (F.col("part") != F.col("hub.part")) & (100 * F.least("n", "hub.n") >= self.percent * F.greatest("n", "hub.n"))
             met = entries.join(hubs, "token").where(alike).groupBy("cls", F.col("hub.cls").alias("hub")).agg(F.count(F.lit(1)).alias("times"))
-            best, other = F.max(F.struct("times", "hub"))["hub"], F.max(F.struct(F.xxhash64(F.lit(turn), "cls", "hub"), "hub"))["hub"]
-            picked = met.groupBy("cls").agg(F.array(best, other).alias("hubs")).select("cls", F.explode("hubs").alias("hub"))
-            return self._connect(self._answer(picked.join(self.placed.select(F.col("cls").alias("hub"), "block"), "hub").select("block", "cls")))
+            pairs = met.groupBy(F.col("cls").alias("a")).agg(F.max(F.struct("times", "hub"))["hub"].alias("b"))
+            marks = self.classes.select("cls", "n", "wide")
+            side = lambda s: marks.select(F.col("cls").alias(s), F.col("n").alias(f"n_{s}"), F.col("wide").alias(f"wide_{s}")).hint("merge")
+            pairs = stored(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_screen(self.percent), "a long, b long"), "screened")
+            own = pairs.select(F.col("b").alias("block"), F.col("b").alias("cls"), F.lit(False).alias("asks")).distinct()
+            return own.unionByName(pairs.select(F.col("b").alias("block"), F.col("a").alias("cls"), F.lit(True).alias("asks")))
 
-        self._step(run)
+        self._ask(step(self.spark, run, "asked"))
 
     def trees(self) -> None:
-        """The trees name the sets that may be similar to one of a block. Entries of a shingle with very many are dealt
-        into pieces, and each pair of pieces has its tree."""
+        """The trees name the sets that have to be compared. Blocks hold sets that are connected already, as these have
+        their partners in common. Entries of a shingle with very many are dealt into pieces, and each pair of pieces has
+        its tree."""
 
         def run():
-            marks = self.classes.select("cls", "signature").join(self.placed, "cls")
-            pieces = F.ceil(F.col("size") / PIECE)
-            other = F.explode(F.sequence(F.lit(0).cast("long"), pieces - 1)).alias("other")
-            dealt = self._open_entries().select("token", "cls", "n", "pos", "part", F.pmod(F.xxhash64("cls"), pieces).alias("piece"), other)
+            entries = stored(self._open_entries(), "open")
+            order = stored(entries.groupBy("cls").agg(F.first("part").alias("part"), F.first("n").alias("n")), "order")
+            order = order.repartitionByRange(self.parts, "part", "cls").sortWithinPartitions("part", "cls")
+            placed = stored(order.mapInArrow(_numbered_blocks, "cls long, block long"), "placed")
+            marks = self.classes.select("cls", "signature", "wide").join(placed, "cls")
+            pieces = entries.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / PIECE).alias("pieces"))
+            other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)).alias("other")
+            dealt = entries.join(pieces, "token").select("token", "cls", "n", "pos", "part", F.pmod(F.xxhash64("cls"), "pieces").alias("piece"), other)
+            # A number for each tree, as a token may have several.
             tree = F.xxhash64("token", F.least("piece", "other"), F.greatest("piece", "other"))
-            ordered = dealt.withColumn("tree", tree).join(marks, "cls").repartition(self.parts, "tree").sortWithinPartitions("tree", "n", "cls")
-            ordered = ordered.select("tree", "cls", "n", "pos", "part", "block", "signature")
-            return self._connect(self._answer(ordered.mapInArrow(_asked(self.percent), "block long, cls long")))
+            ordered = dealt.withColumn("tree", tree).join(marks.hint("merge"), "cls").repartition(self.parts, "tree").sortWithinPartitions("tree", "n", "cls")
+            ordered = ordered.select("tree", "cls", "n", "pos", "part", "block", "signature", "wide")
+            return ordered.mapInArrow(_asked(self.percent), "block long, cls long, asks boolean").distinct()
 
-        self._step(run)
+        self._ask(step(self.spark, run, "asked"))
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -445,11 +513,11 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     ones last); similar sets share a listed one. The classes of a shingle, sorted by size, form a signature tree: a
     node has the united bitmap of its sets, the range of their sizes, and the most shingles that may follow the shared
     one. Two nodes are compared only if the largest overlap that this allows is enough for their sizes, down to pairs
-    of sets. Whole sets are kept in blocks of sets that share a listed shingle. What the trees name are sets that may
-    be similar to one of a block; these are sent to the block and compared with all of it, and each set gives one row
-    at most, so pairs of documents are never rows. Before the trees, sets are compared inside their blocks, and in a few
-    turns with the blocks of sets that they share shingles with (hubs), which connects families of copies; the
-    trees look only at shingles whose sets are not all connected then.
+    of sets, which longer signatures then screen. Sets are dealt into blocks; what the trees name are the sets of a
+    block and others that have to be compared with them. These meet as whole sets in one task, and each gives one
+    row at most, so pairs of documents are never rows. Before that, in a few turns, each set is compared with the one
+    that it shares most shingles with among those of least hash (hubs), which connects families of copies; the trees
+    look only at shingles whose sets are not all connected then.
 
     Shingles and sets are 64- and 128-bit hashes; words are compared by hash. A null text has no words; documents
     without words link with nothing. A shorter text is one shingle. Null ids are larger than all others. Repeated rows
@@ -464,7 +532,7 @@ def _components(docs: DataFrame, id_column: str, text_column: str, words: int, p
     kind = narrow.schema["id_value"].dataType.simpleString()
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     frequent = spark.sparkContext.broadcast(frequent_shingles(narrow, "text_value", words))
-    described = narrow.mapInArrow(_described("text_value", words, percent, frequent), f"id_value {kind}, n long, rare long, k1 long, k2 long, signature binary, prefix array<long>")
+    described = narrow.mapInArrow(_described("text_value", words, percent, frequent), f"id_value {kind}, n long, rare long, k1 long, k2 long, signature binary, wide binary, prefix array<long>")
     described = stored(described.withColumn("cls", F.monotonically_increasing_id()), "described")
     frequent.unpersist()
     # Of rows with equal sets the first stands for all.
@@ -481,17 +549,7 @@ def _components(docs: DataFrame, id_column: str, text_column: str, words: int, p
     shared = rare.mapInArrow(_shared, "token long, cls long, n long, pos long").unionByName(entries.where("pos >= rare").select("token", "cls", "n", "pos"))
     shared = stored(shared, "shared")
 
-    # Near copies tend to have the same least shared shingle by hash, and then they are neighbours.
-    alike = stored(shared.groupBy("cls").agg(F.min(F.xxhash64("token")).alias("mark"), F.first("n").alias("n")), "alike")
-    order = alike.repartitionByRange(parts, "mark", "cls").sortWithinPartitions("mark", "cls")
-    placed = stored(order.mapInArrow(_numbered_blocks, "cls long, block long"), "placed")
-    wanted = stored(groups.join(placed, "cls").select("cls", "block", "k1", "k2", "least"), "wanted")
-    texts = narrow.join(wanted, narrow["id_value"].eqNullSafe(wanted["least"])).select("text_value", "cls", "block", "k1", "k2")
-    # Rows that agree in id and set give a set twice, which does no harm.
-    sets = stored(texts.mapInArrow(_sets("text_value", words), "cls long, block long, elements binary"), "sets")
-
-    join = _Join(classes, shared, placed, sets, percent)
-    join.within_blocks()
+    join = _Join(narrow, groups, classes, shared, words, percent)
     for turn in range(TURNS):
         join.hubs(turn)
     join.trees()
