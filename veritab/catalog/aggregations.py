@@ -12,6 +12,7 @@ from veritab.operators.aggregates import grouped_values
 from veritab.operators.assessment import metric_buckets
 from veritab.operators.compare import MISMATCH, compare_data
 from veritab.operators.quantiles import Percentile, exact_percentiles, modes
+from veritab.operators.ranking import asc, ordered_checksum
 from veritab.plans.reconcile import stratum_rows
 from veritab.session import materialise
 
@@ -311,6 +312,19 @@ def checksum_large_group(read):
     return read("lineitem").groupBy("l_returnflag").agg(A.checksum_agg(F.col("l_partkey")).alias("sum"))
 
 
+@query(
+    "A19_checksum_in_order",
+    """SELECT l_returnflag, md5(CAST(SUM(CAST(('0x' || substr(md5(place || ':' || text), 1, 15)) AS UBIGINT)::HUGEINT) AS VARCHAR)) AS checksum
+       FROM (SELECT l_returnflag, CASE WHEN l_partkey % 7 = 0 THEN 'n' ELSE '=' || l_partkey END AS text,
+                    ROW_NUMBER() OVER (PARTITION BY l_returnflag ORDER BY l_shipdate, l_orderkey, l_linenumber, CASE WHEN l_partkey % 7 <> 0 THEN l_partkey END NULLS LAST) AS place
+             FROM lineitem) GROUP BY 1""",
+)
+def checksum_in_order(read):
+    part = F.when(F.col("l_partkey") % 7 != 0, F.col("l_partkey"))
+    lines = read("lineitem").withColumn("l_partkey", part)
+    return ordered_checksum(lines, ["l_returnflag"], [asc("l_shipdate"), asc("l_orderkey"), asc("l_linenumber")], "l_partkey")
+
+
 @query(
     "A20_first_last",
     """SELECT o_custkey, arg_min(o_totalprice, struct_pack(d := o_orderdate, k := o_orderkey)) AS first, arg_max(o_totalprice, struct_pack(d := o_orderdate, k := o_orderkey)) AS last

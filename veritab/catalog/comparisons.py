@@ -9,8 +9,9 @@ from veritab.catalog.joins import hot
 from veritab.catalog.registry import query
 from veritab.config import Aggregate, ColumnThreshold, TableConfig, TableThreshold, Transformation
 from veritab.operators import compare as X
+from veritab.operators import digest_tree
 from veritab.operators.aggregates import aggregate_rules, aggregate_side, compare_rule, join_aggregates, rule_counts
-from veritab.operators.canonical import comparable
+from veritab.operators.canonical import HASH_COLUMN, comparable
 from veritab.operators.schemas import compare_schema, render_type, table_schema
 from veritab.operators.thresholds import threshold_compare, threshold_failures, within_table_threshold
 from veritab.plans.reconcile import key_totals
@@ -77,6 +78,58 @@ def row_report(read):
     return rows.select("o_orderkey", "o_totalprice", "class", "rows")
 
 
+@query(
+    "R2_row_report_by_tree",
+    f"""WITH {sides_sql('orders')}
+    SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_totalprice AS VARCHAR) AS o_totalprice, 'missing_in_tgt' AS class,
+           CAST(1 AS DECIMAL(38,0)) AS rows
+    FROM src s WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE s.o_orderkey = t.o_orderkey AND {same_sql('orders')})
+    UNION ALL
+    SELECT CAST(o_orderkey AS VARCHAR), CAST(o_totalprice AS VARCHAR), 'missing_in_src', 1
+    FROM tgt t WHERE NOT EXISTS (SELECT 1 FROM src s WHERE s.o_orderkey = t.o_orderkey AND {same_sql('orders')})""",
+)
+def row_report_by_tree(read):
+    rows = digest_tree.differing_rows(source_side(read, "orders"), target_side(read, "orders"), ORDERS)
+    return rows.select("o_orderkey", "o_totalprice", "class", "rows")
+
+
+@query(
+    "R3_differences_by_tree",
+    f"""WITH {sides_sql('orders')}
+    SELECT COALESCE(s.o_orderkey, t.o_orderkey) AS o_orderkey,
+           CASE WHEN s.o_orderkey IS NULL THEN 'missing_in_src' WHEN t.o_orderkey IS NULL THEN 'missing_in_tgt' ELSE 'mismatch' END AS class,
+           CAST(1 AS DECIMAL(38,0)) AS rows
+    FROM src s FULL JOIN tgt t ON s.o_orderkey = t.o_orderkey
+    WHERE s.o_orderkey IS NULL OR t.o_orderkey IS NULL OR NOT ({same_sql('orders')})""",
+)
+def differences_by_tree(read):
+    return digest_tree.differing_keys(source_side(read, "orders"), target_side(read, "orders"), ORDERS)
+
+
+@query(
+    "P17_digest_tree",
+    """SELECT pair, CAST(src_rows AS DECIMAL(38,0)) AS src_rows, CAST(tgt_rows AS DECIMAL(38,0)) AS tgt_rows FROM (
+         SELECT 'one row changed' AS pair, COUNT(*) AS src_rows, COUNT(*) AS tgt_rows FROM orders
+         UNION ALL SELECT 'one row twice', COUNT(*), COUNT(*) + 1 FROM orders)""",
+)
+def digest_tree_roots(read):
+    """Roots that differ; the root of a copy in another order does not."""
+    orders = read("orders").select("o_orderkey", "o_custkey", F.col("o_totalprice").cast(MONEY).alias("o_totalprice"))
+    first = F.col("o_orderkey") == orders.agg(F.min("o_orderkey")).first()[0]
+    copies = {
+        "other order": orders.orderBy(F.desc("o_custkey")),
+        "one row changed": orders.withColumn("o_custkey", F.when(first, F.col("o_custkey") + 1).otherwise(F.col("o_custkey"))),
+        "one row twice": orders.unionAll(orders.where(first)),
+    }
+    out = None
+    for name, copy in copies.items():
+        left, right = (comparable(d, ORDERS, side, "row", orders.columns) for d, side in ((orders, "source"), (copy, "target")))
+        found = digest_tree.differing_nodes(digest_tree.leaf_differences(left, right, [HASH_COLUMN])).where("level = 0")
+        found = found.select(F.lit(name).alias("pair"), "src_rows", "tgt_rows")
+        out = found if out is None else out.unionAll(found)
+    return out
+
+
 @query(
     "R2_row_report_thresholds",
     """SELECT 'missing_in_src' AS class, CAST(COUNT(*) AS DECIMAL(38,0)) AS rows FROM customer WHERE c_custkey % 47 = 0

@@ -19,7 +19,7 @@ def _size():
 def scripts(read):
     """Script k creates t_k out of t_(k/2) and raw tables, then fills a log from it.
 
-    There are lists of tables, table functions, FROM inside functions and comparisons, a common table expression that
+    There are texts between dollar tags and with escapes, nested comments, lists of tables, table functions, FROM inside functions and comparisons, a common table expression that
     has the name of the table it reads, and quoted names.
     """
     up = F.floor(F.col("p_partkey") / 2).cast("string")
@@ -27,7 +27,7 @@ def scripts(read):
         F.lit("-- build; from nowhere\nCREATE TABLE stage.T_"), _key(),
         F.lit(" AS WITH recent AS (SELECT extract(year from load_date) AS y, trim(both ' ' from s.a) FROM raw.Src_"), _size(),
         F.lit(" s, generate_series(1, 2) g, \"Odd;Names\" o WHERE s.a IS NOT DISTINCT FROM o.a),\nshadow AS (SELECT * FROM raw.shadow WHERE k IN (SELECT k FROM (SELECT k FROM `deep`) d))"),
-        F.lit("\nSELECT r.*, 'from x; join y' AS note FROM recent r, shadow JOIN unnest(r.a) u ON true"),
+        F.lit("\nSELECT r.*, 'from x; join y' AS note, $q$ from dollar; $q$ AS d, e'it\\'s; from zz' AS e /* a /* ; from nested */ b; */ FROM recent r, shadow JOIN unnest(r.a) u ON true"),
         F.when(F.col("p_partkey") > 0, F.concat(F.lit(" LEFT JOIN \"stage\".\"T_"), up, F.lit("\" p ON p.id = r.id"))).otherwise(F.lit("")),
         F.lit(";\n/* join comment_table */ insert into log_"), _size(), F.lit(" select id from stage.t_"), _key(),
     ]
@@ -76,7 +76,7 @@ def duplicate_objects(read):
        UNION ALL SELECT 'part_' || p_partkey || '.sql', 'CREATE TABLE stage.T_' || p_partkey ||
          ' AS WITH recent AS (SELECT extract(year from load_date) AS y, trim(both '' '' from s.a) FROM raw.Src_' || p_size ||
          ' s, generate_series(1, 2) g, "Odd;Names" o WHERE s.a IS NOT DISTINCT FROM o.a), shadow AS (SELECT * FROM raw.shadow WHERE k IN (SELECT k FROM (SELECT k FROM `deep`) d))' ||
-         ' SELECT r.*, ''from x; join y'' AS note FROM recent r, shadow JOIN unnest(r.a) u ON true' || CASE WHEN p_partkey > 0 THEN ' LEFT JOIN "stage"."T_' || (p_partkey // 2) || '" p ON p.id = r.id' ELSE '' END, 0 FROM part""",
+         ' SELECT r.*, ''from x; join y'' AS note, $q$ from dollar; $q$ AS d, e''it\\''s; from zz'' AS e FROM recent r, shadow JOIN unnest(r.a) u ON true' || CASE WHEN p_partkey > 0 THEN ' LEFT JOIN "stage"."T_' || (p_partkey // 2) || '" p ON p.id = r.id' ELSE '' END, 0 FROM part""",
 )
 def split_statements(read):
     return G.split_statements(scripts(read))

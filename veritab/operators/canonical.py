@@ -52,9 +52,35 @@ def text_form(c: Column) -> Column:
     return F.coalesce(F.trim(c.cast("string")), F.lit(NULL_MARK))
 
 
-def array_form(c: Column) -> Column:
-    """Sorted, comma-separated. A NULL array reads like an empty one."""
-    return F.concat_ws(",", F.sort_array(c.cast("array<string>")))
+def _marked(text: Column) -> Column:
+    """A text as a part of a list: commas and backslashes get a backslash, an empty text is ``\\e``."""
+    escaped = F.regexp_replace(text, r"([,\\])", r"\\$1")
+    return F.when(text == "", "\\e").otherwise(escaped)
+
+
+def nested_form(c: Column, data_type: T.DataType) -> Column:
+    """Text of a value of any type, which tells all values of the type apart, but for the order of an array.
+
+    Parts of arrays, maps and structs are separated by commas, with those inside a part marked, on every level.
+    NULL parts of arrays are left out, as are maps' NULL values; a NULL field of a struct is ``\\n``.
+    """
+    if isinstance(data_type, T.ArrayType):
+        parts = F.transform(c, lambda x: _marked(nested_form(x, data_type.elementType)))
+        return F.concat_ws(",", F.sort_array(parts))
+    if isinstance(data_type, T.MapType):
+        entry = T.StructType([T.StructField("key", data_type.keyType), T.StructField("value", data_type.valueType)])
+        return nested_form(F.map_entries(c), T.ArrayType(entry))
+    if isinstance(data_type, T.StructType):
+        # A field of a NULL struct is NULL, so it has to be asked for first.
+        parts = [F.coalesce(_marked(nested_form(c.getField(f.name), f.dataType)), F.lit("\\n")) for f in data_type.fields]
+        return F.when(c.isNotNull(), F.concat_ws(",", *parts))
+    return c.cast("string")
+
+
+def array_form(c: Column, data_type: T.ArrayType | None = None) -> Column:
+    """Sorted, comma-separated, borders kept. A NULL array reads like an empty one."""
+    element = data_type.elementType if data_type is not None else T.StringType()
+    return nested_form(c if data_type is not None else c.cast("array<string>"), T.ArrayType(element))
 
 
 def time_form(c: Column, kind: str) -> Column:
@@ -69,7 +95,9 @@ def canonical(c: Column, data_type: T.DataType, system: str = "default") -> Colu
     date layout can never make equal values differ.
     """
     if isinstance(data_type, T.ArrayType):
-        return array_form(c)
+        return array_form(c, data_type)
+    if isinstance(data_type, (T.MapType, T.StructType)):
+        return F.coalesce(nested_form(c, data_type), F.lit(NULL_MARK))
     if system == "sqlserver":
         if isinstance(data_type, T.DateType):
             return time_form(c, "date")

@@ -1,7 +1,7 @@
 """Facts about SQL scripts kept as rows ``(path, sql)``: statements, objects, table edges, levels, complexity.
 
-Scripts are read by patterns, not parsed. Comments and quoted texts are recognised; a table name inside
-dynamic SQL is not seen.
+Statements and brackets come from a lexer, names in them from patterns. A table name inside dynamic SQL, or in the
+body of a function that is a text, is not seen.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veritab.operators import lexer
 from veritab.session import materialise
 
 # One part of a name, quoted or not, and a name of parts. Possessive: a name is taken whole or not at all.
@@ -44,15 +45,9 @@ def _is_qualified(c: Column) -> Column:
     return F.size(F.regexp_extract_all(c, F.lit(f"({_PART})"), F.lit(1))) > 1
 
 
-def split_statements(scripts: DataFrame) -> DataFrame:
-    """(path, position, statement): cut at semicolons outside of texts and quoted names; the last piece may lack one."""
-    code = without_comments(F.col("sql"))
-    pieces = F.regexp_extract_all(code, F.lit(rf"((?:[^;'\"`]++|{_QUOTED})++)"), F.lit(1))
-    return (
-        scripts.select("path", F.posexplode(pieces).alias("position", "statement"))
-        .withColumn("statement", F.trim(F.regexp_replace("statement", r"\s+", " ")))
-        .filter("statement <> ''")
-    )
+def split_statements(scripts: DataFrame, backslash: bool = False) -> DataFrame:
+    """(path, position, statement): cut at semicolons of the code; the last piece may lack one. See :mod:`lexer`."""
+    return lexer.statements(scripts, backslash).drop("code")
 
 
 def split_objects(scripts: DataFrame) -> DataFrame:
@@ -84,18 +79,19 @@ def duplicate_objects(objects: DataFrame) -> DataFrame:
     return objects.groupBy("object_type", "object_name").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
 
 
-def table_edges(scripts: DataFrame) -> DataFrame:
+def table_edges(scripts: DataFrame, backslash: bool = False) -> DataFrame:
     """(parent, child): every table a statement reads, and the table it creates, fills or merges into.
 
     The child is the script itself when nothing is written. Read are the names of FROM lists, joins and USING; names
     that are called are functions. An unqualified name of a common table expression of the statement is no table.
     """
-    code = _without_texts(F.col("statement"))
+    code = F.regexp_replace("code", r"(?i)\bis\s+(?:not\s+)?distinct\s+from\b", "=")
     writes = (
         r"(?i)\b(?:create\s+(?:or\s+replace\s+)?(?:global\s+|temporary\s+|temp\s+|materialized\s+)*(?:table|view)"
         r"\s+(?:if\s+not\s+exists\s+)?|insert\s+(?:into|overwrite)\s+(?:table\s+)?|merge\s+into\s+)(" + _NAME + ")"
     )
-    found = split_statements(scripts).select(F.regexp_extract(code, writes, 1).alias("written"), "path", _levels(code).alias("levels"))
+    found = lexer.statements(scripts, backslash).select("path", F.regexp_extract("code", writes, 1).alias("written"), code.alias("code"))
+    found = lexer.with_levels(found).drop("code")
     ctes = F.flatten(F.transform("levels", lambda t: F.regexp_extract_all(t, F.lit(_CTE), F.lit(1))))
     reads = F.flatten(F.transform("levels", _read_names))
     found = found.select("path", "written", reads.alias("read"), F.transform(ctes, _plain_table).alias("ctes"))
@@ -110,35 +106,6 @@ _FROM = (
     r"|start\s+with|set|values|select|when|returning)\b|$)"
 )
 _CTE = rf"(?i)(?:\bwith\s+(?:recursive\s+)?|,\s*)({_NAME})\s*(?:\(\)\s*)?as\s*(?:(?:not\s+)?materialized\s*)?\(\)"
-# Functions whose arguments may hold the word FROM.
-_FROM_INSIDE = r"(?i)\b(?:extract|trim|substring|overlay|position)\s*\([^()]*+\)"
-
-
-def _levels(code: Column) -> Column:
-    """The statement without the contents of its brackets, and the contents of each, in turn without theirs.
-
-    The innermost brackets are taken out in each step, as many steps as brackets are nested.
-    """
-    marks = F.regexp_extract_all(code, F.lit(r"([()])"), F.lit(1))
-    walk = F.aggregate(
-        marks,
-        F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")),
-        lambda s, m: F.struct(
-            F.greatest(s["now"] + F.when(m == "(", 1).otherwise(-1), F.lit(0)).alias("now"),
-            F.greatest(s["most"], s["now"] + F.when(m == "(", 1).otherwise(-1)).alias("most"),
-        ),
-    )["most"]
-    plain = F.regexp_replace(code, r"(?i)\bis\s+(?:not\s+)?distinct\s+from\b", "=")
-    steps = F.when(walk > 0, F.sequence(F.lit(1), walk)).otherwise(F.array().cast("array<int>"))
-
-    def step(s, _):
-        text = F.regexp_replace(s["text"], _FROM_INSIDE, "\u0001")
-        inner = F.regexp_extract_all(text, F.lit(r"\(([^()]+)\)"), F.lit(1))
-        # Taken out brackets leave a mark that is no bracket, until all are out.
-        return F.struct(F.regexp_replace(text, r"\([^()]*+\)", "\u0002").alias("text"), F.concat(s["found"], inner).alias("found"))
-
-    end = F.aggregate(steps, F.struct(plain.alias("text"), F.array().cast("array<string>").alias("found")), step)
-    return F.transform(F.concat(F.array(end["text"]), end["found"]), lambda t: F.replace(F.replace(t, F.lit("\u0002"), F.lit(" () ")), F.lit("\u0001"), F.lit(" ")))
 
 
 def _read_names(level: Column) -> Column:

@@ -209,6 +209,19 @@ def spread_window(df: DataFrame, partition_by, order_by, columns: dict) -> DataF
     return joined.select(*[F.col(_bt(c)) for c in df.columns], *[v.alias(k) for k, v in result.items()])
 
 
+def ordered_checksum(df: DataFrame, groups, order_by, value: str) -> DataFrame:
+    """(groups, checksum): equal for groups with the same values in the same order, for groups of any size.
+
+    Each row's checksum covers its rank and its value, and these are added up, so a group is never put together and two
+    rows that change places change the sum. Rows that tie in the order are put in the order of their values; NULL is a
+    value.
+    """
+    groups, text = list(groups), F.coalesce(F.concat(F.lit("="), _col(value).cast("string")), F.lit("n"))
+    ranked = spread_window(df, groups, [*order_by, asc(value)], {"__place": Rank("row_number")})
+    part = F.conv(F.substring(F.md5(F.concat(F.col("__place").cast("string"), F.lit(":"), text)), 1, 15), 16, 10).cast("decimal(38,0)")
+    return ranked.groupBy(*[_col(g) for g in groups]).agg(F.md5(F.sum(part).cast("string")).alias("checksum"))
+
+
 def with_group_values(df: DataFrame, keys, columns: dict[str, Column]) -> DataFrame:
     """Aggregates of a row's group beside the row: grouped first, then joined back where NULL equals NULL.
 

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from veritab.config import MAX_SAMPLE, MIN_SAMPLE, Sampling
 from veritab.errors import ConfigError
 from veritab.operators.canonical import column
+from veritab.session import materialise
 
 SHOWN_ROWS = 50
 
@@ -38,7 +39,7 @@ def sample_stratified(keys_df: DataFrame, target: DataFrame, keys, sampling: Sam
     """Key rows, the same share of every bucket of the stratified columns, at most ``sampling.count`` rows.
 
     Keys are matched as they are compared, so NULL equals NULL. ``target`` has the source's names. Every bucket that
-    holds keys gives one at least. The bucket sizes (at most 50 rows) are the only data that reach the driver. Target
+    holds keys gives one at least. Bucket sizes (at most 50 rows) are the only data that reach the driver. Target
     rows of a key fold to their distinct bucket columns before the join.
     """
     keys = list(keys)
@@ -51,17 +52,18 @@ def sample_stratified(keys_df: DataFrame, target: DataFrame, keys, sampling: Sam
     joined = wanted.join(known, condition, "inner").withColumn("bucket", stratum(sampling.columns, sampling.buckets))
     # A key whose target rows lie in several buckets counts in the first.
     joined = joined.groupBy(*[column(k) for k in keys]).agg(F.min("bucket").alias("bucket"))
-    sizes = {r["bucket"]: r["count"] for r in joined.groupBy("bucket").count().collect()}
-    if not sizes:
-        return wanted.limit(0)
-    left, wanted_of = sampling.count, {}
-    for i, (b, n) in enumerate(sorted(sizes.items(), key=lambda x: (x[1], x[0]))):
-        wanted_of[b] = min(n, max(1, left // (len(sizes) - i)))
-        left -= wanted_of[b]
-    # The rows of least hash of each bucket: the same ones for the same seed, whatever the partitions.
+    # The rows of least hash of each bucket: the same ones for the same seed, whatever the partitions. Each task keeps
+    # as many of a bucket as the whole sample may have, so what meets per bucket does not grow with its rows.
     mark = F.xxhash64(F.lit(sampling.seed), *[column(k) for k in keys])
-    picked = [joined.filter(F.col("bucket") == b).orderBy(mark, *[column(k) for k in keys]).limit(n) for b, n in wanted_of.items()]
-    return reduce(DataFrame.unionByName, picked).select(*[column(k) for k in keys])
+    place = F.row_number().over(Window.partitionBy("bucket").orderBy(mark, *[column(k) for k in keys]))
+    first = materialise(joined.withColumn("place", place).where(F.col("place") <= sampling.count), "strata")
+    sizes = {r["bucket"]: r["n"] for r in first.groupBy("bucket").agg(F.max("place").alias("n")).collect()}
+    left, limit = sampling.count, F.lit(0)
+    for i, (b, n) in enumerate(sorted(sizes.items(), key=lambda x: (x[1], x[0]))):
+        share = min(n, max(1, left // (len(sizes) - i)))
+        limit = F.when(F.col("bucket") == b, share).otherwise(limit)
+        left -= share
+    return first.where(F.col("place") <= limit).select(*[column(k) for k in keys])
 
 
 def sample_keys(mismatch: DataFrame, total: int, keys, sampling: Sampling, target: DataFrame | None = None) -> DataFrame:
