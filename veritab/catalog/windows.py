@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 from veritab.catalog.data import MONEY
 from veritab.catalog.registry import query
 from veritab.functions.relational import select_with_aliases, with_parameters
+from veritab.operators import running
 from veritab.operators.ranking import Edge, Rank, Shift, asc, desc, spread_window, with_group_values
+from veritab.operators.running import Running
 
 
 
@@ -116,6 +118,47 @@ def full_frame(read):
     return _ranked(read, {"last_status": Edge("o_orderstatus", "last"), "second_key": Edge("o_orderkey", "nth", 2)}, ["o_orderpriority"])
 
 
+@query(
+    "W8_running_rows",
+    """SELECT l_orderkey, l_linenumber, SUM(l_quantity) OVER w AS quantity, MIN(l_extendedprice) OVER w AS least, COUNT(*) OVER w AS n,
+              CAST(SUM(l_linenumber) OVER (PARTITION BY l_returnflag ORDER BY l_shipdate) AS BIGINT) AS lines_upto_day
+       FROM lineitem WINDOW w AS (PARTITION BY l_returnflag ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice ROWS UNBOUNDED PRECEDING)""",
+)
+def running_rows(read):
+    """Growing frames over three groups that hold all rows: by rows, and with rows of the same day."""
+    lines = read("lineitem").withColumn("l_quantity", F.col("l_quantity").cast("decimal(18,2)"))
+    order = [asc(c) for c in ("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")]
+    by_rows = running.growing(
+        lines, ["l_returnflag"], order, {"quantity": Running("l_quantity", "sum"), "least": Running("l_extendedprice", "min"), "n": Running("l_orderkey", "count")}
+    )
+    out = running.growing(by_rows, ["l_returnflag"], [asc("l_shipdate")], {"lines_upto_day": Running("l_linenumber", "sum")}, peers=True)
+    return out.select("l_orderkey", "l_linenumber", F.col("quantity").cast("double").alias("quantity"), "least", "n", "lines_upto_day")
+
+
+@query(
+    "W8_frame_of_rows",
+    """SELECT o_orderkey, MAX(o_totalprice) OVER w AS most, AVG(o_custkey) OVER w AS customer FROM orders
+       WINDOW w AS (PARTITION BY o_orderstatus ORDER BY o_orderdate, o_orderkey ROWS BETWEEN 30 PRECEDING AND 5 FOLLOWING)""",
+)
+def frame_of_rows(read):
+    out = running.sliding(
+        read("orders"), ["o_orderstatus"], [asc("o_orderdate"), asc("o_orderkey")], {"most": Running("o_totalprice", "max"), "customer": Running("o_custkey", "avg")}, 30, 5
+    )
+    return out.select("o_orderkey", "most", "customer")
+
+
+@query(
+    "W8_frame_of_values",
+    """SELECT o_orderkey, MAX(o_totalprice) OVER w AS most, CAST(SUM(o_custkey) OVER w AS BIGINT) AS customers, COUNT(o_custkey) OVER w AS n FROM orders
+       WINDOW w AS (PARTITION BY o_orderstatus ORDER BY o_custkey RANGE BETWEEN 100 PRECEDING AND 50 FOLLOWING)""",
+)
+def frame_of_values(read):
+    out = running.by_value(
+        read("orders"), ["o_orderstatus"], "o_custkey", {"most": Running("o_totalprice", "max"), "customers": Running("o_custkey", "sum"), "n": Running("o_custkey", "count")}, 100, 50
+    )
+    return out.select("o_orderkey", "most", "customers", "n")
+
+
 @query(
     "W9_null_order",
     """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, k, ROW_NUMBER() OVER (PARTITION BY l_returnflag ORDER BY k ASC NULLS LAST, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS up,
