@@ -258,19 +258,27 @@ def _screen(percent: int):
     return run
 
 
-def _bound(n: np.ndarray, raws: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
-    """Which pairs of entries may be similar by their wide signatures."""
-    size = np.fromiter(map(len, raws), np.int64, len(raws))
-    out = np.zeros(len(i), bool)
-    for a, b in {(int(x), int(y)) for x, y in zip(size[i], size[j], strict=True)}:
-        at = np.flatnonzero((size[i] == a) & (size[j] == b))
-        x, y = (np.frombuffer(b"".join(raws[k[at]]), np.uint8).reshape(len(at), -1) for k in (i, j))
-        short = min(a, b)
-        # The longer signature is folded to the length of the shorter.
-        x, y = (v if v.shape[1] == short else np.packbits(np.unpackbits(v, axis=1).reshape(len(at), 8 * short, -1).any(axis=2), axis=1) for v in (x, y))
-        count = lambda v: np.bitwise_count(np.ascontiguousarray(v).view(np.uint64)).sum(axis=1).astype(np.int64)
-        common = count(x & y) + np.minimum(n[i[at]] - count(x), n[j[at]] - count(y))
-        out[at] = common >= needed_overlap(n[i[at]], n[j[at]], percent)
+def _may_link(n_a: np.ndarray, a: list[bytes], part_a: np.ndarray, n_b: np.ndarray, b: list[bytes], part_b: np.ndarray, percent: int) -> np.ndarray:
+    """Which sets of two lists are in different parts and may be similar by their sizes and wide signatures."""
+    out = np.zeros((len(a), len(b)), bool)
+    size_a, size_b = (np.array([len(x) for x in v], np.int64) for v in (a, b))
+    count = lambda v: np.bitwise_count(np.ascontiguousarray(v).view(np.uint64)).sum(axis=1).astype(np.int64)
+    for x in np.unique(size_a).tolist():
+        for y in np.unique(size_b).tolist():
+            i, j = np.flatnonzero(size_a == x), np.flatnonzero(size_b == y)
+            alike = 100 * np.minimum.outer(n_a[i], n_b[j]) >= percent * np.maximum.outer(n_a[i], n_b[j])
+            alike &= part_a[i][:, None] != part_b[j]
+            if not alike.any():
+                continue
+            # The longer signature is folded to the length of the shorter.
+            u, v = (np.frombuffer(b"".join(raws[k] for k in at.tolist()), np.uint8).reshape(len(at), -1) for raws, at in ((a, i), (b, j)))
+            u, v = (w if w.shape[1] == min(x, y) else np.packbits(np.unpackbits(w, axis=1).reshape(len(w), 8 * min(x, y), -1).any(axis=2), axis=1) for w in (u, v))
+            spare_u, spare_v = n_a[i] - count(u), n_b[j] - count(v)
+            u = np.ascontiguousarray(u).view(np.uint64)
+            v = np.ascontiguousarray(v).view(np.uint64)
+            for k in np.flatnonzero(alike.any(axis=1)).tolist():
+                common = np.bitwise_count(u[k] & v).sum(axis=1).astype(np.int64) + np.minimum(spare_u[k], spare_v)
+                out[i[k], j] = alike[k] & (common >= needed_overlap(n_a[i[k]], n_b[j], percent))
     return out
 
 
@@ -288,7 +296,7 @@ def _asked(percent: int):
             held.clear()
             return pa.RecordBatch.from_arrays([pa.array(block), pa.array(cls), pa.array(asks.astype(bool))], names=["block", "cls", "asks"])
 
-        for token, cls, n, pos, part, block, raw, wide in _groups(batches):
+        for token, cls, n, pos, part, block, raw in _groups(batches):
             bits = np.frombuffer(b"".join(raw), np.uint64).reshape(len(token), -1)
             spare = n - np.bitwise_count(bits).sum(axis=1).astype(np.int64)
             starts = np.concatenate([[0], np.flatnonzero(token[1:] != token[:-1]) + 1, [len(token)]])
@@ -302,8 +310,6 @@ def _asked(percent: int):
                     found += [(i + lo, j + lo) for i, j in tree.pairs((0, hi - lo), (0, hi - lo), percent)]
             for low in range(0, len(found), 64):
                 i, j = (np.concatenate(x) for x in zip(*found[low : low + 64], strict=True))
-                some = _bound(n, wide, i, j, percent)
-                i, j = i[some], j[some]
                 i, j = np.where(block[i] <= block[j], i, j), np.where(block[i] <= block[j], j, i)
                 held.append(np.stack([block[i], cls[i], np.zeros(len(i), np.int64)]))
                 held.append(np.stack([block[i], cls[j], (block[i] != block[j]).astype(np.int64)]))
@@ -362,40 +368,68 @@ def _stars(mask: np.ndarray, asking: np.ndarray, own: np.ndarray) -> pa.RecordBa
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate([asking[rows], own[columns]])), pa.array(np.concatenate([a, b]))], names=["cls", "root"])
 
 
-def _answers(percent: int):
-    """Links inside blocks, and of the sets that ask there; rows come sorted by block, its own sets first."""
+def _by_block(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[tuple[list[tuple], list[tuple], bool]]:
+    """The own rows of a block, and some rows that ask there, again and again; rows come sorted by block, its own first.
+
+    The last value says whether the own rows are to be compared with each other as well, which happens once a block.
+    """
+    now, own, asking, size, fresh = None, [], [], 0, False
+    for batch in batches:
+        for *key, asks, row in zip(*[batch.column(x).to_pylist() for x in ("block", "portion", "asks")], zip(*[batch.column(c).to_pylist() for c in columns], strict=True), strict=True):
+            if key != now or len(asking) == LOT or size > LOT_BYTES:
+                if own and (asking or fresh):
+                    yield own, asking, fresh
+                asking, size, fresh = [], 0, False
+            if key != now:
+                now, own, fresh = key, [], key[1] == 0
+            (asking if asks else own).append(row)
+            size += len(row[-1]) * asks
+    if own and (asking or fresh):
+        yield own, asking, fresh
+
+
+def _narrowed(percent: int):
+    """(block, cls, asks): what is left of the questions when wide signatures are compared."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, own, block, asking, size = None, ([], []), None, ([], []), 0
-
-        def built() -> Iterator[pa.RecordBatch]:
-            """Own sets are compared with each other once, in the block's first portion."""
-            nonlocal block
-            if block is None and own[0]:
-                block = _Block(*own)
-                if len(own[0]) > 1 and now[1] == 0:
-                    mask = block.similar(own[1], percent)
-                    np.fill_diagonal(mask, False)
-                    if (out := _stars(mask, block.cls, block.cls)) is not None:
-                        yield out
-
-        def answered() -> Iterator[pa.RecordBatch]:
-            nonlocal asking, size
-            yield from built()
-            if asking[0] and own[0] and (out := _stars(block.similar(asking[1], percent), np.array(asking[0], np.int64), block.cls)) is not None:
-                yield out
-            asking, size = ([], []), 0
+        for own, asking, fresh in _by_block(batches, ("block", "cls", "n", "part", "wide")):
+            block, own_cls, own_n, own_part, own_wide = (list(x) for x in zip(*own, strict=True))
+            side = (np.array(own_n), own_wide, np.array(own_part))
+            left = np.zeros(len(own), bool)
+            if fresh:
+                left |= _may_link(*side, *side, percent).any(axis=1)
+            asks = []
+            if asking:
+                _, cls, n, part, wide = (list(x) for x in zip(*asking, strict=True))
+                mask = _may_link(*side, np.array(n), wide, np.array(part), percent)
+                left |= mask.any(axis=1)
+                asks = np.array(cls)[mask.any(axis=0)].tolist()
+            found = np.array(own_cls)[left].tolist() + asks
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([block[0]] * len(found), pa.int64()), pa.array(found, pa.int64()), pa.array([False] * int(left.sum()) + [True] * len(asks), pa.bool_())], names=["block", "cls", "asks"]
+            )
+
+    return run
 
-        for batch in batches:
-            for *key, asks, c, raw in zip(*[batch.column(x).to_pylist() for x in ("block", "portion", "asks", "cls", "elements")], strict=True):
-                if key != now or len(asking[0]) == LOT or size > LOT_BYTES:
-                    yield from answered()
-                if key != now:
-                    now, own, block = key, ([], []), None
-                held = asking if asks else own
-                held[0].append(c), held[1].append(raw)
-                size += len(raw) * asks
-        yield from answered()
+
+def _answers(percent: int):
+    """Links inside blocks, and of the sets that ask there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, block = None, None
+        for own, asking, fresh in _by_block(batches, ("cls", "elements")):
+            if own is not last:
+                last, block = own, _Block(*(list(x) for x in zip(*own, strict=True)))
+            raws = [raw for _, raw in own]
+            if fresh and len(own) > 1:
+                mask = block.similar(raws, percent)
+                np.fill_diagonal(mask, False)
+                if (out := _stars(mask, block.cls, block.cls)) is not None:
+                    yield out
+            if asking:
+                cls, raws = (list(x) for x in zip(*asking, strict=True))
+                if (out := _stars(block.similar(raws, percent), np.array(cls, np.int64), block.cls)) is not None:
+                    yield out
 
     return run
 
@@ -442,14 +476,20 @@ class _Join:
         new = stored(texts.mapInArrow(_sets("text_value", self.words), "cls long, elements binary"), "sets")
         self.sets = new if self.sets is None else self.sets.unionByName(new)
 
-    def _links(self, requests: DataFrame) -> DataFrame:
-        """Links among the own sets of each block, and of those with the sets that ask. Many questions are dealt to several tasks."""
+    def _dealt(self, requests: DataFrame) -> DataFrame:
+        """Requests by portion: the questions to a block are dealt to several tasks if they are many, and its own sets to each."""
         counts = requests.groupBy("block").agg(F.ceil(F.sum(F.col("asks").cast("long")) / ASKING).alias("portions"))
         sent = requests.join(counts, "block").withColumn("portions", F.greatest("portions", F.lit(1)))
         every = F.sequence(F.lit(0).cast("long"), F.col("portions") - 1)
-        sent = sent.select("block", "asks", "cls", F.explode(F.when(F.col("asks"), F.array(F.pmod(F.xxhash64("cls"), "portions"))).otherwise(every)).alias("portion"))
-        sent = sent.join(self.sets.hint("merge"), "cls").repartition(self.parts, "block", "portion").sortWithinPartitions("block", "portion", "asks")
-        return stored(sent.select("block", "portion", "asks", "cls", "elements").mapInArrow(_answers(self.percent), "cls long, root long"), "links")
+        return sent.select("block", "asks", "cls", F.explode(F.when(F.col("asks"), F.array(F.pmod(F.xxhash64("cls"), "portions"))).otherwise(every)).alias("portion"))
+
+    def _sorted(self, sent: DataFrame) -> DataFrame:
+        return sent.repartition(self.parts, "block", "portion").sortWithinPartitions("block", "portion", "asks")
+
+    def _links(self, requests: DataFrame) -> DataFrame:
+        """Links among the own sets of each block, and of those with the sets that ask."""
+        sent = self._sorted(self._dealt(requests).join(self.sets.hint("merge"), "cls"))
+        return stored(sent.mapInArrow(_answers(self.percent), "cls long, root long"), "links")
 
     def _ask(self, requests: DataFrame) -> None:
         def run():
@@ -489,17 +529,20 @@ class _Join:
         def run():
             entries = stored(self._open_entries(), "open")
             order = stored(entries.groupBy("cls").agg(F.first("part").alias("part"), F.first("n").alias("n")), "order")
-            order = order.repartitionByRange(self.parts, "part", "cls").sortWithinPartitions("part", "cls")
-            placed = stored(order.mapInArrow(_numbered_blocks, "cls long, block long"), "placed")
-            marks = self.classes.select("cls", "signature", "wide").join(placed, "cls")
+            ranged = order.repartitionByRange(self.parts, "part", "cls").sortWithinPartitions("part", "cls")
+            placed = stored(ranged.mapInArrow(_numbered_blocks, "cls long, block long"), "placed")
+            marks = self.classes.select("cls", "signature").join(placed, "cls")
             pieces = entries.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / PIECE).alias("pieces"))
             other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)).alias("other")
             dealt = entries.join(pieces, "token").select("token", "cls", "n", "pos", "part", F.pmod(F.xxhash64("cls"), "pieces").alias("piece"), other)
             # A number for each tree, as a token may have several.
             tree = F.xxhash64("token", F.least("piece", "other"), F.greatest("piece", "other"))
             ordered = dealt.withColumn("tree", tree).join(marks.hint("merge"), "cls").repartition(self.parts, "tree").sortWithinPartitions("tree", "n", "cls")
-            ordered = ordered.select("tree", "cls", "n", "pos", "part", "block", "signature", "wide")
-            return ordered.mapInArrow(_asked(self.percent), "block long, cls long, asks boolean").distinct()
+            ordered = ordered.select("tree", "cls", "n", "pos", "part", "block", "signature")
+            named = stored(ordered.mapInArrow(_asked(self.percent), "block long, cls long, asks boolean").distinct(), "named")
+            known = order.select("cls", "part").join(self.classes.select("cls", "n", "wide"), "cls")
+            sent = self._sorted(self._dealt(named).join(known.hint("merge"), "cls"))
+            return sent.mapInArrow(_narrowed(self.percent), "block long, cls long, asks boolean").distinct()
 
         self._ask(step(self.spark, run, "asked"))
 
