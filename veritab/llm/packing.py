@@ -20,7 +20,7 @@ SEQUENCE = 2048
 END = 1
 VOCABULARY = "word_bpe_49k.json"
 #: Words that a task remembers before it starts anew.
-REMEMBERED = 250_000
+REMEMBERED = 400_000
 
 
 class _Numbers(dict):
