@@ -285,6 +285,16 @@ def cube(read):
     return read("lineitem").cube("l_returnflag", "l_linestatus").agg(F.grouping_id().alias("gid"), F.count("*").alias("n"))
 
 
+@query(
+    "A18_cube_of_groups",
+    """SELECT l_returnflag, l_linestatus, l_linenumber, GROUPING_ID(l_returnflag, l_linestatus, l_linenumber) AS gid, COUNT(*) AS n,
+              AVG(l_partkey) AS part, MIN(l_shipdate) AS first_day, CAST(SUM(l_suppkey) AS BIGINT) AS suppliers FROM lineitem GROUP BY CUBE (l_returnflag, l_linestatus, l_linenumber)""",
+)
+def cube_of_groups(read):
+    wanted = {"n": ("count", "*"), "part": ("avg", "l_partkey"), "first_day": ("min", "l_shipdate"), "suppliers": ("sum", "l_suppkey")}
+    return A.cube_of(read("lineitem"), ["l_returnflag", "l_linestatus", "l_linenumber"], wanted)
+
+
 @query(
     "A18_rollup",
     """SELECT l_returnflag, l_linestatus, CAST(GROUPING(l_linestatus) AS INTEGER) AS g, COUNT(*) AS n FROM lineitem GROUP BY ROLLUP (l_returnflag, l_linestatus)""",

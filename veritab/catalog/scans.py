@@ -215,6 +215,18 @@ def incremental_load(read):
     return incremental.new_rows(e, stored, "ts").select("event_id", "user_id")
 
 
+@query(
+    "C6_rows_that_share_the_mark",
+    "SELECT event_id, CAST(ts AS DATE) AS day FROM events WHERE CAST(ts AS DATE) > DATE '2024-01-20' OR (CAST(ts AS DATE) = DATE '2024-01-20' AND event_id % 3 <> 0)",
+)
+def rows_that_share_the_mark(read):
+    """The mark is a day; a third of the rows of the last day stored are stored already."""
+    e = read("events").select("event_id", F.col("ts").cast("date").alias("day"))
+    edge = F.lit("2024-01-20").cast("date")
+    stored = e.filter((F.col("day") < edge) | ((F.col("day") == edge) & (F.col("event_id") % 3 == 0)))
+    return incremental.rows_not_stored(e, stored, "day")
+
+
 @query("C6_high_water_mark", "SELECT strftime(MAX(ts), '%Y-%m-%d %H:%M:%S.%f') AS high_water_mark FROM events")
 def high_water_mark(read):
     return incremental.high_water_mark(read("events"), "ts").select(

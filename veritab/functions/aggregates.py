@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -66,3 +66,25 @@ def first_by(value: Column, order: Column) -> Column:
 
 def last_by(value: Column, order: Column) -> Column:
     return F.max_by(value, order)
+
+
+#: How partial aggregates of a kind are folded further.
+_FOLDED = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
+
+
+def cube_of(df: DataFrame, columns: list[str], aggregates: dict[str, tuple[str, str]], rollup: bool = False) -> DataFrame:
+    """(columns, gid, aggregates): all groupings of a cube (or rollup), with their number.
+
+    ``aggregates`` names a kind (sum, count, min, max, avg) and a column; ``*`` counts rows. Rows are grouped once, as
+    finely as possible, and the coarser groupings come from these groups; a plain cube copies every row for each grouping.
+    """
+    parts = {n: (("sum", c), ("count", c)) if k == "avg" else ((k, c),) for n, (k, c) in aggregates.items()}
+    make = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
+    first = {f"{n}__{k}": make[k](F.lit(1) if c == "*" else F.col(c)) for n, ps in parts.items() for k, c in ps}
+    finest = df.groupBy(*columns).agg(*[c.alias(n) for n, c in first.items()])
+    groups = finest.rollup(*columns) if rollup else finest.cube(*columns)
+    out = groups.agg(F.grouping_id().alias("gid"), *[_FOLDED[k](f"{n}__{k}").alias(f"{n}__{k}") for n, ps in parts.items() for k, _ in ps])
+    # The grouping of nothing has a row even where there are none, whose count is 0.
+    value = lambda n, k: F.coalesce(F.col(f"{n}__{k}"), F.lit(0)) if k == "count" else F.col(f"{n}__{k}")
+    made = [(F.try_divide(f"{n}__sum", f"{n}__count") if len(ps) > 1 else value(n, ps[0][0])).alias(n) for n, ps in parts.items()]
+    return out.select(*columns, "gid", *made)
