@@ -117,6 +117,41 @@ def tables_at_deep_level(read):
     return G.tables_at_level(edges(read), 6)
 
 
+_KNOTS_SQL = """k AS (SELECT * FROM e UNION SELECT 'c' || p_partkey, 'c' || (p_partkey + 1) FROM part WHERE p_partkey < 200
+  UNION SELECT 'c5', 'r0' FROM part UNION SELECT 'r' || p_partkey % 3, 'r' || (p_partkey + 1) % 3 FROM part
+  UNION SELECT 'z' || p_partkey % 2, 'z' || (p_partkey + 1) % 2 FROM part)"""
+
+
+def knotted(read):
+    """The lineage of the scripts, a chain of 200 tables, a cycle that hangs on it, and a cycle that nothing leads to."""
+    n = F.col("p_partkey")
+    name = lambda letter, c: F.concat(F.lit(letter), c.cast("string"))
+    part = read("part")
+    more = [
+        part.where(n < 200).select(name("c", n).alias("parent"), name("c", n + 1).alias("child")),
+        part.select(F.lit("c5").alias("parent"), F.lit("r0").alias("child")),
+        part.select(name("r", n % 3).alias("parent"), name("r", (n + 1) % 3).alias("child")),
+        part.select(name("z", n % 2).alias("parent"), name("z", (n + 1) % 2).alias("child")),
+    ]
+    out = edges(read)
+    for m in more:
+        out = out.unionByName(m)
+    return out.distinct()
+
+
+@query(
+    "G6_levels_of_all_tables",
+    f"""WITH RECURSIVE {_EDGES}, {_KNOTS_SQL},
+    w(node, level) AS (SELECT DISTINCT parent, 0 FROM k WHERE parent NOT IN (SELECT child FROM k)
+                       UNION SELECT k.child, level + 1 FROM w JOIN k ON k.parent = w.node WHERE level < 230),
+    least AS (SELECT node, MIN(level) AS level FROM w GROUP BY node)
+    SELECT node, CAST(level AS BIGINT) AS level, node IN ('r0', 'r1', 'r2', 'z0', 'z1') AS on_cycle
+    FROM (SELECT parent AS node FROM k UNION SELECT child FROM k) LEFT JOIN least USING (node)""",
+)
+def levels_of_all_tables(read):
+    return G.node_levels(knotted(read))
+
+
 @query(
     "G7_flow_chart",
     f"""WITH {_EDGES} SELECT '    ' || upper(child[1]) || child[2:] || ' --> ' || upper(parent[1]) || parent[2:] AS line FROM e

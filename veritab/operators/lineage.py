@@ -148,6 +148,39 @@ def tables_at_level(edges: DataFrame, level: int, cut_every: int = 4) -> DataFra
     return reached
 
 
+def closure(edges: DataFrame) -> DataFrame:
+    """(ancestor, node, steps): every table that a table is made from, directly or not, with the least number of steps.
+
+    Each round joins the paths found so far with each other, so their length doubles and the number of rounds grows with
+    the logarithm of the depth. On a cycle a table is its own ancestor. Rounds are written to the shared folder.
+    """
+    paths = edges.where("parent <> child").select(F.col("parent").alias("ancestor"), F.col("child").alias("node"), F.lit(1).cast("long").alias("steps"))
+    paths = materialise(paths.distinct(), "paths")
+    before = None
+    while (state := tuple(paths.agg(F.count(F.lit(1)), F.sum("steps")).first())) != before:
+        before = state
+        on = paths.select(F.col("ancestor").alias("node"), F.col("node").alias("next"), F.col("steps").alias("more"))
+        longer = paths.join(on, "node").select("ancestor", F.col("next").alias("node"), (F.col("steps") + F.col("more")).alias("steps"))
+        paths = materialise(paths.unionByName(longer).groupBy("ancestor", "node").agg(F.min("steps").alias("steps")), "paths")
+    return paths
+
+
+def node_levels(edges: DataFrame) -> DataFrame:
+    """(node, level, on_cycle): the least number of steps from a root, 0 for roots, NULL where no root leads to.
+
+    All levels come from one closure, cycles or not.
+    """
+    edges = materialise(edges, "edges")
+    paths = closure(edges)
+    roots = root_tables(edges)
+    least = paths.join(roots.select(F.col("node").alias("ancestor")), "ancestor", "left_semi").groupBy("node").agg(F.min("steps").alias("level"))
+    least = least.unionByName(roots.select("node", F.lit(0).cast("long").alias("level")))
+    cyclic = paths.where("ancestor = node").select("node", F.lit(True).alias("on_cycle"))
+    cyclic = cyclic.unionByName(edges.where("parent = child").select(F.col("parent").alias("node"), F.lit(True).alias("on_cycle"))).distinct()
+    nodes = edges.select(F.explode(F.array("parent", "child")).alias("node")).distinct()
+    return nodes.join(least, "node", "left").join(cyclic, "node", "left").withColumn("on_cycle", F.coalesce("on_cycle", F.lit(False)))
+
+
 def flow_chart(edges: DataFrame) -> DataFrame:
     """(line): ``Child --> Parent`` per edge, and a node without parents alone. One row per line, no single text."""
     arrows = edges.distinct().select(
