@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from veritab.llm.common import byte_column, free_name, numbered, stored
+from veritab.llm.common import byte_column, free_name, numbered, releasing, stored
 
 #: Bytes of a block; a longer text has more blocks and more rounds of pairing (their logarithm).
 BLOCK_BYTES = 2048
@@ -62,7 +62,7 @@ def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: st
     narrow = docs.select(F.col(id_column).alias(item), F.col(text_column).cast("string").alias("text_value"))
     kind = narrow.schema[item].dataType.simpleString()
     rows = narrow.mapInArrow(
-        _blocks("text_value", block_bytes),
+        releasing(_blocks("text_value", block_bytes)),
         f"ref long, block binary, owner long, refs array<long>, text_sha256 string, `{item}` {kind}",
     )
     # A row of a document is a run of its own here, as owners differ.

@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritab.llm.common import byte_column, mixed, numbered, step, stored
+from veritab.llm.common import byte_column, mixed, numbered, releasing, step, stored
 from veritab.llm.components import components, labels_of
 
 #: Words of a shingle; least similarity in hundredths.
@@ -84,7 +84,7 @@ def _local_counts(text: str, words: int, least: int = 2):
 
 def frequent_shingles(docs: DataFrame, text: str, words: int = WORDS) -> np.ndarray:
     """Shingles of very many documents, sorted; they only decide in which order shingles are looked at."""
-    counts = docs.select(text).mapInArrow(_local_counts(text, words), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    counts = docs.select(text).mapInArrow(releasing(_local_counts(text, words)), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     rows = counts.where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "token").limit(MOST_FREQUENT).select("token").collect()
     return np.sort(np.array([r["token"] for r in rows], np.int64).view(np.uint64))
 
@@ -473,7 +473,7 @@ class _Join:
         wanted = self.groups.join(wanted, "cls").select("cls", "k1", "k2", "least").hint("merge")
         texts = self.docs.join(wanted, self.docs["id_value"].eqNullSafe(wanted["least"])).select("text_value", "cls", "k1", "k2")
         # Rows that agree in id and set give a set twice, which does no harm.
-        new = stored(texts.mapInArrow(_sets("text_value", self.words), "cls long, elements binary"), "sets")
+        new = stored(texts.mapInArrow(releasing(_sets("text_value", self.words)), "cls long, elements binary"), "sets")
         self.sets = new if self.sets is None else self.sets.unionByName(new)
 
     def _dealt(self, requests: DataFrame) -> DataFrame:
@@ -489,7 +489,7 @@ class _Join:
     def _links(self, requests: DataFrame) -> DataFrame:
         """Links among the own sets of each block, and of those with the sets that ask."""
         sent = self._sorted(self._dealt(requests).join(self.sets.hint("merge"), "cls"))
-        return stored(sent.mapInArrow(_answers(self.percent), "cls long, root long"), "links")
+        return stored(sent.mapInArrow(releasing(_answers(self.percent)), "cls long, root long"), "links")
 
     def _ask(self, requests: DataFrame) -> None:
         def run():
@@ -539,10 +539,10 @@ class _Join:
             tree = F.xxhash64("token", F.least("piece", "other"), F.greatest("piece", "other"))
             ordered = dealt.withColumn("tree", tree).join(marks.hint("merge"), "cls").repartition(self.parts, "tree").sortWithinPartitions("tree", "n", "cls")
             ordered = ordered.select("tree", "cls", "n", "pos", "part", "block", "signature")
-            named = stored(ordered.mapInArrow(_asked(self.percent), "block long, cls long, asks boolean").distinct(), "named")
+            named = stored(ordered.mapInArrow(releasing(_asked(self.percent)), "block long, cls long, asks boolean").distinct(), "named")
             known = order.select("cls", "part").join(self.classes.select("cls", "n", "wide"), "cls")
             sent = self._sorted(self._dealt(named).join(known.hint("merge"), "cls"))
-            return sent.mapInArrow(_narrowed(self.percent), "block long, cls long, asks boolean").distinct()
+            return sent.mapInArrow(releasing(_narrowed(self.percent)), "block long, cls long, asks boolean").distinct()
 
         self._ask(step(self.spark, run, "asked"))
 
@@ -575,7 +575,7 @@ def _components(docs: DataFrame, id_column: str, text_column: str, words: int, p
     kind = narrow.schema["id_value"].dataType.simpleString()
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     frequent = spark.sparkContext.broadcast(frequent_shingles(narrow, "text_value", words))
-    described = narrow.mapInArrow(_described("text_value", words, percent, frequent), f"id_value {kind}, n long, rare long, k1 long, k2 long, signature binary, wide binary, prefix array<long>")
+    described = narrow.mapInArrow(releasing(_described("text_value", words, percent, frequent)), f"id_value {kind}, n long, rare long, k1 long, k2 long, signature binary, wide binary, prefix array<long>")
     described = stored(described.withColumn("cls", F.monotonically_increasing_id()), "described")
     frequent.unpersist()
     # Of rows with equal sets the first stands for all.

@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from veritab.llm.common import byte_column, stored
+from veritab.llm.common import byte_column, releasing, stored
 
 SEQUENCE = 2048
 END = 1
@@ -178,7 +178,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_column: str = "doc_id", text_c
     narrow = docs.select(F.col(id_column).alias("id_value"), F.col(text_column).cast("string").alias("text_value"))
     kind = narrow.schema["id_value"].dataType.simpleString()
     tokens = stored(
-        narrow.mapInArrow(_tokens("text_value", tokenizer_path, end), f"part int, start_in_part long, doc_tokens long, width int, ids binary, id_value {kind}"), "tokens"
+        narrow.mapInArrow(releasing(_tokens("text_value", tokenizer_path, end)), f"part int, start_in_part long, doc_tokens long, width int, ids binary, id_value {kind}"), "tokens"
     )
     totals = tokens.groupBy("part").agg(F.sum("doc_tokens").alias("total"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
