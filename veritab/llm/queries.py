@@ -116,12 +116,40 @@ def op7(spark, folder):
     return secrets.secret_report(_table(spark, folder, "documents"))
 
 
-@query("op8_embedding_join")
+@query(
+    "op8_embedding_join",
+    """WITH RECURSIVE sound AS (
+            SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+            WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        links AS (
+            SELECT a.vec_id AS x, b.vec_id AS y FROM sound a JOIN sound b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+            WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+        reach(x, y) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y),
+        counted AS (SELECT x, COUNT(*) AS n FROM links GROUP BY x)
+        SELECT r.x AS vec_id, COALESCE(MAX(n), 0) AS n_links, MIN(r.y) AS component_id, MIN(r.y) = r.x AS kept
+        FROM reach r LEFT JOIN counted c ON c.x = r.x GROUP BY r.x""",
+)
 def op8(spark, folder):
     return embedding_join.near_embeddings(_table(spark, folder, "embeddings"))
 
 
-@query("op9_ngram_join")
+@query(
+    "op9_ngram_join",
+    r"""WITH RECURSIVE worded AS (
+            SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        sets AS (
+            SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                                ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s
+            FROM worded),
+        each AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+        common AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, a.n AS n, b.n AS m, COUNT(*) AS c
+            FROM each a JOIN each b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+        links AS (SELECT x, y FROM common WHERE 100 * c >= 85 * (n + m - c)),
+        reach(x, y) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y)
+        SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, MIN(y) AS component_id FROM sets JOIN reach ON x = doc_id GROUP BY ALL""",
+)
 def op9(spark, folder):
     return ngram_join.near_duplicates(_table(spark, folder, "documents"))
 
