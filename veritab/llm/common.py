@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -58,6 +59,20 @@ def numbered(docs: DataFrame, name: str = "numbered") -> tuple[DataFrame, str]:
     return stored(docs.withColumn(row, F.monotonically_increasing_id()), name), row
 
 
+def identified(docs: DataFrame, in_files: bool = False) -> tuple[DataFrame, str]:
+    """A table with something that tells its rows apart, and its column.
+
+    Rows as they lie in Parquet files (``in_files``, perhaps filtered) are known by file and place; other tables get a
+    stored copy with numbers.
+    """
+    if in_files:
+        row = free_name(docs, "row_number")
+        place = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+        with contextlib.suppress(AnalysisException):  # no rows of files after all
+            return docs.select("*", place.alias(row)), row
+    return numbered(docs)
+
+
 def byte_column(batch: pa.RecordBatch, name: str) -> list[bytes]:
     """A text column in UTF-8; null counts as empty."""
     column = batch.column(batch.schema.get_field_index(name))

@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from veritab.llm.common import byte_column, free_name, numbered, releasing, stored
+from veritab.llm.common import byte_column, free_name, identified, releasing, step, stored
 
 #: Bytes of a block; a longer text has more blocks and more rounds of pairing (their logarithm).
 BLOCK_BYTES = 2048
@@ -104,10 +104,10 @@ def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: st
     )
 
 
-def drop_exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def drop_exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", in_files: bool = False) -> DataFrame:
     """The documents without the copies that :func:`exact_duplicates` finds; all columns stay as they are."""
-    rows, row = numbered(docs)
+    rows, row = identified(docs, in_files)
     # Ids decide first, numbers of rows between equal ids.
     key = rows.select(F.struct(F.col(id_column).alias("id"), F.col(row).alias("row")).alias("key"), F.col(text_column).alias("text_value"))
-    out = exact_duplicates(key, "key", "text_value").where("not kept").select(F.col("key.row").alias(row))
-    return rows.join(stored(out, "dropped"), row, "left_anti").select(*docs.columns)
+    dropped = step(docs.sparkSession, lambda: exact_duplicates(key, "key", "text_value").where("not kept").select(F.col("key.row").alias(row)), "dropped")
+    return rows.join(dropped, row, "left_anti").select(*docs.columns)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veritab.llm.common import byte_column, free_name, numbered, stored
+from veritab.llm.common import byte_column, free_name, identified, step, stored
 
 #: Distinct texts of each language that likelihoods are fitted on, about so many at most; hash space of character trigrams.
 TRAIN_ROWS, GRAM_BITS = 20_000, 15
@@ -214,13 +214,12 @@ def _accepted() -> Column:
     return F.col("letters") & (F.col("language") != UNKNOWN) & (F.col("confidence") >= CONFIDENT)
 
 
-def keep_known_languages(docs: DataFrame, model: TextModel, text_column: str = "text", declared_column: str = "lang", host_column: str = "source") -> DataFrame:
+def keep_known_languages(docs: DataFrame, model: TextModel, text_column: str = "text", declared_column: str = "lang", host_column: str = "source", in_files: bool = False) -> DataFrame:
     """Documents whose language is known and sure enough; the others are rejected: texts without letters, texts that are
     like no language, and ties. The source stands for the host. All columns stay as they are."""
-    rows, row = numbered(docs)
+    rows, row = identified(docs, in_files)
     names = ["text", "declared", "host"]
     key = free_name(rows.select(row), "key")
     evidence = rows.select(F.col(row).alias(key), *[F.col(c).alias(n) for c, n in zip((text_column, declared_column, host_column), names, strict=True)])
-    out = identify(evidence, model, "text", "declared", None, ["host"])
-    rejected = stored(out.where(~_accepted()).select(F.col(key).alias(row)), "rejected")
-    return rows.join(rejected, row, "left_anti").select(*docs.columns)
+    found = lambda: identify(evidence, model, "text", "declared", None, ["host"]).where(~_accepted()).select(F.col(key).alias(row))
+    return rows.join(step(docs.sparkSession, found, "rejected"), row, "left_anti").select(*docs.columns)

@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritab.llm.common import byte_column, mixed, numbered, releasing, step, stored
+from veritab.llm.common import byte_column, identified, mixed, releasing, step, stored
 from veritab.llm.components import components, labels_of
 
 #: Words of a shingle; least similarity in hundredths.
@@ -608,9 +608,9 @@ def _components(docs: DataFrame, id_column: str, text_column: str, words: int, p
     )
 
 
-def drop_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = WORDS, percent: int = PERCENT, in_files: bool = False) -> DataFrame:
     """One document of each component stays: the one with the least id, the first of equal ids; null ids come last."""
-    rows, row = numbered(docs)
+    rows, row = identified(docs, in_files)
     key = rows.select(F.struct(F.col(id_column).isNull().alias("none"), F.col(id_column).alias("id"), F.col(row).alias("row")).alias("key"), F.col(text_column).alias("text_value"))
     groups = near_duplicates(key, "key", "text_value", words, percent)
     dropped = groups.where(F.col("key.row") != F.col("component_id.row")).select(F.col("key.row").alias(row))
