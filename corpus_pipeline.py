@@ -14,17 +14,17 @@ SHINGLE_WORDS, PERCENT = 5, 80
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without letters, or that are like none of the declared languages, are rejected."""
-    return language.keep_known_languages(docs, language.fit_text_model(docs))
+    return language.keep_known_languages(docs, language.fit_text_model(docs), in_files=True)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts (A-Z in lower case) the one with the largest doc_id stays."""
-    return exact_dedup.drop_exact_duplicates(docs)
+    return exact_dedup.drop_exact_duplicates(docs, in_files=True)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the least doc_id stays."""
-    return ngram_join.drop_near_duplicates(docs, words=SHINGLE_WORDS, percent=PERCENT)
+    return ngram_join.drop_near_duplicates(docs, words=SHINGLE_WORDS, percent=PERCENT, in_files=True)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
