@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from veritab.catalog.registry import query
 from veritab.operators import lineage as G
-
+from veritab.session import spread
 
 
 def _key():
@@ -16,6 +16,11 @@ def _size():
 
 
 
+def _parts(read):
+    """Parts are a small file, and each makes a script."""
+    return spread(read("part").select("p_partkey", "p_size"))
+
+
 def scripts(read):
     """Script k creates t_k out of t_(k/2) and raw tables, then fills a log from it.
 
@@ -31,7 +36,7 @@ def scripts(read):
         F.when(F.col("p_partkey") > 0, F.concat(F.lit(" LEFT JOIN \"stage\".\"T_"), up, F.lit("\" p ON p.id = r.id"))).otherwise(F.lit("")),
         F.lit(";\n/* join comment_table */ insert into log_"), _size(), F.lit(" select id from stage.t_"), _key(),
     ]
-    return read("part").select(F.concat(F.lit("part_"), _key(), F.lit(".sql")).alias("path"), F.concat(*parts).alias("sql"))
+    return _parts(read).select(F.concat(F.lit("part_"), _key(), F.lit(".sql")).alias("path"), F.concat(*parts).alias("sql"))
 
 
 _EDGES = """e AS (SELECT 'src_' || p_size AS parent, 't_' || p_partkey AS child FROM part
@@ -50,7 +55,7 @@ def object_scripts(read):
         F.lit("create or replace view V_"), _size(), F.lit(" as select 1;\n-- create table hidden\nCREATE PROCEDURE dbo.P_"), _key(),
         F.lit(" AS BEGIN SELECT 'create table quoted' END;\ncreate table if not exists T_"), _key(), F.lit(" (id int)"),
     )
-    return read("part").select(F.concat(F.lit("part_"), _key()).alias("path"), text.alias("sql"))
+    return _parts(read).select(F.concat(F.lit("part_"), _key()).alias("path"), text.alias("sql"))
 
 
 @query(
@@ -193,7 +198,7 @@ def sql_complexity(read):
         F.repeat(F.lit("select * from t pivot (sum(x) for y in (1)); "), F.col("p_size") % 7),
         F.when(F.col("p_partkey") % 50 == 0, "select * from t for xml path;").otherwise(""),
     )
-    return G.sql_complexity(read("part").select(F.concat(F.lit("p"), _key()).alias("path"), text.alias("sql")))
+    return G.sql_complexity(_parts(read).select(F.concat(F.lit("p"), _key()).alias("path"), text.alias("sql")))
 
 
 _TOOLS = ("datastage", "talend", "ssis", "alteryx", "bods", "pentaho")
@@ -242,5 +247,5 @@ def sas_complexity(read):
         F.expr("repeat('proc print; do i = 1 to 3; end;\\n', p_size % 5)"),
         F.expr("repeat(concat('proc sql; ', repeat('select 1; ', p_size - 1), 'quit;\\n'), p_size % 3)"),
     )
-    out = G.sas_complexity(read("part").select(F.concat(F.lit("s"), _key()).alias("path"), text.alias("sql")))
+    out = G.sas_complexity(_parts(read).select(F.concat(F.lit("s"), _key()).alias("path"), text.alias("sql")))
     return out.drop("statements", "very_complex_sql")

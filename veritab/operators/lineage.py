@@ -168,17 +168,131 @@ def closure(edges: DataFrame) -> DataFrame:
 def node_levels(edges: DataFrame) -> DataFrame:
     """(node, level, on_cycle): the least number of steps from a root, 0 for roots, NULL where no root leads to.
 
-    All levels come from one closure, cycles or not.
+    No table here is larger than the edges. Chains and trees of nodes with one parent are walked by jumps of doubling
+    length, so rounds grow with the logarithm of their depth. The other nodes take one round per step between them.
     """
     edges = materialise(edges, "edges")
-    paths = closure(edges)
-    roots = root_tables(edges)
-    least = paths.join(roots.select(F.col("node").alias("ancestor")), "ancestor", "left_semi").groupBy("node").agg(F.min("steps").alias("level"))
-    least = least.unionByName(roots.select("node", F.lit(0).cast("long").alias("level")))
-    cyclic = paths.where("ancestor = node").select("node", F.lit(True).alias("on_cycle"))
-    cyclic = cyclic.unionByName(edges.where("parent = child").select(F.col("parent").alias("node"), F.lit(True).alias("on_cycle"))).distinct()
+    steps = materialise(edges.where("parent <> child").distinct(), "steps")
+    roots = materialise(root_tables(edges), "roots")
+    levels = _least_levels(steps, roots)
+    cyclic = _on_cycles(steps).unionByName(edges.where("parent = child").select(F.col("parent").alias("node")))
+    cyclic = cyclic.distinct().withColumn("on_cycle", F.lit(True))
     nodes = edges.select(F.explode(F.array("parent", "child")).alias("node")).distinct()
-    return nodes.join(least, "node", "left").join(cyclic, "node", "left").withColumn("on_cycle", F.coalesce("on_cycle", F.lit(False)))
+    return nodes.join(levels, "node", "left").join(cyclic, "node", "left").withColumn("on_cycle", F.coalesce("on_cycle", F.lit(False)))
+
+
+def _single(edges: DataFrame, up: str = "parent", down: str = "child") -> DataFrame:
+    """(node, parent): nodes that one edge leads to, of distinct edges from ``up`` to ``down``."""
+    counts = edges.groupBy(F.col(down).alias("node")).agg(F.count(F.lit(1)).alias("n"), F.min(up).alias("parent"))
+    return counts.where("n = 1").select("node", "parent")
+
+
+def _anchors(single: DataFrame) -> DataFrame:
+    """(node, anchor, steps): the nearest forebear that has no parent in ``single`` itself. Nodes that come from a ring have none.
+
+    Each round doubles the jumps. Fewer nodes are on their way after each, but for those that come from a ring.
+    """
+    jumps = single.select("node", F.col("parent").alias("anchor"), F.lit(1).cast("long").alias("steps"))
+    before = None
+    while True:
+        on = jumps.select(F.col("node").alias("via"), F.col("anchor").alias("next"), F.col("steps").alias("more"))
+        further = jumps.join(on, F.col("anchor") == F.col("via"), "left")
+        further = further.select("node", F.coalesce("next", "anchor").alias("anchor"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"), F.col("via").isNotNull().alias("open"))
+        further = materialise(further, "jumps")
+        under_way = further.where("open").count()
+        jumps = further.drop("open")
+        if under_way in (0, before):
+            return further.where("not open").drop("open")
+        before = under_way
+
+
+def _least_levels(steps: DataFrame, roots: DataFrame) -> DataFrame:
+    """(node, level) of the nodes that a root leads to. A node with one parent takes its level from its anchor.
+
+    The others are reached in rounds, from the nodes whose level fell in the round before.
+    """
+    single = materialise(_single(steps), "single")
+    anchors = _anchors(single)
+    to = steps.join(single.select(F.col("node").alias("child")), "child", "left_anti")
+    to = to.join(anchors.withColumnRenamed("node", "parent"), "parent", "left")
+    to = to.select(F.coalesce("anchor", "parent").alias("start"), "child", (F.coalesce("steps", F.lit(0)) + 1).alias("more"))
+    to = materialise(to.groupBy("start", "child").agg(F.min("more").alias("more")), "to")
+    levels = fell = roots.select("node", F.lit(0).cast("long").alias("level"))
+    while True:
+        new = fell.join(to, F.col("node") == F.col("start")).groupBy("child").agg(F.min(F.col("level") + F.col("more")).alias("new"))
+        new = new.join(levels, F.col("child") == F.col("node"), "left").where("level IS NULL OR new < level")
+        fell = materialise(new.select(F.col("child").alias("node"), F.col("new").alias("level")), "fell")
+        if fell.isEmpty():
+            break
+        levels = materialise(levels.unionByName(fell).groupBy("node").agg(F.min("level").alias("level")), "levels")
+    of_anchor = levels.withColumnRenamed("node", "anchor")
+    return levels.unionByName(anchors.join(of_anchor, "anchor").select("node", (F.col("level") + F.col("steps")).alias("level")))
+
+
+def _trimmed(edges: DataFrame) -> DataFrame:
+    """The edges between nodes that edges lead to and from, until that holds for all. No cycle loses an edge.
+
+    A node goes with the whole chain or tree that hangs on it by single edges.
+    """
+    n = edges.count()
+    while n:
+        for up, down in (("parent", "child"), ("child", "parent")):
+            ends = edges.select(F.col(up).alias("node")).distinct().join(edges.select(F.col(down).alias("node")), "node", "left_anti")
+            ends = materialise(ends, "ends")
+            hanging = _anchors(_single(edges, up, down)).join(ends.withColumnRenamed("node", "anchor"), "anchor", "left_semi").select("node")
+            gone = ends.unionByName(hanging).withColumnRenamed("node", up)
+            edges = materialise(edges.join(gone, up, "left_anti").select("parent", "child"), "trimmed")
+        before, n = n, edges.count()
+        if n == before:
+            break
+    return edges
+
+
+def _on_cycles(edges: DataFrame) -> DataFrame:
+    """(node): nodes that lead to themselves, of distinct edges between different nodes.
+
+    What is left after trimming is coloured: a node has the largest name that leads to it. Nodes that lead back to the one
+    that gave the colour are on a cycle with it; they go, and so do edges between colours. Rings that nothing leads to
+    or from need no colour. Colours take one round per step.
+    """
+    found = edges.select(F.col("parent").alias("node")).limit(0)
+    while not (edges := _trimmed(edges)).isEmpty():
+        plain = _single(edges).join(_single(edges, "child", "parent").select("node"), "node", "left_semi")
+        plain = materialise(plain, "plain")
+        rings = materialise(plain.select("node").join(_anchors(plain).select("node"), "node", "left_anti"), "rings")
+        edges = materialise(edges.join(rings.withColumnRenamed("node", "parent"), "parent", "left_anti").select("parent", "child"), "knots")
+        found = found.unionByName(rings)
+        if edges.isEmpty():
+            break
+        colours = _spread_colours(edges)
+        of = lambda end: colours.select(F.col("node").alias(end), F.col("colour").alias(f"{end}_colour"))
+        within = edges.join(of("parent"), "parent").join(of("child"), "child").where("parent_colour = child_colour")
+        within = materialise(within.select("parent", "child", F.col("parent_colour").alias("colour")), "within")
+        back = last = colours.where("node = colour").select("node")
+        while not last.isEmpty():
+            last = within.join(last.withColumnRenamed("node", "child"), "child", "left_semi").select(F.col("parent").alias("node")).distinct()
+            last = materialise(last.join(back, "node", "left_anti"), "last")
+            back = materialise(back.unionByName(last), "back")
+        # Alone in its colour, the giver of the colour is on no cycle.
+        ends = lambda end: within.join(back.withColumnRenamed("node", end), end, "left_semi")
+        inner = ends("parent").join(back.withColumnRenamed("node", "child"), "child", "left_semi")
+        found = found.unionByName(inner.select(F.col("parent").alias("node")).distinct())
+        for end in ("parent", "child"):
+            within = within.join(back.withColumnRenamed("node", end), end, "left_anti")
+        edges = materialise(within.select("parent", "child"), "rest")
+    return found
+
+
+def _spread_colours(edges: DataFrame) -> DataFrame:
+    """(node, colour): the largest name among a node and those that lead to it."""
+    colours = last = materialise(edges.select(F.explode(F.array("parent", "child")).alias("node")).distinct().withColumn("colour", F.col("node")), "colours")
+    while True:
+        new = last.join(edges, F.col("node") == F.col("parent")).groupBy("child").agg(F.max("colour").alias("new"))
+        new = new.join(colours, F.col("child") == F.col("node")).where("new > colour")
+        last = materialise(new.select("node", F.col("new").alias("colour")), "recoloured")
+        if last.isEmpty():
+            return colours
+        colours = materialise(colours.unionByName(last).groupBy("node").agg(F.max("colour").alias("colour")), "colours")
 
 
 def flow_chart(edges: DataFrame) -> DataFrame:

@@ -83,6 +83,15 @@ def materialise(df: DataFrame, name: str = "step") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, tasks: int = 64) -> DataFrame:
+    """The rows dealt over so many tasks, or four a core if that is more, where files give fewer.
+
+    A small file is one task, however much work its rows make.
+    """
+    tasks = max(tasks, 4 * df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(tasks) if df.rdd.getNumPartitions() < tasks else df
+
+
 def _remove(spark: SparkSession, paths: list[str]) -> None:
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for name in paths:
