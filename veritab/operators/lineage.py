@@ -414,16 +414,18 @@ def script_class(limits: dict) -> Column:
 
 def sql_features(scripts: DataFrame, simple: str = r"(?i)^(set|use|print|go|declare)\b") -> DataFrame:
     """Counts per script: loops, statements (without simple ones), simple statements, pivots, XML calls."""
-    code = _without_texts(without_comments(F.col("sql")))
-    pieces = F.filter(F.transform(F.split(code, ";"), lambda s: F.trim(s)), lambda s: F.length(F.regexp_replace(s, r"\s", "")) > 0)
-    return scripts.select(
+    code = scripts.select("path", _without_texts(without_comments(F.col("sql"))).alias("code"))
+    pieces = F.filter(F.transform(F.split("code", ";"), lambda s: F.trim(s)), lambda s: F.length(F.regexp_replace(s, r"\s", "")) > 0)
+    # Each step is taken once a script, as Spark repeats no expression that is dear across selects.
+    cut = code.select("path", "code", F.transform(pieces, lambda s: s.rlike(simple)).alias("is_simple"))
+    return cut.select(
         "path",
         # FOR ... LOOP and WHILE ... LOOP count once, by their LOOP; FOR inside PIVOT is none.
-        F.regexp_count(code, F.lit(r"(?i)(?<!\bend\s)\bloop\b|\bwhile\b(?![^;]*?\bloop\b)")).alias("loops"),
-        F.size(F.filter(pieces, lambda s: ~s.rlike(simple))).alias("statements"),
-        F.size(F.filter(pieces, lambda s: s.rlike(simple))).alias("simple_statements"),
-        F.regexp_count(code, F.lit(r"(?i)\b(un)?pivot\s*\(")).alias("pivots"),
-        F.regexp_count(code, F.lit(r"(?i)\b(for\s+xml|openxml|xmltable|xmlelement|xmlagg)\b")).alias("xml"),
+        F.regexp_count("code", F.lit(r"(?i)(?<!\bend\s)\bloop\b|\bwhile\b(?![^;]*?\bloop\b)")).alias("loops"),
+        F.size(F.filter("is_simple", lambda s: ~s)).alias("statements"),
+        F.size(F.filter("is_simple", lambda s: s)).alias("simple_statements"),
+        F.regexp_count("code", F.lit(r"(?i)\b(un)?pivot\s*\(")).alias("pivots"),
+        F.regexp_count("code", F.lit(r"(?i)\b(for\s+xml|openxml|xmltable|xmlelement|xmlagg)\b")).alias("xml"),
     )
 
 
