@@ -126,9 +126,10 @@ def children(edges: DataFrame, table: str) -> DataFrame:
 
 
 def root_tables(edges: DataFrame) -> DataFrame:
-    """Nodes that no edge leads to."""
-    nodes = edges.select(F.col("parent").alias("node")).distinct()
-    return nodes.join(edges.select(F.col("child").alias("node")).distinct(), "node", "left_anti")
+    """Nodes that no edge leads to. The edges are read once."""
+    ends = F.array(F.struct(F.col("parent").alias("node"), F.lit(False).alias("led")), F.struct(F.col("child").alias("node"), F.lit(True).alias("led")))
+    nodes = edges.select(F.inline(ends)).groupBy("node").agg(F.bool_or("led").alias("led"), F.bool_and("led").alias("last"))
+    return nodes.where("NOT last AND (NOT led OR node IS NULL)").select("node")
 
 
 def tables_at_level(edges: DataFrame, level: int, cut_every: int = 4) -> DataFrame:
