@@ -297,7 +297,11 @@ def _spread_colours(edges: DataFrame) -> DataFrame:
 
 
 def flow_chart(edges: DataFrame) -> DataFrame:
-    """(line): ``Child --> Parent`` per edge, and a node without parents alone. One row per line, no single text."""
+    """(line): ``Child --> Parent`` per edge, and a node without parents alone. One row per line, no single text.
+
+    The edges are written to the shared folder, so scripts are read once.
+    """
+    edges = materialise(edges, "edges")
     arrows = edges.distinct().select(
         F.concat(F.lit("    "), _capital("child"), F.lit(" --> "), _capital("parent")).alias("line")
     )
