@@ -138,9 +138,9 @@ def tables_at_level(edges: DataFrame, level: int, cut_every: int = 4) -> DataFra
     The edges are written to the shared folder, so scripts are read once; the set is written every few steps,
     so that the plan stays short.
     """
-    if level > 1:
+    if level:
         edges = materialise(edges, "edges")
-    step = edges.select(F.col("parent").alias("node"), F.col("child").alias("next")).distinct()
+    step = edges.select(F.col("parent").alias("node"), F.col("child").alias("next"))
     reached = root_tables(edges)
     for i in range(level):
         reached = reached.join(step, "node").select(F.col("next").alias("node")).distinct()
