@@ -26,6 +26,8 @@ TURNS = 2
 SIGNATURE_BITS, LEAF, PIECE = 256, 16, 8192
 #: Sets of a block, and how many shingles they have at most (or one set); sets that a task compares with a block.
 BLOCK, BLOCK_SHINGLES, ASKING = 128, 1 << 17, 4096
+#: Rows that name sets to compare: a task looks for repeated ones when so many more have come, and holds so many different ones.
+NAMED_AT_ONCE, NAMED = 100_000, 500_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 #: Words whose hashes a task remembers before it starts anew; texts, and bytes of them, that are worked on at once.
 REMEMBERED, LOT, LOT_BYTES = 100_000, 500, 2 << 20
@@ -289,12 +291,10 @@ def _asked(percent: int):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held, new = [], 0
 
-        def flush():
-            block, cls, asks = np.unique(np.concatenate(held, axis=1), axis=1)
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(block), pa.array(cls), pa.array(asks.astype(bool))], names=["block", "cls", "asks"])
+        def distinct():
+            return pa.concat_tables(held).group_by(["block", "cls", "asks"], use_threads=False).aggregate([])
 
         for token, cls, n, pos, part, block, raw in _groups(batches):
             bits = np.frombuffer(b"".join(raw), np.uint64).reshape(len(token), -1)
@@ -311,12 +311,16 @@ def _asked(percent: int):
             for low in range(0, len(found), 64):
                 i, j = (np.concatenate(x) for x in zip(*found[low : low + 64], strict=True))
                 i, j = np.where(block[i] <= block[j], i, j), np.where(block[i] <= block[j], j, i)
-                held.append(np.stack([block[i], cls[i], np.zeros(len(i), np.int64)]))
-                held.append(np.stack([block[i], cls[j], (block[i] != block[j]).astype(np.int64)]))
-                if sum(h.shape[1] for h in held) > 100_000:
-                    yield flush()
+                of, who, asks = np.tile(block[i], 2), np.concatenate([cls[i], cls[j]]), np.concatenate([np.zeros(len(i), bool), block[i] != block[j]])
+                held.append(pa.table({"block": of, "cls": who, "asks": asks}))
+                new += 2 * len(i)
+                if new > NAMED_AT_ONCE:
+                    held, new = [distinct()], 0
+                    if held[0].num_rows > NAMED:
+                        yield from held[0].to_batches()
+                        held = []
         if held:
-            yield flush()
+            yield from distinct().to_batches()
 
     return run
 
