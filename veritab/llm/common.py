@@ -19,9 +19,26 @@ from veritab.session import intermediate_files, materialise, shared_path
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Spark's setting for the bytes of rows that go to Python at once, and what holds while tables are stored here.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+
+
+@contextlib.contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Rows go to Python in batches of a few MB, also where texts are long: 10,000 rows at once are held twice, by the
+    executor and by its worker, whose memory they keep."""
+    before = spark.conf.get(BATCH_SETTING)
+    spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_SETTING, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Written to the shared folder and read back: later jobs start from files, whatever executors are lost."""
-    return materialise(df, f"llm-{name}")
+    with small_batches(df.sparkSession):
+        return materialise(df, f"llm-{name}")
 
 
 def step(spark: SparkSession, build: Callable[[], DataFrame], name: str) -> DataFrame:
@@ -29,10 +46,18 @@ def step(spark: SparkSession, build: Callable[[], DataFrame], name: str) -> Data
     path = shared_path(spark, f"llm-{name}")
     with intermediate_files(spark):
         out = build()
-        out.write.parquet(path)
+        with small_batches(spark):
+            out.write.parquet(path)
     return spark.read.schema(out.schema).parquet(path)
 
 
+def release() -> None:
+    """Gives freed memory back to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # systems with another C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def releasing(run: Callable) -> Callable:
     """A function for ``mapInArrow`` whose memory goes back to the system at its end: workers are used again by later tasks."""
 
@@ -40,9 +65,7 @@ def releasing(run: Callable) -> Callable:
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            with contextlib.suppress(OSError, AttributeError):  # systems with another C library
-                ctypes.CDLL(None).malloc_trim(0)
+            release()
 
     return wrapped
 

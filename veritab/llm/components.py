@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritab.llm.common import stored
+from veritab.llm.common import releasing, stored
 
 
 class Forest:
@@ -71,7 +71,7 @@ def components(edges: DataFrame) -> DataFrame:
     a, b = edges.columns
     pairs = stored(edges.where(F.col(a) != F.col(b)).select(F.col(a).alias("a"), F.col(b).alias("b")), "pairs")
     lots = -(-pairs.count() // EDGES) or 1
-    now = stored(pairs.repartition(lots).mapInArrow(_contract, "hi long, lo long").where("hi != lo").distinct(), "edges")
+    now = stored(pairs.repartition(lots).mapInArrow(releasing(_contract), "hi long, lo long").where("hi != lo").distinct(), "edges")
     state = _state(now) if lots > 1 else (0,)
     while state[0]:
         both = now.unionByName(now.select(F.col("lo").alias("hi"), F.col("hi").alias("lo")))

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veritab.llm.common import byte_column, free_name, identified, step, stored
+from veritab.llm.common import byte_column, free_name, identified, releasing, step, stored
 
 #: Distinct texts of each language that likelihoods are fitted on, about so many at most; hash space of character trigrams.
 TRAIN_ROWS, GRAM_BITS = 20_000, 15
@@ -79,7 +79,7 @@ def fit_text_model(docs: DataFrame, text_column: str = "text", label_column: str
     evenly over all buckets. What reaches the driver is a table of fixed size per language.
     """
     languages, part = training_texts(docs, text_column, label_column, most)
-    rows = part.mapInArrow(_counts("text_value", "lang"), "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect()
+    rows = part.mapInArrow(releasing(_counts("text_value", "lang")), "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros((len(languages) + 1, 1 << GRAM_BITS))
     for r in rows:
         counts[languages.index(r["lang"]), r["bucket"]] += r["n"]
@@ -150,7 +150,7 @@ def identify(rows: DataFrame, model: TextModel, text: str, declared: str | None,
     keep = [c for c in rows.columns if c not in (text, *hosts, *tables)]
     known = known.select(*keep, "text_value", *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(x) for c, x in zip([*hosts, *tables], [*levels, *values], strict=True)])
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in known.schema if f.name != "text_value")
-    out = stored(known.mapInArrow(_likelihoods("text_value", shared), f"{schema}, text_log array<double>, share array<double>, letters boolean"), "likelihoods")
+    out = stored(known.mapInArrow(releasing(_likelihoods("text_value", shared)), f"{schema}, text_log array<double>, share array<double>, letters boolean"), "likelihoods")
 
     told = out.where("letters")  # rows without text evidence are no evidence for others
     overall = [float(x or 0) for x in _sums(told, [], n, "s").first()["s"]]

@@ -519,7 +519,7 @@ class _Join:
             pairs = met.groupBy(F.col("cls").alias("a")).agg(F.max(F.struct("times", "hub"))["hub"].alias("b"))
             marks = self.classes.select("cls", "n", "wide")
             side = lambda s: marks.select(F.col("cls").alias(s), F.col("n").alias(f"n_{s}"), F.col("wide").alias(f"wide_{s}")).hint("merge")
-            pairs = stored(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_screen(self.percent), "a long, b long"), "screened")
+            pairs = stored(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(releasing(_screen(self.percent)), "a long, b long"), "screened")
             own = pairs.select(F.col("b").alias("block"), F.col("b").alias("cls"), F.lit(False).alias("asks")).distinct()
             return own.unionByName(pairs.select(F.col("b").alias("block"), F.col("a").alias("cls"), F.lit(True).alias("asks")))
 
@@ -534,7 +534,7 @@ class _Join:
             entries = stored(self._open_entries(), "open")
             order = stored(entries.groupBy("cls").agg(F.first("part").alias("part"), F.first("n").alias("n")), "order")
             ranged = order.repartitionByRange(self.parts, "part", "cls").sortWithinPartitions("part", "cls")
-            placed = stored(ranged.mapInArrow(_numbered_blocks, "cls long, block long"), "placed")
+            placed = stored(ranged.mapInArrow(releasing(_numbered_blocks), "cls long, block long"), "placed")
             marks = self.classes.select("cls", "signature").join(placed, "cls")
             pieces = entries.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / PIECE).alias("pieces"))
             other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)).alias("other")
@@ -593,7 +593,7 @@ def _components(docs: DataFrame, id_column: str, text_column: str, words: int, p
     entries = classes.select(F.posexplode("prefix").alias("pos", "token"), "n", "rare", "cls")
     entries = entries.select("token", (F.shiftleft("n", 31) + F.col("pos")).alias("place"), "cls", "n", F.col("pos").cast("long").alias("pos"), "rare")
     rare = entries.where("pos < rare").select("token", "place", "cls").repartition(parts, "token").sortWithinPartitions("token", "place", "cls")
-    shared = rare.mapInArrow(_shared, "token long, cls long, n long, pos long").unionByName(entries.where("pos >= rare").select("token", "cls", "n", "pos"))
+    shared = rare.mapInArrow(releasing(_shared), "token long, cls long, n long, pos long").unionByName(entries.where("pos >= rare").select("token", "cls", "n", "pos"))
     shared = stored(shared, "shared")
 
     join = _Join(narrow, groups, classes, shared, words, percent)
